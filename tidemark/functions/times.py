@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from tidemark.registry import TIME_COLUMNS
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+def epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
 # A nanosecond int64 clock (the dumps' consumer format) spans this many microseconds
 # either side of the epoch; times outside it are unrepresentable there and become NULL.
@@ -26,11 +27,11 @@ def _col(c) -> Column:
 def micros_to_time(micros) -> Column:
     m = _col(micros)
     ok = m.between(-_MAX_ABS_MICROS, _MAX_ABS_MICROS)
-    return F.when(ok, F.timestamp_add("MICROSECOND", m, EPOCH))
+    return F.when(ok, F.timestamp_add("MICROSECOND", m, epoch()))
 
 
 def time_to_micros(ts) -> Column:
-    return F.timestamp_diff("MICROSECOND", EPOCH, _col(ts))
+    return F.timestamp_diff("MICROSECOND", epoch(), _col(ts))
 
 
 def ms_to_time(value) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import EPOCH
+from tidemark.functions.times import epoch
 from tidemark.session import configure, shared_dir
 from tidemark.sinks.tables import write_files
 
@@ -52,7 +52,7 @@ def hour(ts: str = "ts"):
 def ms_text(ts) -> F.Column:
     """Epoch milliseconds of a time, as text (how dumps carry times)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MILLISECOND", EPOCH, c).cast(T.StringType())
+    return F.timestamp_diff("MILLISECOND", epoch(), c).cast(T.StringType())
 
 
 # ---- E --------------------------------------------------------------------
@@ -195,14 +195,14 @@ def write_event_dumps(spark, sf_dir, zipped: bool = False, part: DataFrame | Non
 
 
 # tree fixture: E rows as per-file series of the source dataset's layout
-TREE_KIND = (
-    F.when(F.col("value") < 10, "klines").when(F.col("value") < 30, "metrics").otherwise("fundingRate"))
+def tree_kind() -> F.Column:
+    return F.when(F.col("value") < 10, "klines").when(F.col("value") < 30, "metrics").otherwise("fundingRate")
 
 
 def tree_rows(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")
     sym = F.concat(F.upper("event_type"), F.col("user_id").cast("string"))
-    return e.select(sym.alias("symbol"), F.col("event_type"), TREE_KIND.alias("kind"), "ts", "event_id")
+    return e.select(sym.alias("symbol"), F.col("event_type"), tree_kind().alias("kind"), "ts", "event_id")
 
 
 def _tree_name(kind_col: str = "kind") -> F.Column:

@@ -46,12 +46,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
+    """A fresh, never reused (not yet created) folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root}/tidemark/{name}/{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/tidemark/{name}/{uuid.uuid4().hex}"
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,

@@ -118,3 +118,44 @@ def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys:
     only_csv = cs.join(pq.select(*keys).distinct(), keys, "left_anti")
     only_csv = only_csv.select(*[F.col(c).cast(T.StringType()) if c not in keys else F.col(c) for c in only_csv.columns])
     return pq_text.unionByName(only_csv, allowMissingColumns=True)
+
+
+def _footers(batches):
+    import pyarrow.parquet as pq
+
+    from tidemark.registry import TIME_COLUMNS as TC
+
+    for pdf in batches:
+        rows, has_time, errors = [], [], []
+        for p in pdf["path"]:
+            local = p[len("file:"):] if p.startswith("file:") else p
+            try:
+                meta = pq.ParquetFile(local)
+                rows.append(meta.metadata.num_rows)
+                has_time.append(any(c in meta.schema_arrow.names for c in TC))
+                errors.append(None)
+            except Exception as e:  # noqa: BLE001 - an unreadable file is a finding, not a failure
+                rows.append(None)
+                has_time.append(False)
+                errors.append(f"{type(e).__name__}: {e}"[:200])
+        yield pdf.assign(rows=rows, has_time_col=has_time, error=errors)[["path", "rows", "has_time_col", "error"]]
+
+
+def scan_audit(spark: SparkSession, root: str) -> DataFrame:
+    """FLT-8: every ``*.parquet`` file under ``root`` with its row count, whether it has a
+    time column, and the read error if it is unreadable.  Listing is ``binaryFile``
+    without the content column (only paths travel); each task opens its files' footers.
+    Corrupt and empty files are told apart here, which ``ignoreCorruptFiles`` cannot."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").load(root)
+               .select(F.url_decode("path").alias("path")))
+    return listing.mapInPandas(_footers, "path string, rows long, has_time_col boolean, error string")
+
+
+def audit_summary(audit: DataFrame) -> DataFrame:
+    return audit.agg(
+        F.count(F.lit(1)).alias("scanned"),
+        F.count_if(F.col("error").isNull() & F.col("has_time_col")).alias("indexable"),
+        F.count_if(F.col("error").isNotNull()).alias("unreadable"),
+        F.count_if(F.col("error").isNull() & ~F.col("has_time_col")).alias("without_time_col"),
+    )
