@@ -48,8 +48,8 @@ def spot_universe(raw: DataFrame) -> DataFrame:
 
 def coins_list(coins: DataFrame, col: str = "coins") -> DataFrame:
     """FLT-4: comma lists -> distinct trimmed non-blank members."""
-    m = F.trim(F.explode(F.split(F.col(col), ",")))
-    return coins.select(m.alias("symbol")).where(F.col("symbol") != "").distinct()
+    parts = coins.select(F.explode(F.split(F.col(col), ",")).alias("_m"))
+    return parts.select(F.trim("_m").alias("symbol")).where(F.col("symbol") != "").distinct()
 
 
 def coins_subset(universe: DataFrame, coins: DataFrame, col: str = "coins", on: str = "symbol") -> DataFrame:
