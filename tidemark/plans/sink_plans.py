@@ -66,9 +66,9 @@ def q_write_index(spark, sf_dir):
 
 @query("write_info", P_SQL + LAST + flat_rows("l"))
 def q_write_info(spark, sf_dir):
-    root, json_root = shared_dir(spark, "info_table"), shared_dir(spark, "info_json")
+    root = shared_dir(spark, "info_table")
     info = _last_raw(spark, sf_dir).select("symbol", flatten_symbol_info("raw").alias("info"))
-    write_info(info, root, json_root)
+    write_info(info, root)
     return explode_info(spark.read.parquet(root))
 
 

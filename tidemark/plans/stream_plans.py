@@ -13,7 +13,7 @@ from tidemark.registry import KINDS_BY_NAME, KLINE_COLUMNS, series_schema
 from tidemark.session import shared_dir
 from tidemark.sinks.tables import write_series
 from tidemark.sources.series import scan_series
-from tidemark.streaming.ingest import SERIES, stream_ingest
+from tidemark.streaming.ingest import SERIES, read_index_log, stream_ingest
 
 KLINES = KINDS_BY_NAME["klines"]
 
@@ -82,4 +82,4 @@ WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.symbol = nw.symbol AND ex.open_time
 GROUP BY symbol""")
 def q_stream_index(spark, sf_dir):
     _, index = run(spark, sf_dir)
-    return spark.read.parquet(index)
+    return read_index_log(spark, index)

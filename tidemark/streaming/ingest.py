@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import normalize_times
 from tidemark.functions.text import na_to_null
-from tidemark.operators.index import latest_time, overlay_index
+from tidemark.operators.index import latest_time
 from tidemark.operators.merge import PERIOD, ROW, SOURCE, new_rows_only
 from tidemark.registry import Kind, dump_schema
-from tidemark.sinks.tables import append_series, write_table
+from tidemark.sinks.tables import append_series
 from tidemark.sources.dumps import parse_dump_location
 from tidemark.sources.series import scan_series
 
@@ -49,7 +49,7 @@ def landing_stream(spark: SparkSession, landing: str, k: Kind, max_files_per_tri
                            k.ms_time_cols, text_cols)
 
 
-def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, schema) -> None:
+def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, schema, batch_id: int = 0) -> None:
     """One micro-batch: append unseen keys, then move the index forward."""
     spark = batch.sparkSession
     tagged = batch.withColumns({
@@ -62,12 +62,10 @@ def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, schema)
     # materialise once: the same rows feed the append and the index update
     fresh = fresh.checkpoint(eager=True)
     append_series(fresh, store, SERIES, k.time_col)
+    # the index is a log of per-batch maxima: appending never rewrites earlier entries,
+    # and a replayed batch appends nothing new (its rows were already in the store)
     moved = latest_time(fresh, SERIES, k.time_col).select(_series_key_path().alias("path"), "last_ts")
-    try:
-        old = spark.read.parquet(index_root).select("path", "last_ts")
-    except Exception:
-        old = moved.limit(0)
-    write_table(overlay_index(old, moved, mode="max"), index_root)
+    moved.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
 
 
 def stream_ingest(spark: SparkSession, landing: str, store: str, index_root: str, checkpoint: str, k: Kind,
@@ -82,10 +80,15 @@ def stream_ingest(spark: SparkSession, landing: str, store: str, index_root: str
     checkpoint_root(spark)
     schema = T.StructType(series_schema(k).fields + [T.StructField(c, T.StringType()) for c in SERIES])
     stream = landing_stream(spark, landing, k, max_files_per_trigger)
-    writer = (stream.writeStream.foreachBatch(lambda df, epoch: ingest_batch(df, store, index_root, k, schema))
+    writer = (stream.writeStream.foreachBatch(lambda df, epoch: ingest_batch(df, store, index_root, k, schema, epoch))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_index_log(spark: SparkSession, index_root: str) -> DataFrame:
+    """STR-4: the current index: latest time per path over the batch log."""
+    return spark.read.parquet(index_root).groupBy("path").agg(F.max("last_ts").alias("last_ts"))
