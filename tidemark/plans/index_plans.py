@@ -102,7 +102,8 @@ def q_bootstrap_index(spark, sf_dir):
 
 @query("scan_audit")
 def q_scan_audit(spark, sf_dir):
-    root = write_event_tree(spark, sf_dir)
+    from tidemark.plans.surrogates import _write_event_tree
+    root = _write_event_tree(spark, sf_dir)  # its own copy: broken files are added below
     # one file that is not Parquet, one empty file, one Parquet file without a time column
     bad = table(spark, sf_dir, "events").select(F.concat(F.lit("BROKEN"), F.col("event_type"), F.lit("/BROKEN_1d.parquet")).alias("path"),
                                                 F.lit("not parquet").alias("content")).distinct()

@@ -36,7 +36,7 @@ def prepare(spark, sf_dir):
                      "event_id")
     rows = merge_first_wins(None, tag(rows, 0, row=F.col("event_id")), SERIES, "open_time").drop("event_id")
     write_series(rows, store, SERIES, "open_time")
-    landing = write_event_dumps(spark, sf_dir, part=events_new(spark, sf_dir))
+    landing = write_event_dumps(spark, sf_dir, part=events_new(spark, sf_dir), part_name="new")
     return store, landing
 
 

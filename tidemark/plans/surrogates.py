@@ -32,6 +32,17 @@ END = "2001-10-25"          # fixed 'end' for L: separates stale from fresh supp
 NOW = "2001-10-26 06:00:00"  # fixed 'now' for freshness checks
 
 
+_FIXTURES: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, key: tuple, make) -> str:
+    """Read-only fixture folders are written once per application and table folder."""
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _FIXTURES:
+        _FIXTURES[k] = make()
+    return _FIXTURES[k]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -139,6 +150,10 @@ def customer_objects(spark, sf_dir) -> DataFrame:
 
 def write_customer_objects(spark, sf_dir) -> str:
     """P as JSON lines; both customers of a symbol land in one file, in custkey order."""
+    return _once(spark, ("exchange_info", sf_dir), lambda: _write_customer_objects(spark, sf_dir))
+
+
+def _write_customer_objects(spark, sf_dir) -> str:
     out = shared_dir(spark, "exchange_info")
     (customer_objects(spark, sf_dir).repartition(8, "symbol").sortWithinPartitions("symbol", "pos")
      .select(F.col("json").alias("value")).write.text(out))
@@ -185,7 +200,13 @@ def _zip_rows(batches):
         yield pd.DataFrame({"path": pdf["path"], "content": out})
 
 
-def write_event_dumps(spark, sf_dir, zipped: bool = False, part: DataFrame | None = None) -> str:
+def write_event_dumps(spark, sf_dir, zipped: bool = False, part: DataFrame | None = None,
+                      part_name: str = "all") -> str:
+    return _once(spark, ("landing", sf_dir, zipped, part_name),
+                 lambda: _write_event_dumps(spark, sf_dir, zipped, part))
+
+
+def _write_event_dumps(spark, sf_dir, zipped: bool, part: DataFrame | None) -> str:
     root = shared_dir(spark, "landing")
     files = dump_files(event_dump_lines(spark, sf_dir, part), "zip" if zipped else "csv")
     if zipped:
@@ -232,6 +253,10 @@ def write_event_tree(spark, sf_dir) -> str:
     """Nested Parquet files ``SYM/SYM_x.parquet`` for click, view and purchase (rows before
     2024-01-25) and flat CSV files ``SYM_x.csv`` for error and purchase (all rows).
     One file per series, written by the task that holds that series' rows."""
+    return _once(spark, ("tree", sf_dir), lambda: _write_event_tree(spark, sf_dir))
+
+
+def _write_event_tree(spark, sf_dir) -> str:
     root = shared_dir(spark, "tree")
     rows = tree_rows(spark, sf_dir)
     nested = (rows.where(F.col("event_type").isin("click", "view", "purchase") & (F.col("ts") < lit_ts("2024-01-25")))

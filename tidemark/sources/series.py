@@ -67,15 +67,22 @@ def _relative(root: str) -> Column:
     return F.substring(p, F.instr(p, F.lit(base)) + F.lit(len(base)), 1 << 20)
 
 
-def scan_tree(spark: SparkSession, root: str) -> DataFrame:
+TIME_SCHEMA = T.StructType([T.StructField(c, T.TimestampNTZType()) for c in TIME_COLUMNS])
+
+
+def scan_tree(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
     """Rows of every ``*.parquet`` and ``*.csv`` file under ``root`` with their relative
     ``path`` and ``format`` plus whichever time columns they have.
 
+    Parquet files are read with the four time columns as the schema (a file lacking one
+    yields NULL there), so no footer-merging pass runs over thousands of files; with
+    ``merge_schema`` the schema is merged instead (files storing times as text).
     CSV files are the legacy text series: header, time in the first column.
     """
     frames = []
-    pq = (spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    pq = (spark.read.option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true"))
+    pq = pq.option("mergeSchema", "true") if merge_schema else pq.schema(TIME_SCHEMA)
     try:
         p = pq.parquet(root)
         cols = [c for c in TIME_COLUMNS if c in p.columns]
