@@ -83,3 +83,20 @@ GROUP BY symbol""")
 def q_stream_index(spark, sf_dir):
     _, index = run(spark, sf_dir)
     return read_index_log(spark, index)
+
+
+@query("update_run", MERGED_TEXT_SQL)
+def q_update_run(spark, sf_dir):
+    """The batch update loop (UDF-1 hook = landed dumps) on the same store and landing."""
+    from tidemark.operators.universe import build_jobs
+    from tidemark.plans.update import landed_source, run_update
+    from tidemark.plans.surrogates import lit_date, table
+
+    store, landing = prepare(spark, sf_dir)
+    symbols = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
+    jobs = build_jobs(symbols, kinds=[KLINES], intervals=("1h",))
+    manifest = spark.createDataFrame([], "symbol string, kind string, interval string, freq string, period date, rows long")
+    outcome = run_update(spark, store, shared_dir(spark, "update_index"), jobs, manifest,
+                         lit_date("2024-01-30"), KLINES, landed_source(spark, landing, KLINES))
+    outcome.write.format("noop").mode("overwrite").save()
+    return _store_rows(spark, store)
