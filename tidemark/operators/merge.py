@@ -88,7 +88,10 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str], time_col
     time per series (pushed to the Parquet scan as a range on the time column).
     """
     batch = dedupe_new(new, keys, time_col)
-    lo = batch.groupBy(*keys).agg(F.min(time_col).alias("_lo"))
+    # de-duplication never changes a series' earliest time, so the bound is taken from
+    # the raw batch: no second window over the same rows
+    lo = (drop_null_time(harmonize(new).select(*keys, time_col), time_col)
+          .groupBy(*keys).agg(F.min(time_col).alias("_lo")))
     stored = harmonize(existing).select(*keys, time_col)
     stored = (
         stored.join(lo, keys)

@@ -30,7 +30,7 @@ def scan_exchange_info(spark: SparkSession, path: str, layout: str = "document")
     start, reading order).
     """
     if layout == "document":
-        docs = spark.read.option("wholetext", "true").text(path).select(_path().alias("_f"), "value")
+        docs = spark.read.text(path, wholetext=True).select(_path().alias("_f"), "value")
         arr = F.from_json("value", T.StructType([T.StructField("symbols", T.ArrayType(T.StringType()))]))["symbols"]
         objs = docs.select("_f", F.posexplode(arr).alias("_i", "_o"))
         return objs.select(F.struct("_f", "_i").alias("pos"), F.from_json("_o", MAP_SS).alias("raw")) \
@@ -48,7 +48,7 @@ def scan_symbol_info(spark: SparkSession, root: str, layout: str = "nested") ->
     ``flat``: legacy ``root/SYM_info.json``."""
     glob = f"{root.rstrip('/')}/*/*_info.json" if layout == "nested" else f"{root.rstrip('/')}/*_info.json"
     try:
-        docs = spark.read.option("wholetext", "true").text(glob)
+        docs = spark.read.text(glob, wholetext=True)
     except Exception:  # no file matches the glob
         return spark.createDataFrame([], T.StructType([T.StructField("symbol", T.StringType()),
                                                         T.StructField("info", MAP_SS)]))
@@ -60,9 +60,11 @@ def scan_symbol_info(spark: SparkSession, root: str, layout: str = "nested") ->
 def scan_index(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """SRC-8: an index file -> ``(path, last_text, last_ts)``; invalid JSON or an invalid
     time leaves the entry out.  ``object``: one JSON object per file (the source
-    dataset's ``_index.json``); ``lines``: one object per line (splittable)."""
+    dataset's ``_index.json``); ``lines``: one object per line (splittable).
+    Spark's file listing hides names starting with ``_`` or ``.``: a legacy ``_index.json``
+    has to be copied to a visible name (e.g. ``index.json``) before it can be read."""
     if layout == "object":
-        src = spark.read.option("wholetext", "true").text(path)
+        src = spark.read.text(path, wholetext=True)
     else:
         src = spark.read.text(path)
     entries = src.select(F.explode(F.from_json("value", MAP_SS)).alias("path", "last_text"))
@@ -86,6 +88,6 @@ def scan_snapshot(spark: SparkSession, path: str, source: str, priority: int,
 
 def scan_meta(spark: SparkSession, path: str) -> DataFrame:
     """SRC-10: listing metadata ``{SYM: {listing_date: ...}}`` -> ``(symbol, info)``."""
-    doc = spark.read.option("wholetext", "true").text(path)
+    doc = spark.read.text(path, wholetext=True)
     m = F.from_json("value", T.MapType(T.StringType(), MAP_SS))
     return doc.select(F.explode(m).alias("symbol", "info"))
