@@ -8,7 +8,7 @@ the chunks it has met in a bounded table and encodes only the others.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 #: Chunks one worker remembers; beyond that it starts anew (speed only, never the result).
 MAX_REMEMBERED = 500_000
@@ -59,13 +59,19 @@ class ChunkEncoder:
         return [b"".join(map(get, parts)) for parts in cut]
 
 
+def spans(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """(from, to) row ranges of about ``limit`` in sum, at least one row each."""
+    start = held = i = 0
+    for i, n in enumerate(sizes, 1):
+        held += n
+        if held >= limit:
+            yield start, i
+            start, held = i, 0
+    if start < i:
+        yield start, i
+
+
 def by_bytes(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """(first position, texts) groups of about ``limit`` characters, at least one text each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= limit:
-            yield start, texts[start:i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]
+    """(first position, texts) groups of about ``limit`` characters."""
+    for a, b in spans([len(t or "") for t in texts], limit):
+        yield a, texts[a:b]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, records
+from tidemark.llm import bpe_matrix, mixing, records, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -37,3 +37,17 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_matrix.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                              public_tokenizers.PATTERN, keep_ids=False)
+
+
+@query("op6_poisson_mix", mixing.sql())
+def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity_fm")
+def op9_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.pmod(crc_of_id(), F.lit(4)) != 2)
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", (F.pmod(crc_of_id(), F.lit(4)) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -53,10 +53,15 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word of each text and one more entry for the end, hash of every word)."""
+def word_hashes(offsets: np.ndarray, data: np.ndarray, space: np.ndarray = _SPACE,
+                stems: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """(first word of each text and one more entry for the end, hash of every word).
+
+    ``space`` marks the bytes that separate words.  For each length in ``stems`` one more
+    array holds the hash of that many leading bytes of every word.
+    """
     n = len(data)
-    space = _SPACE[data]
+    space = space[data]
     begin = ~space
     begin[1:] &= space[:-1]
     edges = offsets[(offsets > 0) & (offsets < n)]
@@ -64,7 +69,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(begin)
     first = np.searchsorted(starts, offsets)
     if not len(starts):
-        return first, np.zeros(0, np.uint64)
+        return first, *[np.zeros(0, np.uint64)] * (1 + len(stems))
     # a word ends at the next space, at the next word (of the next text) or at the end
     ends = np.append(starts[1:], n)
     breaks = np.flatnonzero(space)
@@ -72,6 +77,10 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     inner = at < len(breaks)
     ends[inner] = np.minimum(ends[inner], breaks[at[inner]])
     lengths = ends - starts
+    return first, _hashes(data, starts, lengths), *[_hashes(data, starts, np.minimum(lengths, k)) for k in stems]
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     powers = _powers(int(lengths.max()))
     total = np.cumsum(lengths)
     out = np.empty(len(starts), np.uint64)
@@ -85,7 +94,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
         where = inside + np.repeat(starts[i:j], ln)
         out[i:j] = np.add.reduceat(_BYTE[_LOWER[data[where]]] * powers[inside], at)
         i = j
-    return first, mix(out + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    return mix(out + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
 def shingle_hashes(first: np.ndarray, words: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
