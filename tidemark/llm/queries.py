@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, mixing, records, toxicity
+from tidemark.llm import bpe_matrix, mixing, records, secrets, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -51,3 +51,16 @@ def op9_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, machine)
     return scored.select("doc_id", (F.pmod(crc_of_id(), F.lit(4)) == 2).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op3_secret_scan", secrets.sql())
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), count(3).alias("n_entropy"),
+        F.sha2(secrets.text_of(base), 256).alias("base_sha256"), secrets.text_of(F.col("spans")).alias("spans"))
