@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, mixing, records, secrets, toxicity
+from tidemark.llm import bpe_matrix, line_dedup, mixing, records, secrets, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -64,3 +64,8 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), count(3).alias("n_entropy"),
         F.sha2(secrets.text_of(base), 256).alias("base_sha256"), secrets.text_of(F.col("spans")).alias("spans"))
+
+
+@query("op2_line_dedup", line_dedup.sql())
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
