@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, line_dedup, mixing, records, secrets, toxicity
+from tidemark.llm import adscan, balltree, bpe_matrix, line_dedup, mixing, records, secrets, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -69,3 +69,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_line_dedup", line_dedup.sql())
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op1_adaptive_scan")
+def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adscan.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_ball_tree")
+def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.search(table(spark, sf_dir, "embeddings"))
