@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adscan, balltree, bpe_matrix, line_dedup, mixing, records, secrets, toxicity
+from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, line_dedup, mixing, records, secrets, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -79,3 +79,8 @@ def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ball_tree")
 def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_deleted_interpolation")
+def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(table(spark, sf_dir, "documents"))
