@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, line_dedup, mixing, records, secrets, toxicity
+from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, line_dedup, mixing, records, secrets, signature_tree, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -84,3 +84,8 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_deleted_interpolation")
 def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(table(spark, sf_dir, "documents"))
+
+
+@query("op5_signature_tree")
+def op5_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.join(table(spark, sf_dir, "documents"))
