@@ -220,37 +220,38 @@ def load(ranks_path: str, pattern: str) -> BPE:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           keep_ids: bool = True) -> DataFrame:
-    """id, ``ids`` (int32 array as little-endian bytes), ``n_tokens``, both digests of each text.
+           keep_ids: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """id, the columns of ``keep``, ``n_tokens``, two digests and (``keep_ids``) ``ids`` of each text.
 
     Each text is split by ``pattern`` and each match merged on its own; a null or empty text
-    has no ids.  ``decoded_sha256`` is of the bytes that the ids decode to.  Rows are
-    independent: repeated rows and null ids are kept as they are, other columns are left out.
+    has no ids.  ``ids`` are little-endian unsigned 32-bit integers; ``decoded_sha256`` is of the
+    bytes that the ids decode to.  Rows are independent: repeated rows and null ids are kept as
+    they are, other columns are left out.
     """
     bounded_batches(docs.sparkSession)
+    names = [id_col, *(keep or [])]
+    inner = [f"c{i}" for i in range(len(names))]
+    rows = docs.select(*[docs[c].alias(i) for c, i in zip(names, inner)], docs[text_col].cast("string").alias("t"))
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
 
     def run(batches):
         bpe = load(ranks_path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, group in by_bytes(texts):
+            *own, texts = batch.columns
+            for start, group in by_bytes(texts.to_pylist()):
                 ids = bpe.encode(group)
                 columns = [
-                    batch.column(0).slice(start, len(group)),
+                    *[c.slice(start, len(group)) for c in own],
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                     pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids], pa.string()),
+                    *[pa.array(ids, pa.binary())] * keep_ids,
                 ]
-                names = ["_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if keep_ids:
-                    columns.append(pa.array(ids, pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    out = docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, schema)
-    return out.withColumnRenamed("_id", id_col)
+                yield pa.RecordBatch.from_arrays(columns, names=[*inner, *made])
+
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    schema = f"{kinds}n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
+    return rows.mapInArrow(run, schema).toDF(*names, *made)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:

@@ -48,7 +48,7 @@ def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.pmod(crc_of_id(), F.lit(4)) != 2)
-    scored = toxicity.score(docs, machine)
+    scored = toxicity.score(docs, machine, ["doc_id"])
     return scored.select("doc_id", (F.pmod(crc_of_id(), F.lit(4)) == 2).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
@@ -89,3 +89,10 @@ def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_signature_tree")
 def op5_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.join(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -488,3 +488,17 @@ def join(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     out = sets.select("id", *equal, F.col("m0").isNotNull().alias("able")).join(
         named, (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")) & F.col("able"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` of smallest id in their component; of repeated rows one.
+
+    Rows without an id can't be told apart by it: they stay.
+    """
+    found = saved(join(docs, id_col=id_col, text_col=text_col), "components_of")
+    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept"))
+    ids = _small(kept.distinct())
+    named = docs.join(ids, docs[id_col] == F.col("_kept"), "left_semi")
+    if kept.groupBy("_kept").count().where("count > 1").limit(1).count():
+        named = named.withColumn("_t", F.xxhash64(text_col)).dropDuplicates([id_col, "_t"]).drop("_t")
+    return named.unionByName(docs.where(F.col(id_col).isNull()))

@@ -153,24 +153,22 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "tox
     return Machine(slots, r.b, np.frombuffer(r.w), np.frombuffer(r.v).reshape(-1, FACTORS))
 
 
-def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows of ``docs`` with ``score``; a null text scores as an empty one, by the bias alone.
+def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """``columns`` (None: all) of every row of ``docs`` with its ``score``.
 
-    Rows are independent; the columns of ``docs`` stay, whatever their names but ``score``.
+    A null text scores as an empty one, by the bias alone.  Rows are independent, so repeated rows
+    score alike; columns may have any names but ``score``.
     """
     bounded_batches(docs.sparkSession)
-    names = docs.columns
+    names = docs.columns if columns is None else columns
+    inner = [f"c{i}" for i in range(len(names))]
+    rows = docs.select(*[docs[c].alias(i) for c, i in zip(names, inner)], docs[text_col].cast("string").alias("t"))
 
     def run(batches):
         for batch in batches:
-            found = []
-            for _, texts in _pieces(batch, batch.num_columns - 1):
-                found.append(machine.scores(*terms(texts), len(texts)))
+            found = [machine.scores(*terms(texts), len(texts)) for _, texts in _pieces(batch, batch.num_columns - 1)]
             column = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*[f"c{i}" for i in range(len(names))], "s"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*inner, "s"])
 
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    text = plain[f"c{names.index(text_col)}"].cast("string")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
-    out = plain.select("*", text.alias("t")).mapInArrow(run, f"{fields}, s double")
-    return out.toDF(*names, "score")
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{fields}s double").toDF(*names, "score")
