@@ -43,16 +43,14 @@ def cumulative(rate: Column) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str, float] | None, total: int | None, source_col: str) -> DataFrame:
     """One row per source: rows, rate, number of full draws, their table and the last draw's table."""
-    sizes = docs.groupBy(F.col(source_col).alias("_s")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(0))
-    every = sizes.groupBy("_all").agg(F.count(F.lit(1)).alias("_sources"), F.sum("_n").alias("_rows"))
+    sizes = docs.groupBy(F.col(source_col).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     if weights is None:
-        share = F.lit(1.0) / F.col("_sources").cast("double")
+        share = F.lit(1.0) / sizes.agg(F.count(F.lit(1))).scalar().cast("double")
     else:
         weight = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
         share = F.coalesce(F.element_at(weight, F.col("_s")), F.lit(0.0)) / F.lit(float(sum(weights.values())))
-    wanted = F.col("_rows") if total is None else F.lit(total)
-    found = sizes.join(F.broadcast(every), "_all")  # one row on the right side
-    found = found.withColumn("_rate", share * wanted.cast("double") / F.col("_n").cast("double"))
+    wanted = sizes.agg(F.sum("_n")).scalar() if total is None else F.lit(total)
+    found = sizes.withColumn("_rate", share * wanted.cast("double") / F.col("_n").cast("double"))
     found = found.withColumn("_full", F.floor(F.col("_rate") / STEP).cast("int"))
     return found.select("_s", "_rate", "_full", cumulative(F.lit(STEP)).alias("_cdf"),
                         cumulative(F.col("_rate") - F.col("_full") * F.lit(STEP)).alias("_rest"))
