@@ -67,14 +67,14 @@ def parse_series_path(df: DataFrame, path_col: str = "path") -> DataFrame:
     })
 
 
-def dump_location(path_segment, per_interval, symbol, interval, freq, period) -> Column:
+def dump_location(segment, per_interval, symbol, interval, freq, period) -> Column:
     """PRJ-3: location of a month or day dump relative to the landing root.
 
     ``{freq}/{segment}/{SYM}/{interval}/{SYM}-{interval}-{stamp}.zip`` for per-interval kinds,
     ``{freq}/{segment}/{SYM}/{SYM}-{segment}-{stamp}.zip`` otherwise; the stamp is
     ``yyyy-MM`` for monthly and ``yyyy-MM-dd`` for daily dumps.
     """
-    seg, per, sym, itv, freq, period = map(_c, (path_segment, per_interval, symbol, interval, freq, period))
+    seg, per, sym, itv, freq, period = map(_c, (segment, per_interval, symbol, interval, freq, period))
     stamp = F.when(freq == "monthly", F.date_format(period, "yyyy-MM")).otherwise(
         F.date_format(period, "yyyy-MM-dd"))
     return F.concat(

@@ -36,7 +36,7 @@ def plan_periods(jobs: DataFrame, end: Column, kinds=FUTURES_KINDS) -> DataFrame
     k = _kinds(jobs.sparkSession, kinds)
     return (
         jobs.join(k, "kind")
-        .select(*SERIES, F.explode(enumerate_periods("has_monthly", "has_daily", "floor", "last_ts", end)).alias("p"))
+        .select(*SERIES, F.explode(enumerate_periods("monthly", "daily", "since", "last_ts", end)).alias("p"))
         .select(*SERIES, "p.freq", "p.period")
     )
 
@@ -58,8 +58,8 @@ def daily_fallback(plan: DataFrame, manifest: DataFrame, end: Column, kinds=FUTU
     missing = months.join(_available(manifest), _JOIN, "left_anti")
     distance = months_before(F.col("period"), end)
     recent = (
-        missing.join(k.select("kind", "has_daily"), "kind")
-        .where(F.col("has_daily") & distance.between(0, FALLBACK_MONTHS))
+        missing.join(k.select("kind", "daily"), "kind")
+        .where(F.col("daily") & distance.between(0, FALLBACK_MONTHS))
     )
     fallback = recent.select(*SERIES, F.lit("daily").alias("freq"),
                              F.explode(days_in_month(F.col("period"), end)).alias("period"))
@@ -83,8 +83,8 @@ def gap_plan(jobs: DataFrame, manifest: DataFrame, end: Column, kinds=FUTURES_KI
     k = _kinds(plan.sparkSession, kinds)
     return (
         months.unionByName(days)
-        .join(k.select("kind", "path_segment", "per_interval"), "kind")
-        .select(*PLAN, dump_location("path_segment", "per_interval", "symbol", "interval", "freq", "period").alias("location"))
+        .join(k.select("kind", "segment", "per_interval"), "kind")
+        .select(*PLAN, dump_location("segment", "per_interval", "symbol", "interval", "freq", "period").alias("location"))
     )
 
 

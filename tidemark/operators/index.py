@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import parse_series_path, series_path
-from tidemark.registry import TIME_COLUMNS, time_column_of
+from tidemark.registry import FUTURES_KINDS, TIME_COLUMNS, time_column_of
 
 
 def _c(c) -> Column:
@@ -23,12 +23,17 @@ def latest_time(df: DataFrame, keys: list[str], time_col: str, name: str = "last
     return df.select(*keys, time_col).groupBy(*keys).agg(F.max(time_col).alias(name))
 
 
-def rebuild_index(tree: DataFrame, path_col: str = "path") -> DataFrame:
+def rebuild_index(tree: DataFrame, path_col: str = "path", symbols: list[str] | None = None) -> DataFrame:
     """AGG-2: latest time per stored file of a tree; the time column is chosen by the
-    kind parsed from the file name.  ``tree`` holds one row per stored row with its
-    relative ``path`` (see ``sources.series.scan_tree``)."""
-    parsed = parse_series_path(tree, path_col)
+    kind parsed from the file name; files without a valid time are left out.  ``tree``
+    holds one row per stored row with its relative ``path`` (see ``sources.series.scan_tree``);
+    it is reduced to one row per file before any path is parsed.  ``symbols`` limits the
+    rebuild to those symbols' files."""
     present = [c for c in TIME_COLUMNS if c in tree.columns]
+    tree = tree.groupBy(path_col, "format").agg(*[F.max(c).alias(c) for c in present])
+    parsed = parse_series_path(tree, path_col)
+    if symbols is not None:
+        parsed = parsed.where(F.col("symbol").isin(list(symbols)))
     tcol = time_column_of(F.col("kind"))
     pick = None
     for c in present:
@@ -39,6 +44,7 @@ def rebuild_index(tree: DataFrame, path_col: str = "path") -> DataFrame:
     return (
         parsed.groupBy(path_col, "symbol", "kind", "interval", "layout", "format")
         .agg(F.max(pick).alias("last_ts"))
+        .where(F.col("last_ts").isNotNull())
     )
 
 
@@ -50,9 +56,7 @@ def bootstrap_index(jobs: DataFrame, tree_index: DataFrame) -> DataFrame:
     time are omitted.  ``tree_index`` is the output of ``rebuild_index``.
     """
     canon = series_path("symbol", F.coalesce(F.col("_suffix"), F.lit("")), F.col("interval").isNotNull(), "interval")
-    suffixes = F.create_map(F.lit("klines"), F.lit(""), F.lit("markPrice"), F.lit("markPrice"),
-                            F.lit("indexPrice"), F.lit("indexPrice"), F.lit("premiumIndex"), F.lit("premiumIndex"),
-                            F.lit("metrics"), F.lit("metrics"), F.lit("fundingRate"), F.lit("fundingRate"))
+    suffixes = F.create_map(*[F.lit(x) for k in FUTURES_KINDS for x in (k.name, k.suffix)])
     files = (
         tree_index.where(F.col("kind").isNotNull())
         .withColumn("_suffix", suffixes[F.col("kind")])

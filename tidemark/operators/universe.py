@@ -101,15 +101,18 @@ def first_available(snapshots: DataFrame, now: Column) -> DataFrame:
 
     ``snapshots`` is long: ``(source, priority, fetched_at, ttl_hours, symbol)``.  A list
     is usable when it is non-empty and, if it has a TTL, younger than it.  The usable list
-    with the lowest priority wins; its symbols come back sorted.  Only the per-list
+    with the lowest priority wins, of several the newest; its symbols come back sorted.  Only the per-list
     summary (one row per list) is ever small-shuffled; symbols stay distributed.
     """
     lists = snapshots.groupBy("source", "priority", "fetched_at", "ttl_hours").agg(
         F.count("symbol").alias("n"))
     age_h = (F.timestamp_diff("SECOND", F.col("fetched_at"), now) / 3600.0)
     usable = lists.where((F.col("n") > 0) & (F.col("ttl_hours").isNull() | (age_h < F.col("ttl_hours"))))
-    best = usable.agg(F.min_by("source", "priority").alias("source"))
-    return (snapshots.join(best, "source", "left_semi")
+    # lowest priority first, then the newest list of that source
+    rank = F.struct("priority", (-F.unix_micros(F.col("fetched_at").cast("timestamp"))).alias("age"), "source")
+    best = usable.agg(F.min(rank).alias("b"), F.min_by("fetched_at", rank).alias("fetched_at")).select(
+        "b.source", "b.priority", "fetched_at")
+    return (snapshots.join(best, ["source", "priority", "fetched_at"], "left_semi")
             .select("symbol").distinct().orderBy("symbol"))
 
 

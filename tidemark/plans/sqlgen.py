@@ -18,7 +18,6 @@ def job_values(kinds=FUTURES_KINDS, intervals=INTERVALS, skip=()) -> str:
 
 
 def kind_values(kinds=FUTURES_KINDS) -> str:
-    rows = [f"('{k.name}', '{k.path_segment}', {str(k.per_interval).upper()}, {str(k.has_monthly).upper()}, "
-            f"{str(k.has_daily).upper()}, '{k.time_col}', '{k.floor}', '{k.suffix}')" for k in kinds]
-    return ("(VALUES " + ", ".join(rows) +
-            ") AS k(kind, path_segment, per_interval, has_monthly, has_daily, time_col, floor, suffix)")
+    rows = [f"('{k.name}', '{k.segment}', {str(k.per_interval).upper()}, {str('monthly' in k.published).upper()}, "
+            f"{str('daily' in k.published).upper()}, '{k.time_col}', '{k.since}', '{k.suffix}')" for k in kinds]
+    return "(VALUES " + ", ".join(rows) + ") AS k(kind, segment, per_interval, monthly, daily, time_col, since, suffix)"

@@ -33,11 +33,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a folder of our own set.
+    Only a local session that names none (tests) gets a folder of our own; elsewhere that is
+    an error, since executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -27,7 +27,7 @@ _LOCATION = r"(monthly|daily)/([^/]+)/([^/]+)/(?:([^/]+)/)?[^/]+-(\d{4}-\d{2}(?:
 
 def parse_dump_location(path: Column) -> dict[str, Column]:
     """Inverse of PRJ-3: freq, kind, symbol, interval and period of a dump path."""
-    seg_to_kind = F.create_map(*[x for k in FUTURES_KINDS for x in (F.lit(k.path_segment), F.lit(k.name))])
+    seg_to_kind = F.create_map(*[x for k in FUTURES_KINDS for x in (F.lit(k.segment), F.lit(k.name))])
     freq = F.regexp_extract(path, _LOCATION, 1)
     stamp = F.regexp_extract(path, _LOCATION, 5)
     itv = F.regexp_extract(path, _LOCATION, 4)
