@@ -17,7 +17,7 @@ from tidemark.plans.surrogates import (
 from tidemark.registry import KINDS_BY_NAME
 from tidemark.session import shared_dir
 from tidemark.sources.metadata import scan_index
-from tidemark.sources.series import scan_audit, scan_tree
+from tidemark.sources.series import audit_summary, scan_audit, scan_tree
 
 L_MAX = "SELECT CAST(l_suppkey AS VARCHAR) AS symbol, max(l_shipdate) AS last_ts FROM lineitem"
 
@@ -69,7 +69,7 @@ WITH r AS (
 f AS (
   SELECT symbol || '/' || symbol || CASE WHEN kind = 'klines' THEN '_1h' ELSE '_' || kind END || '.parquet' AS path,
          symbol, kind, 'nested' AS layout, 'parquet' AS format, max(ts) AS last_ts
-  FROM r WHERE event_type IN ('click', 'view', 'purchase') AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL
+  FROM r WHERE event_type <> 'error' GROUP BY ALL
   UNION ALL
   SELECT symbol || CASE WHEN kind = 'klines' THEN '_1h' ELSE '_' || kind END || '.csv',
          symbol, kind, 'flat', 'csv', max(ts)
@@ -100,19 +100,73 @@ def q_bootstrap_index(spark, sf_dir):
     return bootstrap_index(jobs, tree)
 
 
-@query("scan_audit")
-def q_scan_audit(spark, sf_dir):
-    from tidemark.plans.surrogates import _write_event_tree
-    root = _write_event_tree(spark, sf_dir)  # its own copy: broken files are added below
-    # one file that is not Parquet, one empty file, one Parquet file without a time column
-    bad = table(spark, sf_dir, "events").select(F.concat(F.lit("BROKEN"), F.col("event_type"), F.lit("/BROKEN_1d.parquet")).alias("path"),
-                                                F.lit("not parquet").alias("content")).distinct()
+def broken_tree(spark, sf_dir):
+    """The event tree with files that are broken, empty or without a time column beside it, one
+    of each per event type."""
+    from tidemark.plans.surrogates import _once, _write_event_tree
     from tidemark.sinks.tables import write_files
-    write_files(bad, root)
-    empty = bad.select(F.regexp_replace("path", "BROKEN_1d", "EMPTY_1d").alias("path"), F.lit("").alias("content"))
-    write_files(empty, root)
-    table(spark, sf_dir, "events").select("event_type").distinct().write.parquet(f"{root}/NOTIME/NOTIME_1d.parquet")
-    return scan_audit(spark, root)
+
+    def make():
+        root = _write_event_tree(spark, sf_dir)
+        types = table(spark, sf_dir, "events").select("event_type").distinct()
+        named = lambda what, content: types.select(
+            F.concat(F.lit(what), F.col("event_type"), F.lit(f"/{what}_1d.parquet")).alias("path"), F.lit(content).alias("content"))
+        write_files(named("BROKEN", "not parquet").unionByName(named("EMPTY", "")), root)
+        for r in range(2):  # Parquet folders of one file each
+            types.coalesce(1).write.parquet(f"{root}/NOTIME{r}/NOTIME{r}_1d.parquet")
+        return root
+    return _once(spark, ("broken_tree", sf_dir), make)
+
+
+AUDIT_SQL = TREE_SQL + """,
+a AS (
+  SELECT path, 'indexable' AS status FROM f WHERE format = 'parquet'
+  UNION ALL SELECT 'BROKEN' || event_type || '/BROKEN_1d.parquet', 'unreadable' FROM (SELECT DISTINCT event_type FROM events)
+  UNION ALL SELECT 'EMPTY' || event_type || '/EMPTY_1d.parquet', 'empty' FROM (SELECT DISTINCT event_type FROM events)
+  UNION ALL SELECT 'NOTIME' || i || '/NOTIME' || i || '_1d.parquet', 'no time column' FROM range(2) t(i)),
+n AS (SELECT symbol || '/' || symbol || CASE WHEN kind = 'klines' THEN '_1h' ELSE '_' || kind END || '.parquet' AS path, count(*) AS n
+      FROM r WHERE event_type <> 'error' GROUP BY ALL)"""
+
+
+@query("scan_audit", AUDIT_SQL + """
+SELECT a.path, CASE status WHEN 'indexable' THEN n.n WHEN 'empty' THEN 0
+                WHEN 'no time column' THEN (SELECT count(DISTINCT event_type) FROM events) END::BIGINT AS rows,
+       status = 'indexable' AS has_time_col, status FROM a LEFT JOIN n ON a.path = n.path""")
+def q_scan_audit(spark, sf_dir):
+    found = scan_audit(spark, broken_tree(spark, sf_dir))
+    # Spark names the one file of a folder itself
+    return found.select(F.regexp_replace("path", "/part-[^/]*$", "").alias("path"), "rows", "has_time_col", "status")
+
+
+@query("audit_summary", AUDIT_SQL + """
+SELECT count(*) AS scanned, count(*) FILTER (status = 'indexable') AS indexable, count(*) FILTER (status = 'no time column') AS no_time_column,
+       count(*) FILTER (status = 'empty') AS empty, count(*) FILTER (status = 'unreadable') AS unreadable FROM a""")
+def q_audit_summary(spark, sf_dir):
+    return audit_summary(scan_audit(spark, broken_tree(spark, sf_dir)))
+
+
+@query("rebuild_index_mixed", TREE_SQL + """
+SELECT path, symbol, kind, CASE WHEN kind = 'klines' THEN '1h' END AS interval, layout, format, last_ts, false AS unreadable FROM f
+UNION ALL SELECT 'BROKEN' || event_type || '/BROKEN_1d.parquet', 'BROKEN' || event_type, 'klines', '1d', 'nested', 'parquet', NULL, true
+FROM (SELECT DISTINCT event_type FROM events)""")
+def q_rebuild_index_mixed(spark, sf_dir):
+    """Typed and text times side by side, broken files reported instead of lost."""
+    from tidemark.functions.paths import parse_series_path
+
+    tree = scan_tree(spark, broken_tree(spark, sf_dir))
+    cols = ["path", "symbol", "kind", "interval", "layout", "format"]
+    good = rebuild_index(tree).select(*cols, "last_ts", F.lit(False).alias("unreadable"))
+    bad = parse_series_path(tree.where(F.col("error").isNotNull()), "path")
+    return good.unionByName(bad.select(*cols, F.lit(None).cast("timestamp_ntz").alias("last_ts"), F.lit(True).alias("unreadable")))
+
+
+@query("rebuild_index_scoped", TREE_SQL + """
+SELECT path, symbol, last_ts FROM f WHERE symbol IN (SELECT upper(event_type) || CAST(user_id AS VARCHAR) FROM events ORDER BY event_id LIMIT 3)""")
+def q_rebuild_index_scoped(spark, sf_dir):
+    """Only the symbols asked for (a short list given by whoever runs the rebuild)."""
+    first = table(spark, sf_dir, "events").orderBy("event_id").limit(3)
+    symbols = [r.s for r in first.select(F.concat(F.upper("event_type"), F.col("user_id").cast("string")).alias("s")).collect()]
+    return rebuild_index(scan_tree(spark, write_event_tree(spark, sf_dir)), symbols=symbols).select("path", "symbol", "last_ts")
 
 
 @query("overlay_index", """

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import epoch
+from tidemark.registry import KINDS_BY_NAME
 from tidemark.session import configure, shared_dir
 from tidemark.sinks.tables import write_files
 
@@ -232,37 +233,36 @@ def _tree_name(kind_col: str = "kind") -> F.Column:
         F.concat(F.col("symbol"), F.lit("_"), k))
 
 
-def _parquet_files(batches):
+def _parquet_file(key, group):
+    """All rows of one series as one Parquet file; metrics files store their times as text."""
     import pyarrow as pa
+    import pyarrow.compute as pc
     import pyarrow.parquet as pq
 
-    for pdf in batches:
-        paths, blobs = [], []
-        for (path, kind), g in pdf.groupby(["path", "kind"], sort=False):
-            col = {"klines": "open_time", "metrics": "create_time", "fundingRate": "calc_time"}[kind]
-            tbl = pa.table({col: pa.array(g["ts"].astype("datetime64[us]"), pa.timestamp("us")),
-                            "event_id": pa.array(g["event_id"].astype("string"))})
-            buf = io.BytesIO()
-            pq.write_table(tbl, buf)
-            paths.append(path)
-            blobs.append(buf.getvalue())
-        yield pd.DataFrame({"path": paths, "content": blobs})
+    path, kind = (k.as_py() for k in key)
+    col = KINDS_BY_NAME[kind].time_col
+    ts = group.column("ts")
+    if kind == "metrics":
+        ts = pc.strftime(ts, "%Y-%m-%d %H:%M:%S")  # with the fraction
+    buf = io.BytesIO()
+    pq.write_table(pa.table({col: ts, "event_id": group.column("event_id").cast(pa.string())}), buf)
+    return pa.table({"path": pa.array([path]), "content": pa.array([buf.getvalue()], pa.binary())})
 
 
 def write_event_tree(spark, sf_dir) -> str:
-    """Nested Parquet files ``SYM/SYM_x.parquet`` for click, view and purchase (rows before
-    2024-01-25) and flat CSV files ``SYM_x.csv`` for error and purchase (all rows).
-    One file per series, written by the task that holds that series' rows."""
+    """Nested Parquet files ``SYM/SYM_x.parquet`` for all event types but error, and flat CSV
+    files ``SYM_x.csv`` for error and purchase.  One file per series, written by the task that
+    holds that series' rows; metrics files store text times, as older writers did."""
     return _once(spark, ("tree", sf_dir), lambda: _write_event_tree(spark, sf_dir))
 
 
 def _write_event_tree(spark, sf_dir) -> str:
     root = shared_dir(spark, "tree")
     rows = tree_rows(spark, sf_dir)
-    nested = (rows.where(F.col("event_type").isin("click", "view", "purchase") & (F.col("ts") < lit_ts("2024-01-25")))
+    nested = (rows.where(F.col("event_type") != "error")
               .withColumn("path", F.concat(F.col("symbol"), F.lit("/"), _tree_name(), F.lit(".parquet"))))
-    files = (nested.select("path", "kind", "ts", "event_id").repartition("path")
-             .mapInPandas(_parquet_files, "path string, content binary"))
+    files = nested.select("path", "kind", "ts", "event_id").groupBy("path", "kind").applyInArrow(
+        _parquet_file, "path string, content binary")
     write_files(files, root)
     flat = rows.where(F.col("event_type").isin("error", "purchase"))
     tcol = F.when(F.col("kind") == "klines", "open_time").when(F.col("kind") == "metrics", "create_time").otherwise("calc_time")

@@ -81,7 +81,9 @@ def write_snapshot(symbols: DataFrame, root: str, snapshot_id: str, fetched_at:
 
 
 def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    if "://" in path and not path.startswith("file://"):
+        raise ValueError(f"{path}: single files are written to a mounted folder only")
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
 
 
 def write_files(df: DataFrame, root: str, path_col: str = "path", content_col: str = "content") -> int:

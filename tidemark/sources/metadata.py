@@ -8,6 +8,7 @@ formats that are one object per file; line layouts are split like any text file.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +50,9 @@ def scan_symbol_info(spark: SparkSession, root: str, layout: str = "nested") ->
     glob = f"{root.rstrip('/')}/*/*_info.json" if layout == "nested" else f"{root.rstrip('/')}/*_info.json"
     try:
         docs = spark.read.text(glob, wholetext=True)
-    except Exception:  # no file matches the glob
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # no file matches the glob
+            raise
         return spark.createDataFrame([], T.StructType([T.StructField("symbol", T.StringType()),
                                                         T.StructField("info", MAP_SS)]))
     name = F.regexp_extract(_path(), r"([^/]+)$", 1)

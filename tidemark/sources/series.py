@@ -23,28 +23,98 @@ def _empty(spark: SparkSession, schema: T.StructType, columns=None) -> DataFrame
     return df.select(*columns) if columns else df
 
 
+def _missing(e: AnalysisException) -> bool:
+    """Whether an analysis error only says that there is nothing to read."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def scan_series(spark: SparkSession, root: str, schema: T.StructType | None = None,
-                columns: list[str] | None = None) -> DataFrame:
+                columns: list[str] | None = None, legacy: bool = False) -> DataFrame:
     """SRC-1: the stored series table (optionally a column subset); missing -> empty.
 
     With a ``schema`` no inference runs; column pruning and predicate pushdown on the
-    selected columns are Catalyst's.  Unreadable files are skipped
-    (``ignoreCorruptFiles``) rather than failing the scan.
+    selected columns are Catalyst's.  A file that can't be read, or whose time columns have
+    another type than the schema, fails the scan: skipping it would let its rows be fetched
+    again and win.  ``legacy`` is for stores with files that older writers left, whose times
+    are text: every file is opened by itself and its times brought to the schema's type.
     """
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", root)
+    if legacy:
+        df = _legacy_series(spark, root, schema)
+        return df.select(*columns) if columns else df
+    reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)
     try:
         df = reader.parquet(root)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            if schema is None:
-                raise
-            return _empty(spark, schema, columns)
-        raise
+        if not _missing(e) or schema is None:
+            raise
+        return _empty(spark, schema, columns)
     return df.select(*columns) if columns else df
 
 
+def _contents(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """(path, content) of whole files, read through Spark from any file system.
+
+    Batches of few rows, so a Python task holds few files at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+            .load(root).select(F.url_decode("path").alias("path"), "content"))
+
+
+def _naive(column):
+    """A time column as microseconds without zone (zoned ones in UTC)."""
+    import pyarrow as pa
+
+    if pa.types.is_timestamp(column.type) and column.type.tz:
+        column = column.cast(pa.timestamp("us", column.type.tz), safe=False).cast(pa.int64())
+    return column.cast(pa.timestamp("us"), safe=False)
+
+
+def _legacy_series(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    probe = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        probe.load(root)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return _empty(spark, schema)
+    names = [f.name for f in schema.fields]
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                try:
+                    found = pq.read_table(pa.BufferReader(content.as_buffer()))
+                except (pa.ArrowException, OSError) as e:
+                    raise ValueError(f"unreadable series file {path}: {e}") from e
+                out = {"_path": pa.array([path] * found.num_rows, pa.string())}
+                nothing = pa.nulls(found.num_rows, pa.string())
+                for c in names:
+                    have = found.column(c) if c in found.column_names else nothing
+                    text = pa.types.is_string(have.type) or pa.types.is_large_string(have.type)
+                    if c in times:
+                        out[c] = pa.nulls(found.num_rows, pa.timestamp("us")) if text else _naive(have)
+                        out[f"{c}_text"] = have.cast(pa.string()) if text else nothing
+                    else:
+                        out[c] = have.cast(pa.string())
+                yield from pa.table(out).combine_chunks().to_batches()
+
+    fields = ", ".join(f"`{c}` timestamp_ntz, `{c}_text` string" if c in times else f"`{c}` string" for c in names)
+    rows = _contents(spark, root).mapInArrow(read, f"_path string, {fields}")
+    out = []
+    for f in schema.fields:
+        folder = F.regexp_extract("_path", rf"/{f.name}=([^/]*)/", 1)
+        value = F.coalesce(F.col(f.name), text_to_time(f"{f.name}_text")) if f.name in times else F.coalesce(
+            F.col(f.name), F.when(~folder.isin("", "__HIVE_DEFAULT_PARTITION__"), F.url_decode(folder)))
+        out.append(value.cast(f.dataType).alias(f.name))
+    return rows.select(*out)
+
+
 def load_subset(df: DataFrame, symbols: list[str] | None = None, intervals: list[str] | None = None,
                 kinds: list[str] | None = None) -> DataFrame:
     """SRC-11: the chosen symbols / intervals / kinds only (partition filters)."""
@@ -58,56 +128,85 @@ def load_subset(df: DataFrame, symbols: list[str] | None = None, intervals: list
     return df.where(cond)
 
 
-def _relative(root: str) -> Column:
-    """``_metadata.file_path`` (a URI) -> path relative to ``root``."""
+def _relative(root: str, path: Column | None = None) -> Column:
+    """``_metadata.file_path`` (a URI), or another decoded path, -> path relative to ``root``."""
     base = root.split("://", 1)[-1]
     base = base[len("file:"):] if base.startswith("file:") else base
     base = "/" + base.strip("/") + "/"
-    p = F.url_decode(F.col("_metadata.file_path"))
-    return F.substring(p, F.instr(p, F.lit(base)) + F.lit(len(base)), 1 << 20)
+    p = F.url_decode(F.col("_metadata.file_path")) if path is None else path
+    return p.substr(F.instr(p, F.lit(base)) + F.lit(len(base)), F.length(p))
 
 
-TIME_SCHEMA = T.StructType([T.StructField(c, T.TimestampNTZType()) for c in TIME_COLUMNS])
+def _file_times(batches):
+    """Latest value of each typed time column of a Parquet file (one row), its text times as
+    they are (a row each), or why it can't be read."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
 
+    kinds = [pa.field("path", pa.string()), *[pa.field(c, pa.timestamp("us")) for c in TIME_COLUMNS],
+             *[pa.field(f"{c}_text", pa.string()) for c in TIME_COLUMNS], pa.field("error", pa.string())]
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            one = {"path": path}
+            texts = {}
+            try:
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                found = file.read([c for c in TIME_COLUMNS if c in file.schema_arrow.names])
+                for c in found.column_names:
+                    column = found.column(c)
+                    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                        texts[f"{c}_text"] = column.cast(pa.string())
+                    elif pa.types.is_temporal(column.type):
+                        one[c] = pc.max(_naive(column)).as_py()
+            except (pa.ArrowException, OSError) as e:
+                one["error"] = f"{type(e).__name__}: {e}"
+            yield pa.RecordBatch.from_pylist([one], schema=pa.schema(kinds))
+            if texts:
+                n = len(next(iter(texts.values())))
+                columns = [pa.array([path] * n) if f.name == "path" else texts[f.name].combine_chunks() if f.name in texts
+                           else pa.nulls(n, f.type) for f in kinds]
+                yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns],
+                                                 schema=pa.schema(kinds))
 
-def scan_tree(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
-    """Rows of every ``*.parquet`` and ``*.csv`` file under ``root`` with their relative
-    ``path`` and ``format`` plus whichever time columns they have.
 
-    Parquet files are read with the four time columns as the schema (a file lacking one
-    yields NULL there), so no footer-merging pass runs over thousands of files; with
-    ``merge_schema`` the schema is merged instead (files storing times as text).
-    CSV files are the legacy text series: header, time in the first column.
+def scan_tree(spark: SparkSession, root: str) -> DataFrame:
+    """Every ``*.parquet`` and ``*.csv`` file under ``root``: relative ``path``, ``format``, the
+    latest value of each time column that it has, and ``error`` if it can't be read.
+
+    Each Parquet file is opened by itself, so files that store times as text stand beside
+    typed ones and a broken file is a row with its error, never a missing row.  CSV files are
+    the legacy text series: header, time in the first column.
     """
+    times = [F.max(c).alias(c) for c in TIME_COLUMNS]
     frames = []
-    pq = (spark.read.option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true"))
-    pq = pq.option("mergeSchema", "true") if merge_schema else pq.schema(TIME_SCHEMA)
     try:
-        p = pq.parquet(root)
-        cols = [c for c in TIME_COLUMNS if c in p.columns]
-        p = harmonize(p.select(*cols, _relative(root).alias("path")))
-        frames.append(p.withColumn("format", F.lit("parquet")))
-    except AnalysisException:
-        pass
+        schema = "path string, " + ", ".join(f"{c} timestamp_ntz" for c in TIME_COLUMNS) + ", " + ", ".join(
+            f"{c}_text string" for c in TIME_COLUMNS) + ", error string"
+        p = _contents(spark, root).mapInArrow(_file_times, schema)
+        p = p.withColumns({c: F.coalesce(F.col(c), text_to_time(f"{c}_text")) for c in TIME_COLUMNS})
+        p = p.withColumn("path", _relative(root, F.col("path")))
+        frames.append(p.groupBy("path").agg(*times, F.max("error").alias("error")).withColumn("format", F.lit("parquet")))
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
     cs = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-          .option("header", "true").option("enforceSchema", "true")
-          .schema("_first string"))
+          .option("header", "true").option("enforceSchema", "true").schema("_first string"))
     try:
-        c = cs.csv(root).select("_first", _relative(root).alias("path"))
-        c = parse_series_path(c, "path")
+        c = cs.csv(root).select(text_to_time("_first").alias("_t"), _relative(root).alias("path"))
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+    else:
+        c = parse_series_path(c.groupBy("path").agg(F.max("_t").alias("_t")), "path")
         tcol = time_column_of(F.col("kind"))
-        t = text_to_time("_first")
-        c = c.select("path", *[F.when(tcol == F.lit(n), t).alias(n) for n in TIME_COLUMNS])
-        frames.append(c.withColumn("format", F.lit("csv")))
-    except AnalysisException:
-        pass
+        c = c.select("path", *[F.when(tcol == F.lit(n), F.col("_t")).alias(n) for n in TIME_COLUMNS])
+        frames.append(c.withColumns({"error": F.lit(None).cast("string"), "format": F.lit("csv")}))
     if not frames:
-        schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("format", T.StringType())])
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "path string, error string, format string")
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        out = out.unionByName(f)
     return out
 
 
@@ -116,7 +215,7 @@ def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys:
     """SRC-2: per series the Parquet copy, else its CSV twin, all values as text.
 
     The CSV side keeps only series absent from the Parquet side (anti join on the
-    series keys, both sides reduced to their distinct keys first).
+    series keys, the Parquet side reduced to its distinct keys first).
     """
     pq = scan_series(spark, parquet_root, schema)
     cs = (spark.read.option("header", "true").option("basePath", csv_root)
@@ -128,41 +227,41 @@ def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys:
 
 
 def _footers(batches):
+    import pyarrow as pa
     import pyarrow.parquet as pq
 
-    from tidemark.registry import TIME_COLUMNS as TC
-
-    for pdf in batches:
-        rows, has_time, errors = [], [], []
-        for p in pdf["path"]:
-            local = p[len("file:"):] if p.startswith("file:") else p
+    for batch in batches:
+        out = []
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             try:
-                meta = pq.ParquetFile(local)
-                rows.append(meta.metadata.num_rows)
-                has_time.append(any(c in meta.schema_arrow.names for c in TC))
-                errors.append(None)
-            except Exception as e:  # noqa: BLE001 - an unreadable file is a finding, not a failure
-                rows.append(None)
-                has_time.append(False)
-                errors.append(f"{type(e).__name__}: {e}"[:200])
-        yield pdf.assign(rows=rows, has_time_col=has_time, error=errors)[["path", "rows", "has_time_col", "error"]]
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                has = any(c in file.schema_arrow.names for c in TIME_COLUMNS)
+                out.append((path, file.metadata.num_rows, has, "indexable" if has else "no time column", None))
+            except (pa.ArrowException, OSError) as e:
+                out.append((path, None, False, "unreadable", f"{type(e).__name__}: {e}"))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+            pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string()))], names=["path", "rows", "has_time_col", "status", "error"])
 
 
 def scan_audit(spark: SparkSession, root: str) -> DataFrame:
-    """FLT-8: every ``*.parquet`` file under ``root`` with its row count, whether it has a
-    time column, and the read error if it is unreadable.  Listing is ``binaryFile``
-    without the content column (only paths travel); each task opens its files' footers.
-    Corrupt and empty files are told apart here, which ``ignoreCorruptFiles`` cannot."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(root)
-               .select(F.url_decode("path").alias("path")))
-    return listing.mapInPandas(_footers, "path string, rows long, has_time_col boolean, error string")
+    """FLT-8: every ``*.parquet`` file under ``root`` with its row count, whether it has a time
+    column, its ``status`` (indexable, no time column, empty, unreadable) and the read error.
+
+    Files of no bytes are listed by Spark but not scanned; they are found as the listed paths
+    that no task opened."""
+    schema = "path string, rows long, has_time_col boolean, status string, error string"
+    files = _contents(spark, root)
+    opened = files.mapInArrow(_footers, schema)
+    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(F.url_decode("path").alias("path"))
+    plain = lambda c: F.regexp_replace(c, r"^file:/+", "/")  # noqa: E731 - both spellings of a local path
+    empty = listed.join(opened.select(plain(F.col("path")).alias("_p")), plain(F.col("path")) == F.col("_p"), "left_anti").select(
+        "path", F.lit(0).cast("long").alias("rows"), F.lit(False).alias("has_time_col"), F.lit("empty").alias("status"),
+        F.lit(None).cast("string").alias("error"))
+    return opened.unionByName(empty).withColumn("path", _relative(root, F.col("path")))
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:
+    """FLT-8: how many files there are of each status."""
     return audit.agg(
         F.count(F.lit(1)).alias("scanned"),
-        F.count_if(F.col("error").isNull() & F.col("has_time_col")).alias("indexable"),
-        F.count_if(F.col("error").isNotNull()).alias("unreadable"),
-        F.count_if(F.col("error").isNull() & ~F.col("has_time_col")).alias("without_time_col"),
-    )
+        *[F.count_if(F.col("status") == s).alias(s.replace(" ", "_")) for s in ("indexable", "no time column", "empty", "unreadable")])
