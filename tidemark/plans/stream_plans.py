@@ -5,25 +5,21 @@ nothing, so the final store equals the batch first-wins merge (same oracle)."""
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge_first_wins, tag
+from tidemark.operators.report import run_totals
 from tidemark.plans.catalog import query
 from tidemark.plans.sink_plans import MERGED_TEXT_SQL
 from tidemark.plans.surrogates import EXISTING_BEFORE, NEW_FROM
 from tidemark.plans.surrogates import events_existing, events_new, write_event_dumps
-from tidemark.registry import KINDS_BY_NAME, KLINE_COLUMNS, series_schema
+from tidemark.registry import KINDS_BY_NAME, KLINE_COLUMNS
 from tidemark.session import shared_dir
 from tidemark.sinks.tables import write_series
+from tidemark.sources.dumps import scan_dump
 from tidemark.sources.series import scan_series
-from tidemark.streaming.ingest import SERIES, read_index_log, stream_ingest
+from tidemark.streaming.ingest import SERIES, compact_index_log, read_index_log, store_schema, stream_ingest, upsert
 
 KLINES = KINDS_BY_NAME["klines"]
 
 
-def store_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType(series_schema(KLINES).fields + [T.StructField(c, T.StringType()) for c in SERIES])
-
-
 def prepare(spark, sf_dir):
     """A store holding E existing (first row per key) and a landing folder of E new."""
     store = shared_dir(spark, "stream_store")
@@ -51,7 +47,7 @@ def run(spark, sf_dir, max_files=None, runs=1):
 
 
 def _store_rows(spark, store):
-    return scan_series(spark, store, store_schema()).select("symbol", "open_time", "open", "high")
+    return scan_series(spark, store, store_schema(KLINES)).select("symbol", "open_time", "open", "high")
 
 
 @query("stream_ingest", MERGED_TEXT_SQL)
@@ -72,31 +68,121 @@ def q_idempotent_rerun(spark, sf_dir):
     return _store_rows(spark, store)
 
 
-@query("stream_index", f"""
-WITH ex AS (SELECT DISTINCT event_type AS symbol, date_trunc('hour', ts) AS open_time
-            FROM events WHERE ts < TIMESTAMP '{EXISTING_BEFORE}'),
-nw AS (SELECT DISTINCT event_type AS symbol, date_trunc('hour', ts) AS open_time
-       FROM events WHERE ts >= TIMESTAMP '{NEW_FROM}')
-SELECT symbol || '/' || symbol || '_1h.parquet' AS path, max(open_time) AS last_ts FROM nw
-WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.symbol = nw.symbol AND ex.open_time = nw.open_time)
-GROUP BY symbol""")
+INDEX_SQL = f"""
+SELECT event_type || '/' || event_type || '_1h.parquet' AS path, max(date_trunc('hour', ts)) AS last_ts FROM events
+GROUP BY event_type HAVING count(*) FILTER (ts >= TIMESTAMP '{NEW_FROM}') > 0"""
+
+
+@query("stream_index", INDEX_SQL)
 def q_stream_index(spark, sf_dir):
-    _, index = run(spark, sf_dir)
+    """After two runs, and with the log compacted."""
+    _, index = run(spark, sf_dir, runs=2)
+    compacted = shared_dir(spark, "stream_index_compacted")
+    compact_index_log(spark, index, compacted)
+    return read_index_log(spark, compacted)
+
+
+@query("stream_index_replay", INDEX_SQL)
+def q_stream_index_replay(spark, sf_dir):
+    """A crash after the append and before the index: the replay appends nothing, but its series
+    are in the index all the same."""
+    store, landing = prepare(spark, sf_dir)
+    upsert(spark, scan_dump(spark, landing, KLINES).drop("_file"), store, KLINES)
+    index = shared_dir(spark, "stream_index")
+    stream_ingest(spark, landing, store, index, shared_dir(spark, "stream_ckpt"), KLINES)
     return read_index_log(spark, index)
 
 
-@query("update_run", MERGED_TEXT_SQL)
-def q_update_run(spark, sf_dir):
-    """The batch update loop (UDF-1 hook = landed dumps) on the same store and landing."""
+@query("stream_ingest_zip", MERGED_TEXT_SQL)
+def q_stream_ingest_zip(spark, sf_dir):
+    """The same landing as zip archives, one of which is broken and reported."""
+    store, _ = prepare(spark, sf_dir)
+    landing = zip_landing(spark, sf_dir)
+    errors = shared_dir(spark, "stream_errors")
+    stream_ingest(spark, landing, store, shared_dir(spark, "stream_index"), shared_dir(spark, "stream_ckpt"), KLINES,
+                  ext="zip", errors_root=errors)
+    if spark.read.parquet(errors).count() != 1:
+        raise ValueError("the broken archive must be reported once")
+    return _store_rows(spark, store)
+
+
+def zip_landing(spark, sf_dir):
+    """E new as zipped daily dumps, and an archive that is none for the symbol ``broken``."""
+    from tidemark.plans.surrogates import _once, _write_event_dumps
+    from tidemark.sinks.tables import write_files
+
+    def make():
+        root = _write_event_dumps(spark, sf_dir, True, events_new(spark, sf_dir))
+        bad = spark.createDataFrame([("daily/klines/broken/1h/broken-1h-2024-01-30.zip", bytearray(b"no archive"))], "path string, content binary")
+        write_files(bad, root)
+        return root
+    return _once(spark, ("zip_landing", sf_dir), make)
+
+
+def update_outcome(spark, sf_dir, ext="csv", extra=(), todo_limit=None, coins=None, part=None):
+    """One update run over the event types (and ``extra`` symbols); (store, outcomes)."""
     from tidemark.operators.universe import build_jobs
-    from tidemark.plans.update import landed_source, run_update
     from tidemark.plans.surrogates import lit_date, table
+    from tidemark.plans.update import chosen, landed_source, run_update
 
     store, landing = prepare(spark, sf_dir)
+    landing = zip_landing(spark, sf_dir) if ext == "zip" else landing
     symbols = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
-    jobs = build_jobs(symbols, kinds=[KLINES], intervals=("1h",))
+    if extra:
+        symbols = symbols.unionByName(spark.createDataFrame([(x,) for x in extra], "symbol string"))
+    jobs = build_jobs(chosen(symbols, coins, part), kinds=[KLINES], intervals=("1h",))
     manifest = spark.createDataFrame([], "symbol string, kind string, interval string, freq string, period date, rows long")
-    outcome = run_update(spark, store, shared_dir(spark, "update_index"), jobs, manifest,
-                         lit_date("2024-01-30"), KLINES, landed_source(spark, landing, KLINES))
-    outcome.write.format("noop").mode("overwrite").save()
-    return _store_rows(spark, store)
+    return store, run_update(spark, store, shared_dir(spark, "update_index"), jobs, manifest, lit_date("2024-01-30"), KLINES,
+                             landed_source(spark, landing, KLINES, ext), todo_limit=todo_limit)
+
+
+@query("update_run", MERGED_TEXT_SQL)
+def q_update_run(spark, sf_dir):
+    """The batch update loop (UDF-1 hook = landed dumps) on the same store and landing."""
+    return _store_rows(spark, update_outcome(spark, sf_dir)[0])
+
+
+OUTCOME_SQL = f"""
+WITH ex AS (SELECT event_type AS symbol, date_trunc('hour', ts) AS h FROM events WHERE ts < TIMESTAMP '{EXISTING_BEFORE}'),
+l AS (SELECT symbol, max(h) AS last FROM ex GROUP BY symbol),
+nw AS (SELECT event_type AS symbol, date_trunc('hour', ts) AS h FROM events JOIN l ON event_type = symbol
+       WHERE ts >= TIMESTAMP '{NEW_FROM}' AND CAST(ts AS DATE) >= CAST(last AS DATE) AND CAST(ts AS DATE) <= DATE '2024-01-30'),
+o AS (SELECT l.symbol, 'produced' AS status, false AS has_error, (SELECT count(*) FROM nw WHERE nw.symbol = l.symbol) AS fetched,
+        (SELECT count(DISTINCT h) FROM nw WHERE nw.symbol = l.symbol AND h NOT IN (SELECT h FROM ex WHERE ex.symbol = l.symbol)) AS appended
+      FROM l
+      UNION ALL SELECT 'absent', 'no_new_data', false, 0, 0 UNION ALL SELECT 'broken', 'failed', true, 0, 0
+      UNION ALL SELECT 'zzz', 'remaining', false, 0, 0)"""
+
+
+def _outcomes(spark, sf_dir):
+    # event types and these three; the last in path order is left to the next run
+    n = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().count()
+    return update_outcome(spark, sf_dir, ext="zip", extra=("absent", "broken", "zzz"), todo_limit=n + 2)[1]
+
+
+@query("update_outcomes", OUTCOME_SQL + """
+SELECT symbol || '/' || symbol || '_1h.parquet' AS path, symbol, status, has_error, fetched, appended FROM o""")
+def q_update_outcomes(spark, sf_dir):
+    return _outcomes(spark, sf_dir).withColumn("has_error", F.col("error").isNotNull()).select(
+        "path", "symbol", "status", "has_error", "fetched", "appended")
+
+
+@query("update_totals", OUTCOME_SQL + """
+SELECT count(*) AS pending, count(*) FILTER (status = 'produced') AS produced, count(*) FILTER (status = 'failed') AS failed,
+       count(*) FILTER (status NOT IN ('produced', 'failed')) AS remaining, count(*) FILTER (status = 'no_new_data') AS no_new_data,
+       count(DISTINCT symbol) FILTER (status = 'produced') AS symbols_updated, count(DISTINCT symbol) FILTER (status = 'failed') AS symbols_failed
+FROM o""")
+def q_update_totals(spark, sf_dir):
+    return run_totals(_outcomes(spark, sf_dir))
+
+
+@query("shard_override", """
+SELECT event_type AS symbol FROM (SELECT DISTINCT event_type FROM events) WHERE event_type IN ('click', 'view')""")
+def q_shard_override(spark, sf_dir):
+    """Named symbols bypass sharding: both are there, whatever the shard of the run."""
+    from tidemark.plans.surrogates import table
+    from tidemark.plans.update import chosen
+
+    symbols = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
+    coins = spark.createDataFrame([("view, click,,",)], "coins string")
+    return chosen(symbols, coins, (0, 5))

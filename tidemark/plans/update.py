@@ -1,65 +1,114 @@
 """One update run as a Spark plan (the updater's main loop, SURVEY 3.1):
 
-jobs -> index (stored maxima) -> stale jobs -> gap plan -> rows from the ``source`` hook
--> insert-only merge into the store -> index log -> run outcomes.
+jobs -> subset or shard -> index (stored maxima) -> stale jobs -> gap plan -> rows from the
+``source`` hook -> insert-only merge into the store -> index log -> run outcomes.
 
-``source`` (UDF-1) is any function ``plan_df -> rows_df``; the default reads dumps that
-have landed under a folder, keeping only the planned ones.  Every step is a DataFrame;
-the only actions are the sinks (append, index log) and the checkpoint that feeds both.
+``source`` (UDF-1) is any function ``plan -> (rows, failures)``: the rows of the planned dumps
+and ``(location, error)`` of those that could not be read.  The default reads dumps that have
+landed under a folder, opening only the planned ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.calendar import gap_plan
 from tidemark.operators.index import latest_time, pending
-from tidemark.operators.merge import new_rows_only
-from tidemark.registry import FUTURES_KINDS, Kind, series_schema
-from tidemark.sinks.tables import append_series
-from tidemark.sources.dumps import scan_dump
+from tidemark.operators.universe import coins_subset, shard
+from tidemark.registry import FUTURES_KINDS, Kind
+from tidemark.sources.dumps import bad_archives, parse_zip_lines, scan_dump, zip_files, zip_lines
 from tidemark.sources.series import scan_series
-from tidemark.streaming.ingest import SERIES, _series_key_path
+from tidemark.streaming.ingest import SERIES, series_key_path, store_schema, upsert
 
-Source = Callable[[DataFrame], DataFrame]
+Source = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+#: Planned dumps up to this number are named in the file filter, so that others aren't opened.
+LITERAL_FILES = 5_000
+_LOCATION = r"((?:monthly|daily)/.*)$"
 
 
 def landed_source(spark: SparkSession, landing: str, k: Kind, ext: str = "csv") -> Source:
-    """Default UDF-1: planned dumps that have landed under ``landing`` (CSV dumps).
+    """Default UDF-1: planned dumps that have landed under ``landing`` as ``csv`` or ``zip``.
     A planned dump that never landed simply yields no rows, as a missing file would."""
-    def source(plan: DataFrame) -> DataFrame:
-        rows = scan_dump(spark, landing, k)
-        rel = F.regexp_extract("_file", r"((?:monthly|daily)/.*)$", 1)
+    folder = f"{landing.rstrip('/')}/*/{k.segment}"
+
+    def source(plan: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = plan.select(F.regexp_replace("location", r"\.zip$", "." + ext).alias("_loc")).distinct()
-        return rows.join(wanted, rel == F.col("_loc"), "left_semi").drop("_file")
+        none = spark.createDataFrame([], "location string, error string")
+        try:
+            if ext == "zip":
+                files = zip_files(spark, folder)
+                here = F.regexp_extract(F.url_decode("path"), _LOCATION, 1)
+                few = wanted.limit(LITERAL_FILES + 1).collect()
+                if len(few) <= LITERAL_FILES:
+                    files = files.where(F.col("_metadata.file_name").isin([r._loc.rsplit("/", 1)[-1] for r in few]))
+                lines = zip_lines(files.join(wanted, here == F.col("_loc"), "left_semi")).checkpoint()
+                failures = bad_archives(lines).select(F.regexp_extract("path", _LOCATION, 1).alias("location"), "error")
+                return parse_zip_lines(lines, k).drop("_file"), failures
+            rows = scan_dump(spark, folder, k)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], store_schema(k)), none
+        here = F.regexp_extract("_file", _LOCATION, 1)
+        return rows.join(wanted, here == F.col("_loc"), "left_semi").drop("_file"), none
     return source
 
 
+def chosen(symbols: DataFrame, coins: DataFrame | None = None, part: tuple[int, int] | None = None) -> DataFrame:
+    """FLT-4 / WIN-2: the symbols of a run: those named in ``coins`` (which bypasses sharding),
+    else those of shard ``part[0]`` of ``part[1]``, else all."""
+    if coins is not None:
+        return coins_subset(symbols, coins)
+    if part is not None:
+        mine = shard(symbols.select("symbol"), part[1]).where(F.col("shard") == part[0])
+        return symbols.join(mine.select("symbol"), "symbol", "left_semi")
+    return symbols
+
+
 def run_update(spark: SparkSession, store: str, index_log: str, jobs: DataFrame, manifest: DataFrame,
-               end: Column, k: Kind, source: Source, force_full: bool = False) -> DataFrame:
-    """Bring every stale job of kind ``k`` up to ``end``; returns the per-series outcome
-    ``(path, symbol, status, appended)`` (status ``produced`` or ``no_new_data``)."""
-    schema = T.StructType(series_schema(k).fields + [T.StructField(c, T.StringType()) for c in SERIES])
-    stored = scan_series(spark, store, schema)
-    actual = latest_time(stored, SERIES, k.time_col, "actual_ts").select(_series_key_path().alias("path"), "actual_ts")
+               end: Column, k: Kind, source: Source, force_full: bool = False, kinds=FUTURES_KINDS,
+               todo_limit: int | None = None) -> DataFrame:
+    """Bring every stale job of kind ``k`` up to ``end``; returns the outcome of each stale series
+    ``(path, symbol, status, error, fetched, appended)``.
+
+    ``failed``: a planned dump could not be read (its error); ``produced``: rows were fetched,
+    whether or not any was new; ``no_new_data``: none were; ``remaining``: beyond ``todo_limit``
+    series (in path order), left to the next run.
+    """
     try:
         index = spark.read.parquet(index_log).groupBy("path").agg(F.max("last_ts").alias("last_ts"))
-    except Exception:  # no index yet: bootstrap from the store (AGG-3)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        index = None  # no index yet: bootstrap from the store (AGG-3)
+    # the store is asked only about series whose index claims to be current
+    own = jobs.where(F.col("kind") == k.name)
+    stored = scan_series(spark, store, store_schema(k))
+    if index is not None:
+        current = own.join(index.where(F.to_date("last_ts") >= end), "path", "left_semi").select("symbol").distinct()
+        stored = stored.join(current, "symbol", "left_semi")
+    actual = latest_time(stored, SERIES, k.time_col, "actual_ts").select(series_key_path().alias("path"), "actual_ts")
+    if index is None:
         index = actual.select("path", F.col("actual_ts").alias("last_ts"))
-    todo = pending(jobs.where(F.col("kind") == k.name), index, end, actual, force_full)
-    plan = gap_plan(todo, manifest, end, [kk for kk in FUTURES_KINDS if kk.name == k.name])
-    fresh = new_rows_only(stored, source(plan), SERIES, k.time_col)
-    fresh = fresh.checkpoint(eager=True)  # feeds the append and the index: computed once
-    append_series(fresh, store, SERIES, k.time_col)
-    moved = latest_time(fresh, SERIES, k.time_col).select(_series_key_path().alias("path"), "last_ts")
-    moved.write.mode("append").parquet(index_log)
-    counts = fresh.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("appended")).select(
-        _series_key_path().alias("path"), "appended")
-    return (todo.select("path", "symbol").join(counts, "path", "left")
-            .select("path", "symbol",
-                    F.when(F.coalesce("appended", F.lit(0)) > 0, "produced").otherwise("no_new_data").alias("status"),
-                    F.coalesce("appended", F.lit(0)).cast("long").alias("appended")))
+    stale = pending(own, index, end, actual, force_full).checkpoint()
+    todo = stale if todo_limit is None else stale.orderBy("path").limit(todo_limit)
+    plan = gap_plan(todo, manifest, end, [kk for kk in kinds if kk.name == k.name])
+    rows, failures = source(plan)
+    rows = rows.persist()
+    fresh, latest = upsert(spark, rows, store, k)
+    latest.write.mode("append").parquet(index_log)
+    count = lambda df, name: df.groupBy(series_key_path().alias("path")).agg(F.count(F.lit(1)).alias(name))
+    failed = plan.select("location", *SERIES).join(failures, "location").groupBy(series_key_path().alias("path")).agg(
+        F.min("error").alias("error"))
+    out = (stale.select("path", "symbol").join(todo.select("path", F.lit(True).alias("_todo")), "path", "left")
+           .join(count(rows, "fetched"), "path", "left").join(count(fresh, "appended"), "path", "left").join(failed, "path", "left"))
+    status = (F.when(F.col("_todo").isNull(), "remaining").when(F.col("error").isNotNull(), "failed")
+              .when(F.col("fetched") > 0, "produced").otherwise("no_new_data"))
+    out = out.select("path", "symbol", status.alias("status"), "error", F.coalesce("fetched", F.lit(0)).cast("long").alias("fetched"),
+                     F.coalesce("appended", F.lit(0)).cast("long").alias("appended")).checkpoint()
+    rows.unpersist()
+    return out

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,8 +68,8 @@ def _file_path() -> Column:
 def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True) -> DataFrame:
     """SRC-3: positional CSV dumps (header optional) under ``path``.
 
-    Row order inside a dump comes from the reader: files below the split size are read
-    by one task in order, and ``(file, split start, increasing id)`` orders any rest.
+    Row order inside a dump comes from the reader: a file is read in order, and the id
+    increases along it (a split of a large file gets higher ids than the one before).
     """
     raw = (spark.read.schema(dump_schema(k)).option("header", "false").option("mode", "PERMISSIVE")
            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(path))
@@ -77,45 +78,76 @@ def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True) -
     return _finish(raw, k, loc, F.col("_rowid"), normalize).drop("_rowid")
 
 
+LINES = "path string, line_no long, line string, error string"
+#: Lines of an archive handed on at a time.
+_CHUNK = 20_000
+
+
 def _unzip(batches):
-    """Archive bytes -> one row per text line of its single CSV member."""
-    for pdf in batches:
-        paths, nums, lines = [], [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
+    """Archive bytes -> one row per text line of its single CSV member, or one row with the
+    error that keeps it from being read.  Only line feeds end a line."""
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            lines, error = [], None
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
                     names = [n for n in z.namelist() if not n.endswith("/")]
-                    if len(names) != 1:
-                        continue
-                    text = z.read(names[0]).decode("utf-8", errors="replace")
-            except zipfile.BadZipFile:
-                continue
-            for i, line in enumerate(text.splitlines()):
-                if line.strip() == "":
-                    continue
-                paths.append(path)
-                nums.append(i)
-                lines.append(line)
-        yield pd.DataFrame({"path": paths, "line_no": pd.Series(nums, dtype="int64"), "line": lines})
-
-
-def land_zip_dumps(spark: SparkSession, path: str, k: Kind, normalize: bool = True) -> DataFrame:
-    """SRC-4: zipped single-CSV dumps.  Spark's CSV reader does not open zip archives,
-    so archives are listed by ``binaryFile`` and expanded by ``mapInPandas``: one task
-    holds one set of archives, memory is one archive at a time."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.zip").load(path).select(F.url_decode("path").alias("path"), "content"))
-    lines = files.mapInPandas(_unzip, "path string, line_no long, line string")
+                    if len(names) == 1:
+                        text = z.read(names[0]).decode("utf-8", errors="replace")
+                        lines = [(i, x.removesuffix("\r")) for i, x in enumerate(text.split("\n")) if x.strip()]
+                    else:
+                        error = f"{len(names)} members, one expected"
+            except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError) as e:
+                error = f"{type(e).__name__}: {e}"
+            if error is not None:
+                lines = [(None, None)]
+            for a in range(0, len(lines), _CHUNK):
+                part = lines[a:a + _CHUNK]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(part), pa.string()), pa.array([n for n, _ in part], pa.int64()),
+                     pa.array([x for _, x in part], pa.string()), pa.array([error] * len(part), pa.string())],
+                    names=["path", "line_no", "line", "error"])
+
+
+def zip_lines(files: DataFrame) -> DataFrame:
+    """(path, line_no, line, error) of archives given as ``(path, content)``; works on a stream too."""
+    return files.select(F.url_decode("path").alias("path"), "content").mapInArrow(_unzip, LINES)
+
+
+def zip_files(spark: SparkSession, path: str) -> DataFrame:
+    # few archives to a batch: a task holds one batch of archives and one archive's lines
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.zip").load(path).select("path", "content"))
+
+
+def bad_archives(lines: DataFrame) -> DataFrame:
+    """(path, error) of the archives that could not be read."""
+    return lines.where(F.col("error").isNotNull()).select("path", "error")
+
+
+def parse_zip_lines(lines: DataFrame, k: Kind, normalize: bool = True) -> DataFrame:
+    """Rows of one kind from archive lines."""
     ddl = ", ".join(f"`{c}` STRING" for c in k.columns)
-    parsed = lines.select("path", "line_no", F.from_csv("line", ddl).alias("r"))
+    parsed = lines.where(F.col("error").isNull()).select("path", "line_no", F.from_csv("line", ddl).alias("r"))
     df = parsed.select("path", "line_no", *[F.col("r")[c].alias(c) for c in k.columns])
-    # the header test applies to the first line of an archive only
-    first = k.columns[0]
-    df = df.where((F.col("line_no") > 0) | F.coalesce(F.trim(F.col(first)) != F.lit(first), F.lit(True)))
     loc = parse_dump_location(F.col("path"))
     return _finish(df, k, loc, F.col("line_no"), normalize).withColumnRenamed("path", "_file").drop("line_no")
 
 
+def land_zip_dumps(spark: SparkSession, path: str, k: Kind, normalize: bool = True, on_bad: str = "fail") -> DataFrame:
+    """SRC-4: zipped single-CSV dumps.  Spark's CSV reader does not open zip archives,
+    so archives are read whole and expanded one at a time.  A corrupt or many-member archive
+    fails the read; with ``on_bad="report"`` its rows are absent and ``bad_archives`` of
+    ``zip_lines`` names it."""
+    lines = zip_lines(zip_files(spark, path))
+    if on_bad == "fail":
+        told = F.concat(F.col("path"), F.lit(": "), F.col("error"))
+        lines = lines.withColumn("line", F.when(F.col("error").isNull(), F.col("line")).otherwise(F.raise_error(told)))
+        lines = lines.withColumn("error", F.when(F.col("line").isNull(), F.col("error")))
+    return parse_zip_lines(lines, k, normalize)
+
+
 def scan_kline_json(df: DataFrame, payload: str, k: Kind, normalize: bool = True) -> DataFrame:
     """SRC-5: an array-of-arrays payload (one REST page per row) -> one row per inner
     array, positional columns as text, the ms time columns as times."""

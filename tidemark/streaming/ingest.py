@@ -1,86 +1,149 @@
 """Continuous landing of dumps into series: STR-1..4 (and the UDF-1 source hook).
 
-A file-source stream over the landing folder feeds ``foreachBatch``; each micro-batch
-is de-duplicated, anti-joined against the store (JOIN-9: the stored row wins, so only
-unseen keys are appended), appended, and then the index is overlaid with the batch's
-new maxima (data first, index second).  Replaying a batch after a failure appends
-nothing, because the anti join sees the rows that already landed.  No watermark is
-used: late rows with unseen keys are inserted however old they are.
+A file-source stream over the landing folder of one kind (CSV or zipped CSV dumps) feeds
+``foreachBatch``; each micro-batch is de-duplicated, anti-joined against the store (JOIN-9:
+the stored row wins, so only unseen keys are appended), appended, and then the index is moved
+to the latest time now stored of every series in the batch (data first, index second).
+Replaying a batch after a failure appends nothing, because the anti join sees the rows that
+already landed, but writes its index entries again.  No watermark is used: late rows with
+unseen keys are inserted however old they are.
+
+Only the partitions of the batch's series are read from the store, and for the anti join only
+times from the batch's earliest on.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.times import normalize_times
+from tidemark.functions.paths import series_path
 from tidemark.functions.text import na_to_null
+from tidemark.functions.times import normalize_times
 from tidemark.operators.index import latest_time
-from tidemark.operators.merge import PERIOD, ROW, SOURCE, new_rows_only
-from tidemark.registry import Kind, dump_schema
+from tidemark.operators.merge import PERIOD, ROW, SOURCE, drop_null_time, new_rows_only
+from tidemark.registry import FUTURES_KINDS, Kind, dump_schema, series_schema
+from tidemark.session import checkpoint_root
 from tidemark.sinks.tables import append_series
-from tidemark.sources.dumps import parse_dump_location
+from tidemark.sources.dumps import parse_dump_location, parse_zip_lines, zip_lines
 from tidemark.sources.series import scan_series
 
 SERIES = ["kind", "interval", "symbol"]
+#: Series of a batch up to this number become literal partition filters; beyond it the batch's
+#: distinct series are joined, which prunes while the query runs.
+LITERAL_SERIES = 512
+
 
+def store_schema(k: Kind) -> T.StructType:
+    """Stored columns of a kind: its cells and the series columns (a metrics dump's own symbol
+    column is the series' symbol)."""
+    own = [f for f in series_schema(k).fields if f.name not in SERIES]
+    return T.StructType(own + [T.StructField(c, T.StringType()) for c in SERIES])
 
-def _series_key_path() -> F.Column:
-    from tidemark.functions.paths import series_path
-    from tidemark.registry import FUTURES_KINDS
 
+def series_key_path() -> F.Column:
     suffix = F.create_map(*[x for k in FUTURES_KINDS for x in (F.lit(k.name), F.lit(k.suffix))])
     return series_path("symbol", suffix[F.col("kind")], F.col("interval").isNotNull(), "interval")
 
 
-def landing_stream(spark: SparkSession, landing: str, k: Kind, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming rows of CSV dumps landed under ``landing`` (tags and series attached)."""
-    reader = spark.readStream.schema(dump_schema(k)).option("header", "false").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.csv")
+def landing_stream(spark: SparkSession, landing: str, k: Kind, max_files_per_trigger: int | None = None,
+                   ext: str = "csv") -> DataFrame:
+    """Streaming rows of the dumps of one kind landed under ``landing`` (series and period
+    attached).  With ``ext="zip"`` an archive that can't be read is a row with its ``_error``."""
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ext}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.csv(landing).withColumn("_file", F.url_decode(F.col("_metadata.file_path")))
-    first = k.columns[0]
-    raw = raw.withColumns({c: na_to_null(F.col(c)) for c in k.columns})
-    raw = raw.where(F.coalesce(F.trim(F.col(first)) != F.lit(first), F.lit(True)))
+    folder = f"{landing.rstrip('/')}/*/{k.segment}"
+    if ext == "zip":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+        files = reader.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile").load(folder)
+        lines = zip_lines(files)
+        bad = lines.where(F.col("error").isNotNull()).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in series_schema(k).fields], F.col("path").alias("_file"),
+            F.lit(0).cast("long").alias(ROW), F.col("error").alias("_error"))
+        rows = parse_zip_lines(lines, k).select(*k.columns, "_file", ROW, F.lit(None).cast("string").alias("_error")).unionByName(bad)
+    else:
+        raw = reader.schema(dump_schema(k)).option("header", "false").csv(folder).withColumn(
+            "_file", F.url_decode(F.col("_metadata.file_path")))
+        first = k.columns[0]
+        raw = raw.withColumns({c: na_to_null(F.col(c)) for c in k.columns})
+        raw = raw.where(F.coalesce(F.trim(F.col(first)) != F.lit(first), F.lit(True)))
+        text_cols = () if k.time_col in k.ms_time_cols else (k.time_col,)
+        rows = normalize_times(raw, k.ms_time_cols, text_cols).withColumns({ROW: F.lit(None).cast("long"), "_error": F.lit(None).cast("string")})
     loc = parse_dump_location(F.col("_file"))
-    text_cols = () if k.time_col in k.ms_time_cols else (k.time_col,)
-    return normalize_times(raw.withColumns({n: loc[n] for n in ("symbol", "kind", "interval", "freq", "period")}),
-                           k.ms_time_cols, text_cols)
+    # a metrics dump has a symbol column of its own; the dump's location names the series
+    return rows.withColumns({n: loc[n] for n in ("symbol", "kind", "interval", "freq", "period")})
+
+
+def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> DataFrame:
+    """The stored rows of the series that ``rows`` touch, other partitions unread."""
+    existing = scan_series(spark, store, store_schema(k))
+    touched = rows.select(*SERIES).distinct()
+    few = touched.limit(LITERAL_SERIES + 1).collect()
+    if len(few) > LITERAL_SERIES:
+        same = [existing[c].eqNullSafe(F.col(f"_{c}")) for c in SERIES]
+        return existing.join(F.broadcast(touched.toDF(*[f"_{c}" for c in SERIES])) if touched.count() <= 100_000 else
+                             touched.toDF(*[f"_{c}" for c in SERIES]), same[0] & same[1] & same[2], "left_semi")
+    for c in SERIES:
+        values = {r[c] for r in few}
+        keep = F.col(c).isin([v for v in values if v is not None])
+        existing = existing.where(keep | F.col(c).isNull() if None in values else keep)
+    return existing
+
+
+def upsert(spark: SparkSession, rows: DataFrame, store: str, k: Kind) -> tuple[DataFrame, DataFrame]:
+    """Append the unseen keys of tagged ``rows``; returns (appended rows, latest stored time by
+    series path of every series in ``rows``)."""
+    stored = stored_part(spark, store, rows, k)
+    least = rows.agg(F.min(k.time_col)).first()[0]
+    recent = stored if least is None else stored.where(F.col(k.time_col) >= F.lit(least).cast(T.TimestampNTZType()))
+    # written out: the rows that were new then, not those new to a store that has them by now
+    fresh = new_rows_only(recent, rows, SERIES, k.time_col).checkpoint(eager=True)
+    before = latest_time(stored.join(rows.select("symbol").distinct(), "symbol", "left_semi"), SERIES, k.time_col)
+    seen = latest_time(drop_null_time(rows, k.time_col), SERIES, k.time_col)
+    touched = seen.select(series_key_path().alias("path"), "last_ts").unionByName(
+        before.select(series_key_path().alias("path"), "last_ts"))
+    latest = touched.join(seen.select(series_key_path().alias("path")), "path", "left_semi").groupBy("path").agg(
+        F.max("last_ts").alias("last_ts")).checkpoint(eager=True)
+    append_series(fresh, store, SERIES, k.time_col)
+    return fresh, latest
+
 
+def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, batch_id: int = 0, errors_root: str | None = None) -> None:
+    """One micro-batch: append unseen keys, then move the index forward.
 
-def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, schema, batch_id: int = 0) -> None:
-    """One micro-batch: append unseen keys, then move the index forward."""
+    Unreadable archives go to ``errors_root`` as (path, error, batch_id); without one they fail
+    the batch."""
     spark = batch.sparkSession
-    tagged = batch.withColumns({
-        SOURCE: F.when(F.col("freq") == "daily", F.lit(2)).otherwise(F.lit(1)),
-        PERIOD: F.col("period"),
-        ROW: F.monotonically_increasing_id(),
-    }).drop("freq", "period", "_file")
-    existing = scan_series(spark, store, schema)
-    fresh = new_rows_only(existing, tagged, SERIES, k.time_col)
-    # materialise once: the same rows feed the append and the index update
-    fresh = fresh.checkpoint(eager=True)
-    append_series(fresh, store, SERIES, k.time_col)
-    # the index is a log of per-batch maxima: appending never rewrites earlier entries,
-    # and a replayed batch appends nothing new (its rows were already in the store)
-    moved = latest_time(fresh, SERIES, k.time_col).select(_series_key_path().alias("path"), "last_ts")
-    moved.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
+    batch = batch.persist()
+    try:
+        bad = batch.where(F.col("_error").isNotNull()).select(F.col("_file").alias("path"), F.col("_error").alias("error"))
+        if errors_root:
+            bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(errors_root)
+        elif (worst := bad.limit(1).collect()):
+            raise ValueError(f"{worst[0].path}: {worst[0].error}")
+        rows = batch.where(F.col("_error").isNull()).withColumns({
+            SOURCE: F.when(F.col("freq") == "daily", F.lit(2)).otherwise(F.lit(1)),
+            PERIOD: F.col("period"),
+            ROW: F.coalesce(F.col(ROW), F.monotonically_increasing_id()),
+        }).drop("freq", "period", "_file", "_error")
+        _, latest = upsert(spark, rows, store, k)
+        # the index is a log of stored maxima: appending never rewrites earlier entries
+        latest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
+    finally:
+        batch.unpersist()
 
 
 def stream_ingest(spark: SparkSession, landing: str, store: str, index_root: str, checkpoint: str, k: Kind,
-                  max_files_per_trigger: int | None = None, available_now: bool = True):
+                  max_files_per_trigger: int | None = None, available_now: bool = True, ext: str = "csv",
+                  errors_root: str | None = None):
     """STR-1/3/4: run the landing stream into the store.  With ``available_now`` the
     backlog drains in bounded batches (``max_files_per_trigger`` files each) and the
     query stops; the checkpoint makes the next start resume after the last batch."""
-    from tidemark.session import checkpoint_root
-    from tidemark.registry import series_schema
-    from pyspark.sql import types as T
-
     checkpoint_root(spark)
-    schema = T.StructType(series_schema(k).fields + [T.StructField(c, T.StringType()) for c in SERIES])
-    stream = landing_stream(spark, landing, k, max_files_per_trigger)
-    writer = (stream.writeStream.foreachBatch(lambda df, epoch: ingest_batch(df, store, index_root, k, schema, epoch))
+    stream = landing_stream(spark, landing, k, max_files_per_trigger, ext)
+    writer = (stream.writeStream.foreachBatch(lambda df, epoch: ingest_batch(df, store, index_root, k, epoch, errors_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
@@ -92,3 +155,8 @@ def stream_ingest(spark: SparkSession, landing: str, store: str, index_root: str
 def read_index_log(spark: SparkSession, index_root: str) -> DataFrame:
     """STR-4: the current index: latest time per path over the batch log."""
     return spark.read.parquet(index_root).groupBy("path").agg(F.max("last_ts").alias("last_ts"))
+
+
+def compact_index_log(spark: SparkSession, index_root: str, new_root: str) -> None:
+    """One entry per path, written to a folder of its own; the caller switches to it."""
+    read_index_log(spark, index_root).withColumn("batch_id", F.lit(-1).cast("long")).write.parquet(new_root)
