@@ -6,12 +6,14 @@ alike it comes earlier: in a document of smaller id, or higher up in the same on
 earlier line is itself dropped doesn't matter.  Lines of spaces alone always stay.
 
 1. Equal lines are grouped by hash; from here on each distinct line is one row.
-2. A pair one edit apart agrees on its first or its last half, so only lines that share a half
-   with another distinct line go on.
-3. Those emit their deletion variants as hashed keys: (variant, place) for every character left
-   out, and themselves as they are.  Equal keys are joined: same variant and place means a
-   substitution, a variant equal to a whole line an insertion.  Of each key's lines only the
-   earliest is a partner, so a key shared by many lines makes one pair for each, not all pairs.
+2. A line is cut into four pieces, measured from its start before and from its end after the piece
+   that may hold the edit.  Lines one edit apart agree on all pieces but one, so only lines that
+   share three pieces with another distinct line go on, with the fourth.
+3. Those emit their deletion variants as hashed keys: (three pieces, variant of the fourth, place)
+   for every character left out of the fourth piece, and that piece as it is.  Equal keys are joined:
+   the same variant and place means a substitution, a variant equal to a whole piece an insertion.
+   Of each key's lines only the earliest is a partner, so a key shared by many lines makes one pair
+   for each, not all pairs.
 4. The edit distance of every pair is verified on the texts.
 """
 
@@ -37,27 +39,27 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _half(n: Column) -> Column:
-    """A length of at most (n - 1) / 2, rounded down to its three leading bits."""
-    m = F.greatest(((n - 1) / 2).cast("int"), F.lit(1))
-    low = F.greatest(F.length(F.bin(m)) - 3, F.lit(0))
-    unit = F.pow(F.lit(2.0), low)
-    return (F.floor(m / unit) * unit).cast("int")
+def _unit(n: Column) -> Column:
+    """Length of a piece for a line of n: at most (n - 1) / 4, rounded down to four leading bits."""
+    m = F.greatest(F.floor((n - 1) / 4), F.lit(1))
+    low = F.greatest(F.length(F.bin(m)) - 4, F.lit(0))
+    step = F.pow(F.lit(2.0), low)
+    return (F.floor(m / step) * step).cast("int")
 
 
-def _halves(line: Column) -> Column:
-    """Hashed first and last halves; a line shares one with any line one edit away.
+def _three_pieces(line: Column) -> Column:
+    """Hashes of all but one piece, for each of the four pieces.
 
-    Where a line one shorter rounds to another half, both lengths are given.
+    Where a line one shorter has another length of piece, the four for that length follow.
     """
     n = F.length(line)
 
-    def pair(q: Column) -> Column:
-        return F.array(F.xxhash64(F.lit("first"), q, F.left(line, q)), F.xxhash64(F.lit("last"), q, F.right(line, q)))
+    def four(u: Column) -> Column:
+        return F.array(*[F.xxhash64(F.lit(i), u, F.left(line, u * i), F.right(line, u * (3 - i))) for i in range(4)])
 
-    q, shorter = _half(n), _half(n - 1)
+    u, shorter = _unit(n), _unit(n - 1)
     return F.when(n < LEAST - 1, F.array().cast("array<bigint>")).when(
-        q == shorter, pair(q)).otherwise(F.concat(pair(q), pair(shorter)))
+        u == shorter, four(u)).otherwise(F.concat(four(u), four(shorter)))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -77,41 +79,43 @@ def _earliest(*columns: str) -> Column:
 
 def near_dropped(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h, g) of the distinct lines with an earlier line one edit away; needs their first places."""
-    halves = distinct.select("h", "g", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    near = saved(halves.join(shared, "half", "left_semi").select("h", "g").distinct(), "lines_near")
+    keys = distinct.select("h", "g", F.posexplode("three").alias("j", "key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    near = saved(keys.join(shared, "key", "left_semi"), "lines_near")
     # their texts, from the documents that hold them first
-    places = saved(distinct.join(_small(near), ["h", "g"], "left_semi").select("h", "g", "at.*"), "lines_places")
-    rows = places.groupBy("d", "t").agg(F.collect_list(F.struct("i", "h", "g")).alias("wanted"))  # of one document
+    places = saved(distinct.select("h", "g", "at").join(_small(near), ["h", "g"]).select("h", "g", "j", "key", "at.*"), "lines_places")
+    rows = places.groupBy("d", "t").agg(F.collect_list(F.struct("i", "h", "g", "j", "key")).alias("wanted"))  # of one document
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
     rows = _small(rows.withColumnsRenamed({"d": "_d", "t": "_t"}))
-    held = source.join(rows, source["d"].eqNullSafe(F.col("_d")) & (source["t"] == F.col("_t")))
+    held = source.join(rows, source["d"].eqNullSafe(F.col("_d")) & (source["t"] == F.col("_t"))).dropDuplicates(["_d", "_t"])
     lines = held.select("d", "t", F.split("text", "\n", -1).alias("all"), F.explode("wanted").alias("w"))
-    lines = lines.select(F.struct("d", "w.i", "t").alias("at"), F.col("w.h").alias("h"), F.col("w.g").alias("g"),
-                         normal(F.get("all", F.col("w.i"))).alias("line"))
-    lines = saved(lines.dropDuplicates(["h", "g"]), "lines_texts")
-
-    n = F.length("line")
+    lines = lines.select(F.struct("d", "w.i", "t").alias("at"), "w.h", "w.g", "w.j", "w.key", normal(F.get("all", F.col("w.i"))).alias("line"))
+    lines = saved(lines, "lines_texts")
+
+    u = F.when(F.col("j") < 4, _unit(F.length("line"))).otherwise(_unit(F.length("line") - 1))
+    before, after = u * (F.col("j") % 4), u * (3 - F.col("j") % 4)
+    piece = F.substring("line", before + 1, F.length("line") - before - after)
+    pieces = lines.select("h", "g", "at", "key", piece.alias("piece"))
+    n = F.length("piece")
     out_of = F.transform(F.sequence(F.lit(1), n), lambda p: F.struct(
-        p.alias("p"), F.xxhash64(F.concat(F.left("line", p - 1), F.right("line", n - p))).alias("v")))
-    whole = F.array(F.struct(F.lit(0).alias("p"), F.xxhash64("line").alias("v")))
-    keys = lines.select("h", "g", "at", F.explode(F.concat(whole, F.when(n >= LEAST, out_of).otherwise(
+        p.alias("p"), F.xxhash64("key", F.concat(F.left("piece", p - 1), F.right("piece", n - p))).alias("v")))
+    whole = F.array(F.struct(F.lit(0).alias("p"), F.xxhash64("key", "piece").alias("v")))
+    keyed = pieces.select("h", "g", "at", F.explode(F.concat(whole, F.when(n > 0, out_of).otherwise(
         F.array().cast("array<struct<p:int,v:bigint>>")))).alias("k")).select("h", "g", "at", "k.*")
-    # of each (variant, place) and of each variant: the earliest line; no two whole lines are equal
-    who = F.min(F.struct("at", "h", "g"))
-    by_place = keys.groupBy("v", "p").agg(who.alias("first"), F.count(F.lit(1)).alias("n"))
+    # of each (variant, place) and of each variant: the earliest line
+    by_place = keyed.groupBy("v", "p").agg(F.min(F.struct("at", "h", "g")).alias("first"), F.count(F.lit(1)).alias("n"))
     by_value = by_place.groupBy("v").agg(
         F.min(F.when(F.col("p") == 0, F.col("first"))).alias("whole"),
         F.min(F.when(F.col("p") > 0, F.col("first"))).alias("shorter"),
         F.collect_list(F.when((F.col("p") > 0) & (F.col("n") > 1), F.struct("p", "first"))).alias("places"),
         F.sum("n").alias("n")).where("n > 1")  # at most as many places as a line has characters
-    joined = keys.join(by_value, "v")
+    joined = keyed.join(by_value, "v")
     same = F.get(F.filter("places", lambda x: x["p"] == F.col("p")), F.lit(0))["first"]
     partner = F.when(F.col("p") == 0, F.array("shorter")).otherwise(F.array("whole", same))
     pairs = joined.select("h", "g", "at", F.explode(partner).alias("o")).where("o IS NOT NULL AND o.at < at")
     pairs = pairs.select("h", "g", F.col("o.h").alias("oh"), F.col("o.g").alias("og")).distinct()
-    texts = lines.select("h", "g", "line")
+    texts = lines.select("h", "g", "line").dropDuplicates(["h", "g"])
     checked = (pairs.join(texts, ["h", "g"])
                .join(texts.select(F.col("h").alias("oh"), F.col("g").alias("og"), F.col("line").alias("other")), ["oh", "og"]))
     close = F.levenshtein("line", "other", 1)
@@ -120,11 +124,11 @@ def near_dropped(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: st
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(d, t, lines): for each document with such lines, the numbers (from 0) of those to drop."""
-    every = _lines(docs, id_col, text_col).select("d", "t", "i", *_key(F.col("line")), _halves(F.col("line")).alias("halves"))
+    every = _lines(docs, id_col, text_col).select("d", "t", "i", *_key(F.col("line")), _three_pieces(F.col("line")).alias("three"))
     every = saved(every, "lines")
     distinct = saved(every.groupBy("h", "g").agg(
-        F.min(F.struct("d", "i", "t")).alias("at"), F.count(F.lit(1)).alias("n"), F.any_value("halves").alias("halves")), "lines_distinct")
-    near = near_dropped(docs, distinct.select("h", "g", "at", "halves"), id_col, text_col).withColumn("near", F.lit(True))
+        F.min(F.struct("d", "i", "t")).alias("at"), F.count(F.lit(1)).alias("n"), F.any_value("three").alias("three")), "lines_distinct")
+    near = near_dropped(docs, distinct.select("h", "g", "at", "three"), id_col, text_col).withColumn("near", F.lit(True))
     # distinct lines that aren't kept everywhere: repeated ones and those with an earlier neighbour
     bad = distinct.select("h", "g", "at", "n").join(near, ["h", "g"], "left").where("n > 1 OR near")
     bad = saved(bad.select("h", "g", "at", F.coalesce("near", F.lit(False)).alias("near")), "lines_bad")
