@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tidemark.operators.ordinal import ordinal
 
-ERROR_CHARS = 200
 CARD_WIDTH = 5
 
 
@@ -36,16 +35,17 @@ def run_totals(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def run_by_symbol(outcomes: DataFrame) -> DataFrame:
+def run_by_symbol(outcomes: DataFrame, error_chars: int | None = None) -> DataFrame:
     """AGG-8: per symbol with any update or failure: counts, sorted series updated, and
-    errors cut to 200 characters (sorted, so the report is deterministic).  Groups are
-    one symbol's series, a bounded handful."""
+    errors (sorted, so the report is deterministic), whole or cut to ``error_chars``.
+    Groups are one symbol's series, a bounded handful."""
     s = F.col("status")
+    error = F.col("error") if error_chars is None else F.substring(F.col("error"), 1, error_chars)
     g = (outcomes.where(s.isin("produced", "failed")).groupBy("symbol").agg(
         F.count_if(s == "produced").cast(T.LongType()).alias("updated"),
         F.count_if(s == "failed").cast(T.LongType()).alias("failed"),
         F.array_sort(F.collect_list(F.when(s == "produced", F.col("path")))).alias("series"),
-        F.array_sort(F.collect_list(F.when(s == "failed", F.substring(F.col("error"), 1, ERROR_CHARS)))).alias("errors"),
+        F.array_sort(F.collect_list(F.when(s == "failed", error))).alias("errors"),
     ))
     return g
 

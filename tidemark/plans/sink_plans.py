@@ -10,12 +10,13 @@ from tidemark.plans.catalog import query
 from tidemark.plans.index_plans import _l_index
 from tidemark.plans.merge_plans import E_UNION
 from tidemark.plans.metadata_plans import LAST, _last_raw, flat_rows
-from tidemark.plans.report_plans import TOTALS_SQL
+from tidemark.plans.report_plans import ERR, TOTALS_SQL, by_symbol_rows, by_symbol_sql
 from tidemark.plans.source_plans import STORE_SCHEMA
 from tidemark.plans.surrogates import NOW, events_existing, events_new, lit_ts, orders_outcomes, table
 from tidemark.plans.universe_plans import P_SQL
 from tidemark.session import shared_dir
-from tidemark.sinks.tables import write_index, write_info, write_run_summary, write_series, write_snapshot
+from tidemark.sinks.tables import write_index, write_info, write_meta, write_run_summary, write_series, write_snapshot
+from tidemark.sources.metadata import scan_meta
 from tidemark.sources.series import scan_series
 
 SERIES = ["kind", "interval", "symbol"]
@@ -82,6 +83,31 @@ def q_write_run_summary(spark, sf_dir):
     return spark.read.parquet(f"{root}/runs").drop("run_at")
 
 
+@query("write_run_symbols", f"SELECT 'r1' AS run_id, * FROM ({by_symbol_sql(ERR)})")
+def q_write_run_symbols(spark, sf_dir):
+    root = shared_dir(spark, "runs")
+    outcomes = orders_outcomes(spark, sf_dir)
+    write_run_summary(run_totals(outcomes), run_by_symbol(outcomes), root, "r1", lit_ts(NOW))
+    stored = spark.read.parquet(f"{root}/run_symbols")
+    return by_symbol_rows(stored).withColumn("run_id", F.lit("r1")).join(stored.select("symbol", "run_id"), ["symbol", "run_id"], "left_semi")
+
+
+META_SQL = """
+SELECT n_name AS symbol, 'listing_date' AS key, CASE WHEN n_regionkey = 0 THEN NULL ELSE '20' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '-01' END AS value
+FROM nation UNION ALL SELECT n_name, 'note', '"' || n_name || '"' FROM nation"""
+
+
+@query("write_meta", META_SQL)
+def q_write_meta(spark, sf_dir):
+    """SNK-3 / SRC-10: listing metadata written as sorted JSON and read back."""
+    n = table(spark, sf_dir, "nation")
+    date = F.when(F.col("n_regionkey") != 0, F.concat(F.lit("20"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit("-01")))
+    info = F.create_map(F.lit("listing_date"), date, F.lit("note"), F.concat(F.lit('"'), "n_name", F.lit('"')))
+    root = shared_dir(spark, "meta")
+    write_meta(n.select(F.col("n_name").alias("symbol"), info.alias("info")), root)
+    return explode_info(scan_meta(spark, root))
+
+
 @query("write_snapshot", f"""
 SELECT 's1' AS snapshot_id, TIMESTAMP '{NOW}' AS fetched_at, s_name AS symbol FROM supplier""")
 def q_write_snapshot(spark, sf_dir):
@@ -89,3 +115,18 @@ def q_write_snapshot(spark, sf_dir):
     syms = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("symbol"))
     write_snapshot(syms, root, "s1", lit_ts(NOW))
     return spark.read.parquet(root).select("snapshot_id", "fetched_at", "symbol")
+
+
+@query("merge_text_store", MERGED_TEXT_SQL)
+def q_merge_text_store(spark, sf_dir):
+    """A store half of whose series older writers left with text times: their rows win too."""
+    root = shared_dir(spark, "series")
+    ex = tag(_as_store(events_existing(spark, sf_dir)), 0, row=F.col("event_id"))
+    stored = merge_first_wins(None, ex, SERIES, "open_time").drop("event_id")
+    old = F.col("symbol").isin("click", "signup")
+    write_series(stored.where(~old), root, SERIES, "open_time")
+    text = stored.where(old).withColumn("open_time", F.date_format("open_time", "yyyy-MM-dd HH:mm:ss"))
+    text.write.mode("append").partitionBy(*SERIES).parquet(root)
+    nw = tag(_as_store(events_new(spark, sf_dir)), 1, row=F.col("event_id")).drop("event_id")
+    current = scan_series(spark, root, STORE_SCHEMA, legacy=True)
+    return merge_first_wins(current, nw, SERIES, "open_time").select("symbol", "open_time", "open", "high")

@@ -80,17 +80,19 @@ def q_land_zip_dumps(spark, sf_dir):
 @query("scan_kline_json", """
 SELECT event_type AS symbol, CAST(ts AS DATE) AS day, make_timestamp(epoch_ms(date_trunc('hour', ts)) * 1000) AS open_time,
        CAST(event_id AS VARCHAR) AS open, CAST(user_id AS VARCHAR) AS high,
-       CAST(row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) - 1 AS BIGINT) AS _row
+       event_id // 1000 AS page,
+       CAST(row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // 1000 ORDER BY event_id) - 1 AS BIGINT) AS _row
 FROM events""")
 def q_scan_kline_json(spark, sf_dir):
     e = events_series(spark, sf_dir)
     cells = F.array(ms_text("open_time"), F.col("event_id").cast("string"), F.col("user_id").cast("string"))
-    # one REST page per (symbol, day), arrays in event order
-    pages = (e.groupBy("symbol", F.to_date("ts").alias("day"))
+    # REST pages of at most 1000 arrays per (symbol, day), arrays in event order
+    page = F.floor(F.col("event_id") / 1000).cast("long").alias("page")
+    pages = (e.groupBy("symbol", F.to_date("ts").alias("day"), page)
              .agg(F.array_sort(F.collect_list(F.struct("event_id", cells.alias("a")))).alias("r"))
-             .select("symbol", "day", F.to_json(F.transform("r", lambda x: x["a"])).alias("payload")))
+             .select("symbol", "day", "page", F.to_json(F.transform("r", lambda x: x["a"])).alias("payload")))
     rows = scan_kline_json(pages, "payload", KLINES)
-    return rows.select("symbol", "day", "open_time", "open", "high", F.col(ROW).cast("long").alias(ROW))
+    return rows.select("symbol", "day", "page", "open_time", "open", "high", F.col(ROW).cast("long").alias(ROW))
 
 
 def _store_events(spark, sf_dir, where=None):
@@ -159,16 +161,30 @@ def q_canonical_columns(spark, sf_dir):
     return canonical_columns(spaced)
 
 
-@query("repair_text", """
-SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars_repaired, false AS changed FROM documents""")
+TAIL_SQL = """
+SELECT doc_id, lang, text, CASE doc_id % 4 WHEN 0 THEN 'FF41' WHEN 1 THEN 'C3A9' WHEN 2 THEN '80' ELSE '41' END AS tail,
+       CASE doc_id % 4 WHEN 0 THEN chr(65533) || 'A' WHEN 1 THEN 'é' WHEN 2 THEN chr(65533) ELSE 'A' END AS repaired FROM documents"""
+
+
+def with_tail(spark, sf_dir):
+    """Whole texts, each with bytes after it that are not valid for two ids of four."""
+    k = F.col("doc_id") % 4
+    tail = F.when(k == 0, "FF41").when(k == 1, "C3A9").when(k == 2, "80").otherwise("41")
+    raw = F.concat(F.encode("text", "UTF-8"), F.unhex(tail)).cast("string")
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", raw.alias("raw"))
+
+
+@query("repair_text", f"""
+SELECT doc_id, CAST(length(text || repaired) AS BIGINT) AS n_chars, right(text || repaired, 2) AS ends, tail IN ('FF41', '80') AS changed
+FROM ({TAIL_SQL})""")
 def q_repair_text(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    r = repair_text("text")
-    return d.select("doc_id", F.length(r).cast("long").alias("n_chars_repaired"), (r != F.col("text")).alias("changed"))
+    d = with_tail(spark, sf_dir).withColumn("fixed", repair_text("raw"))
+    return d.select("doc_id", F.length("fixed").cast("long").alias("n_chars"), F.right("fixed", F.lit(2)).alias("ends"),
+                    (F.col("fixed").cast("binary") != F.col("raw").cast("binary")).alias("changed"))
 
 
-@query("non_ascii", """
-SELECT doc_id, lang, true AS valid FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]')""")
+@query("non_ascii", f"""
+SELECT doc_id, lang, tail NOT IN ('FF41', '80') AS valid FROM ({TAIL_SQL}) WHERE regexp_matches(text || repaired, '[^\\x00-\\x7F]')""")
 def q_non_ascii(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.where(has_non_ascii("text")).select("doc_id", "lang", is_valid_text("text").alias("valid"))
+    d = with_tail(spark, sf_dir)
+    return d.where(has_non_ascii("raw")).select("doc_id", "lang", is_valid_text("raw").alias("valid"))

@@ -1,14 +1,14 @@
 """Universe queries on P (customers as exchange symbol objects), nation and supplier."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.universe import (
     coins_subset, first_available, futures_universe, keep_last, shard, spot_universe,
 )
 from tidemark.plans.catalog import query
-from tidemark.plans.surrogates import NOW, lit_ts, table, write_customer_objects
-from tidemark.sources.metadata import scan_exchange_info
+from tidemark.plans.surrogates import NOW, customer_objects, lit_ts, table, write_customer_objects
+from tidemark.session import shared_dir
+from tidemark.sources.metadata import scan_exchange_info, scan_snapshot
 
 P_SQL = """
 WITH p AS (
@@ -59,21 +59,34 @@ def q_coins_subset(spark, sf_dir):
     return coins_subset(universe, coins)
 
 
+# (source, priority, hours old, hours it stays fresh): each list holds the suppliers of one region.
+LISTS = (("cache", 0, 30, 24.0), ("live", 1, 1, None), ("live", 1, 5, None), ("committed", 2, 960, None), ("cache", 0, 26, 24.0))
+
+
 def _snapshots(spark, sf_dir):
-    sup = table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation")
-    r = F.col("n_regionkey")
-    now = lit_ts(NOW)
-    j = sup.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return j.select(
-        F.when(r == 0, "cache").when(r == 1, "live").when(r == 2, "committed").otherwise("builtin").alias("source"),
-        F.when(r <= 2, r).otherwise(3).alias("priority"),
-        F.when(r == 0, F.timestamp_add("HOUR", F.lit(-30), now))
-         .when(r == 1, F.timestamp_add("HOUR", F.lit(-1), now))
-         .otherwise(F.timestamp_add("DAY", F.lit(-40), now)).alias("fetched_at"),
-        F.when(r == 0, F.lit(24.0)).otherwise(F.lit(None).cast(T.DoubleType())).alias("ttl_hours"),
-        F.col("s_name").alias("symbol"),
-    )
+    """One snapshot file per list, written and read as the source dataset keeps them."""
+    sup = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    found = None
+    for region, (source, priority, hours, ttl) in enumerate(LISTS):
+        root = shared_dir(spark, f"snapshot_{source}")
+        at = F.unix_timestamp(F.timestamp_add("HOUR", F.lit(-hours), lit_ts(NOW).cast("timestamp"))).cast("double")
+        symbols = sup.where(F.col("n_regionkey") == region).agg(F.array_sort(F.collect_list("s_name")).alias("symbols"))
+        symbols.select(F.to_json(F.struct(at.alias("_fetched_at"), "symbols")).alias("value")).write.text(root)
+        one = scan_snapshot(spark, root, source, priority, ttl)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+LISTS_SQL = "(VALUES " + ", ".join(
+    f"({i}, '{s}', {p}, TIMESTAMP '{NOW}' - INTERVAL {h} HOUR, {'NULL' if t is None else t}::DOUBLE)" for i, (s, p, h, t) in enumerate(LISTS)
+) + ") AS l(region, source, priority, fetched_at, ttl_hours)"
+
+
+@query("scan_snapshot", f"""
+SELECT source, priority, fetched_at, ttl_hours, s_name AS symbol
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN {LISTS_SQL} ON n_regionkey = region""")
+def q_scan_snapshot(spark, sf_dir):
+    return _snapshots(spark, sf_dir)
 
 
 @query("first_available", """
@@ -82,6 +95,20 @@ def q_first_available(spark, sf_dir):
     return first_available(_snapshots(spark, sf_dir), lit_ts(NOW))
 
 
+@query("scan_exchange_info_document", P_SQL + """
+SELECT symbol, arg_max(base_asset, pos) AS base_asset, count(*) AS n FROM p GROUP BY symbol""")
+def q_scan_exchange_info_document(spark, sf_dir):
+    """Replies shaped ``{"symbols": [...]}``, a hundred objects to a reply."""
+    root = shared_dir(spark, "exchange_documents")
+    objects = customer_objects(spark, sf_dir).groupBy(F.floor(F.col("pos") / 100).alias("reply")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("o"))
+    text = F.concat(F.lit('{"symbols": ['), F.array_join(F.transform("o", lambda x: x["json"]), ", "), F.lit("]}"))
+    objects.select("reply", text.alias("value")).write.partitionBy("reply").text(root)
+    raw = scan_exchange_info(spark, f"{root}/*", layout="document").withColumn("_sym", F.col("raw")["symbol"])
+    counts = raw.groupBy(F.col("_sym").alias("symbol")).agg(F.count(F.lit(1)).alias("n"))
+    return keep_last(raw, "_sym").join(counts, "symbol").select("symbol", F.col("raw")["baseAsset"].alias("base_asset"), "n")
+
+
 @query("shard", """
 WITH s AS (SELECT DISTINCT s_name AS symbol FROM supplier),
 r AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS rank FROM s),

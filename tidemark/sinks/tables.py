@@ -66,6 +66,17 @@ def write_info(info: DataFrame, root: str, json_root: str | None = None) -> None
          .write.mode("overwrite").partitionBy("symbol").text(json_root))
 
 
+def write_meta(info: DataFrame, root: str) -> None:
+    """SNK-3: listing metadata ``(symbol, info)`` as JSON objects ``{SYM: {...}}``, one to a line,
+    sorted by symbol and with sorted keys (see ``scan_meta``).  Keys without a value are kept."""
+    entries = F.transform(F.array_sort(F.map_entries("info")), lambda e: F.concat(
+        F.to_json(F.array(e["key"])).substr(F.lit(2), F.length(F.to_json(F.array(e["key"]))) - 2), F.lit(": "),
+        F.coalesce(F.to_json(F.array(e["value"])).substr(F.lit(2), F.length(F.to_json(F.array(e["value"]))) - 2), F.lit("null"))))
+    name = F.to_json(F.array("symbol"))
+    line = F.concat(F.lit("{"), name.substr(F.lit(2), F.length(name) - 2), F.lit(": {"), F.array_join(entries, ", "), F.lit("}}"))
+    info.orderBy("symbol").select(line.alias("value")).write.mode("overwrite").text(root)
+
+
 def write_run_summary(totals: DataFrame, by_symbol: DataFrame, root: str, run_id: str, run_at: Column) -> None:
     """SNK-4: append the run's totals and per-symbol rows, stamped with the run."""
     stamp = {"run_id": F.lit(run_id), "run_at": run_at.cast(T.TimestampNTZType())}

@@ -90,7 +90,14 @@ def scan_snapshot(spark: SparkSession, path: str, source: str, priority: int,
 
 
 def scan_meta(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-10: listing metadata ``{SYM: {listing_date: ...}}`` -> ``(symbol, info)``."""
+    """SRC-10: listing metadata ``{SYM: {listing_date: ...}}`` -> ``(symbol, info)``; the object
+    may fill a file or there may be one object to a line."""
     doc = spark.read.text(path, wholetext=True)
-    m = F.from_json("value", T.MapType(T.StringType(), MAP_SS))
-    return doc.select(F.explode(m).alias("symbol", "info"))
+    kind = T.MapType(T.StringType(), MAP_SS)
+    whole = F.from_json("value", kind)
+    lines = spark.read.text(path).select(_path().alias("_f"), F.from_json("value", kind).alias("m")).where("m IS NOT NULL")
+    broken = doc.where(whole.isNull() | F.col("value").rlike(r"\}\s*\n\s*\{")).select(_path().alias("_f"))
+    by_line = lines.join(broken, "_f", "left_semi").select(F.explode("m").alias("symbol", "info"))
+    doc = doc.where(whole.isNotNull() & ~F.col("value").rlike(r"\}\s*\n\s*\{"))
+    m = whole
+    return doc.select(F.explode(m).alias("symbol", "info")).unionByName(by_line)
