@@ -9,12 +9,24 @@ from tidemark.operators.index import latest_time
 from tidemark.operators.universe import build_jobs, enabled_kinds
 from tidemark.plans.catalog import query
 from tidemark.plans.sqlgen import job_values, kind_values
-from tidemark.plans.surrogates import END, lineitem_series, lit_date, lit_ts, orders_manifest, table
+from tidemark.plans.surrogates import END, lineitem_series, lit_date, orders_manifest, table
 from tidemark.registry import FUTURES_KINDS, KINDS_BY_NAME, kinds_df, time_column_of
 
 SUP = "CAST(l_suppkey AS VARCHAR)"
 
 
+def shifted(days: int, supplier: str = "l_suppkey") -> str:
+    """Index time of a supplier: its last ship date less up to ``days`` days, by its key."""
+    return f"max(l_shipdate) - to_days(CAST(({supplier} * 37) % {days} AS INTEGER))"
+
+
+def _shifted_index(spark, sf_dir, days: int):
+    """The same over all rows: every supplier is stale, by a time of its own."""
+    idx = latest_time(lineitem_series(spark, sf_dir), ["symbol"], "ts")
+    back = (F.col("symbol").cast("long") * 37 % days).cast("int")
+    return idx.withColumn("last_ts", F.timestamp_add("DAY", -back, F.col("last_ts")))
+
+
 def _minmax(spark, sf_dir):
     li = lineitem_series(spark, sf_dir)
     return li.groupBy("symbol").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
@@ -54,23 +66,20 @@ def q_default_end(spark, sf_dir):
 
 
 @query("spot_range", f"""
-WITH i AS (SELECT l_suppkey, max(l_shipdate) AS last_ts FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-           WHERE s_nationkey < 10 AND l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1)
+WITH i AS (SELECT l_suppkey, CASE WHEN l_suppkey % 3 > 0 THEN {shifted(2000)} END AS last_ts FROM lineitem GROUP BY 1)
 SELECT CAST(s_suppkey AS VARCHAR) AS symbol, coalesce(CAST(last_ts AS DATE), DATE '2017-01-01') AS start_date,
        DATE '{END}' AS end_date
 FROM supplier LEFT JOIN i ON i.l_suppkey = s_suppkey""")
 def q_spot_range(spark, sf_dir):
     sup = table(spark, sf_dir, "supplier")
-    li = lineitem_series(spark, sf_dir).where(F.col("ts") < lit_ts("1998-01-01"))
-    near = sup.where(F.col("s_nationkey") < 10).select(F.col("s_suppkey").cast("string").alias("symbol"))
-    idx = latest_time(li.join(near, "symbol", "left_semi"), ["symbol"], "ts")
+    idx = _shifted_index(spark, sf_dir, 2000)  # a third of the suppliers have no time yet
+    idx = idx.withColumn("last_ts", F.when(F.col("symbol").cast("long") % 3 > 0, F.col("last_ts")))
     jobs = sup.select(F.col("s_suppkey").cast("string").alias("symbol")).join(idx, "symbol", "left")
     return jobs.select("symbol", C.spot_range_start("last_ts").alias("start_date"), lit_date(END).alias("end_date"))
 
 
 ENUM_SQL = f"""
-WITH s AS (SELECT {SUP} AS symbol, CAST(max(l_shipdate) AS DATE) AS st FROM lineitem
-           WHERE l_shipdate < TIMESTAMP '2000-10-25' GROUP BY 1)
+WITH s AS (SELECT {SUP} AS symbol, CAST({shifted(700)} AS DATE) AS st FROM lineitem GROUP BY l_suppkey)
 SELECT symbol, 'klines' AS kind, 'monthly' AS freq,
        CAST(unnest(range(date_trunc('month', st)::TIMESTAMP, TIMESTAMP '2001-10-01', INTERVAL 1 MONTH)) AS DATE) AS period
 FROM s WHERE st <= DATE '{END}'
@@ -89,16 +98,14 @@ FROM s WHERE st <= DATE '{END}'"""
 
 @query("enumerate_periods", ENUM_SQL)
 def q_enumerate_periods(spark, sf_dir):
-    li = lineitem_series(spark, sf_dir).where(F.col("ts") < lit_ts("2000-10-25"))
-    idx = latest_time(li, ["symbol"], "ts")
+    idx = _shifted_index(spark, sf_dir, 700)
     kinds = [KINDS_BY_NAME[n] for n in ("klines", "metrics", "fundingRate")]
     jobs = build_jobs(idx.select("symbol"), kinds=kinds, intervals=("1d",)).join(idx, "symbol")
     return plan_periods(jobs, lit_date(END)).select("symbol", "kind", "freq", "period")
 
 
 FALLBACK_SQL = f"""
-WITH s AS (SELECT {SUP} AS symbol, CAST(max(l_shipdate) AS DATE) AS st FROM lineitem
-           WHERE l_shipdate < TIMESTAMP '2001-07-15' GROUP BY 1),
+WITH s AS (SELECT {SUP} AS symbol, CAST({shifted(400)} AS DATE) AS st FROM lineitem GROUP BY l_suppkey),
 months AS (SELECT symbol, CAST(unnest(range(date_trunc('month', st)::TIMESTAMP, TIMESTAMP '2001-10-01',
                                              INTERVAL 1 MONTH)) AS DATE) AS period FROM s WHERE st <= DATE '{END}'),
 days AS (SELECT symbol, CAST(unnest(range(greatest(st, DATE '2001-10-01')::TIMESTAMP, TIMESTAMP '2001-10-26',
@@ -116,8 +123,7 @@ dd AS (SELECT DISTINCT symbol, 'klines' AS kind, '1d' AS interval, 'daily' AS fr
 
 
 def _fallback_inputs(spark, sf_dir):
-    li = lineitem_series(spark, sf_dir).where(F.col("ts") < lit_ts("2001-07-15"))
-    idx = latest_time(li, ["symbol"], "ts")
+    idx = _shifted_index(spark, sf_dir, 400)
     jobs = build_jobs(idx.select("symbol"), kinds=[KINDS_BY_NAME["klines"]], intervals=("1d",)).join(idx, "symbol")
     return jobs, orders_manifest(spark, sf_dir)
 

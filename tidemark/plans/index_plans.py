@@ -173,12 +173,12 @@ def q_rebuild_index_scoped(spark, sf_dir):
 WITH o AS (SELECT CAST(l_suppkey AS VARCHAR) AS s, max(l_shipdate) AS m FROM lineitem
            WHERE l_shipdate < TIMESTAMP '2000-01-01' GROUP BY 1),
 n AS (SELECT CAST(l_suppkey AS VARCHAR) AS s, max(l_shipdate) AS m FROM lineitem
-      WHERE l_shipdate >= TIMESTAMP '2001-01-01' GROUP BY 1)
+      WHERE l_shipdate >= TIMESTAMP '2000-01-01' GROUP BY 1)
 SELECT coalesce(n.s, o.s) || '/' || coalesce(n.s, o.s) || '_1d.parquet' AS path, coalesce(n.m, o.m) AS last_ts
 FROM o FULL OUTER JOIN n ON o.s = n.s""")
 def q_overlay_index(spark, sf_dir):
     old = _l_index(spark, sf_dir, F.col("ts") < lit_ts("2000-01-01"))
-    new = _l_index(spark, sf_dir, F.col("ts") >= lit_ts("2001-01-01"))
+    new = _l_index(spark, sf_dir, F.col("ts") >= lit_ts("2000-01-01"))
     return overlay_index(old, new)
 
 

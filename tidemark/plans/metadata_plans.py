@@ -109,23 +109,23 @@ def q_migrate_info(spark, sf_dir):
 @query("overlay_listing", """
 WITH m AS (SELECT CAST(c_custkey AS VARCHAR) AS symbol, v.key, v.value FROM customer,
            LATERAL (VALUES ('listing_date', 'unknown'), ('note', c_mktsegment)) AS v(key, value) WHERE c_nationkey < 10),
-fd AS (SELECT CAST(o_custkey AS VARCHAR) AS symbol, strftime(min(o_orderdate), '%Y-%m') AS d FROM orders
-       WHERE o_orderstatus = 'F' GROUP BY 1),
-t AS (SELECT CAST(c_custkey AS VARCHAR) AS symbol FROM customer)
-SELECT symbol, key, value FROM m
-WHERE NOT (key = 'listing_date' AND symbol IN (SELECT symbol FROM fd) AND symbol IN (SELECT symbol FROM t))
-UNION ALL SELECT symbol, 'listing_date', d FROM fd WHERE symbol IN (SELECT symbol FROM t)""")
+fd AS (SELECT CAST(o_custkey AS VARCHAR) AS symbol, strftime(min(o_orderdate), '%Y-%m') AS d FROM orders GROUP BY 1),
+t AS (SELECT CAST(c_custkey AS VARCHAR) AS symbol FROM customer),
+r AS (SELECT symbol, key, value FROM m
+      WHERE NOT (key = 'listing_date' AND symbol IN (SELECT symbol FROM fd))
+      UNION ALL SELECT symbol, 'listing_date', d FROM fd WHERE symbol IN (SELECT symbol FROM t))
+SELECT t.symbol, coalesce(string_agg(key || '=' || value, ',' ORDER BY key), '') AS info FROM t LEFT JOIN r ON t.symbol = r.symbol
+GROUP BY t.symbol""")
 def q_overlay_listing(spark, sf_dir):
+    """Every target is there, customers without orders or curated fields with an empty record."""
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string")
     meta = c.where(F.col("c_nationkey") < 10).select(
         key.alias("symbol"), _kv({"listing_date": "unknown", "note": F.col("c_mktsegment")}).alias("info"))
-    man = orders_manifest(spark, sf_dir).join(
-        table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
-        .select(F.col("o_custkey").cast("string").alias("symbol"), F.trunc("o_orderdate", "month").alias("period")),
-        ["symbol", "period"], "left_semi")
-    found = earliest_month(man).withColumnRenamed("listing_month", "listing_date")
-    return explode_info(overlay_listing(meta, found, c.select(key.alias("symbol"))))
+    found = earliest_month(orders_manifest(spark, sf_dir)).withColumnRenamed("listing_month", "listing_date")
+    out = overlay_listing(meta, found, c.select(key.alias("symbol")))
+    entries = F.transform(F.array_sort(F.map_entries("info")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return out.select("symbol", F.array_join(entries, ",").alias("info"))
 
 
 @query("earliest_month", """

@@ -15,7 +15,7 @@ from tidemark.plans.source_plans import STORE_SCHEMA
 from tidemark.plans.surrogates import NOW, events_existing, events_new, lit_ts, orders_outcomes, table
 from tidemark.plans.universe_plans import P_SQL
 from tidemark.session import shared_dir
-from tidemark.sinks.tables import write_index, write_info, write_meta, write_run_summary, write_series, write_snapshot
+from tidemark.sinks.tables import read_table, write_index, write_info, write_meta, write_run_summary, write_series, write_snapshot
 from tidemark.sources.metadata import scan_meta
 from tidemark.sources.series import scan_series
 
@@ -52,17 +52,17 @@ def q_write_series(spark, sf_dir):
 WITH o AS (SELECT CAST(l_suppkey AS VARCHAR) AS s, max(l_shipdate) AS m FROM lineitem
            WHERE l_shipdate < TIMESTAMP '2000-01-01' GROUP BY 1),
 n AS (SELECT CAST(l_suppkey AS VARCHAR) AS s, max(l_shipdate) AS m FROM lineitem
-      WHERE l_shipdate >= TIMESTAMP '2001-01-01' GROUP BY 1)
+      WHERE l_shipdate >= TIMESTAMP '2000-01-01' GROUP BY 1)
 SELECT coalesce(n.s, o.s) || '/' || coalesce(n.s, o.s) || '_1d.parquet' AS path, coalesce(n.m, o.m) AS last_ts,
        strftime(coalesce(n.m, o.m), '%Y-%m-%d %H:%M:%S') AS last_text
 FROM o FULL OUTER JOIN n ON o.s = n.s""")
 def q_write_index(spark, sf_dir):
     root = shared_dir(spark, "index")
     write_index(_l_index(spark, sf_dir, F.col("ts") < lit_ts("2000-01-01")).select("path", "last_ts"), root)
-    stored = spark.read.parquet(root).select("path", "last_ts")
-    new = _l_index(spark, sf_dir, F.col("ts") >= lit_ts("2001-01-01")).select("path", "last_ts")
+    stored = read_table(spark, root).select("path", "last_ts")
+    new = _l_index(spark, sf_dir, F.col("ts") >= lit_ts("2000-01-01")).select("path", "last_ts")
     write_index(overlay_index(stored, new), root)
-    return spark.read.parquet(root)
+    return read_table(spark, root)
 
 
 @query("write_info", P_SQL + LAST + flat_rows("l"))
@@ -70,7 +70,7 @@ def q_write_info(spark, sf_dir):
     root = shared_dir(spark, "info_table")
     info = _last_raw(spark, sf_dir).select("symbol", flatten_symbol_info("raw").alias("info"))
     write_info(info, root)
-    return explode_info(spark.read.parquet(root))
+    return explode_info(read_table(spark, root))
 
 
 @query("write_run_summary", f"""

@@ -275,3 +275,17 @@ def _write_event_tree(spark, sf_dir) -> str:
                          F.lit("\n")).alias("content")))
     write_files(csv_files, root)
     return root
+
+
+def write_fixtures(spark, sf_dir) -> None:
+    """All read-only folders that queries share, so that a bench can write them before its clock."""
+    from tidemark.plans.index_plans import broken_tree
+    from tidemark.plans.stream_plans import zip_landing
+
+    write_customer_objects(spark, sf_dir)
+    write_event_dumps(spark, sf_dir)
+    write_event_dumps(spark, sf_dir, zipped=True)
+    write_event_dumps(spark, sf_dir, part=events_new(spark, sf_dir), part_name="new")
+    write_event_tree(spark, sf_dir)
+    broken_tree(spark, sf_dir)
+    zip_landing(spark, sf_dir)

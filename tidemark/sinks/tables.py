@@ -7,14 +7,13 @@ never ahead of it, and the next run's anti join absorbs whatever already landed.
 from __future__ import annotations
 
 import os
+import time
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import checkpoint_root
-
 
 def _clustered(df: DataFrame, series_cols: list[str], time_col: str) -> DataFrame:
     # range partitioning on (series, time) splits a hot series over many writers while
@@ -34,11 +33,21 @@ def append_series(df: DataFrame, root: str, series_cols: list[str], time_col: st
     _clustered(df, series_cols, time_col).write.mode("append").partitionBy(*series_cols).parquet(root)
 
 
-def write_table(df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Overwrite (or append) a small table.  The result is checkpointed first so an
-    overwrite never reads the files it replaces."""
-    checkpoint_root(df.sparkSession)
-    df.checkpoint(eager=True).write.mode(mode).parquet(root)
+def write_table(df: DataFrame, root: str) -> None:
+    """Replace a small table: a new version folder, then an entry that makes it the current one.
+
+    The version before stays readable until then, also for ``df`` itself; a crash in between
+    leaves it current."""
+    version = time.time_ns()
+    df.write.parquet(f"{root}/data/version={version}")
+    spark = df.sparkSession
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+
+
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of a table of ``write_table``; other versions' files aren't read."""
+    current = spark.read.parquet(f"{root}/versions").agg(F.max("version")).scalar()
+    return spark.read.parquet(f"{root}/data").where(F.col("version") == current).drop("version")
 
 
 def write_index(index: DataFrame, root: str) -> None:
