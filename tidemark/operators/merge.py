@@ -82,26 +82,38 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str], time_col
     """JOIN-9: the insert-only form of WIN-1.
 
     Because the stored row always wins, only keys the store has not seen need to be
-    appended.  The store is pruned before the anti join: only series present in the
-    batch (a join on the series columns, which are the store's partition columns, so
-    dynamic partition pruning applies) and only times at or after the batch's earliest
-    time per series (pushed to the Parquet scan as a range on the time column).
+    appended.  Only the stored keys of series present in the batch, at or after the batch's
+    earliest time of the series, enter the anti join; pruning the files themselves is the
+    caller's part (``streaming.ingest.stored_part``).  Keys are compared null-safely: kinds
+    without intervals have a NULL interval.
     """
     batch = dedupe_new(new, keys, time_col)
     # de-duplication never changes a series' earliest time, so the bound is taken from
     # the raw batch: no second window over the same rows
     lo = (drop_null_time(harmonize(new).select(*keys, time_col), time_col)
           .groupBy(*keys).agg(F.min(time_col).alias("_lo")))
-    stored = harmonize(existing).select(*keys, time_col)
-    stored = (
-        stored.join(lo, keys)
-        .where(F.col(time_col) >= F.col("_lo"))
-        .select(*keys, time_col)
-    )
-    out = batch.join(stored, [*keys, time_col], "left_anti")
+    stored = harmonize(existing).select(*keys, time_col).toDF(*[f"_stored_{c}" for c in (*keys, time_col)])
+    lo = lo.toDF(*[f"_lo_{c}" for c in keys], "_lo")
+    stored = stored.join(lo, _same(stored, "_stored_", lo, "_lo_", keys)).where(F.col(f"_stored_{time_col}") >= F.col("_lo"))
+    stored = stored.select(*[f"_stored_{c}" for c in (*keys, time_col)])
+    out = batch.join(stored, _same(batch, "", stored, "_stored_", [*keys, time_col]), "left_anti")
     return out if keep_tags else out.drop(*TAGS)
 
 
+def _same(a: DataFrame, a_prefix: str, b: DataFrame, b_prefix: str, keys: list[str]) -> Column:
+    """Null-safe equality of the same columns under two prefixes."""
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & a[a_prefix + c].eqNullSafe(b[b_prefix + c])
+    return cond
+
+
+def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``a.join(b, keys, how)`` where NULL keys (the interval of kinds without any) are equal."""
+    b = b.withColumnsRenamed({c: f"_right_{c}" for c in keys})
+    return a.join(b, _same(a, "", b, "_right_", keys), how).drop(*[f"_right_{c}" for c in keys])
+
+
 def sort_series(df: DataFrame, keys: list[str], time_col: str) -> DataFrame:
     """SRT-1: ascending time within each series (a range-partitioned global sort)."""
     return df.orderBy(*keys, time_col)
@@ -119,10 +131,10 @@ def merge_report(existing: DataFrame | None, new: DataFrame, merged: DataFrame,
         F.count(F.lit(1)).alias("after"),
         F.to_date(F.max(time_col)).alias("last_date"),
     )
-    out = counts_new.join(post, keys, "left")
+    out = join_null_safe(counts_new, post, keys, "left")
     if existing is not None:
         before = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("before"))
-        out = out.join(before, keys, "left")
+        out = join_null_safe(out, before, keys, "left")
     else:
         out = out.withColumn("before", F.lit(None).cast(T.LongType()))
     return out.select(

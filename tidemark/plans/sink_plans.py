@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators.index import latest_time, overlay_index
-from tidemark.operators.merge import merge_first_wins, tag
+from tidemark.operators.merge import join_null_safe, merge_first_wins, tag
 from tidemark.operators.metadata import explode_info, flatten_symbol_info
 from tidemark.operators.report import run_by_symbol, run_totals
 from tidemark.plans.catalog import query
@@ -42,7 +42,7 @@ def q_write_series(spark, sf_dir):
     write_series(stored, root, SERIES, "open_time")
     nw = tag(_as_store(events_new(spark, sf_dir)), 1, row=F.col("event_id")).drop("event_id")
     current = scan_series(spark, root, STORE_SCHEMA)
-    touched = current.join(nw.select(*SERIES).distinct(), SERIES, "left_semi")
+    touched = join_null_safe(current, nw.select(*SERIES).distinct(), SERIES, "left_semi")
     merged = merge_first_wins(touched, nw, SERIES, "open_time")
     write_series(merged, root, SERIES, "open_time")
     return scan_series(spark, root, STORE_SCHEMA).select("symbol", "open_time", "open", "high")

@@ -221,7 +221,9 @@ def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys:
     cs = (spark.read.option("header", "true").option("basePath", csv_root)
           .option("recursiveFileLookup", "false").csv(csv_root))
     pq_text = pq.select(*[F.col(c).cast(T.StringType()).alias(c) if c not in keys else F.col(c) for c in pq.columns])
-    only_csv = cs.join(pq.select(*keys).distinct(), keys, "left_anti")
+    from tidemark.operators.merge import join_null_safe
+
+    only_csv = join_null_safe(cs, pq.select(*keys).distinct(), keys, "left_anti")
     only_csv = only_csv.select(*[F.col(c).cast(T.StringType()) if c not in keys else F.col(c) for c in only_csv.columns])
     return pq_text.unionByName(only_csv, allowMissingColumns=True)
 
