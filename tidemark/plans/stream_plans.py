@@ -186,3 +186,67 @@ def q_shard_override(spark, sf_dir):
     symbols = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
     coins = spark.createDataFrame([("view, click,,",)], "coins string")
     return chosen(symbols, coins, (0, 5))
+
+
+KINDS_SQL = """
+WITH r AS (SELECT CASE WHEN value < 10 THEN 'klines' WHEN value < 30 THEN 'metrics' ELSE 'fundingRate' END AS kind,
+                  event_type AS symbol, date_trunc('hour', ts) AS t, event_id FROM events)
+SELECT kind, symbol, t, CAST(min(event_id) AS VARCHAR) AS cell FROM r GROUP BY kind, symbol, t
+UNION ALL SELECT 'spot', symbol, t, CAST(min(event_id) AS VARCHAR) FROM r WHERE kind = 'klines' GROUP BY symbol, t"""
+
+
+def kinds_landing(spark, sf_dir):
+    """E as zipped dumps of three kinds (times in ms, as text, in ms); (folder, monthly manifest)."""
+    from tidemark.plans.surrogates import _once, _zip_rows, hour, ms_text, table, tree_kind
+    from tidemark.sinks.tables import write_files
+
+    e = table(spark, sf_dir, "events").select(tree_kind().alias("kind"), F.col("event_type").alias("symbol"), hour().alias("t"), "event_id", "ts")
+    monthly = F.col("kind") == "fundingRate"
+    period = F.when(monthly, F.trunc("ts", "month")).otherwise(F.to_date("ts"))
+
+    def make():
+        cell = F.col("event_id").cast("string")
+        klines = F.concat(ms_text("t"), F.lit(","), cell, F.lit("," * 10))
+        metrics = F.concat(F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit(",inner,"), cell, F.lit("," * 5))
+        line = F.when(F.col("kind") == "klines", klines).when(F.col("kind") == "metrics", metrics).otherwise(
+            F.concat(ms_text("t"), F.lit(","), cell, F.lit(",")))
+        files = e.withColumns({"period": period, "line": line}).groupBy("kind", "symbol", "period").agg(
+            F.array_sort(F.collect_list(F.struct("event_id", "line"))).alias("rows"))  # one dump is one file
+        name = F.when(F.col("kind") == "klines", "1h").otherwise(F.col("kind"))
+        stamp = F.when(monthly, F.date_format("period", "yyyy-MM")).otherwise(F.date_format("period", "yyyy-MM-dd"))
+        path = F.concat_ws("/", F.when(monthly, "monthly").otherwise("daily"), "kind", "symbol", F.when(F.col("kind") == "klines", "1h"),
+                           F.concat(F.col("symbol"), F.lit("-"), name, F.lit("-"), stamp, F.lit(".zip")))
+        text = F.concat(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"), F.lit("\n"))
+        root = shared_dir(spark, "kinds_landing")
+        write_files(files.select(path.alias("path"), text.alias("content")).mapInPandas(_zip_rows, "path string, content binary"), root)
+        return root
+
+    manifest = e.where(monthly).groupBy("symbol", "kind", F.trunc("ts", "month").alias("period")).agg(F.count(F.lit(1)).alias("rows"))
+    return _once(spark, ("kinds_landing", sf_dir), make), manifest.select(
+        "symbol", "kind", F.lit(None).cast("string").alias("interval"), F.lit("monthly").alias("freq"), "period", "rows")
+
+
+@query("update_run_kinds", KINDS_SQL)
+def q_update_run_kinds(spark, sf_dir):
+    """Update runs of three futures kinds and of the spot dataset, from nothing stored."""
+    from tidemark.operators.universe import build_jobs
+    from tidemark.plans.surrogates import lit_date, table
+    from tidemark.plans.update import landed_source, run_update
+    from tidemark.registry import FUTURES_KINDS, SPOT_KINDS
+
+    landing, manifest = kinds_landing(spark, sf_dir)
+    symbols = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
+    found = None
+    for label, kinds in (("", FUTURES_KINDS), ("spot", SPOT_KINDS)):
+        for k in kinds:
+            if k.name not in ("klines", "metrics", "fundingRate"):
+                continue
+            store = shared_dir(spark, f"kinds_store_{label}{k.name}")
+            jobs = build_jobs(symbols, kinds=[k], intervals=("1h",))
+            run_update(spark, store, shared_dir(spark, "kinds_index"), jobs, manifest, lit_date("2024-01-31"), k,
+                       landed_source(spark, landing, k, "zip"), kinds=kinds)
+            cell = {"klines": "open", "metrics": "sum_open_interest", "fundingRate": "funding_interval_hours"}[k.name]
+            rows = scan_series(spark, store, store_schema(k)).select(
+                F.lit(label or k.name).alias("kind"), "symbol", F.col(k.time_col).alias("t"), F.col(cell).alias("cell"))
+            found = rows if found is None else found.unionByName(rows)
+    return found
