@@ -29,8 +29,8 @@ def query(name: str, sql: str | None = None):
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "op7")
     records.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    read = records.with_start(records.scan(spark, path), records.index(spark, path))
-    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    read = records.scan(spark, path).select("file", "before", F.col("id").alias("doc_id"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return records.with_start(read, records.index(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query("op8_byte_bpe")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import ChunkEncoder, by_bytes
+from tidemark.llm.chunks import ColumnEncoder, gather, grouped, spans
 from tidemark.llm.common import bounded_batches, partitions
 
 MASK_DELTA = 0xA282EAD8
@@ -71,10 +71,10 @@ def parse(data, offset: int, payload: bool = True) -> tuple[int | None, int, np.
     return (None if null else key), n, ids, end + 5
 
 
-_encoders: dict[str, tuple[ChunkEncoder, int]] = {}
+_encoders: dict[str, tuple[ColumnEncoder, int]] = {}
 
 
-def library_encoder(path: str) -> tuple[ChunkEncoder, int]:
+def library_encoder(path: str) -> tuple[ColumnEncoder, int]:
     """Encoder of the tokenizers library for a vocabulary file, and its vocabulary size.
 
     The strings of special tokens in a text are ordinary text.
@@ -85,22 +85,42 @@ def library_encoder(path: str) -> tuple[ChunkEncoder, int]:
 
         library = Tokenizer.from_file(path)
         library.encode_special_tokens = True
-        pieces: dict[str, bytes] = {}
-
-        def run(texts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
-        def encode_new(chunks: list[str]) -> list[bytes]:
-            # a word with one mark after it splits into two matches: the library meets each word once
-            if len(pieces) > 300_000:
-                pieces.clear()
-            cut = [[c[:-1], c[-1]] if c[-1] in ".,;:!?" and c[1:-1].isalpha() and (c[0] == " " or c[0].isalpha()) else [c]
-                   for c in chunks]
-            new = list({p for parts in cut for p in parts if p not in pieces})
-            pieces.update(zip(new, run(new)))
-            return [b"".join([pieces[p] for p in parts]) for parts in cut]
-
-        _encoders[path] = ChunkEncoder(encode_new), library.get_vocab_size()
+
+        def one_by_one(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def encode_new(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """Spaced words are one match each, so many of them make one text whose ids the library
+            numbers by match; other chunks are texts of their own."""
+            size = np.zeros(len(chunks), np.int64)
+            plain = [i for i, c in enumerate(chunks) if c[:1] == " " and c[1:].isalpha()]
+            ids: list[np.ndarray] = []
+            order: list[int] = []
+            for a in range(0, len(plain), 1024):
+                mine = plain[a:a + 1024]
+                e = library.encode_batch(["".join([chunks[i] for i in mine])], add_special_tokens=False)[0]
+                count = np.bincount(np.array(e.word_ids, np.int64), minlength=len(mine))
+                if len(count) != len(mine) or not count.all():
+                    continue  # not one match each: below, one by one
+                size[mine] = count
+                ids.append(np.array(e.ids, np.uint32))
+                order += mine
+            done = set(order)
+            rest = [i for i in range(len(chunks)) if i not in done]
+            for a in range(0, len(rest), 4096):
+                mine = rest[a:a + 4096]
+                found = one_by_one([chunks[i] for i in mine])
+                size[mine] = [len(x) for x in found]
+                ids.append(np.array([x for f in found for x in f], np.uint32))
+                order += mine
+            # back to the order of the chunks
+            made = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            taken = size[order]
+            at = np.empty(len(chunks), np.int64)
+            at[order] = np.cumsum(taken) - taken
+            return gather(made, at, size, np.arange(len(chunks))), size
+
+        _encoders[path] = ColumnEncoder(encode_new), library.get_vocab_size()
     return _encoders[path]
 
 
@@ -119,13 +139,12 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col:
         encoder, vocab = library_encoder(vocabulary)
         width = 2 if max(vocab - 1, end_id) < 1 << 16 else 4
         last = np.array([end_id], "<u4")
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, group in by_bytes(texts):
-                encoded = encoder.encode(group)
+        for keys, texts in grouped(batches, 1):
+            ids = encoder.encode(texts)
+            keys = keys.to_pylist()
+            for a, b in spans([len(x) for x in ids], 1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array([
-                    frame(k, np.concatenate([np.frombuffer(e, "<u4"), last]), width)
-                    for k, e in zip(keys[start:start + len(group)], encoded)], pa.binary())], names=["record"])
+                    frame(k, np.concatenate([x, last]), width) for k, x in zip(keys[a:b], ids[a:b])], pa.binary())], names=["record"])
 
     rows = docs.select(docs[id_col].cast("long").alias("k"), docs[text_col].cast("string").alias("t"))
     tie = F.xxhash64("t")
