@@ -22,9 +22,12 @@ Which texts meet in a tree:
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +41,7 @@ from tidemark.llm.words import mix, shingle_hashes, utf8_buffers, word_hashes
 _U = np.uint64
 #: Distinct tokens and texts of a block.
 BLOCK_TOKENS = 1 << 21
-BLOCK_TEXTS = 1 << 16
+BLOCK_TEXTS = 50_000
 #: Texts of one tree; larger groups are cut.
 GROUP = 2048
 LEAF = 8
@@ -46,7 +49,7 @@ BROADCAST_ROWS = 500_000
 #: Least hashes that texts meet by.
 HASHES = 4
 _SEEDS = np.random.RandomState(31).randint(0, 1 << 63, HASHES).astype(np.uint64) * _U(2) + _U(1)
-_MARK = np.uint32(0xFFFFFFFF)
+_MARK = np.uint16(0xFFFF)
 
 _ROW = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("head", pa.bool_()), ("ids", pa.binary()), ("nulls", pa.binary()),
                   ("sizes", pa.binary()), ("sums", pa.binary()), ("at", pa.binary()), ("tokens", pa.binary())])
@@ -76,7 +79,7 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
     """
     n = np.concatenate(counts)
     h = np.concatenate(hashes)
-    doc = np.repeat(np.arange(len(n), dtype=np.uint32), n)
+    doc = np.repeat(np.arange(len(n), dtype=np.uint16), n)
     order = np.argsort(h, kind="stable")  # texts stay in order within a token
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
@@ -98,7 +101,7 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
     key = token_ids(h, parts)
     head = (-1 - number, number, True, np.array([i or 0 for i in ids], np.int64).tobytes(), np.array([i is None for i in ids]).tobytes(),
             sizes.tobytes(), sums.tobytes(), doc[~own].tobytes(), key[~own].tobytes())
-    who = np.where(times == 1, doc[at], _MARK).astype(np.uint32)
+    who = np.where(times == 1, doc[at], _MARK).astype(np.uint16)
     asked = key[at]
     edges = np.searchsorted(asked, np.arange(parts + 1, dtype=np.uint64) << _U(48))
     rows = [head]
@@ -147,7 +150,7 @@ def _shared(blocks: DataFrame) -> DataFrame:
         keys = np.zeros((sum(map(len, raw)), 8), np.uint8)
         keys[:, :6] = np.concatenate(raw)
         keys = keys.view("<u8").ravel()
-        at = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in rows])
+        at = np.concatenate([np.frombuffer(r["at"], np.uint16) for r in rows])
         of = np.repeat(np.arange(len(rows)), [len(x) for x in raw])
         order = np.argsort(keys, kind="stable")
         k = keys[order]
@@ -167,23 +170,38 @@ def _shared(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("part").applyInArrow(run, _ROW_SQL)
 
 
-def bitmap(tokens: np.ndarray, n: int) -> np.ndarray:
-    """Bits of the tokens, in a map of a power of two of at least 2n and 256 bits."""
+def codes(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Distinct 16-bit codes of the tokens, 32-bit ones for large sets: a very fine bitmap, as a list."""
+    return np.unique((mix(tokens) >> _U(20)).astype(np.uint16 if n <= 4096 else np.uint32))
+
+
+def packed(c: np.ndarray) -> bytes:
+    """Codes as compressed steps from each to the next."""
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(c, prepend=c.dtype.type(0)).tobytes())
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    kind = np.uint16 if n <= 4096 else np.uint32
+    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind), dtype=kind)
+
+
+def bitmap(c: np.ndarray, n: int) -> np.ndarray:
+    """Bits of the codes, in a map of a power of two of at least 2n and 256 bits."""
     bits = max(256, 1 << int(2 * n - 1).bit_length())
     out = np.zeros(bits, bool)
-    out[(mix(tokens) & _U(bits - 1)).astype(np.int64)] = True
+    out[c & (bits - 1)] = True
     return np.packbits(out, bitorder="little")
 
 
 _SET_SQL = ("key long, id long, n long, s1 long, s2 long, " + ", ".join(f"m{j} long" for j in range(HASHES))
-            + ", tokens binary, prefix binary, bits binary, crowded long")
+            + ", held long, tokens binary, prefix binary, codes binary")
 
 
 def _sets(shared: DataFrame) -> DataFrame:
-    """One row per text; tokens, signature and least hashes only where a partner is possible."""
+    """One row per text; tokens, codes and least hashes only where a partner is possible."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
-                        *[(f"m{j}", pa.int64()) for j in range(HASHES)], ("tokens", pa.binary()), ("prefix", pa.binary()),
-                        ("bits", pa.binary()), ("crowded", pa.int64())])
+                        *[(f"m{j}", pa.int64()) for j in range(HASHES)], ("held", pa.int64()),
+                        ("tokens", pa.binary()), ("prefix", pa.binary()), ("codes", pa.binary())])
 
     def run(table):
         rows = table.to_pylist()
@@ -191,7 +209,7 @@ def _sets(shared: DataFrame) -> DataFrame:
         sizes = np.frombuffer(head["sizes"], np.int64)
         sums = np.frombuffer(head["sums"], np.int64).reshape(2, -1)
         ids, nulls = np.frombuffer(head["ids"], np.int64), np.frombuffer(head["nulls"], bool)
-        at = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in rows])
+        at = np.concatenate([np.frombuffer(r["at"], np.uint16) for r in rows])
         tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in rows])
         order = np.lexsort((tokens, at))
         tokens = tokens[order]
@@ -202,9 +220,8 @@ def _sets(shared: DataFrame) -> DataFrame:
             row = [head["block"] << 17 | i, None if nulls[i] else int(ids[i]), n, int(sums[0, i]), int(sums[1, i])]
             spare = len(t) - int(least_needed(np.int64(n)))
             if n and spare >= 0:
-                bits = bitmap(t, n)
                 row += [int((mix(t ^ s) >> _U(1)).min()) for s in _SEEDS]
-                row += [t.tobytes(), t[:spare + 1].tobytes(), bits.tobytes(), len(t) - int(np.bitwise_count(bits).sum())]
+                row += [len(t), t.tobytes(), t[:spare + 1].tobytes(), packed(codes(t, n))]
             else:
                 row += [None] * (HASHES + 4)
             out.append(row)
@@ -294,11 +311,9 @@ class Tree:
             if p != q and not self.possible(x, y):
                 continue
             if not x[2] and not y[2]:
-                for i in self.order[x[0]:x[1]]:
-                    for j in self.order[y[0]:y[1]]:
-                        if i < j if p == q else True:
-                            if self.find(i) != self.find(j) and self._pair(i, j) and test(i, j):
-                                self.join(i, j)
+                for i, j in self._pairs(self.order[x[0]:x[1]], self.order[y[0]:y[1]], p == q):
+                    if self.find(i) != self.find(j) and test(i, j):
+                        self.join(i, j)
             elif p == q:
                 l, r = x[2]
                 stack += [(l, r), (r, r), (l, l)]  # inner pairs first: what they join needs no cross pairs
@@ -307,12 +322,14 @@ class Tree:
             else:
                 stack += [(k, q) for k in x[2]]
 
-    def _pair(self, i: int, j: int) -> bool:
-        a, b = int(self.n[i]), int(self.n[j])
-        if 4 * a < 3 * b or 4 * b < 3 * a:
-            return False
-        most = int(np.bitwise_count(self.maps[i] & self.maps[j]).sum()) + min(self.crowded[i], self.crowded[j])
-        return 7 * min(most, self.total[i], self.total[j]) >= 3 * (a + b)
+    def _pairs(self, i: np.ndarray, j: np.ndarray, same: bool) -> list[tuple[int, int]]:
+        """The pairs of two leaves that are possible, each once."""
+        both = lambda f, v: f.outer(v[i], v[j])
+        most = np.bitwise_count(self.maps[i][:, None, :] & self.maps[j][None, :, :]).sum(axis=2, dtype=np.int64)
+        most = np.minimum(most + both(np.minimum, self.crowded), both(np.minimum, self.total))
+        ok = (4 * both(np.minimum, self.n) >= 3 * both(np.maximum, self.n)) & (7 * most >= 3 * both(np.add, self.n))
+        a, b = np.nonzero(np.triu(ok, 1) if same else ok)
+        return list(zip(i[a].tolist(), j[b].tolist()))
 
 
 def _groups(batches, keys: list[str]):
@@ -330,17 +347,20 @@ def _groups(batches, keys: list[str]):
         yield rows
 
 
-def _tree(rows: list[dict], by: list[np.ndarray]) -> Tree:
+def _tree(rows: list[dict], by: list[np.ndarray], short: list[np.ndarray]) -> Tree:
+    """Tree over texts given as rows (n, held, component) with the codes of each."""
     n = np.array([r["n"] for r in rows])
-    bits = [np.frombuffer(r["bits"], np.uint8) for r in rows]
+    bits = [bitmap(c, r["n"]) for c, r in zip(short, rows)]
+    crowded = np.array([r["held"] for r in rows]) - np.array([int(np.bitwise_count(b).sum()) for b in bits])
     component = np.array([r["component"] for r in rows])
     _, first, number = np.unique(component, return_index=True, return_inverse=True)
     order = np.lexsort(tuple(by) + (n, component))
-    return Tree(n, bits, np.array([r["crowded"] for r in rows]), first[number], order)
+    return Tree(n, bits, crowded, first[number], order)
 
 
 def _meet(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Links (a, b) found in trees over whole sets: for each joined pair one link."""
+    """Links (a, b) found in trees over whole sets: of each component that was joined to others
+    one text, with the first of what it was joined to."""
     few_rows = rows.sparkSession
     bounded_batches(few_rows)
 
@@ -349,14 +369,11 @@ def _meet(rows: DataFrame, group: list[str]) -> DataFrame:
         for own in _groups(batches, group):
             tokens = [np.frombuffer(r["tokens"], np.uint64) for r in own]
 
-            def test(i: int, j: int) -> bool:
-                if linked(tokens[i], tokens[j], own[i]["n"], own[j]["n"]):
-                    found.append((own[i]["key"], own[j]["key"]))
-                    return True
-                return False
-
             if len(own) > 1:
-                _tree(own, [np.array([t[-1] for t in tokens])]).walk(test)
+                tree = _tree(own, [np.array([t[-1] for t in tokens])], [codes(t, r["n"]) for t, r in zip(tokens, own)])
+                heads = np.unique(tree.parent)
+                tree.walk(lambda i, j: linked(tokens[i], tokens[j], own[i]["n"], own[j]["n"]))
+                found += [(own[i]["key"], own[tree.find(i)]["key"]) for i in heads.tolist() if tree.find(i) != i]
             if len(found) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
                 found = []
@@ -365,7 +382,7 @@ def _meet(rows: DataFrame, group: list[str]) -> DataFrame:
 
     p = partitions(rows.sparkSession)
     sorted_rows = rows.repartition(p, *group).sortWithinPartitions(*group, "key")
-    return sorted_rows.select(*group, "key", "n", "component", "tokens", "bits", "crowded").mapInArrow(run, "a long, b long")
+    return sorted_rows.select(*group, "key", "n", "held", "component", "tokens").mapInArrow(run, "a long, b long")
 
 
 def _cut(rows: DataFrame, sizes: DataFrame, by: str) -> DataFrame:
@@ -379,7 +396,8 @@ def _cut(rows: DataFrame, sizes: DataFrame, by: str) -> DataFrame:
 
 def _with_component(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes with their component so far, the components)."""
-    found = saved(components(links), "components")
+    found = saved(components(links), "components") if links.limit(1).count() else links.select(
+        F.col("a").alias("node"), F.col("b").alias("root"))
     joined = classes.join(_small(found.withColumnRenamed("node", "key")), "key", "left")
     return joined.withColumn("component", F.coalesce("root", "key")).drop("root"), found
 
@@ -388,46 +406,74 @@ def _candidates(reps: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a prefix token and pass the signature trees."""
     spark = reps.sparkSession
     bounded_batches(spark)
-    thin = reps.select("key", "component", "prefix")
+    thin = reps.select("key", "component", "n", "prefix")
 
     def spread(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                t = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
+                t = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
                 one = lambda x: pa.array(np.full(len(t), x.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array(t), one(batch.column(0)[i]), one(batch.column(1)[i])],
-                                                 names=["token", "key", "component"])
-
-    postings = thin.mapInArrow(spread, "token long, key long, component long")
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    shared = saved(shared.where("lo <> hi").select("token", "size"), "tokens_shared")
-    rows = postings.join(_small(shared), "token")
+                yield pa.RecordBatch.from_arrays([pa.array(t), *[one(batch.column(c)[i]) for c in range(3)]],
+                                                 names=["token", "key", "component", "n"])
+
+    postings = thin.mapInArrow(spread, "token long, key long, component long, n long")
+
+    def several(rows: DataFrame, *by: str) -> DataFrame:
+        """Groups that texts of two components share; groups of the same texts make one."""
+        groups = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+            F.bit_xor(F.xxhash64("key")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("x2"),
+            F.collect_set("class").alias("classes"))
+        groups = groups.where("lo <> hi").groupBy("size", "x1", "x2").agg(
+            F.min(F.struct(*by)).alias("by"), F.any_value("classes").alias("classes"))
+        return saved(groups.select("by.*", "size", "classes"), "groups")
+
+    # first the tokens of two components, then of these those of two components of like size: sizes
+    # whose ratio is 0.75 or more lie in the same class of ratio 4 / 3 or in neighbouring ones, so
+    # texts meet only within a run of classes that follow each other (level: its first class)
+    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(4 / 3) + 1e-9).cast("int")
+    postings = postings.withColumn("class", size_class).drop("n")
+    rows = postings.join(_small(several(postings, "token").drop("size")), "token")
+    level = F.array_max(F.filter("classes", lambda c: (c <= F.col("class")) & ~F.array_contains(F.col("classes"), c - 1)))
+    rows = saved(rows.withColumn("level", level).drop("classes"), "postings")
+    rows = rows.join(_small(several(rows, "token", "level").drop("classes")), ["token", "level"])
     # a large group is dealt to the cells of a triangle: every two of its pieces meet in one
     pieces = F.ceil(F.col("size") / GROUP).cast("int")
     mine = F.pmod(F.xxhash64("key"), pieces).cast("int")
     cells = F.transform(F.sequence(F.lit(0), pieces - 1), lambda o: F.struct(F.least(o, mine).alias("x"), F.greatest(o, mine).alias("y")))
-    rows = rows.withColumn("cell", F.explode(cells)).select("token", "cell.x", "cell.y", "key", "component")
-    # tokens that the same texts share make one group
-    rows = rows.join(reps.select("key", "n", "bits", "crowded"), "key")
+    rows = rows.withColumn("cell", F.explode(cells)).select("token", "level", "cell.x", "cell.y", "key", "component")
+    rows = rows.join(reps.select("key", "n", "held", "codes"), "key")
+
+    group = ["token", "level", "x", "y"]
 
     def run(batches):
         found = set()
-        for own in _groups(batches, ["token", "x", "y"]):
+        for own in _groups(batches, group):
             if len({r["component"] for r in own}) > 1:
+                short = [unpacked(r["codes"], r["n"]) for r in own]
+                tree = _tree(own, [np.array([r["key"] for r in own])], short)
+
                 def test(i: int, j: int) -> bool:
+                    a, b, x, y = own[i], own[j], short[i], short[j]
+                    if x.dtype != y.dtype:  # the finer codes at the coarser grain
+                        x, y = (np.unique(c.astype(np.uint16)) for c in (x, y))
+                    spare = min(int(tree.total[i]) - len(x), int(tree.total[j]) - len(y))
+                    where = np.searchsorted(y, x)
+                    where[where == len(y)] = 0
+                    if 7 * (int((y[where] == x).sum()) + spare) < 3 * (a["n"] + b["n"]):
+                        return False
                     found.add((min(own[i]["key"], own[j]["key"]), max(own[i]["key"], own[j]["key"])))
                     return False
 
-                _tree(own, [np.array([r["key"] for r in own])]).walk(test)
+                tree.walk(test)
             if len(found) > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
                 found = set()
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    group = ["token", "x", "y"]
     dealt = rows.repartition(partitions(spark), *group).sortWithinPartitions(*group, "key")
-    return dealt.select(*group, "key", "component", "n", "bits", "crowded").mapInArrow(run, "a long, b long").distinct()
+    return dealt.select(*group, "key", "component", "n", "held", "codes").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -470,10 +516,10 @@ def join(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     thin = thin.groupBy("h.j", "h.m", "component").agg(F.min("key").alias("key"))
     thin = saved(thin.withColumn("meet", F.xxhash64("j", "m")).select("meet", "key"), "meetings")
     sizes = saved(thin.groupBy("meet").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("least")).where("size > 1"), "meeting_sizes")
-    more = _small(thin.join(_small(sizes.select("meet")), "meet"))
-    more = saved(_meet(_cut(reps.join(more, "key"), sizes, "meet"), ["meet", "piece"]), "links")
-    links = links.unionByName(more)
-    reps, found = _with_component(reps.drop("component"), links)
+    more = saved(_meet(_cut(reps.join(_small(thin), "key"), sizes, "meet"), ["meet", "piece"]), "links")
+    if more.limit(1).count():
+        links = links.unionByName(more)
+        reps, found = _with_component(reps.drop("component"), links)
 
     pairs = saved(_candidates(reps), "pairs")
     last = saved(_verified(pairs, reps), "links")
@@ -481,8 +527,9 @@ def join(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
         found = saved(components(links.unionByName(last)), "components")
     # class -> component -> its smallest id
     named = classes.join(_small(found.withColumnRenamed("node", "rep")), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(_small(least), "root").select(*equal, "component_id")
+    named = saved(named, "named")
+    least = saved(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
+    named = saved(named.join(_small(least), "root").select(*equal, "component_id"), "named")
     named = _small(named.withColumnsRenamed({c: f"_{c}" for c in equal}))
     same = [sets[c] == F.col(f"_{c}") for c in equal]
     out = sets.select("id", *equal, F.col("m0").isNotNull().alias("able")).join(
