@@ -121,8 +121,9 @@ def test_a_bound_never_cuts_a_linked_pair():
             sets += [np.sort(rng.choice(base, max(1, int(len(base) * rng.uniform(0.7, 1))), replace=False)).astype(np.uint64) for _ in range(5)]
         rows = []
         for s in sets:
-            bits = signature_tree.bitmap(s, len(s))
-            rows.append({"n": len(s), "bits": bits.tobytes(), "crowded": len(s) - int(np.bitwise_count(bits).sum()), "component": len(rows)})
+            rows.append({"n": len(s), "held": len(s), "component": len(rows)})
+        short = [signature_tree.codes(s, len(s)) for s in sets]
+        assert all(np.array_equal(signature_tree.unpacked(signature_tree.packed(c), len(s)), c) for c, s in zip(short, sets))
         found = set()
 
         def test(i, j):
@@ -130,7 +131,7 @@ def test_a_bound_never_cuts_a_linked_pair():
                 found.add((min(i, j), max(i, j)))
             return False
 
-        signature_tree._tree(rows, [np.arange(len(rows))]).walk(test)
+        signature_tree._tree(rows, [np.arange(len(rows))], short).walk(test)
         want = {(i, j) for j in range(len(sets)) for i in range(j) if signature_tree.linked(sets[i], sets[j], len(sets[i]), len(sets[j]))}
         assert found == want
 
