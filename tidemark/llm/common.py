@@ -30,6 +30,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it where a table already has a column of that name."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import free, saved
 
 #: Lines shorter than this must be equal to be alike.
 LEAST = 16
@@ -81,22 +81,24 @@ def near_dropped(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: st
     """(h, g) of the distinct lines with an earlier line one edit away; needs their first places."""
     keys = distinct.select("h", "g", F.posexplode("three").alias("j", "key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    near = saved(keys.join(shared, "key", "left_semi"), "lines_near")
+    near = keys.join(shared, "key", "left_semi").groupBy("h", "g").agg(F.collect_list(F.struct("j", "key")).alias("keys"))  # 8 at most
+    near = saved(near, "lines_near")
     # their texts, from the documents that hold them first
-    places = saved(distinct.select("h", "g", "at").join(_small(near), ["h", "g"]).select("h", "g", "j", "key", "at.*"), "lines_places")
-    rows = places.groupBy("d", "t").agg(F.collect_list(F.struct("i", "h", "g", "j", "key")).alias("wanted"))  # of one document
+    places = saved(distinct.select("h", "g", "at").join(_small(near), ["h", "g"]).select("h", "g", "keys", "at.*"), "lines_places")
+    rows = places.groupBy("d", "t").agg(F.collect_list(F.struct("i", "h", "g", "keys")).alias("wanted"))  # of one document
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
     rows = _small(rows.withColumnsRenamed({"d": "_d", "t": "_t"}))
-    held = source.join(rows, source["d"].eqNullSafe(F.col("_d")) & (source["t"] == F.col("_t"))).dropDuplicates(["_d", "_t"])
+    held = source.join(rows, source["d"].eqNullSafe(F.col("_d")) & (source["t"] == F.col("_t")))
     lines = held.select("d", "t", F.split("text", "\n", -1).alias("all"), F.explode("wanted").alias("w"))
-    lines = lines.select(F.struct("d", "w.i", "t").alias("at"), "w.h", "w.g", "w.j", "w.key", normal(F.get("all", F.col("w.i"))).alias("line"))
+    lines = lines.select(F.struct("d", "w.i", "t").alias("at"), "w.h", "w.g", "w.keys", normal(F.get("all", F.col("w.i"))).alias("line"))
     lines = saved(lines, "lines_texts")
 
+    parts = lines.select("h", "g", "at", "line", F.explode("keys").alias("k")).select("h", "g", "at", "line", "k.*")
     u = F.when(F.col("j") < 4, _unit(F.length("line"))).otherwise(_unit(F.length("line") - 1))
     before, after = u * (F.col("j") % 4), u * (3 - F.col("j") % 4)
     piece = F.substring("line", before + 1, F.length("line") - before - after)
-    pieces = lines.select("h", "g", "at", "key", piece.alias("piece"))
+    pieces = parts.select("h", "g", "at", "key", piece.alias("piece"))
     n = F.length("piece")
     out_of = F.transform(F.sequence(F.lit(1), n), lambda p: F.struct(
         p.alias("p"), F.xxhash64("key", F.concat(F.left("piece", p - 1), F.right("piece", n - p))).alias("v")))
@@ -143,20 +145,22 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     A null text stays null and has no lines; a null id comes before all others.  Rows alike in id
     and text are one document: they keep the same lines.  Other columns stay as they are.  In an
-    empty table nothing happens.  Repeated lines of one document count as repeats.
+    empty table nothing happens.  Repeated lines of one document count as repeats.  Where there are
+    columns of the new ones' names already, the new ones end in ``_``.
     """
     found = saved(dropped_lines(docs, id_col, text_col), "lines_dropped")
     names = docs.columns
     text = docs[text_col].cast("string")
     found = _small(found.withColumnsRenamed({"d": "_d", "t": "_t", "lines": "_lines"}))
-    joined = docs.join(found, docs[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
+    lines = found["_lines"]
+    joined = docs.join(found, docs[id_col].eqNullSafe(found["_d"]) & (F.xxhash64(text) == found["_t"]), "left")
     all_lines = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(all_lines, lambda _, i: ~F.array_contains(F.col("_lines"), i)), "\n")
-    new = F.when(F.col("_lines").isNull(), text).otherwise(kept)
+    kept = F.array_join(F.filter(all_lines, lambda _, i: ~F.array_contains(lines, i)), "\n")
+    new = F.when(lines.isNull(), text).otherwise(kept)
     n_lines = F.coalesce(F.size(all_lines), F.lit(0)).cast("long")
-    n_dropped = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
+    n_dropped = F.coalesce(F.size(lines), F.lit(0)).cast("long")
     return joined.select(*[new.alias(c) if c == text_col else docs[c] for c in names],
-                         n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+                         n_lines.alias(free("n_lines", names)), n_dropped.alias(free("n_dropped", names)))
 
 
 def sql(table: str = "documents", extra: str = "") -> str:
