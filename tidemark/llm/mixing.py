@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions
+from tidemark.llm.common import free, partitions
 
 #: A rate above this is drawn as a sum of draws of at most this rate (their sum is Poisson too).
 STEP = 8.0
@@ -63,18 +63,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
     ``weights`` gives each source's share (scaled to sum to 1; an absent source gets none; None:
     all sources alike) of ``total`` output rows (None: as many as the input has).  A null source
     is a source of its own for equal shares.  Rows with one id (nulls too) draw the same count.
-    An empty table gives an empty table; texts aren't looked at.
+    An empty table gives an empty table; texts aren't looked at.  Where there is a column ``copy``
+    already, the new one is ``copy_``.
     """
     spark = docs.sparkSession
     table = rates(docs, weights, total, source_col)
     few = table.count() <= BROADCAST_SOURCES
-    salted = docs.withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 if few else SALTS)))
+    # the row in one column, so that no column of the table meets one of these names
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[source_col].alias("_source"), docs[id_col].alias("_id"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(1 if few else SALTS)))
     if few:
         table = F.broadcast(table.withColumn("_z", F.lit(0)))
     else:  # a hot source is spread over the salts, each with a copy of its one row of the table
         table = table.withColumn("_z", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(table, salted[source_col].eqNullSafe(table["_s"]) & (salted["_salt"] == table["_z"]))
-    key = F.col(id_col)
+    joined = salted.join(table, salted["_source"].eqNullSafe(table["_s"]) & (salted["_salt"] == table["_z"]))
+    key = F.col("_id")
 
     def drawn(cdf, draw):
         u = uniform(seed, draw, key)
@@ -84,10 +87,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
                        lambda n, k: n + drawn(F.col("_cdf"), k))
     count = drawn(F.col("_rest"), F.lit(0)) + F.when(F.col("_full") > 0, full).otherwise(0)
     counted = joined.withColumn("_count", count).where("_count > 0")
-    copies = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_count"))).alias(copy_col))
-    order = F.xxhash64(F.lit(seed), key, F.col(copy_col))
+    copies = counted.select("_row", "_id", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("_copy"))
+    order = F.xxhash64(F.lit(seed), key, F.col("_copy"))
     dealt = copies.withColumn("_order", order).repartition(partitions(spark), "_order")
-    return dealt.sortWithinPartitions("_order").drop("_order")
+    return dealt.sortWithinPartitions("_order").select("_row.*", F.col("_copy").alias(free(copy_col, docs.columns)))
 
 
 #: DuckDB: the same draws with equal shares and as many rows as the input.

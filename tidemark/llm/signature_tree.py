@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import spans
-from tidemark.llm.common import bounded_batches, partitions, saved
+from tidemark.llm.common import bounded_batches, free, partitions, saved
 from tidemark.llm.components import components
 from tidemark.llm.vectors import few_rows_a_batch
 from tidemark.llm.words import mix, shingle_hashes, utf8_buffers, word_hashes
@@ -545,7 +545,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = saved(join(docs, id_col=id_col, text_col=text_col), "components_of")
     kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept"))
     ids = _small(kept.distinct())
-    named = docs.join(ids, docs[id_col] == F.col("_kept"), "left_semi")
+    named = docs.join(ids, docs[id_col] == ids["_kept"], "left_semi")
     if kept.groupBy("_kept").count().where("count > 1").limit(1).count():
-        named = named.withColumn("_t", F.xxhash64(text_col)).dropDuplicates([id_col, "_t"]).drop("_t")
+        t = free("_t", docs.columns)
+        named = named.withColumn(t, F.xxhash64(text_col)).dropDuplicates([id_col, t]).drop(t)
     return named.unionByName(docs.where(F.col(id_col).isNull()))

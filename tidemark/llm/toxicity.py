@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import spans
-from tidemark.llm.common import bounded_batches, saved
+from tidemark.llm.common import bounded_batches, free, saved
 from tidemark.llm.words import utf8_buffers, word_hashes
 
 SLOT_BITS = 20
@@ -85,7 +85,7 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, slots: np.ndarray, e
             e = err[doc]
             dw = np.bincount(at, e, k) + decay * m.weights
             dv = np.stack([np.bincount(at, e * (sums[doc, f] - m.factors[at, f]), k) for f in range(FACTORS)], 1)
-            dv += decay * m.factors
+            dv = dv + decay * m.factors
             gw += dw * dw
             gv += dv * dv
             gb += err.sum() ** 2
@@ -120,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "tox
                     names=["y", "slots"])
 
     # the sample is bounded by its parameter, so it is the side to send to all executors
-    held = docs.join(F.broadcast(chosen), docs[id_col] == F.col("_k")).select("y", docs[text_col].cast("string").alias("t"))
+    text = docs.select(docs[id_col].alias("k"), docs[text_col].cast("string").alias("t"))
+    held = text.join(F.broadcast(chosen), F.col("k") == F.col("_k")).select("y", "t")
     rows = saved(held.mapInArrow(extract, "y int, slots array<int>"), "toxicity_terms")
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
     pos, neg = float(size.p), float(size.n - size.p)
@@ -157,7 +158,7 @@ def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None, t
     """``columns`` (None: all) of every row of ``docs`` with its ``score``.
 
     A null text scores as an empty one, by the bias alone.  Rows are independent, so repeated rows
-    score alike; columns may have any names but ``score``.
+    score alike.  Where there is a column ``score`` already, the new one is ``score_``.
     """
     bounded_batches(docs.sparkSession)
     names = docs.columns if columns is None else columns
@@ -171,4 +172,4 @@ def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None, t
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*inner, "s"])
 
     fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{fields}s double").toDF(*names, "score")
+    return rows.mapInArrow(run, f"{fields}s double").toDF(*names, free("score", names))
