@@ -74,9 +74,9 @@ def test_edges(spark):
 
 
 def test_repeated_rows_and_clashing_columns(spark):
-    docs = spark.createDataFrame([(1, "a line\nb line", 7, 8)] * 2, "doc_id long, text string, _lines int, h int").drop("_lines")
+    docs = spark.createDataFrame([(1, "a line\nb line", 7, 8)] * 2, "doc_id long, text string, _lines int, n_lines int")
     got = line_dedup.dedup(docs).collect()
-    assert [(r.text, r.h, r.n_lines, r.n_dropped) for r in got] == [("a line\nb line", 8, 2, 0)] * 2
+    assert [(r.text, r._lines, r.n_lines, r.n_lines_, r.n_dropped) for r in got] == [("a line\nb line", 7, 8, 2, 0)] * 2
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 

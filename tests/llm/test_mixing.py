@@ -58,5 +58,7 @@ def test_nulls_repeats_and_other_columns(spark):
     by = Counter((r.doc_id, r.source) for r in got)
     assert by[(None, None)] % 50 == 0 and by[(1, None)] % 2 == 0 and by[(2, "s")] % 3 == 0
     assert max(r.copy for r in got) > 1
+    clash = mixing.mix(d.withColumnRenamed("_rate", "copy").withColumn("_rate", d["doc_id"]).limit(10), total=40)
+    assert clash.columns == ["doc_id", "text", "source", "copy", "_rate", "copy_"] and clash.count() > 0
     assert mixing.mix(d.limit(0)).count() == 0
     assert Counter(r.source for r in mixing.mix(d.drop("_rate"), {"s": 1.0}, total=300).collect()).keys() <= {"s"}
