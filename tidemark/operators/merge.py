@@ -6,7 +6,8 @@ carries that order as three tag columns:
 
 * ``_source``  0 stored, 1 monthly dump, 2 daily dump (or any larger number)
 * ``_period``  the dump's period (a date), NULL for stored rows
-* ``_row``     position inside its dump or any unique order column
+* ``_part``    only of dumps: the number of the file within a dump that came in several, else 0
+* ``_row``     position inside its dump file or any unique order column
 
 The key of a row is ``(series columns..., time column)``.  Windows and joins are
 partitioned by that full key, so even a series holding a third of all rows spreads
@@ -21,8 +22,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import harmonize
 
-SOURCE, PERIOD, ROW = "_source", "_period", "_row"
-TAGS = (SOURCE, PERIOD, ROW)
+SOURCE, PERIOD, PART, ROW = "_source", "_period", "_part", "_row"
+TAGS = (SOURCE, PERIOD, PART, ROW)
 STORED, MONTHLY, DAILY = 0, 1, 2
 
 
@@ -53,8 +54,9 @@ def drop_null_time(df: DataFrame, time_col: str) -> DataFrame:
 
 
 def _first_per_key(df: DataFrame, keys: list[str], time_col: str) -> DataFrame:
+    part = [F.col(PART).asc_nulls_first()] if PART in df.columns else []
     w = Window.partitionBy(*keys, time_col).orderBy(
-        F.col(SOURCE).asc(), F.col(PERIOD).asc_nulls_first(), F.col(ROW).asc())
+        F.col(SOURCE).asc(), F.col(PERIOD).asc_nulls_first(), *part, F.col(ROW).asc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -8,7 +8,7 @@ from tidemark.operators.merge import merge_first_wins, tag
 from tidemark.operators.report import run_totals
 from tidemark.plans.catalog import query
 from tidemark.plans.sink_plans import MERGED_TEXT_SQL
-from tidemark.plans.surrogates import EXISTING_BEFORE, NEW_FROM
+from tidemark.plans.surrogates import EXISTING_BEFORE, NEW_FROM, PART_ROWS
 from tidemark.plans.surrogates import events_existing, events_new, write_event_dumps
 from tidemark.registry import KINDS_BY_NAME, KLINE_COLUMNS
 from tidemark.session import shared_dir
@@ -195,10 +195,11 @@ SELECT kind, symbol, t, CAST(min(event_id) AS VARCHAR) AS cell FROM r GROUP BY k
 UNION ALL SELECT 'spot', symbol, t, CAST(min(event_id) AS VARCHAR) FROM r WHERE kind = 'klines' GROUP BY symbol, t"""
 
 
-def kinds_landing(spark, sf_dir):
+def kinds_landing(spark, sf_dir, part_rows=PART_ROWS):
     """E as zipped dumps of three kinds (times in ms, as text, in ms); (folder, monthly manifest)."""
-    from tidemark.plans.surrogates import _once, _zip_rows, hour, ms_text, table, tree_kind
-    from tidemark.sinks.tables import write_files
+    from tidemark.plans.surrogates import (
+        _once, hour, ms_text, numbered_parts, part_suffix, table, tree_kind, write_dump_files,
+    )
 
     e = table(spark, sf_dir, "events").select(tree_kind().alias("kind"), F.col("event_type").alias("symbol"), hour().alias("t"), "event_id", "ts")
     monthly = F.col("kind") == "fundingRate"
@@ -210,19 +211,20 @@ def kinds_landing(spark, sf_dir):
         metrics = F.concat(F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit(",inner,"), cell, F.lit("," * 5))
         line = F.when(F.col("kind") == "klines", klines).when(F.col("kind") == "metrics", metrics).otherwise(
             F.concat(ms_text("t"), F.lit(","), cell, F.lit(",")))
-        files = e.withColumns({"period": period, "line": line}).groupBy("kind", "symbol", "period").agg(
-            F.array_sort(F.collect_list(F.struct("event_id", "line"))).alias("rows"))  # one dump is one file
+        lines = numbered_parts(e.withColumns({"period": period, "line": line}), ["kind", "symbol", "period"], part_rows)
+        files = lines.groupBy("kind", "symbol", "period", "part").agg(
+            F.array_sort(F.collect_list(F.struct("event_id", "line"))).alias("rows"))  # one part is one file
         name = F.when(F.col("kind") == "klines", "1h").otherwise(F.col("kind"))
         stamp = F.when(monthly, F.date_format("period", "yyyy-MM")).otherwise(F.date_format("period", "yyyy-MM-dd"))
         path = F.concat_ws("/", F.when(monthly, "monthly").otherwise("daily"), "kind", "symbol", F.when(F.col("kind") == "klines", "1h"),
-                           F.concat(F.col("symbol"), F.lit("-"), name, F.lit("-"), stamp, F.lit(".zip")))
+                           F.concat(F.col("symbol"), F.lit("-"), name, F.lit("-"), stamp, part_suffix(), F.lit(".zip")))
         text = F.concat(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"), F.lit("\n"))
         root = shared_dir(spark, "kinds_landing")
-        write_files(files.select(path.alias("path"), text.alias("content")).mapInPandas(_zip_rows, "path string, content binary"), root)
+        write_dump_files(files.select(path.alias("path"), text.alias("content"), "part"), root, True)
         return root
 
     manifest = e.where(monthly).groupBy("symbol", "kind", F.trunc("ts", "month").alias("period")).agg(F.count(F.lit(1)).alias("rows"))
-    return _once(spark, ("kinds_landing", sf_dir), make), manifest.select(
+    return _once(spark, ("kinds_landing", sf_dir, part_rows), make), manifest.select(
         "symbol", "kind", F.lit(None).cast("string").alias("interval"), F.lit("monthly").alias("freq"), "period", "rows")
 
 

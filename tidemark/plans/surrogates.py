@@ -8,8 +8,8 @@
 * D  ``documents`` as text.
 
 Writers here build the on-disk layouts the sources read (dumps, file trees, info
-files) from those tables, always with Spark; per-file groups are one series-day or one
-symbol record.
+files) from those tables, always with Spark; per-file groups are a bounded part
+of a series-day or series-month, a series of the tree, or one symbol record.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,9 @@ END = "2001-10-25"          # fixed 'end' for L: separates stale from fresh supp
 NOW = "2001-10-26 06:00:00"  # fixed 'now' for freshness checks
 
 
+#: A file of a dump holds fewer than twice as many lines.
+PART_ROWS = 20_000
+
 _FIXTURES: dict[tuple, str] = {}
 
 
@@ -175,19 +178,35 @@ def event_dump_lines(spark, sf_dir, part: DataFrame | None = None) -> DataFrame:
     return e.select("symbol", F.to_date("ts").alias("day"), "event_id", line.alias("line"))
 
 
-def dump_files(lines: DataFrame, ext: str = "csv") -> DataFrame:
-    """(symbol, day, event_id, line) -> one row per dump: relative location and CSV text.
-    Dumps of even days carry a header line."""
+def numbered_parts(lines: DataFrame, dump: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """``lines`` with ``part``, numbered from 0 within each dump: ranges of event ids that follow
+    each other, each of fewer than 2 * ``part_rows`` lines."""
+    # ids are unique, so a cell of part_rows ids holds no more lines; parts are runs of cells
+    cells = lines.withColumn("_cell", F.col("event_id") - F.pmod("event_id", F.lit(part_rows)))
+    before = Window.partitionBy(*dump).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cells.groupBy(*dump, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.select(*dump, "_cell", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / part_rows).alias("part"))
+    return cells.join(parts, [*dump, "_cell"]).drop("_cell")
+
+
+def part_suffix() -> F.Column:
+    """What the name of a part has after the dump's; the first part has the dump's own name."""
+    return F.when(F.col("part") > 0, F.concat(F.lit(".part"), F.col("part").cast("string"))).otherwise(F.lit(""))
+
+
+def dump_files(lines: DataFrame, ext: str = "csv", part_rows: int = PART_ROWS) -> DataFrame:
+    """(symbol, day, event_id, line) -> one row per file of a dump: relative location, CSV text
+    and part number.  Files of even days carry a header line."""
     from tidemark.registry import KLINE_COLUMNS
 
-    grouped = lines.groupBy("symbol", "day").agg(
+    grouped = numbered_parts(lines, ["symbol", "day"], part_rows).groupBy("symbol", "day", "part").agg(
         F.array_sort(F.collect_list(F.struct("event_id", "line"))).alias("rows"))
     body = F.array_join(F.transform("rows", lambda r: r["line"]), "\n")
     header = F.lit(",".join(KLINE_COLUMNS) + "\n")
     text = F.concat(F.when(F.dayofmonth("day") % 2 == 0, header).otherwise(F.lit("")), body, F.lit("\n"))
     loc = F.concat_ws("/", F.lit("daily"), F.lit("klines"), "symbol", F.lit("1h"),
                       F.concat_ws("-", "symbol", F.lit("1h"), F.date_format("day", "yyyy-MM-dd")))
-    return grouped.select(F.concat(loc, F.lit("." + ext)).alias("path"), text.alias("content"))
+    return grouped.select(F.concat(loc, part_suffix(), F.lit("." + ext)).alias("path"), text.alias("content"), "part")
 
 
 def _zip_rows(batches):
@@ -198,7 +217,16 @@ def _zip_rows(batches):
             with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr(path.rsplit("/", 1)[-1][:-4] + ".csv", text)
             out.append(buf.getvalue())
-        yield pd.DataFrame({"path": pdf["path"], "content": out})
+        yield pd.DataFrame({"path": pdf["path"], "content": out, "part": pdf["part"]})
+
+
+def write_dump_files(files: DataFrame, root: str, zipped: bool) -> None:
+    """(path, content, part) -> files under ``root``, a dump's parts with times in their order."""
+    # few files to a batch, as in zip_files
+    files.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    if zipped:
+        files = files.mapInPandas(_zip_rows, "path string, content binary, part long")
+    write_files(files, root, order_col="part")
 
 
 def write_event_dumps(spark, sf_dir, zipped: bool = False, part: DataFrame | None = None,
@@ -207,12 +235,9 @@ def write_event_dumps(spark, sf_dir, zipped: bool = False, part: DataFrame | Non
                  lambda: _write_event_dumps(spark, sf_dir, zipped, part))
 
 
-def _write_event_dumps(spark, sf_dir, zipped: bool, part: DataFrame | None) -> str:
+def _write_event_dumps(spark, sf_dir, zipped: bool, part: DataFrame | None, part_rows: int = PART_ROWS) -> str:
     root = shared_dir(spark, "landing")
-    files = dump_files(event_dump_lines(spark, sf_dir, part), "zip" if zipped else "csv")
-    if zipped:
-        files = files.mapInPandas(_zip_rows, "path string, content binary")
-    write_files(files, root)
+    write_dump_files(dump_files(event_dump_lines(spark, sf_dir, part), "zip" if zipped else "csv", part_rows), root, zipped)
     return root
 
 

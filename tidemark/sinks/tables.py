@@ -106,27 +106,32 @@ def _local(path: str) -> str:
     return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
 
 
-def write_files(df: DataFrame, root: str, path_col: str = "path", content_col: str = "content") -> int:
+def write_files(df: DataFrame, root: str, path_col: str = "path", content_col: str = "content",
+                order_col: str | None = None) -> int:
     """Write each row's ``content`` (text or bytes) to ``root/<path>`` from the executors.
 
     For the per-file layouts of the source dataset (``SYM/SYM_info.json``, zip dumps,
     a legacy ``_index.json``).  ``root`` must be a folder every executor mounts (the
-    shared checkpoint folder is one).  Returns the number of files written.
+    shared checkpoint folder is one).  A file of larger ``order_col`` (a number from 0) gets a
+    later modification time, whenever its task runs: streams take files in that order.
+    Returns the number of files written.
     """
-    base = _local(root).rstrip("/")
+    base, start = _local(root).rstrip("/"), time.time_ns()
 
     def _write(batches):
         for pdf in batches:
             n = 0
-            for rel, content in zip(pdf[path_col], pdf[content_col]):
+            for rel, content, order in zip(pdf[path_col], pdf[content_col], pdf[order_col] if order_col else [None] * len(pdf)):
                 target = os.path.join(base, rel)
                 os.makedirs(os.path.dirname(target), exist_ok=True)
                 data = content.encode("utf-8") if isinstance(content, str) else bytes(content)
                 tmp = target + ".tmp"
                 with open(tmp, "wb") as f:
                     f.write(data)
+                if order is not None:
+                    os.utime(tmp, ns=(start + int(order) * 1_000_000,) * 2)
                 os.replace(tmp, target)  # a retried task overwrites, never half-writes
                 n += 1
             yield pd.DataFrame({"n": [n]})
 
-    return int(df.select(path_col, content_col).mapInPandas(_write, "n long").agg(F.sum("n")).first()[0] or 0)
+    return int(df.select(path_col, content_col, *([order_col] if order_col else [])).mapInPandas(_write, "n long").agg(F.sum("n")).first()[0] or 0)

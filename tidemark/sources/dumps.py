@@ -2,9 +2,10 @@
 
 Every cell stays exact text (``1.50000000`` survives); NA spellings become NULL; a first
 row that repeats the first column name is a header and is dropped.  Each row carries
-the first-wins order tags (``_source`` 1 monthly / 2 daily, ``_period`` from the file
-name, ``_row`` its position in the dump) and its series from the dump location
-``{freq}/{segment}/{SYM}[/{interval}]/{name}-{stamp}.{zip|csv}``.
+the first-wins order tags (``_source`` 1 monthly / 2 daily, ``_period`` and ``_part`` from
+the file name, ``_row`` its position in the file) and its series from the dump location
+``{freq}/{segment}/{SYM}[/{interval}]/{name}-{stamp}[.part{n}].{zip|csv}``.  A dump of many
+rows may come in several files: the first without a part number, the others numbered from 1.
 """
 
 from __future__ import annotations
@@ -20,14 +21,19 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import na_to_null
 from tidemark.functions.times import normalize_times
-from tidemark.operators.merge import DAILY, MONTHLY, PERIOD, ROW, SOURCE
+from tidemark.operators.merge import DAILY, MONTHLY, PART, PERIOD, ROW, SOURCE
 from tidemark.registry import FUTURES_KINDS, Kind, dump_schema
 
-_LOCATION = r"(monthly|daily)/([^/]+)/([^/]+)/(?:([^/]+)/)?[^/]+-(\d{4}-\d{2}(?:-\d{2})?)\.(?:zip|csv)$"
+_LOCATION = r"(monthly|daily)/([^/]+)/([^/]+)/(?:([^/]+)/)?[^/]+-(\d{4}-\d{2}(?:-\d{2})?)(?:\.part(\d+))?\.(?:zip|csv)$"
+
+
+def whole_dump(path: Column) -> Column:
+    """The path of the dump that a file is a part of."""
+    return F.regexp_replace(path, r"\.part\d+(\.(?:zip|csv))$", "$1")
 
 
 def parse_dump_location(path: Column) -> dict[str, Column]:
-    """Inverse of PRJ-3: freq, kind, symbol, interval and period of a dump path."""
+    """Inverse of PRJ-3: freq, kind, symbol, interval, period and part number of a dump path."""
     seg_to_kind = F.create_map(*[x for k in FUTURES_KINDS for x in (F.lit(k.segment), F.lit(k.name))])
     freq = F.regexp_extract(path, _LOCATION, 1)
     stamp = F.regexp_extract(path, _LOCATION, 5)
@@ -39,6 +45,7 @@ def parse_dump_location(path: Column) -> dict[str, Column]:
         "interval": F.when(itv != "", itv),
         "period": F.when(F.length(stamp) == 7, F.to_date(F.concat(stamp, F.lit("-01"))))
                    .when(F.length(stamp) == 10, F.to_date(stamp)),
+        "part": F.coalesce(F.regexp_extract(path, _LOCATION, 6).try_cast("long"), F.lit(0).cast("long")),
     }
 
 
@@ -46,6 +53,7 @@ def _tags(loc: dict[str, Column], row: Column) -> dict[str, Column]:
     return {
         SOURCE: F.when(loc["freq"] == "daily", F.lit(DAILY)).otherwise(F.lit(MONTHLY)).cast(T.IntegerType()),
         PERIOD: loc["period"],
+        PART: loc["part"],
         ROW: row.cast(T.LongType()),
     }
 

@@ -22,7 +22,7 @@ from tidemark.functions.paths import series_path
 from tidemark.functions.text import na_to_null
 from tidemark.functions.times import normalize_times
 from tidemark.operators.index import latest_time
-from tidemark.operators.merge import PERIOD, ROW, SOURCE, drop_null_time, new_rows_only
+from tidemark.operators.merge import PART, PERIOD, ROW, SOURCE, drop_null_time, new_rows_only
 from tidemark.registry import FUTURES_KINDS, Kind, dump_schema, series_schema
 from tidemark.session import checkpoint_root
 from tidemark.sinks.tables import append_series
@@ -73,7 +73,7 @@ def landing_stream(spark: SparkSession, landing: str, k: Kind, max_files_per_tri
         rows = normalize_times(raw, k.ms_time_cols, text_cols).withColumns({ROW: F.lit(None).cast("long"), "_error": F.lit(None).cast("string")})
     loc = parse_dump_location(F.col("_file"))
     # a metrics dump has a symbol column of its own; the dump's location names the series
-    return rows.withColumns({n: loc[n] for n in ("symbol", "kind", "interval", "freq", "period")})
+    return rows.withColumns({n: loc[n] for n in ("symbol", "kind", "interval", "freq", "period", "part")})
 
 
 def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> DataFrame:
@@ -126,8 +126,9 @@ def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, batch_i
         rows = batch.where(F.col("_error").isNull()).withColumns({
             SOURCE: F.when(F.col("freq") == "daily", F.lit(2)).otherwise(F.lit(1)),
             PERIOD: F.col("period"),
+            PART: F.col("part"),
             ROW: F.coalesce(F.col(ROW), F.monotonically_increasing_id()),
-        }).drop("freq", "period", "_file", "_error")
+        }).drop("freq", "period", "part", "_file", "_error")
         _, latest = upsert(spark, rows, store, k)
         # the index is a log of stored maxima: appending never rewrites earlier entries
         latest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
