@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by cosine: an adaptive dimension scan of inverted lists.
 
 Unit vectors are rotated by a random orthogonal matrix and dealt to lists by their nearest
-centroid.  A query looks into its nearest lists.  There the dimensions are read a block of
+centroid.  A query looks into its nearest lists: as many as a sample says, and on until they hold
+k + 1 rows, so that it gets k whenever there are k others.  There the dimensions are read a block of
 columns at a time: after d of D rotated dimensions the squared distance is about D / d times the
 partial one, and a candidate is given up when the partial distance rejects, at the confidence set
 by ``epsilon``, the hypothesis that its distance is below the query's k-th so far.  What is left
@@ -78,7 +79,9 @@ def scan_block(q: np.ndarray, q_given: np.ndarray, x: np.ndarray, x_given: np.nd
     alive = np.ones(row.shape, bool)
     partial = np.zeros(row.shape)
     read = 0
-    worst = 2.0 - 2.0 * np.maximum(top.least(), -1.0)  # squared distance of the k-th
+    least = top.least()
+    # squared distance of the k-th; nothing is given up before there is one
+    worst = np.where(least > -np.inf, 2.0 - 2.0 * np.maximum(least, -1.0), np.inf)
     for d in range(0, dims, STEP):
         seen = min(d + STEP, dims)
         if alive.mean() > 0.25:  # most are there: whole column blocks
@@ -109,8 +112,16 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def _assign(rows: DataFrame, key: str, centroids: np.ndarray, n: int) -> DataFrame:
-    """(key, v, list): each row with its ``n`` nearest lists."""
+def enough_lists(s: np.ndarray, n: int, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+    """Of each row of similarities to the lists the ``n`` nearest, and more until they hold ``least`` rows."""
+    order = np.argsort(-s, axis=1, kind="stable")
+    short = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1)
+    return [o[:max(n, m + 1)] for o, m in zip(order, short)]
+
+
+def _assign(rows: DataFrame, key: str, centroids: np.ndarray, n: int, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """(key, v, list): each row with its ``n`` nearest lists; given the lists' ``sizes``, with as
+    many as hold ``least`` rows."""
     bounded_batches(rows.sparkSession)
 
     def run(batches):
@@ -119,8 +130,11 @@ def _assign(rows: DataFrame, key: str, centroids: np.ndarray, n: int) -> DataFra
                 continue
             x = unit(np.stack([v.values.to_numpy() for v in batch.column(1)]))
             s = x @ centroids.T
-            near = np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(centroids) else np.broadcast_to(np.arange(n), s.shape)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(near.astype(np.int64)), pa.list_(pa.int64()))],
+            if sizes is not None:
+                near = enough_lists(s, n, sizes, least)
+            else:
+                near = np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(centroids) else np.broadcast_to(np.arange(n), s.shape)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.astype(np.int64) for x in near], pa.list_(pa.int64()))],
                                              names=["key", "v", "lists"])
 
     out = rows.select(F.col(key).alias("key"), "v").mapInArrow(run, "key long, v array<double>, lists array<long>")
@@ -151,10 +165,13 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
 
     indexed = saved(_assign(cand, "id", centroids, 1), "lists")
     # long lists are cut into blocks by a hash of the id; there are at most MAX_LISTS counts
-    pieces = {r.list: math.ceil(r["count"] / list_block) for r in indexed.groupBy("list").count().collect()}
+    counts = {r.list: r["count"] for r in indexed.groupBy("list").count().collect()}
+    pieces = {i: math.ceil(c / list_block) for i, c in counts.items()}
+    sizes = np.array([counts.get(i, 0) for i in range(len(centroids))])
     cut = F.element_at(F.create_map(*[F.lit(int(y)) for kv in (pieces or {0: 1}).items() for y in kv]).cast("map<long,long>"), F.col("list"))
     held = blocks(indexed.withColumn("piece", F.pmod(F.xxhash64("id"), cut)), ["list", "piece"], {"id": "int64", "v": "float64"})
-    looked = _assign(asked, "class", centroids, n_probe)
+    # a query may find itself in its lists
+    looked = _assign(asked, "class", centroids, n_probe, sizes, k + 1)
     groups = max(1, math.ceil(asked.count() / query_block))
     looking = blocks(looked.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(groups)).cast("long")), ["list", "part"],
                      {"class": "int64", "v": "float64"}).select("list", "part", "class", F.col("v").alias("q"))
