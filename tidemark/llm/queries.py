@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, language, line_dedup, mixing, records, secrets, signature_tree, toxicity
+from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, language, line_dedup, mixing, records, secrets, signature_tree, spelling, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -91,6 +91,11 @@ def op5_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.join(table(spark, sf_dir, "documents"))
 
 
+@query("op11_spelling_fm")
+def op11_spelling_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 @query("op12_language_id")
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
