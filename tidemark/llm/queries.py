@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import adscan, balltree, bpe_matrix, interpolation, language, line_dedup, mixing, records, secrets, signature_tree, spelling, toxicity
+from tidemark.llm import adscan, alignment, balltree, bpe_matrix, interpolation, language, line_dedup, mixing, records, secrets, signature_tree, spelling, toxicity
 from tidemark.llm.common import crc_of_id, table
 from tidemark.session import shared_dir
 
@@ -104,6 +104,12 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
