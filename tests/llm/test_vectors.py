@@ -66,15 +66,54 @@ def test_bounds_save_work_and_lose_nothing():
     x = np.floor(256 * (rng.normal(size=(2000, 8)) + 6 * rng.normal(size=(20, 8))[rng.randint(20, size=2000)])).astype(np.int64)
     order, *tree = balltree.build(x.astype(float))
     q = x[:40]
-    top = Top(40, 5)
+    top = Top(40, 5, kind=np.int64)
     scored = balltree.walk(q, top, tree, x[order], order)
     s = q @ x.T
     assert np.array_equal(top.score, -np.sort(-s, axis=1)[:, :5]) and scored < 0.5 * s.size
 
 
 def test_products_beyond_doubles_are_exact():
-    a = np.array([[2**40 + 1, 3]])
-    assert balltree.products(a, a)[0, 0] == (2**40 + 1) ** 2 + 9
+    a = np.array([[2**30 + 1, 3]])
+    assert balltree.products(a, a)[0, 0] == (2**30 + 1) ** 2 + 9
+    b = np.array([[2**40 + 1, -(2**40)], [2**40, 2**40]])
+    assert balltree.products(b, b[:1])[:, 0].tolist() == [balltree.HIGH, 2**40]
+    assert balltree.products(-b[1:], b[1:]).tolist() == [[balltree.LOW]]
+
+
+DOUBLES = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+
+def test_integer_scores_beyond_doubles(spark):
+    """Scores that differ in their last digits above 2**53 keep their values and their order."""
+    rows = [(0, [2.0**20 + 1 / 256, 2.0**20 + 3 / 256])] + [(i, [2.0**20 + (1 + i % 5) / 256, 2.0**20 + (3 + i % 3) / 256]) for i in range(1, 40)]
+    got = results(balltree.search(spark.createDataFrame(rows, DOUBLES), shard_rows=7))
+    whole = {i: [int(256 * x) for x in v] for i, v in rows}
+    want = sorted(((-sum(a * b for a, b in zip(whole[0], v)), i) for i, v in whole.items() if i))[:5]
+    assert got == {0: [(i, -s) for s, i in want]}
+    assert got[0][0][1] > 2**53
+
+
+def test_saturating_scores(spark):
+    """Beyond long a score is the largest or least long, and ranks as that, ties to the smaller id."""
+    rows = [(0, [1e15, 1.0])] + [(i, [(-1) ** i * 1e15, float(i)]) for i in range(1, 20)] + [(20, [1.0, 1.0])]
+    got = results(balltree.search(spark.createDataFrame(rows, DOUBLES), k=19, shard_rows=4))[0]
+    assert [i for i, _ in got] == [*range(2, 20, 2), 20, *range(1, 18, 2)]
+    assert got[0][1] == balltree.HIGH and got[-1][1] == balltree.LOW
+
+
+SIZES = [1e-200, 1e200, 1e-320, 1e308, 1.0, 3e-160]
+
+
+def test_cosine_of_extreme_components(spark):
+    """Squares of components under- or overflow; the cosine doesn't."""
+    base = [(1.0, 2.0), (1.0, 1.0), (-1.0, 0.5), (2.0, 0.0), (0.25, 0.5), (1.0, -1.0)]
+    rows = [(50 * i, [0.5 * x * SIZES[i], 0.5 * y * SIZES[i]]) for i, (x, y) in enumerate(base)]
+    got = results(adscan.search(spark.createDataFrame(rows, DOUBLES)))
+    assert len(got) == 6 and all(len(v) == 5 for v in got.values())
+    for q, found in got.items():
+        for i, s in found:
+            a, b = np.array(base[q // 50]), np.array(base[i // 50])
+            assert s == pytest.approx(cosine(a, b), abs=1e-3 if 100 in (q, i) else 1e-12)
 
 
 def test_adaptive_scan_finds_the_nearest(spark):

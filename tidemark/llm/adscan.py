@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, partitions, saved
-from tidemark.llm.vectors import Top, answers, blocks, candidates, few_rows_a_batch, query_classes, valid
+from tidemark.llm.common import batch_limits, partitions, saved
+from tidemark.llm.vectors import FEW, Top, answers, blocks, candidates, query_classes, valid
 
 #: Column block of the scan.
 STEP = 8
@@ -34,9 +34,15 @@ def rotation(dims: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two (exactly) that bring their largest component between 1/2 and 1."""
+    power = np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]
+    # in two steps: the power itself may be beyond a double
+    return np.ldexp(np.ldexp(x, -(power // 2)), -(power - power // 2))
+
+
 def unit(x: np.ndarray) -> np.ndarray:
-    big = np.abs(x).max(axis=1, keepdims=True)
-    x = x / np.where(big > 0, big, 1)
+    x = scaled(x)
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
@@ -108,7 +114,10 @@ def scan_block(q: np.ndarray, q_given: np.ndarray, x: np.ndarray, x_given: np.nd
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision."""
+    """Row by row, in double precision; no square under- or overflows."""
+    if not len(a):
+        return np.zeros(0)
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
@@ -119,10 +128,10 @@ def enough_lists(s: np.ndarray, n: int, sizes: np.ndarray, least: int) -> list[n
     return [o[:max(n, m + 1)] for o, m in zip(order, short)]
 
 
-def _assign(rows: DataFrame, key: str, centroids: np.ndarray, n: int, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
-    """(key, v, list): each row with its ``n`` nearest lists; given the lists' ``sizes``, with as
-    many as hold ``least`` rows."""
-    bounded_batches(rows.sparkSession)
+def _assign(rows: DataFrame, key: str, centroids: np.ndarray, turn: np.ndarray, n: int, sizes: np.ndarray | None = None,
+            least: int = 0) -> DataFrame:
+    """(key, v, r, list): each row, its rotated unit vector and its ``n`` nearest lists; given the
+    lists' ``sizes``, as many as hold ``least`` rows."""
 
     def run(batches):
         for batch in batches:
@@ -134,11 +143,12 @@ def _assign(rows: DataFrame, key: str, centroids: np.ndarray, n: int, sizes: np.
                 near = enough_lists(s, n, sizes, least)
             else:
                 near = np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(centroids) else np.broadcast_to(np.arange(n), s.shape)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.astype(np.int64) for x in near], pa.list_(pa.int64()))],
-                                             names=["key", "v", "lists"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(x @ turn), pa.list_(pa.float64())),
+                                              pa.array([x.astype(np.int64) for x in near], pa.list_(pa.int64()))],
+                                             names=["key", "v", "r", "lists"])
 
-    out = rows.select(F.col(key).alias("key"), "v").mapInArrow(run, "key long, v array<double>, lists array<long>")
-    return out.select(F.col("key").alias(key), "v", F.explode("lists").alias("list"))
+    out = rows.select(F.col(key).alias("key"), "v").mapInArrow(run, "key long, v array<double>, r array<double>, lists array<long>")
+    return out.select(F.col("key").alias(key), "v", "r", F.explode("lists").alias("list"))
 
 
 def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0.97, epsilon: float = 2.1,
@@ -155,26 +165,29 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
     cand = candidates(rows, k)
     asked, members = query_classes(rows, every)
     n = cand.count()
-    picked = cand.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(sample).select("v").collect()
-    x = unit(np.array([r.v for r in picked])) if picked else np.zeros((0, 1))
+    picked = cand.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(sample).select("v").toArrow().column("v").combine_chunks()
+    x = unit(picked.flatten().to_numpy().reshape(len(picked), -1)) if len(picked) else np.zeros((0, 1))
     dims = x.shape[1]
     lists = max(1, min(MAX_LISTS, math.isqrt(n), len(x) // 8))
     centroids = fit_centroids(x, lists, seed) if len(x) else np.zeros((1, 1))
     n_probe = lists_needed(x, centroids, k, recall)
     turn = rotation(dims, seed)
 
-    indexed = saved(_assign(cand, "id", centroids, 1), "lists")
+    with batch_limits(spark):
+        indexed = saved(_assign(cand, "id", centroids, turn, 1), "lists")
     # long lists are cut into blocks by a hash of the id; there are at most MAX_LISTS counts
     counts = {r.list: r["count"] for r in indexed.groupBy("list").count().collect()}
     pieces = {i: math.ceil(c / list_block) for i, c in counts.items()}
     sizes = np.array([counts.get(i, 0) for i in range(len(centroids))])
     cut = F.element_at(F.create_map(*[F.lit(int(y)) for kv in (pieces or {0: 1}).items() for y in kv]).cast("map<long,long>"), F.col("list"))
-    held = blocks(indexed.withColumn("piece", F.pmod(F.xxhash64("id"), cut)), ["list", "piece"], {"id": "int64", "v": "float64"})
+    held = blocks(indexed.withColumn("piece", F.pmod(F.xxhash64("id"), cut)), ["list", "piece"],
+                  {"id": "int64", "v": "float64", "r": "float64"})
     # a query may find itself in its lists
-    looked = _assign(asked, "class", centroids, n_probe, sizes, k + 1)
+    looked = _assign(asked, "class", centroids, turn, n_probe, sizes, k + 1)
     groups = max(1, math.ceil(asked.count() / query_block))
     looking = blocks(looked.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(groups)).cast("long")), ["list", "part"],
-                     {"class": "int64", "v": "float64"}).select("list", "part", "class", F.col("v").alias("q"))
+                     {"class": "int64", "v": "float64", "r": "float64"}).select("list", "part", "class", F.col("v").alias("q"),
+                                                                                F.col("r").alias("q_turned"))
     # the queries that look into a list meet its blocks; the parts stay together so that a task
     # knows the k-th distances of the queries it has met
     p = partitions(spark)
@@ -204,13 +217,14 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
                 for i, c in enumerate(classes.tolist()):
                     if c in best_of:
                         top.score[i], top.id[i] = best_of[c].score[0], best_of[c].id[0]
-                scan_block(unit(q) @ turn, q, unit(v) @ turn, v, ids, top, epsilon)
+                scan_block(np.frombuffer(r["q_turned"]).reshape(q.shape), q, np.frombuffer(r["r"]).reshape(v.shape), v, ids, top, epsilon)
                 for i, c in enumerate(classes.tolist()):
                     mine = best_of.setdefault(c, Top(1, k + 1))
                     mine.score[0], mine.id[0] = top.score[i], top.id[i]
         if best_of:
             yield out()
 
-    few_rows_a_batch(spark)
-    found = pairs.select("part", "lane", "class", "q", "id", "v").mapInArrow(run, "class long, vec_id long, score double")
+    found = pairs.select("part", "lane", "class", "q", "q_turned", "id", "v", "r").mapInArrow(run, "class long, vec_id long, score double")
+    with batch_limits(spark, FEW):
+        found = saved(found, "nearest")
     return answers(found, members, k)

@@ -13,14 +13,15 @@ the others.
 from __future__ import annotations
 
 import math
+import operator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, saved
-from tidemark.llm.vectors import Top, answers, best, blocks, candidates, few_rows_a_batch, query_classes, valid
+from tidemark.llm.common import batch_limits, partitions, saved
+from tidemark.llm.vectors import FEW, Top, answers, best, blocks, candidates, query_classes, valid
 
 LEAF = 64
 
@@ -58,15 +59,31 @@ def build(matrix: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray,
             np.array(radii))
 
 
+#: Scores beyond these saturate, and rank as what they saturate to.
+HIGH = np.iinfo(np.int64).max
+LOW = -HIGH
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(abs(int(x.max())), abs(int(x.min()))) if x.size else 0
+
+
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products, through doubles only where these are exact."""
-    if not q.size or not x.size or float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] < 2.0**53:
-        return q.astype(float) @ x.T.astype(float)
-    return np.array([[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x.tolist()] for u in q.tolist()], dtype=object)
+    """Exact integer inner products of int64 vectors; through doubles only where these are exact,
+    as Python's integers where a sum could leave int64 (then between LOW and HIGH)."""
+    most = _largest(q) * _largest(x) * q.shape[1]
+    if most < 1 << 53:
+        return (q.astype(float) @ x.T.astype(float)).astype(np.int64)
+    if most < 1 << 63:
+        return q @ x.T
+    exact = [[sum(map(operator.mul, u, v)) for v in x.tolist()] for u in q.tolist()]
+    return np.array([[min(max(s, LOW), HIGH) for s in line] for line in exact], np.int64).reshape(len(q), len(x))
 
 
 def walk(q: np.ndarray, top: Top, tree: tuple, matrix: np.ndarray, ids: np.ndarray) -> int:
-    """Search one tree for a block of queries; returns the leaf rows that were scored."""
+    """Search one tree for a block of queries; returns the leaf rows that were scored.
+
+    Bounds are doubles with a margin for their rounding; scores stay integers."""
     nodes, centres, radii = tree
     if not len(nodes):
         return 0
@@ -82,14 +99,16 @@ def walk(q: np.ndarray, top: Top, tree: tuple, matrix: np.ndarray, ids: np.ndarr
     stack = [(0, every, bound(0, every))]
     while stack:
         at, rows, limit = stack.pop()
-        alive = limit >= top.least()[rows]
+        least = top.least()[rows]
+        # a score that saturates at the low end is no bound of what is below
+        alive = (limit >= least) | (least <= float(LOW))
         rows = rows[alive]
         if not len(rows):
             continue
         a, b, left, right = nodes[at]
         if left < 0:
             s = products(q[rows], matrix[a:b])
-            top.add(rows, s.astype(float), np.broadcast_to(ids[a:b], s.shape))
+            top.add(rows, s, np.broadcast_to(ids[a:b], s.shape))
             scored += s.size
             continue
         two = sorted(((c, bound(c, rows)) for c in (left, right)), key=lambda x: x[1].mean())
@@ -114,12 +133,16 @@ def _trees(rows: DataFrame, dims: int) -> DataFrame:
 def _search(trees: DataFrame, asked: DataFrame, k: int, n_blocks: int, dims: int) -> DataFrame:
     """(class, vec_id, score): the best k + 1 of every query within each lane of shards."""
     spark = trees.sparkSession
-    few_rows_a_batch(spark)
     p = partitions(spark)
     lanes = max(1, p // n_blocks)
-    # every query block meets every shard: the stated query set against all rows, in blocks
-    pairs = trees.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(
-        asked, "block").withColumn("lane", F.col("shard") % lanes)
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    # every query block meets every shard: the stated query set against all rows, in blocks; a key of
+    # the join is a block and a lane, so that no task gets all shards
+    dealt = trees.withColumn("lane", F.col("shard") % lanes).withColumn("block", each(n_blocks))
+    pairs = dealt.join(asked.withColumn("lane", each(lanes)), ["block", "lane"])
     pairs = pairs.repartition(p, "block", "lane").sortWithinPartitions("block", "lane", "shard")
 
     def rows(batches):
@@ -130,9 +153,9 @@ def _search(trees: DataFrame, asked: DataFrame, k: int, n_blocks: int, dims: int
         current, top, classes, q = None, None, None, None
 
         def out():
-            hit = np.isfinite(top.score)
+            hit = top.found()
             who = np.broadcast_to(classes[:, None], hit.shape)[hit]
-            return pa.RecordBatch.from_arrays([pa.array(who), pa.array(top.id[hit]), pa.array(top.score[hit].astype(np.int64))],
+            return pa.RecordBatch.from_arrays([pa.array(who), pa.array(top.id[hit]), pa.array(top.score[hit])],
                                               names=["class", "vec_id", "score"])
 
         for r in rows(batches):
@@ -143,7 +166,7 @@ def _search(trees: DataFrame, asked: DataFrame, k: int, n_blocks: int, dims: int
                 current = key
                 classes = np.frombuffer(r["class"], np.int64)
                 q = np.frombuffer(r["v"], np.int64).reshape(len(classes), dims)
-                top = Top(len(classes), k + 1, np.frombuffer(r["least"]))
+                top = Top(len(classes), k + 1, np.frombuffer(r["least"]), np.int64)
             nodes = np.frombuffer(r["nodes"], np.int64).reshape(-1, 4)
             tree = nodes, np.frombuffer(r["centres"]).reshape(len(nodes), dims), np.frombuffer(r["radii"])
             ids = np.frombuffer(r["ids"], np.int64)
@@ -151,8 +174,10 @@ def _search(trees: DataFrame, asked: DataFrame, k: int, n_blocks: int, dims: int
         if current is not None:
             yield out()
 
-    return pairs.select("block", "lane", "class", "v", "least", "ids", "x", "nodes", "centres", "radii").mapInArrow(
+    found = pairs.select("block", "lane", "class", "v", "least", "ids", "x", "nodes", "centres", "radii").mapInArrow(
         run, "class long, vec_id long, score long")
+    with batch_limits(spark, FEW):
+        return saved(found, "found")
 
 
 def search(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = 256, shard_rows: int = 4096,
@@ -161,7 +186,8 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = 256,
 
     Components become floor(scale * x).  Queries are the rows whose id is divisible by ``every``,
     candidates all rows but the query's own; ties go to the smaller id.  No valid vector, or no
-    query, gives an empty table; fewer than k candidates are all returned.
+    query, gives an empty table; fewer than k candidates are all returned.  Scores are exact; a
+    component beyond int64 saturates, and so does a score, which then ranks as that.
     """
     value = F.transform("v", lambda x: F.floor(F.lit(float(scale)) * x).cast("long"))
     rows = valid(embeddings, value, id_col, vec_col)
@@ -176,8 +202,8 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = 256,
         return F.pmod(F.xxhash64(F.lit(3), col), F.lit(count)).cast("long")
 
     dealt = blocks(cand.withColumn("shard", bucket("id", shards)), ["shard"], {"id": "int64", "v": "int64"})
-    few_rows_a_batch(cand.sparkSession)
-    trees = saved(_trees(dealt.select("shard", "id", "v"), dims), "trees")
+    with batch_limits(cand.sparkSession, FEW):
+        trees = saved(_trees(dealt.select("shard", "id", "v"), dims), "trees")
 
     def ask(bounds: DataFrame | None) -> DataFrame:
         q = asked.withColumn("block", bucket("class", n_blocks))

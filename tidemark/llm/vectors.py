@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BATCH_BYTES, saved
+from tidemark.llm.common import saved
 
 SALTS = 16
 
@@ -87,29 +87,35 @@ def blocks(rows: DataFrame, group: list[str], columns: dict[str, str]) -> DataFr
     return rows.select(*group, *columns).groupBy(*group).applyInArrow(run, fields)
 
 
-def few_rows_a_batch(spark: SparkSession) -> None:
-    """For rows that hold whole blocks: a Python task gets a few of them at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+#: Rows of a batch where each holds a whole block.
+FEW = 4
 
 
 class Top:
-    """The best ``k`` (score, id) of each of some queries, kept while candidates stream by."""
+    """The best ``k`` (score, id) of each of some queries, kept while candidates stream by.
 
-    def __init__(self, n: int, k: int, bound: np.ndarray | None = None):
-        self.score = np.full((n, k), -np.inf)
+    Scores are doubles, or exact integers (``kind`` int64); ``none`` stands where there is no row.
+    """
+
+    def __init__(self, n: int, k: int, bound: np.ndarray | None = None, kind=np.float64):
+        self.none = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+        self.score = np.full((n, k), self.none, kind)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
         self.floor = np.full(n, -np.inf) if bound is None else bound.astype(float)
 
+    def found(self) -> np.ndarray:
+        return self.score > self.none
+
     def least(self) -> np.ndarray:
         """Scores below these can't be among the best any more."""
-        return np.maximum(self.score[:, -1], self.floor)
+        return np.maximum(np.where(self.score[:, -1] > self.none, self.score[:, -1], -np.inf), self.floor)
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        """Candidates of some rows: matrices with a line for each (-inf: none)."""
+        """Candidates of some rows: matrices with a line for each (``none``: no candidate)."""
         k = self.score.shape[1]
         s = np.concatenate([self.score[rows], score], axis=1)
         i = np.concatenate([self.id[rows], ids], axis=1)
-        order = np.lexsort((i, -s), axis=1)[:, :k]
+        # of integers the complement sorts the other way round, without an overflow
+        order = np.lexsort((i, ~s if s.dtype == np.int64 else -s), axis=1)[:, :k]
         self.score[rows] = np.take_along_axis(s, order, 1)
         self.id[rows] = np.take_along_axis(i, order, 1)
