@@ -15,9 +15,7 @@ VOCABULARY = P.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def ids_of(library, text):
@@ -80,6 +78,31 @@ def test_many_files_for_one_partition(spark, monkeypatch):
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
 
 
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    """Many long texts make many files, each of few bytes unless one record alone has more."""
+    monkeypatch.setattr(records, "BYTES_PER_FILE", 5000)
+    rows = [(i, "long text here " * (20 if i % 7 else 4000)) for i in range(60)]
+    path = shared_dir(spark, "t_records")
+    records.write(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, VOCABULARY)
+    got = records.with_start(records.scan(spark, path), records.index(spark, path)).orderBy("start").collect()
+    assert [r.id for r in got] == list(range(60))
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/data").select("length").collect()
+    assert len(sizes) > 8 and sum(r.length > 5000 for r in sizes) == 9
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|>", "x<|endoftext|><|endoftext|> y  z", "one\n<|endoftext|>\n two", "<|endoftext| >", "no token"]
+
+
+def test_strings_of_added_tokens(spark, library):
+    """As the library does it as loaded, also where the string stands beside white space."""
+    path = shared_dir(spark, "t_records")
+    records.write(spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string"), path, VOCABULARY)
+    got = {r.id: r.ids for r in records.scan(spark, path).collect()}
+    assert got == {i: ids_of(library, t).tobytes() for i, t in enumerate(ADDED)}
+    assert 50256 in np.frombuffer(got[0], "<u4")
+
+
 def test_an_empty_table(spark):
     path = shared_dir(spark, "t_records")
     records.write(spark.createDataFrame([], "doc_id long, text string"), path, VOCABULARY)

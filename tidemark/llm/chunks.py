@@ -80,11 +80,12 @@ def gather(pieces: np.ndarray, at: np.ndarray, size: np.ndarray, which: np.ndarr
 class ColumnEncoder:
     """ids of a whole column of texts, each distinct chunk handled once, through ``encode_new``.
 
-    ``encode_new`` maps a list of distinct chunks to (all their ids, how many each has).
+    ``encode_new`` maps a list of distinct chunks to (all their ids, how many each has).  A text that
+    holds one of ``added`` (strings that a library takes out before anything else) is one chunk.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode_new = encode_new
+    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], added: list[str] = ()):
+        self.encode_new, self.added = encode_new, added
         self.forget()
 
     def forget(self) -> None:
@@ -124,7 +125,10 @@ class ColumnEncoder:
         texts = texts.fill_null("")
         if not pa.types.is_large_string(texts.type):
             texts = texts.cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, _ARROW_RUN).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, _ARROW_RUN)
+        for name in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, name))
+        odd = odd.to_numpy(zero_copy_only=False)
         # where white space stands together, a text is one chunk
         slow = texts.filter(pa.array(odd))
         # else it is also cut before and after every line feed, for which byte 1 stands then
@@ -170,10 +174,10 @@ def spans(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, i
 
 
-def by_bytes(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """(first position, texts) groups of about ``limit`` characters."""
-    for a, b in spans([len(t or "") for t in texts], limit):
-        yield a, texts[a:b]
+def by_bytes(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """(first position, texts) groups of about ``limit`` bytes."""
+    for a, b in spans(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), limit):
+        yield a, texts.slice(a, b - a).to_pylist()
 
 
 def grouped(batches: Iterable[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[list[pa.Array]]:

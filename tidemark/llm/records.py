@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import ColumnEncoder, gather, grouped, spans
-from tidemark.llm.common import bounded_batches, partitions
+from tidemark.llm.common import batch_limits, partitions
 
 MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<qBBQ")
-#: Records of one file; bounds what a reader holds of it.
+#: Bytes and records of one file (one record may be more); a reader holds one file at a time.
+BYTES_PER_FILE = 64 << 20
 RECORDS_PER_FILE = 4096
 
 
@@ -77,14 +78,14 @@ _encoders: dict[str, tuple[ColumnEncoder, int]] = {}
 def library_encoder(path: str) -> tuple[ColumnEncoder, int]:
     """Encoder of the tokenizers library for a vocabulary file, and its vocabulary size.
 
-    The strings of special tokens in a text are ordinary text.
+    The library is as loaded: strings of its added tokens in a text become those tokens.
     """
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
-        library.encode_special_tokens = True
+        added = [t.content for t in library.get_added_tokens_decoder().values()]
 
         def one_by_one(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,7 +121,7 @@ def library_encoder(path: str) -> tuple[ColumnEncoder, int]:
             at[order] = np.cumsum(taken) - taken
             return gather(made, at, size, np.arange(len(chunks))), size
 
-        _encoders[path] = ColumnEncoder(encode_new), library.get_vocab_size()
+        _encoders[path] = ColumnEncoder(encode_new, added), library.get_vocab_size()
     return _encoders[path]
 
 
@@ -133,37 +134,47 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col:
     columns are left out.  An empty table gives no data file and an empty index.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
 
     def run(batches):
         encoder, vocab = library_encoder(vocabulary)
         width = 2 if max(vocab - 1, end_id) < 1 << 16 else 4
         last = np.array([end_id], "<u4")
+        file = at = held = 0
         for keys, texts in grouped(batches, 1):
             ids = encoder.encode(texts)
             keys = keys.to_pylist()
             for a, b in spans([len(x) for x in ids], 1 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array([
-                    frame(k, np.concatenate([x, last]), width) for k, x in zip(keys[a:b], ids[a:b])], pa.binary())], names=["record"])
+                made = [frame(k, np.concatenate([x, last]), width) for k, x in zip(keys[a:b], ids[a:b])]
+                files = []
+                for m in made:
+                    if at == RECORDS_PER_FILE or held and held + len(m) > BYTES_PER_FILE:
+                        file, at, held = file + 1, 0, 0
+                    at, held = at + 1, held + len(m) + 1
+                    files.append((file << 32) + at)
+                places = np.array(files, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(places >> 32), pa.array(places), pa.array(made, pa.binary())],
+                                                 names=["file", "place", "record"])
 
     rows = docs.select(docs[id_col].cast("long").alias("k"), docs[text_col].cast("string").alias("t"))
     tie = F.xxhash64("t")
     ordered = rows.repartitionByRange(partitions(spark), F.col("k"), tie).sortWithinPartitions("k", tie)
-    records = ordered.mapInArrow(run, "record binary")
-    (records.select(F.col("record").cast("string").alias("value"))
-     .write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(f"{path}/data"))
-    scan(spark, path, payload=False).drop("ids").write.parquet(f"{path}/index")
+    # a task writes its files one after the other, each in its own folder; they stay in this order
+    records = ordered.mapInArrow(run, "file long, place long, record binary").sortWithinPartitions("file", "place")
+    with batch_limits(spark):
+        (records.select("file", F.col("record").cast("string").alias("value"))
+         .write.partitionBy("file").text(f"{path}/data"))
+    index_rows = scan(spark, path, payload=False).drop("ids")
+    with batch_limits(spark, 1):
+        index_rows.write.parquet(f"{path}/index")
 
 
 def scan(spark: SparkSession, path: str, payload: bool = True, at: DataFrame | None = None) -> DataFrame:
-    """Records of the files: file (number pair), offset, size, id, n_tokens, before, ids.
+    """Records of the files: file (task and its file in one number), offset, size, id, n_tokens, before, ids.
 
     ``before`` counts the ids of earlier records in the file; ``ids`` are little-endian
     unsigned 32-bit integers (null without ``payload``).  ``at`` (rows of the index) reads only
     the records at those offsets; ``before`` is then null.
     """
-    bounded_batches(spark)
-
     def rows(number, content, offsets):
         data = memoryview(content)
         offset = before = 0
@@ -197,11 +208,9 @@ def scan(spark: SparkSession, path: str, payload: bool = True, at: DataFrame | N
 
     name = F.element_at(F.split("path", "/"), -1)
     part = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("long") * (1 << 32)
-    number = part + F.coalesce(F.regexp_extract(name, r"-c(\d+)", 1).try_cast("long"), F.lit(0))
+    number = part + F.regexp_extract("path", r"/file=(\d+)/[^/]*$", 1).cast("long")
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-             .option("pathGlobFilter", "part-*").load(f"{path}/data").select(number.alias("file"), "content"))
-    # one row per file, so that a task holds one file at a time
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+             .option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(f"{path}/data").select(number.alias("file"), "content"))
     if at is not None:
         wanted = at.groupBy("file").agg(F.collect_list("offset").alias("offsets"))  # at most RECORDS_PER_FILE each
         files = files.join(wanted, "file")
@@ -214,10 +223,13 @@ def index(spark: SparkSession, path: str) -> DataFrame:
 
 def with_start(records: DataFrame, idx: DataFrame) -> DataFrame:
     """Adds ``start``: how many ids stand before the record in the whole dataset."""
-    totals = idx.groupBy("file").agg(F.sum("n_tokens").alias("_n"))
-    # one row per file, not per record
-    w = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_first"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    totals = idx.groupBy(F.shiftright("file", 32).alias("_task"), "file").agg(F.sum("n_tokens").alias("_n"))
+    totals = totals.withColumn("_first", F.coalesce(F.sum("_n").over(before.partitionBy("_task")), F.lit(0)))
+    # one row for each task that wrote
+    tasks = totals.groupBy("_task").agg(F.sum("_n").alias("_n"), F.min("file").alias("file"))
+    tasks = tasks.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    totals = totals.join(tasks, "_task").select("file", (F.col("_first") + F.col("_base")).alias("_first"))
     return records.join(totals, "file").withColumn("start", F.col("_first") + F.col("before")).drop("_first")
 
 
