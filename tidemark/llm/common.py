@@ -15,12 +15,6 @@ BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep what one Python task holds at a time small, whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
 @contextmanager
 def batch_limits(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[None]:
     """Bounds of one Arrow batch for what runs inside; the session's own values come back after it.

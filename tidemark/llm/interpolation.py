@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import spans
-from tidemark.llm.common import bounded_batches, crc_of_id, partitions, saved
-from tidemark.llm.vectors import few_rows_a_batch
+from tidemark.llm.common import batch_limits, crc_of_id, partitions, saved
+from tidemark.llm.vectors import FEW
 from tidemark.llm.words import mix, utf8_buffers, word_hashes
 
 _U = np.uint64
@@ -66,7 +66,6 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Texts as blocks of token numbers, each block of one kind (train, tune, test)."""
     rest = F.pmod(crc_of_id(id_col), F.lit(MODULUS))
     kind = F.when(rest == FOLD, TUNE).when(rest != HELD_OUT, TRAIN).otherwise(TEST).cast("int")
-    bounded_batches(docs.sparkSession)
 
     def run(batches):
         held: dict[int, tuple[list, list, list]] = {k: ([], [], []) for k in (TRAIN, TUNE, TEST)}
@@ -243,10 +242,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     every probability is that of the uniform part.  An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    held = saved(blocks(docs, id_col, text_col), "lm_blocks")
-    few_rows_a_batch(spark)
+    with batch_limits(spark):
+        held = saved(blocks(docs, id_col, text_col), "lm_blocks")
     parts = min(32768, 2 * partitions(spark))
-    answers = saved(_answers(_requests(held, parts)), "lm_answers")
+    with batch_limits(spark, FEW):
+        answers = saved(_answers(_requests(held, parts)), "lm_answers")
     sums = answers.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("v"), F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()
     known, total = float(sums.v), float(sums.n)
 
@@ -259,7 +259,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     tune = _with_counts(held.where(F.col("kind") == TUNE), answers.where(F.col("ut").isNotNull()), count_events,
                         "bucket long, two long, one long, n long")
     # a grid of bins: its size doesn't grow with the corpus
-    events = [tuple(r) for r in tune.groupBy("bucket", "two", "one").agg(F.sum("n").cast("double")).collect()]
+    with batch_limits(spark, FEW):
+        events = [tuple(r) for r in tune.groupBy("bucket", "two", "one").agg(F.sum("n").cast("double")).collect()]
     fold = sum(e[3] for e in events)
     m, weight = learn(events, max(total - fold, 0.0), known)
 
@@ -278,6 +279,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     found = _with_counts(held, answers.drop("ut", "bt").withColumns({"ut": F.lit(None).cast("binary"), "bt": F.lit(None).cast("binary")}),
                          use, "id long, n_tokens long, n_known long, base_score double, score double")
+    with batch_limits(spark, FEW):
+        found = saved(found, "lm_scores")
     out = F.pmod(crc_of_id("id"), F.lit(MODULUS)) == HELD_OUT
     return found.select(F.col("id").alias(id_col), out.alias("held_out"), "n_tokens", "n_known",
                         F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

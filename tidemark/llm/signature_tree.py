@@ -33,9 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import spans
-from tidemark.llm.common import bounded_batches, free, partitions, saved
+from tidemark.llm.common import batch_limits, free, partitions, saved
 from tidemark.llm.components import components
-from tidemark.llm.vectors import few_rows_a_batch
 from tidemark.llm.words import mix, shingle_hashes, utf8_buffers, word_hashes
 
 _U = np.uint64
@@ -114,7 +113,6 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, parts: int, width: int) -> DataFrame:
-    bounded_batches(docs.sparkSession)
 
     def run(batches):
         # the same number again when a task is repeated, and no other task's
@@ -361,8 +359,6 @@ def _tree(rows: list[dict], by: list[np.ndarray], short: list[np.ndarray]) -> Tr
 def _meet(rows: DataFrame, group: list[str]) -> DataFrame:
     """Links (a, b) found in trees over whole sets: of each component that was joined to others
     one text, with the first of what it was joined to."""
-    few_rows = rows.sparkSession
-    bounded_batches(few_rows)
 
     def run(batches):
         found = []
@@ -405,7 +401,6 @@ def _with_component(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, Da
 def _candidates(reps: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a prefix token and pass the signature trees."""
     spark = reps.sparkSession
-    bounded_batches(spark)
     thin = reps.select("key", "component", "n", "prefix")
 
     def spread(batches):
@@ -478,7 +473,6 @@ def _candidates(reps: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose sets link."""
-    bounded_batches(pairs.sparkSession)
     side = lambda c: reps.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -498,6 +492,11 @@ def join(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     and no links; a null text counts as empty.  Repeated rows are linked with each other; a row
     with a null id has the smallest id of its component, null if there is none.
     """
+    with batch_limits(docs.sparkSession):
+        return _join(docs, width, id_col, text_col)
+
+
+def _join(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     parts = min(16384, 2 * partitions(spark))
     sets = saved(_sets(_shared(_blocks(docs, id_col, text_col, parts, width))), "shingle_sets")

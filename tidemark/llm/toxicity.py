@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import spans
-from tidemark.llm.common import bounded_batches, free, saved
+from tidemark.llm.common import batch_limits, free, saved
 from tidemark.llm.words import utf8_buffers, word_hashes
 
 SLOT_BITS = 20
@@ -103,7 +103,6 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "tox
     gives a machine that scores one half everywhere.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     known = labels.where(train & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     chosen = (known.select(F.col(id_col).alias("_k"), (F.col(label_col) > 0).cast("int").alias("y"))
               .orderBy(F.xxhash64(F.lit(seed), "_k"), "_k", "y").limit(sample))
@@ -122,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "tox
     # the sample is bounded by its parameter, so it is the side to send to all executors
     text = docs.select(docs[id_col].alias("k"), docs[text_col].cast("string").alias("t"))
     held = text.join(F.broadcast(chosen), F.col("k") == F.col("_k")).select("y", "t")
-    rows = saved(held.mapInArrow(extract, "y int, slots array<int>"), "toxicity_terms")
+    with batch_limits(spark):
+        rows = saved(held.mapInArrow(extract, "y int, slots array<int>"), "toxicity_terms")
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
     pos, neg = float(size.p), float(size.n - size.p)
     if not size.n:
@@ -160,7 +160,6 @@ def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None, t
     A null text scores as an empty one, by the bias alone.  Rows are independent, so repeated rows
     score alike.  Where there is a column ``score`` already, the new one is ``score_``.
     """
-    bounded_batches(docs.sparkSession)
     names = docs.columns if columns is None else columns
     inner = [f"c{i}" for i in range(len(names))]
     rows = docs.select(*[docs[c].alias(i) for c, i in zip(names, inner)], docs[text_col].cast("string").alias("t"))
