@@ -166,7 +166,7 @@ def q_rebuild_index_scoped(spark, sf_dir):
     """Only the symbols asked for (a short list given by whoever runs the rebuild)."""
     first = table(spark, sf_dir, "events").orderBy("event_id").limit(3)
     symbols = [r.s for r in first.select(F.concat(F.upper("event_type"), F.col("user_id").cast("string")).alias("s")).collect()]
-    return rebuild_index(scan_tree(spark, write_event_tree(spark, sf_dir)), symbols=symbols).select("path", "symbol", "last_ts")
+    return rebuild_index(scan_tree(spark, write_event_tree(spark, sf_dir), symbols), symbols=symbols).select("path", "symbol", "last_ts")
 
 
 @query("overlay_index", """

@@ -9,13 +9,14 @@ partition pruning.  ``scan_tree`` reads the per-file layout of the source datase
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import parse_series_path
 from tidemark.functions.times import harmonize, text_to_time
 from tidemark.registry import TIME_COLUMNS, time_column_of
+from tidemark.sources.files import glob_of, list_files, opened, relative, spread
 
 
 def _empty(spark: SparkSession, schema: T.StructType, columns=None) -> DataFrame:
@@ -53,15 +54,6 @@ def scan_series(spark: SparkSession, root: str, schema: T.StructType | None = No
     return df.select(*columns) if columns else df
 
 
-def _contents(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """(path, content) of whole files, read through Spark from any file system.
-
-    Batches of few rows, so a Python task holds few files at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-            .load(root).select(F.url_decode("path").alias("path"), "content"))
-
-
 def _naive(column):
     """A time column as microseconds without zone (zoned ones in UTC)."""
     import pyarrow as pa
@@ -72,43 +64,42 @@ def _naive(column):
 
 
 def _legacy_series(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Each file by itself, a row group at a time."""
     times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-    probe = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    try:
-        probe.load(root)
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        return _empty(spark, schema)
     names = [f.name for f in schema.fields]
 
     def read(batches):
         import pyarrow as pa
         import pyarrow.parquet as pq
 
+        def rows(path, found):
+            out = {"_path": pa.array([path] * found.num_rows, pa.string())}
+            nothing = pa.nulls(found.num_rows, pa.string())
+            for c in names:
+                have = found.column(c) if c in found.schema.names else nothing
+                text = pa.types.is_string(have.type) or pa.types.is_large_string(have.type)
+                if c in times:
+                    out[c] = pa.nulls(found.num_rows, pa.timestamp("us")) if text else _naive(have)
+                    out[f"{c}_text"] = have.cast(pa.string()) if text else nothing
+                else:
+                    out[c] = have.cast(pa.string())
+            return pa.RecordBatch.from_pydict(out)
+
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for path in batch.column(0).to_pylist():
                 try:
-                    found = pq.read_table(pa.BufferReader(content.as_buffer()))
+                    with opened(root, path) as file:
+                        for found in pq.ParquetFile(pa.PythonFile(file, "r")).iter_batches(batch_size=20_000):
+                            yield rows(path, found)
                 except (pa.ArrowException, OSError) as e:
                     raise ValueError(f"unreadable series file {path}: {e}") from e
-                out = {"_path": pa.array([path] * found.num_rows, pa.string())}
-                nothing = pa.nulls(found.num_rows, pa.string())
-                for c in names:
-                    have = found.column(c) if c in found.column_names else nothing
-                    text = pa.types.is_string(have.type) or pa.types.is_large_string(have.type)
-                    if c in times:
-                        out[c] = pa.nulls(found.num_rows, pa.timestamp("us")) if text else _naive(have)
-                        out[f"{c}_text"] = have.cast(pa.string()) if text else nothing
-                    else:
-                        out[c] = have.cast(pa.string())
-                yield from pa.table(out).combine_chunks().to_batches()
 
     fields = ", ".join(f"`{c}` timestamp_ntz, `{c}_text` string" if c in times else f"`{c}` string" for c in names)
-    rows = _contents(spark, root).mapInArrow(read, f"_path string, {fields}")
+    files = spread(list_files(spark, root, (".parquet",)).where("length > 0"))
+    rows = files.mapInArrow(read, f"_path string, {fields}")
     out = []
     for f in schema.fields:
-        folder = F.regexp_extract("_path", rf"/{f.name}=([^/]*)/", 1)
+        folder = F.regexp_extract(F.concat(F.lit("/"), "_path"), rf"/{f.name}=([^/]*)/", 1)
         value = F.coalesce(F.col(f.name), text_to_time(f"{f.name}_text")) if f.name in times else F.coalesce(
             F.col(f.name), F.when(~folder.isin("", "__HIVE_DEFAULT_PARTITION__"), F.url_decode(folder)))
         out.append(value.cast(f.dataType).alias(f.name))
@@ -128,85 +119,104 @@ def load_subset(df: DataFrame, symbols: list[str] | None = None, intervals: list
     return df.where(cond)
 
 
-def _relative(root: str, path: Column | None = None) -> Column:
-    """``_metadata.file_path`` (a URI), or another decoded path, -> path relative to ``root``."""
-    base = root.split("://", 1)[-1]
-    base = base[len("file:"):] if base.startswith("file:") else base
-    base = "/" + base.strip("/") + "/"
-    p = F.url_decode(F.col("_metadata.file_path")) if path is None else path
-    return p.substr(F.instr(p, F.lit(base)) + F.lit(len(base)), F.length(p))
+#: Text times of a file handed on at a time.
+_TEXTS = 20_000
 
 
-def _file_times(batches):
-    """Latest value of each typed time column of a Parquet file (one row), its text times as
-    they are (a row each), or why it can't be read."""
+def _latest(file, column: str):
+    """Latest value of a typed time column: from the footer, or from the column where a row group
+    has no statistics."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    import pyarrow.parquet as pq
-
-    kinds = [pa.field("path", pa.string()), *[pa.field(c, pa.timestamp("us")) for c in TIME_COLUMNS],
-             *[pa.field(f"{c}_text", pa.string()) for c in TIME_COLUMNS], pa.field("error", pa.string())]
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            one = {"path": path}
-            texts = {}
-            try:
-                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                found = file.read([c for c in TIME_COLUMNS if c in file.schema_arrow.names])
-                for c in found.column_names:
-                    column = found.column(c)
-                    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-                        texts[f"{c}_text"] = column.cast(pa.string())
-                    elif pa.types.is_temporal(column.type):
-                        one[c] = pc.max(_naive(column)).as_py()
-            except (pa.ArrowException, OSError) as e:
-                one["error"] = f"{type(e).__name__}: {e}"
-            yield pa.RecordBatch.from_pylist([one], schema=pa.schema(kinds))
-            if texts:
-                n = len(next(iter(texts.values())))
-                columns = [pa.array([path] * n) if f.name == "path" else texts[f.name].combine_chunks() if f.name in texts
-                           else pa.nulls(n, f.type) for f in kinds]
-                yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns],
-                                                 schema=pa.schema(kinds))
-
-
-def scan_tree(spark: SparkSession, root: str) -> DataFrame:
+
+    kind = file.schema_arrow.field(column).type
+    leaf = next(i for i in range(file.metadata.num_columns) if file.metadata.schema.column(i).path == column)
+    best, unknown = [], []
+    for g in range(file.metadata.num_row_groups):
+        stats = file.metadata.row_group(g).column(leaf).statistics
+        if stats is not None and stats.has_min_max:
+            best.append(pc.max(_naive(pa.array([stats.max], kind))).as_py())
+        elif stats is None or not stats.has_null_count or stats.null_count < file.metadata.row_group(g).num_rows:
+            unknown.append(g)
+    for part in file.iter_batches(row_groups=unknown, columns=[column]) if unknown else ():
+        best.append(pc.max(_naive(part.column(0))).as_py())
+    return max((x for x in best if x is not None), default=None)
+
+
+def _file_times(root: str):
+    """For each Parquet file one row with the latest value of its typed time columns, or why it can't
+    be read, and the bytes read; and a row for each of its text times."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        schema = pa.schema([pa.field("path", pa.string()), *[pa.field(c, pa.timestamp("us")) for c in TIME_COLUMNS],
+                            *[pa.field(f"{c}_text", pa.string()) for c in TIME_COLUMNS], pa.field("error", pa.string()),
+                            pa.field("bytes", pa.int64())])
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                one = {"path": path}
+                try:
+                    with opened(root, path) as raw:
+                        try:
+                            file = pq.ParquetFile(pa.PythonFile(raw, "r"))
+                            for c in (c for c in TIME_COLUMNS if c in file.schema_arrow.names):
+                                kind = file.schema_arrow.field(c).type
+                                if pa.types.is_string(kind) or pa.types.is_large_string(kind):
+                                    for part in file.iter_batches(batch_size=_TEXTS, columns=[c]):
+                                        n = part.num_rows
+                                        yield pa.RecordBatch.from_arrays(
+                                            [pa.array([path] * n) if f.name == "path" else part.column(0).cast(pa.string())
+                                             if f.name == f"{c}_text" else pa.nulls(n, f.type) for f in schema], schema=schema)
+                                elif pa.types.is_temporal(kind):
+                                    one[c] = _latest(file, c)
+                        finally:
+                            one["bytes"] = raw.bytes
+                except (pa.ArrowException, OSError) as e:
+                    one["error"] = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_pylist([one], schema=schema)
+    return run
+
+
+def scan_tree(spark: SparkSession, root: str, symbols: list[str] | None = None) -> DataFrame:
     """Every ``*.parquet`` and ``*.csv`` file under ``root``: relative ``path``, ``format``, the
-    latest value of each time column that it has, and ``error`` if it can't be read.
+    latest value of each time column that it has, ``error`` if it can't be read, and the ``bytes``
+    that were read of it (of a Parquet file).
 
-    Each Parquet file is opened by itself, so files that store times as text stand beside
-    typed ones and a broken file is a row with its error, never a missing row.  CSV files are
-    the legacy text series: header, time in the first column.
+    Of a Parquet file the footer is read: row groups' statistics give the latest time.  Only a time
+    column without them, or of text times, is read itself.  A broken file is a row with its error,
+    never a missing row.  CSV files are the legacy text series: header, time in the first column.
+    ``symbols`` (a short list) opens only these symbols' folders and flat files.
     """
     times = [F.max(c).alias(c) for c in TIME_COLUMNS]
-    frames = []
-    try:
-        schema = "path string, " + ", ".join(f"{c} timestamp_ntz" for c in TIME_COLUMNS) + ", " + ", ".join(
-            f"{c}_text string" for c in TIME_COLUMNS) + ", error string"
-        p = _contents(spark, root).mapInArrow(_file_times, schema)
-        p = p.withColumns({c: F.coalesce(F.col(c), text_to_time(f"{c}_text")) for c in TIME_COLUMNS})
-        p = p.withColumn("path", _relative(root, F.col("path")))
-        frames.append(p.groupBy("path").agg(*times, F.max("error").alias("error")).withColumn("format", F.lit("parquet")))
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-    cs = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-          .option("header", "true").option("enforceSchema", "true").schema("_first string"))
-    try:
-        c = cs.csv(root).select(text_to_time("_first").alias("_t"), _relative(root).alias("path"))
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
+    folders = None if symbols is None else spark.createDataFrame([(s,) for s in symbols], "path string")
+    files = list_files(spark, root, (".parquet",), folders).where("length > 0")
+    if symbols is not None:
+        files = parse_series_path(files, "path").where(F.col("symbol").isin(symbols)).select("path", "length")
+    schema = "path string, " + ", ".join(f"{c} timestamp_ntz" for c in TIME_COLUMNS) + ", " + ", ".join(
+        f"{c}_text string" for c in TIME_COLUMNS) + ", error string, bytes long"
+    p = spread(files).mapInArrow(_file_times(root), schema)
+    p = p.withColumns({c: F.coalesce(F.col(c), text_to_time(f"{c}_text")) for c in TIME_COLUMNS})
+    out = p.groupBy("path").agg(*times, F.max("error").alias("error"), F.max("bytes").alias("bytes")).withColumn("format", F.lit("parquet"))
+    cs = spark.read.option("header", "true").option("enforceSchema", "true").schema("_first string")
+    if symbols is None:
+        where = [root]
+        cs = cs.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     else:
+        where = [f"{root.rstrip('/')}/{glob_of(symbols)}{tail}" for tail in ("_*.csv", "/*.csv")]
+    for path in where:
+        try:
+            c = cs.csv(path).select(text_to_time("_first").alias("_t"), relative(root, F.url_decode(F.col("_metadata.file_path"))).alias("path"))
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
+            continue
         c = parse_series_path(c.groupBy("path").agg(F.max("_t").alias("_t")), "path")
+        if symbols is not None:
+            c = c.where(F.col("symbol").isin(symbols))
         tcol = time_column_of(F.col("kind"))
         c = c.select("path", *[F.when(tcol == F.lit(n), F.col("_t")).alias(n) for n in TIME_COLUMNS])
-        frames.append(c.withColumns({"error": F.lit(None).cast("string"), "format": F.lit("csv")}))
-    if not frames:
-        return spark.createDataFrame([], "path string, error string, format string")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(c.withColumns({"error": F.lit(None).cast("string"), "bytes": F.lit(None).cast("long"), "format": F.lit("csv")}))
     return out
 
 
@@ -228,38 +238,41 @@ def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys:
     return pq_text.unionByName(only_csv, allowMissingColumns=True)
 
 
-def _footers(batches):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+def _footers(root: str):
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
 
-    for batch in batches:
-        out = []
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            try:
-                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                has = any(c in file.schema_arrow.names for c in TIME_COLUMNS)
-                out.append((path, file.metadata.num_rows, has, "indexable" if has else "no time column", None))
-            except (pa.ArrowException, OSError) as e:
-                out.append((path, None, False, "unreadable", f"{type(e).__name__}: {e}"))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
-            pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string()))], names=["path", "rows", "has_time_col", "status", "error"])
+        for batch in batches:
+            out = []
+            for path in batch.column(0).to_pylist():
+                raw = None
+                try:
+                    with opened(root, path) as raw:
+                        file = pq.ParquetFile(pa.PythonFile(raw, "r"))
+                        has = any(c in file.schema_arrow.names for c in TIME_COLUMNS)
+                        out.append((path, file.metadata.num_rows, has, "indexable" if has else "no time column", None, raw.bytes))
+                except (pa.ArrowException, OSError) as e:
+                    out.append((path, None, False, "unreadable", f"{type(e).__name__}: {e}", raw.bytes if raw else 0))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64()))],
+                names=["path", "rows", "has_time_col", "status", "error", "bytes"])
+    return run
 
 
 def scan_audit(spark: SparkSession, root: str) -> DataFrame:
     """FLT-8: every ``*.parquet`` file under ``root`` with its row count, whether it has a time
-    column, its ``status`` (indexable, no time column, empty, unreadable) and the read error.
-
-    Files of no bytes are listed by Spark but not scanned; they are found as the listed paths
-    that no task opened."""
-    schema = "path string, rows long, has_time_col boolean, status string, error string"
-    files = _contents(spark, root)
-    opened = files.mapInArrow(_footers, schema)
-    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(F.url_decode("path").alias("path"))
-    plain = lambda c: F.regexp_replace(c, r"^file:/+", "/")  # noqa: E731 - both spellings of a local path
-    empty = listed.join(opened.select(plain(F.col("path")).alias("_p")), plain(F.col("path")) == F.col("_p"), "left_anti").select(
+    column, its ``status`` (indexable, no time column, empty, unreadable), the read error and the
+    ``bytes`` read, which are those of its footer.
+
+    Tasks list the folders and open the files; a file of no bytes is known by its length."""
+    files = list_files(spark, root, (".parquet",))
+    audited = spread(files.where("length > 0")).mapInArrow(
+        _footers(root), "path string, rows long, has_time_col boolean, status string, error string, bytes long")
+    empty = files.where("length = 0").select(
         "path", F.lit(0).cast("long").alias("rows"), F.lit(False).alias("has_time_col"), F.lit("empty").alias("status"),
-        F.lit(None).cast("string").alias("error"))
-    return opened.unionByName(empty).withColumn("path", _relative(root, F.col("path")))
+        F.lit(None).cast("string").alias("error"), F.lit(0).cast("long").alias("bytes"))
+    return audited.unionByName(empty)
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:
