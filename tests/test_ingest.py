@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.registry import KINDS_BY_NAME
 from tidemark.session import shared_dir
 from tidemark.sinks.tables import read_table, write_files, write_table
-from tidemark.sources.dumps import bad_archives, land_zip_dumps, zip_files, zip_lines
+from tidemark.sources.dumps import bad_archives, dump_lines, land_zip_dumps, zip_files
 from tidemark.sources.series import scan_series, scan_tree
 from tidemark.streaming.ingest import SERIES, store_schema, stored_part, upsert
 from tidemark.operators.merge import tag
@@ -106,7 +106,7 @@ def test_bad_archives_fail_or_are_reported(spark):
     files = [("daily/klines/A/1h/A-1h-2024-02-01.zip", good), ("daily/klines/B/1h/B-1h-2024-02-01.zip", bytearray(b"no archive")),
              ("daily/klines/C/1h/C-1h-2024-02-01.zip", archive([("a.csv", "1"), ("b.csv", "2")])), ("daily/klines/D/1h/D-1h-2024-02-01.zip", good[:-30])]
     write_files(spark.createDataFrame(files, "path string, content binary"), root)
-    bad = bad_archives(zip_lines(zip_files(spark, root))).collect()
+    bad = bad_archives(dump_lines(zip_files(spark, root))).collect()
     assert sorted(r.path.split("/klines/")[1][0] for r in bad) == ["B", "C", "D"]
     got = land_zip_dumps(spark, root, K, on_bad="report").collect()
     assert [(r.symbol, r.open_time, r.open, r.high) for r in got] == [("A", at(1), "1.50000000", "2\u2028x")]

@@ -20,46 +20,33 @@ from tidemark.operators.calendar import gap_plan
 from tidemark.operators.index import latest_time, pending
 from tidemark.operators.universe import coins_subset, shard
 from tidemark.registry import FUTURES_KINDS, Kind
-from tidemark.sources.dumps import bad_archives, parse_zip_lines, scan_dump, whole_dump, zip_files, zip_lines
+from tidemark.sources.dumps import dump_lines, failed_files, landed_files, parse_lines, whole_dump
 from tidemark.sources.series import scan_series
 from tidemark.streaming.ingest import SERIES, series_key_path, store_schema, upsert
 
 Source = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
-#: Planned dumps up to this number are named in the file filter, so that others aren't opened.
-LITERAL_FILES = 5_000
 _LOCATION = r"((?:monthly|daily)/.*)$"
 
 
 def landed_source(spark: SparkSession, landing: str, k: Kind, ext: str = "csv") -> Source:
     """Default UDF-1: planned dumps that have landed under ``landing`` as ``csv`` or ``zip``.
     A planned dump that never landed simply yields no rows, as a missing file would; one that
-    landed in several files is read from all of them."""
-    folder = f"{landing.rstrip('/')}/*/{k.segment}"
+    landed in several files is read from all of them; one that is unreadable or malformed yields its
+    error and no rows."""
 
     def source(plan: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = plan.select(F.regexp_replace("location", r"\.zip$", "." + ext).alias("_loc")).distinct()
-        none = spark.createDataFrame([], "location string, error string")
-        try:
-            if ext == "zip":
-                files = zip_files(spark, folder)
-                here = whole_dump(F.regexp_extract(F.url_decode("path"), _LOCATION, 1))
-                few = wanted.limit(LITERAL_FILES + 1).collect()
-                if len(few) <= LITERAL_FILES:
-                    files = files.where(whole_dump(F.col("_metadata.file_name")).isin([r._loc.rsplit("/", 1)[-1] for r in few]))
-                lines = zip_lines(files.join(wanted, here == F.col("_loc"), "left_semi")).checkpoint()
-                failures = bad_archives(lines).select(
-                    whole_dump(F.regexp_extract("path", _LOCATION, 1)).alias("location"), "error")
-                # a dump with a broken part is not read in part: its first lines might be the missing ones
-                mine = whole_dump(F.regexp_extract("path", _LOCATION, 1))
-                bad = failures.select("location").distinct()
-                return parse_zip_lines(lines.join(bad, mine == F.col("location"), "left_anti"), k).drop("_file"), failures
-            rows = scan_dump(spark, folder, k)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], store_schema(k)), none
-        here = whole_dump(F.regexp_extract("_file", _LOCATION, 1))
-        return rows.join(wanted, here == F.col("_loc"), "left_semi").drop("_file"), none
+        files = landed_files(spark, landing, ext, k)
+        here = whole_dump(F.regexp_extract("path", _LOCATION, 1))
+        # the paths are joined first: a file that isn't planned is never opened
+        planned = files.join(wanted, here == F.col("_loc"), "left_semi")
+        lines = dump_lines(planned).checkpoint()
+        failures = failed_files(lines, k).select(whole_dump(F.regexp_extract("path", _LOCATION, 1)).alias("location"), "error")
+        # a dump with a broken part is not read in part: its first lines might be the missing ones
+        mine = whole_dump(F.regexp_extract("path", _LOCATION, 1))
+        bad = failures.select("location").distinct()
+        rows = parse_lines(lines.join(bad, mine == F.col("location"), "left_anti"), k).drop("_file")
+        return rows, failures.withColumn("location", F.regexp_replace("location", rf"\.{ext}$", ".zip"))
     return source
 
 

@@ -6,6 +6,10 @@ the first-wins order tags (``_source`` 1 monthly / 2 daily, ``_period`` and ``_p
 the file name, ``_row`` its position in the file) and its series from the dump location
 ``{freq}/{segment}/{SYM}[/{interval}]/{name}-{stamp}[.part{n}].{zip|csv}``.  A dump of many
 rows may come in several files: the first without a part number, the others numbered from 1.
+
+A line of more cells than its kind has columns is never cut, and makes its file fail, as does a
+first line of fewer; a later line of fewer cells is read with NULLs for the rest.  ``malformed`` lists
+all three with path, line number and reason.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 import io
 import zipfile
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +27,8 @@ from pyspark.sql import types as T
 from tidemark.functions.text import na_to_null
 from tidemark.functions.times import normalize_times
 from tidemark.operators.merge import DAILY, MONTHLY, PART, PERIOD, ROW, SOURCE
-from tidemark.registry import FUTURES_KINDS, Kind, dump_schema
+from tidemark.registry import FUTURES_KINDS, Kind
+from tidemark.sources.files import list_files, opened, spread
 
 _LOCATION = r"(monthly|daily)/([^/]+)/([^/]+)/(?:([^/]+)/)?[^/]+-(\d{4}-\d{2}(?:-\d{2})?)(?:\.part(\d+))?\.(?:zip|csv)$"
 
@@ -69,64 +75,131 @@ def _finish(df: DataFrame, k: Kind, loc: dict[str, Column], row: Column, normali
     return df
 
 
-def _file_path() -> Column:
-    return F.url_decode(F.col("_metadata.file_path"))
+def cells_of(line: Column) -> Column:
+    """How many cells a CSV line has; commas inside quotes separate none."""
+    bare = F.when(F.instr(line, F.lit('"')) > 0, F.regexp_replace(line, r'"(?:[^"\\]++|\\.|"")*+"', "")).otherwise(line)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def _problem(line: Column, first: Column, k: Kind) -> tuple[Column, Column]:
+    """(reason or NULL, whether the file fails by it) of a line."""
+    n = len(k.columns)
+    cells = cells_of(line)
+    return F.when(cells != n, F.concat(cells.cast("string"), F.lit(f" cells, {n} expected"))), (cells > n) | (first & (cells < n))
 
 
-def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True) -> DataFrame:
+def _parsed(lines: DataFrame, line: str, k: Kind) -> DataFrame:
+    ddl = ", ".join(f"`{c}` STRING" for c in k.columns)
+    rest = [c for c in lines.columns if c != line]
+    parsed = lines.select(*rest, F.from_csv(line, ddl).alias("_r"))
+    return parsed.select(*rest, *[F.col("_r")[c].alias(c) for c in k.columns])
+
+
+def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True, on_bad: str = "fail") -> DataFrame:
     """SRC-3: positional CSV dumps (header optional) under ``path``.
 
     Row order inside a dump comes from the reader: a file is read in order, and the id
-    increases along it (a split of a large file gets higher ids than the one before).
+    increases along it (a split of a large file gets higher ids than the one before).  A line of too
+    many cells fails the read; with ``on_bad="report"`` it is absent here (see ``malformed``).
     """
-    raw = (spark.read.schema(dump_schema(k)).option("header", "false").option("mode", "PERMISSIVE")
-           .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(path))
-    raw = raw.withColumns({"_file": _file_path(), "_rowid": F.monotonically_increasing_id()})
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
+    raw = raw.select("value", F.url_decode(F.col("_metadata.file_path")).alias("_file"), F.monotonically_increasing_id().alias("_rowid"))
+    raw = raw.where(F.trim("value") != "")
+    long = cells_of(F.col("value")) > len(k.columns)
+    if on_bad == "fail":
+        told = F.concat(F.col("_file"), F.lit(": "), _problem(F.col("value"), F.lit(False), k)[0], F.lit(": "), F.left("value", F.lit(200)))
+        raw = raw.where(F.when(long, F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        raw = raw.where(~long)
     loc = parse_dump_location(F.col("_file"))
-    return _finish(raw, k, loc, F.col("_rowid"), normalize).drop("_rowid")
+    return _finish(_parsed(raw, "value", k), k, loc, F.col("_rowid"), normalize).drop("_rowid")
 
 
 LINES = "path string, line_no long, line string, error string"
-#: Lines of an archive handed on at a time.
-_CHUNK = 20_000
+#: Lines and characters of a file handed on at a time.
+_CHUNK_LINES, _CHUNK_SIZE = 20_000, 8 << 20
+
+
+def landed_files(spark: SparkSession, path: str, ext: str, k: Kind | None = None) -> DataFrame:
+    """(path, length) of the dumps landed under ``path``; of kind ``k`` only its own folders are listed."""
+    root = path.rstrip("/")
+    roots = [f"{root}/{freq}/{k.segment}" for freq in ("monthly", "daily")] if k else [root]
+    found = [list_files(spark, r, (f".{ext}",)).select(F.concat(F.lit(r + "/"), "path").alias("path"), "length") for r in roots]
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
-def _unzip(batches):
-    """Archive bytes -> one row per text line of its single CSV member, or one row with the
-    error that keeps it from being read.  Only line feeds end a line."""
+def zip_files(spark: SparkSession, path: str) -> DataFrame:
+    return landed_files(spark, path, "zip")
+
+
+def _member(archive: zipfile.ZipFile) -> str:
+    names = [n for n in archive.namelist() if not n.endswith("/")]
+    if len(names) != 1:
+        raise ValueError(f"{len(names)} members, one expected")
+    return names[0]
+
+
+def _text_lines(path: str) -> Iterator[tuple[int, str]]:
+    """(number, line) of a file's lines that aren't blank, read as they are asked for.  Only line
+    feeds end a line."""
+    with opened("", path) as file:
+        if path.endswith(".zip"):
+            with zipfile.ZipFile(file) as z, z.open(_member(z)) as f:
+                yield from _split(f)
+        else:
+            yield from _split(io.BufferedReader(file.raw(), 1 << 20))
+
+
+def _split(file) -> Iterator[tuple[int, str]]:
+    for i, x in enumerate(io.TextIOWrapper(file, "utf-8", errors="replace", newline="\n")):
+        x = x.removesuffix("\n").removesuffix("\r")
+        if x.strip():
+            yield i, x
+
+
+def _checked(path: str) -> str | None:
+    """Why an archive can't be read, found by reading it through once without keeping it."""
+    if not path.endswith(".zip"):
+        return None
+    try:
+        with opened("", path) as file, zipfile.ZipFile(file) as z, z.open(_member(z)) as f:
+            while f.read(1 << 20):
+                pass
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, ValueError) as e:
+        return str(e) if type(e) is ValueError else f"{type(e).__name__}: {e}"
+    return None
+
+
+def _read_lines(batches):
+    """Files -> a row for each text line, or one row with the error that keeps an archive from being
+    read.  A task holds some lines of one file, however long the file."""
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string(), pa.string()))],
+                                          names=["path", "line_no", "line", "error"])
+
     for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            lines, error = [], None
-            try:
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
-                    names = [n for n in z.namelist() if not n.endswith("/")]
-                    if len(names) == 1:
-                        text = z.read(names[0]).decode("utf-8", errors="replace")
-                        lines = [(i, x.removesuffix("\r")) for i, x in enumerate(text.split("\n")) if x.strip()]
-                    else:
-                        error = f"{len(names)} members, one expected"
-            except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError) as e:
-                error = f"{type(e).__name__}: {e}"
+        for path in batch.column(0).to_pylist():
+            error = _checked(path)
             if error is not None:
-                lines = [(None, None)]
-            for a in range(0, len(lines), _CHUNK):
-                part = lines[a:a + _CHUNK]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(part), pa.string()), pa.array([n for n, _ in part], pa.int64()),
-                     pa.array([x for _, x in part], pa.string()), pa.array([error] * len(part), pa.string())],
-                    names=["path", "line_no", "line", "error"])
+                yield batch_of([(path, None, None, error)])
+                continue
+            held, size = [], 0
+            for i, line in _text_lines(path):
+                held.append((path, i, line, None))
+                size += len(line)
+                if len(held) == _CHUNK_LINES or size >= _CHUNK_SIZE:
+                    yield batch_of(held)
+                    held, size = [], 0
+            if held:
+                yield batch_of(held)
 
 
-def zip_lines(files: DataFrame) -> DataFrame:
-    """(path, line_no, line, error) of archives given as ``(path, content)``; works on a stream too."""
-    return files.select(F.url_decode("path").alias("path"), "content").mapInArrow(_unzip, LINES)
+def dump_lines(files: DataFrame) -> DataFrame:
+    """(path, line_no, line, error) of CSV dumps and archives of one, given as ``(path, length)``.
 
-
-def zip_files(spark: SparkSession, path: str) -> DataFrame:
-    # few archives to a batch: a task holds one batch of archives and one archive's lines
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.zip").load(path).select("path", "content"))
+    Each file is opened by the task that reads it, and read as a stream: neither an archive nor its
+    lines have to fit in memory.  What isn't in ``files`` isn't opened."""
+    return spread(files.select("path", "length")).select("path").mapInArrow(_read_lines, LINES)
 
 
 def bad_archives(lines: DataFrame) -> DataFrame:
@@ -134,26 +207,40 @@ def bad_archives(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("error").isNotNull()).select("path", "error")
 
 
-def parse_zip_lines(lines: DataFrame, k: Kind, normalize: bool = True) -> DataFrame:
-    """Rows of one kind from archive lines."""
-    ddl = ", ".join(f"`{c}` STRING" for c in k.columns)
-    parsed = lines.where(F.col("error").isNull()).select("path", "line_no", F.from_csv("line", ddl).alias("r"))
-    df = parsed.select("path", "line_no", *[F.col("r")[c].alias(c) for c in k.columns])
+def malformed(lines: DataFrame, k: Kind) -> DataFrame:
+    """(path, line_no, line, reason, fatal) of the lines whose number of cells isn't that of ``k``."""
+    reason, fatal = _problem(F.col("line"), F.col("line_no") == 0, k)
+    return lines.where(F.col("error").isNull()).select("path", "line_no", "line", reason.alias("reason"), fatal.alias("fatal")).where(
+        "reason IS NOT NULL")
+
+
+def failed_files(lines: DataFrame, k: Kind) -> DataFrame:
+    """(path, error) of the files that can't be taken: unreadable archives, and files with a line that
+    makes them fail (the first such line is told)."""
+    first = F.min(F.struct("line_no", "reason")).alias("f")
+    lines_of = malformed(lines, k).where("fatal").groupBy("path").agg(first).select(
+        "path", F.concat(F.lit("line "), (F.col("f.line_no") + 1).cast("string"), F.lit(": "), F.col("f.reason")).alias("error"))
+    return bad_archives(lines).unionByName(lines_of)
+
+
+def parse_lines(lines: DataFrame, k: Kind, normalize: bool = True) -> DataFrame:
+    """Rows of one kind from file lines; lines of too many cells are left out (see ``malformed``)."""
+    kept = lines.where(F.col("error").isNull() & (cells_of(F.col("line")) <= len(k.columns))).select("path", "line_no", "line")
     loc = parse_dump_location(F.col("path"))
-    return _finish(df, k, loc, F.col("line_no"), normalize).withColumnRenamed("path", "_file").drop("line_no")
+    return _finish(_parsed(kept, "line", k), k, loc, F.col("line_no"), normalize).withColumnRenamed("path", "_file").drop("line_no")
 
 
 def land_zip_dumps(spark: SparkSession, path: str, k: Kind, normalize: bool = True, on_bad: str = "fail") -> DataFrame:
-    """SRC-4: zipped single-CSV dumps.  Spark's CSV reader does not open zip archives,
-    so archives are read whole and expanded one at a time.  A corrupt or many-member archive
-    fails the read; with ``on_bad="report"`` its rows are absent and ``bad_archives`` of
-    ``zip_lines`` names it."""
-    lines = zip_lines(zip_files(spark, path))
+    """SRC-4: zipped single-CSV dumps, which Spark's CSV reader does not open.  A corrupt or
+    many-member archive and a line of too many cells fail the read; with ``on_bad="report"`` what
+    they hold is absent and ``bad_archives`` and ``malformed`` of ``dump_lines`` name it."""
+    lines = dump_lines(zip_files(spark, path))
     if on_bad == "fail":
-        told = F.concat(F.col("path"), F.lit(": "), F.col("error"))
-        lines = lines.withColumn("line", F.when(F.col("error").isNull(), F.col("line")).otherwise(F.raise_error(told)))
-        lines = lines.withColumn("error", F.when(F.col("line").isNull(), F.col("error")))
-    return parse_zip_lines(lines, k, normalize)
+        reason, _ = _problem(F.col("line"), F.lit(False), k)
+        told = F.concat(F.col("path"), F.lit(": "), F.coalesce("error", reason))
+        wrong = F.col("error").isNotNull() | (cells_of(F.col("line")) > len(k.columns))
+        lines = lines.where(F.when(wrong, F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
+    return parse_lines(lines, k, normalize)
 
 
 def scan_kline_json(df: DataFrame, payload: str, k: Kind, normalize: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ held whole.  Both work on what pyarrow's file systems reach: mounted folders, HD
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -115,6 +116,10 @@ class Counted:
     def writable(self) -> bool:
         return False
 
+    def raw(self) -> io.RawIOBase:
+        """The same file for Python's own buffered readers."""
+        return _Raw(self)
+
     def __enter__(self) -> "Counted":
         return self
 
@@ -132,10 +137,23 @@ class Counted:
         pass
 
 
+class _Raw(io.RawIOBase):
+    def __init__(self, file: Counted):
+        self.file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.file.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+
 def opened(root: str, path: str) -> Counted:
-    """A file under ``root`` for reading ranges of it."""
-    system, base = file_system(root)
-    return Counted(system.open_input_file(f"{base}/{path}"))
+    """A file under ``root`` (or of a full path, without one) for reading ranges of it."""
+    system, base = file_system(f"{root}/{path}" if root else path)
+    return Counted(system.open_input_file(base))
 
 
 def glob_of(names: list[str]) -> str:

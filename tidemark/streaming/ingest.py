@@ -1,7 +1,7 @@
 """Continuous landing of dumps into series: STR-1..4 (and the UDF-1 source hook).
 
-A file-source stream over the landing folder of one kind (CSV or zipped CSV dumps) feeds
-``foreachBatch``; each micro-batch is de-duplicated, anti-joined against the store (JOIN-9:
+A stream of the files landed for one kind (CSV or zipped CSV dumps, see ``admission``) feeds
+``foreachBatch``; each micro-batch opens its files in tasks, is de-duplicated, anti-joined against the store (JOIN-9:
 the stored row wins, so only unseen keys are appended), appended, and then the index is moved
 to the latest time now stored of every series in the batch (data first, index second).
 Replaying a batch after a failure appends nothing, because the anti join sees the rows that
@@ -19,15 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import series_path
-from tidemark.functions.text import na_to_null
-from tidemark.functions.times import normalize_times
 from tidemark.operators.index import latest_time
-from tidemark.operators.merge import PART, PERIOD, ROW, SOURCE, drop_null_time, new_rows_only
-from tidemark.registry import FUTURES_KINDS, Kind, dump_schema, series_schema
+from tidemark.operators.merge import drop_null_time, new_rows_only
+from tidemark.registry import FUTURES_KINDS, Kind, series_schema
 from tidemark.session import checkpoint_root
 from tidemark.sinks.tables import append_series
-from tidemark.sources.dumps import parse_dump_location, parse_zip_lines, zip_lines
+from tidemark.sources.dumps import dump_lines, failed_files, parse_lines
 from tidemark.sources.series import scan_series
+from tidemark.streaming.admission import admitted_files
 
 SERIES = ["kind", "interval", "symbol"]
 #: Series of a batch up to this number become literal partition filters; beyond it the batch's
@@ -47,35 +46,6 @@ def series_key_path() -> F.Column:
     return series_path("symbol", suffix[F.col("kind")], F.col("interval").isNotNull(), "interval")
 
 
-def landing_stream(spark: SparkSession, landing: str, k: Kind, max_files_per_trigger: int | None = None,
-                   ext: str = "csv") -> DataFrame:
-    """Streaming rows of the dumps of one kind landed under ``landing`` (series and period
-    attached).  With ``ext="zip"`` an archive that can't be read is a row with its ``_error``."""
-    reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ext}")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    folder = f"{landing.rstrip('/')}/*/{k.segment}"
-    if ext == "zip":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-        files = reader.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile").load(folder)
-        lines = zip_lines(files)
-        bad = lines.where(F.col("error").isNotNull()).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in series_schema(k).fields], F.col("path").alias("_file"),
-            F.lit(0).cast("long").alias(ROW), F.col("error").alias("_error"))
-        rows = parse_zip_lines(lines, k).select(*k.columns, "_file", ROW, F.lit(None).cast("string").alias("_error")).unionByName(bad)
-    else:
-        raw = reader.schema(dump_schema(k)).option("header", "false").csv(folder).withColumn(
-            "_file", F.url_decode(F.col("_metadata.file_path")))
-        first = k.columns[0]
-        raw = raw.withColumns({c: na_to_null(F.col(c)) for c in k.columns})
-        raw = raw.where(F.coalesce(F.trim(F.col(first)) != F.lit(first), F.lit(True)))
-        text_cols = () if k.time_col in k.ms_time_cols else (k.time_col,)
-        rows = normalize_times(raw, k.ms_time_cols, text_cols).withColumns({ROW: F.lit(None).cast("long"), "_error": F.lit(None).cast("string")})
-    loc = parse_dump_location(F.col("_file"))
-    # a metrics dump has a symbol column of its own; the dump's location names the series
-    return rows.withColumns({n: loc[n] for n in ("symbol", "kind", "interval", "freq", "period", "part")})
-
-
 def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> DataFrame:
     """The stored rows of the series that ``rows`` touch, other partitions unread."""
     existing = scan_series(spark, store, store_schema(k))
@@ -110,46 +80,46 @@ def upsert(spark: SparkSession, rows: DataFrame, store: str, k: Kind) -> tuple[D
     return fresh, latest
 
 
-def ingest_batch(batch: DataFrame, store: str, index_root: str, k: Kind, batch_id: int = 0, errors_root: str | None = None) -> None:
-    """One micro-batch: append unseen keys, then move the index forward.
+def ingest_batch(files: DataFrame, store: str, index_root: str, k: Kind, batch_id: int = 0, errors_root: str | None = None) -> None:
+    """One micro-batch of landed files ``(path, length)``: append unseen keys, then move the index forward.
 
-    Unreadable archives go to ``errors_root`` as (path, error, batch_id); without one they fail
-    the batch."""
-    spark = batch.sparkSession
-    batch = batch.persist()
+    Unreadable archives and malformed files go to ``errors_root`` as (path, error, batch_id) and yield
+    no rows; without one they fail the batch."""
+    spark = files.sparkSession
+    lines = dump_lines(files).persist()
     try:
-        bad = batch.where(F.col("_error").isNotNull()).select(F.col("_file").alias("path"), F.col("_error").alias("error"))
+        bad = failed_files(lines, k)
         if errors_root:
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(errors_root)
         elif (worst := bad.limit(1).collect()):
             raise ValueError(f"{worst[0].path}: {worst[0].error}")
-        rows = batch.where(F.col("_error").isNull()).withColumns({
-            SOURCE: F.when(F.col("freq") == "daily", F.lit(2)).otherwise(F.lit(1)),
-            PERIOD: F.col("period"),
-            PART: F.col("part"),
-            ROW: F.coalesce(F.col(ROW), F.monotonically_increasing_id()),
-        }).drop("freq", "period", "part", "_file", "_error")
+        rows = parse_lines(lines.join(bad.select("path"), "path", "left_anti"), k).drop("_file")
         _, latest = upsert(spark, rows, store, k)
         # the index is a log of stored maxima: appending never rewrites earlier entries
         latest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
     finally:
-        batch.unpersist()
+        lines.unpersist()
 
 
 def stream_ingest(spark: SparkSession, landing: str, store: str, index_root: str, checkpoint: str, k: Kind,
                   max_files_per_trigger: int | None = None, available_now: bool = True, ext: str = "csv",
-                  errors_root: str | None = None):
-    """STR-1/3/4: run the landing stream into the store.  With ``available_now`` the
-    backlog drains in bounded batches (``max_files_per_trigger`` files each) and the
-    query stops; the checkpoint makes the next start resume after the last batch."""
+                  errors_root: str | None = None, max_bytes_per_trigger: int | None = None):
+    """STR-1/3/4: run the landing stream into the store.  Batches take the landed dumps in the order
+    of their periods, each within the bounds on bytes and files.  With ``available_now`` the backlog
+    drains in such batches and the query stops; the checkpoint makes the next start resume after
+    the last batch."""
     checkpoint_root(spark)
-    stream = landing_stream(spark, landing, k, max_files_per_trigger, ext)
+    log = f"{checkpoint.rstrip('/')}_admissions"
+    stream = admitted_files(spark, landing, k.segment, ext, log, max_bytes_per_trigger, max_files_per_trigger)
     writer = (stream.writeStream.foreachBatch(lambda df, epoch: ingest_batch(df, store, index_root, k, epoch, errors_root))
               .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    if not available_now:
+        return writer.trigger(processingTime="1 minute").start()
     q = writer.start()
-    if available_now:
-        q.awaitTermination()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
     return q
 
 
