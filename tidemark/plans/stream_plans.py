@@ -95,25 +95,34 @@ def q_stream_index_replay(spark, sf_dir):
 
 @query("stream_ingest_zip", MERGED_TEXT_SQL)
 def q_stream_ingest_zip(spark, sf_dir):
-    """The same landing as zip archives, one of which is broken and reported."""
+    """The same landing as zip archives, one of which is broken and one malformed, both reported."""
     store, _ = prepare(spark, sf_dir)
     landing = zip_landing(spark, sf_dir)
     errors = shared_dir(spark, "stream_errors")
     stream_ingest(spark, landing, store, shared_dir(spark, "stream_index"), shared_dir(spark, "stream_ckpt"), KLINES,
                   ext="zip", errors_root=errors)
-    if spark.read.parquet(errors).count() != 1:
-        raise ValueError("the broken archive must be reported once")
+    if spark.read.parquet(errors).count() != 2:
+        raise ValueError("the broken archive and the malformed one must be reported once")
     return _store_rows(spark, store)
 
 
 def zip_landing(spark, sf_dir):
-    """E new as zipped daily dumps, and an archive that is none for the symbol ``broken``."""
+    """E new as zipped daily dumps, an archive that is none for the symbol ``broken``, and one with a
+    line of too many cells for the symbol ``ragged``."""
+    import io
+    import zipfile
+
     from tidemark.plans.surrogates import _once, _write_event_dumps
     from tidemark.sinks.tables import write_files
 
+    wide = io.BytesIO()
+    with zipfile.ZipFile(wide, "w") as z:
+        z.writestr("ragged-1h-2024-01-30.csv", "1706572800000" + "," * 11 + "\n1706576400000" + "," * 12 + "\n")
+
     def make():
         root = _write_event_dumps(spark, sf_dir, True, events_new(spark, sf_dir))
-        bad = spark.createDataFrame([("daily/klines/broken/1h/broken-1h-2024-01-30.zip", bytearray(b"no archive"))], "path string, content binary")
+        bad = spark.createDataFrame([("daily/klines/broken/1h/broken-1h-2024-01-30.zip", bytearray(b"no archive")),
+                                     ("daily/klines/ragged/1h/ragged-1h-2024-01-30.zip", bytearray(wide.getvalue()))], "path string, content binary")
         write_files(bad, root)
         return root
     return _once(spark, ("zip_landing", sf_dir), make)
@@ -151,13 +160,14 @@ o AS (SELECT l.symbol, 'produced' AS status, false AS has_error, (SELECT count(*
         (SELECT count(DISTINCT h) FROM nw WHERE nw.symbol = l.symbol AND h NOT IN (SELECT h FROM ex WHERE ex.symbol = l.symbol)) AS appended
       FROM l
       UNION ALL SELECT 'absent', 'no_new_data', false, 0, 0 UNION ALL SELECT 'broken', 'failed', true, 0, 0
+      UNION ALL SELECT 'ragged', 'failed', true, 0, 0
       UNION ALL SELECT 'zzz', 'remaining', false, 0, 0)"""
 
 
 def _outcomes(spark, sf_dir):
-    # event types and these three; the last in path order is left to the next run
+    # event types and these four; the last in path order is left to the next run
     n = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().count()
-    return update_outcome(spark, sf_dir, ext="zip", extra=("absent", "broken", "zzz"), todo_limit=n + 2)[1]
+    return update_outcome(spark, sf_dir, ext="zip", extra=("absent", "broken", "ragged", "zzz"), todo_limit=n + 3)[1]
 
 
 @query("update_outcomes", OUTCOME_SQL + """
@@ -176,6 +186,34 @@ def q_update_totals(spark, sf_dir):
     return run_totals(_outcomes(spark, sf_dir))
 
 
+@query("quarantine_rows", f"""
+WITH e AS (SELECT event_type AS symbol, CAST(ts AS DATE) AS day, event_id, event_id - event_id % {PART_ROWS} AS cell FROM events),
+c AS (SELECT symbol, day, cell, coalesce(sum(n) OVER (PARTITION BY symbol, day ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        // {PART_ROWS} AS part FROM (SELECT symbol, day, cell, count(*) AS n FROM e GROUP BY ALL)),
+f AS (SELECT symbol, day, part, min(event_id) AS event_id FROM e JOIN c USING (symbol, day, cell) GROUP BY ALL)
+SELECT symbol, day, event_id, CASE WHEN event_id % 7 = 0 THEN '13 cells, 12 expected' ELSE '10 cells, 12 expected' END AS reason,
+       event_id % 7 = 0 OR (day(day) % 2 = 1 AND EXISTS (SELECT 1 FROM f WHERE f.symbol = e.symbol AND f.day = e.day AND f.event_id = e.event_id)) AS fatal
+FROM e WHERE event_id % 7 = 0 OR event_id % 11 = 5""")
+def q_quarantine_rows(spark, sf_dir):
+    """E as dumps in which every 7th event's line has a cell too many and every 11th's lacks two: the
+    lines that aren't taken as they are, with the reason and whether their file fails."""
+    from tidemark.plans.surrogates import _once, dump_files, event_dump_lines, write_dump_files
+    from tidemark.sources.dumps import dump_lines, landed_files, malformed, parse_dump_location
+
+    def make():
+        root = shared_dir(spark, "ragged_landing")
+        line, i = F.col("line"), F.col("event_id")
+        ragged = F.when(i % 7 == 0, F.concat(line, F.lit(",x"))).when(
+            i % 11 == 5, F.regexp_replace(line, ",[^,]*,[^,]*$", "")).otherwise(line)
+        write_dump_files(dump_files(event_dump_lines(spark, sf_dir).withColumn("line", ragged)), root, False)
+        return root
+
+    root = _once(spark, ("ragged_landing", sf_dir), make)
+    found = malformed(dump_lines(landed_files(spark, root, "csv", KLINES)), KLINES)
+    loc = parse_dump_location(F.col("path"))
+    return found.select(loc["symbol"].alias("symbol"), loc["period"].alias("day"), F.split("line", ",")[1].cast("long").alias("event_id"), "reason", "fatal")
+
+
 @query("shard_override", """
 SELECT event_type AS symbol FROM (SELECT DISTINCT event_type FROM events) WHERE event_type IN ('click', 'view')""")
 def q_shard_override(spark, sf_dir):
