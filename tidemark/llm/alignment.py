@@ -38,7 +38,9 @@ RANGE = 1 << 14
 #: Fragments composed in one task at a time.
 FAN = 16
 #: Chunks that a worker remembers; beyond that it starts anew (speed only, never the result).
-REMEMBERED = 200_000
+REMEMBERED = 500_000
+#: Bytes of chunks that are encoded as one text.
+TOGETHER = 1 << 14
 #: Linked pairs counted at a time.
 LINKS = 1 << 20
 #: Counts of pairs are broadcast up to that many bytes, and joined beyond.
@@ -87,54 +89,108 @@ class Vocabularies:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.len_a = [len(x) for x in self.bytes_a]
-        self.len_b = [len(x) for x in self.bytes_b]
+        self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
+        self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.width = len(self.bytes_b)
         self.space = [self.b.piece_to_id("▁")]
-
-    def encode(self, parts: list[str]) -> list[tuple[Tokens, Tokens] | None]:
-        """Tokens of chunks that begin with a space; None where their bytes aren't the chunk's."""
-        first = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        # B puts a space before what it gets; of nothing it makes nothing
-        second = self.b.encode([p[1:] for p in parts], num_threads=1)
-        out: list = []
-        for p, a, b in zip(parts, first, second):
-            if p == " ":
-                b = self.space
-            whole = p.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b])
-            out.append((a, b) if same else None)
+        # an id as text with what follows it: another of its group, or the end of the A or B ids
+        self.text_a = [np.array([f"{i}{c}" for i in range(len(self.bytes_a))], object) for c in ",|"]
+        self.text_b = [np.array([f"{i}{c}" for i in range(self.width)], object) for c in ",;"]
+        self.chars = np.array([len(str(i)) + 1 for i in range(max(len(self.bytes_a), self.width))], np.int64)
+
+    def _together(self, parts: list[str], sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(ids, how many of each chunk) by A and by B of chunks encoded as one text, or None if that
+        isn't the text again or a token lies in two chunks."""
+        joined = "".join(parts)
+        whole, edges, out = joined.encode(), np.cumsum(sizes), []
+        # B puts a space before what it gets
+        for ids, byte, length in ((self.a.encode(joined, add_special_tokens=False).ids, self.bytes_a, self.len_a),
+                                  (self.b.encode(joined[1:]), self.bytes_b, self.len_b)):
+            if b"".join([byte[i] for i in ids]) != whole:
+                return None
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(length[ids])
+            at = np.searchsorted(ends, edges)
+            if not (ends[at] == edges).all():
+                return None
+            out.append((ids, np.diff(at + 1, prepend=0)))
         return out
 
-    def walk(self, a: Tokens, b: Tokens) -> tuple[list[str], list[int]]:
-        """(groups, linked pairs) of token sequences that begin and end together."""
-        groups, links = [], []
-        len_a, len_b, width = self.len_a, self.len_b, self.width
-        i = j = from_i = from_j = 0
-        ahead = 0  # bytes that the A token ends after the B token
-        while i < len(a):
-            if i == from_i and j == from_j:
-                ahead = len_a[a[i]] - len_b[b[j]]
-            links.append(a[i] * width + b[j])
-            if ahead == 0:
-                groups.append(",".join(map(str, a[from_i:i + 1])) + "|" + ",".join(map(str, b[from_j:j + 1])))
-                from_i, from_j = i, j = i + 1, j + 1
-            elif ahead < 0:
-                i += 1
-                ahead += len_a[a[i]]
-            else:
-                j += 1
-                ahead -= len_b[b[j]]
-        return groups, links
+    def _alone(self, part: str) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        found = self._together([part], np.array([len(part.encode())])) if part != " " else None
+        if part == " ":  # of nothing B makes nothing
+            a = np.array(self.a.encode(part, add_special_tokens=False).ids, np.int64)
+            found = [(a, np.array([len(a)])), (np.array(self.space, np.int64), np.array([1]))]
+        return found
+
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A ids, how many of each chunk, B ids, how many) of chunks that begin with a space; none for
+        a chunk that isn't the bytes of its tokens.
+
+        Where a chunk ends in another character than white space, neither library joins it with the
+        next, so many of them make one text."""
+        sizes = np.array([len(p.encode()) for p in parts], np.int64)
+        found: list = [None] * len(parts)
+        plain = [i for i, p in enumerate(parts) if not p[-1].isspace()]
+        for a, b in spans(sizes[plain].tolist(), TOGETHER):
+            mine = plain[a:b]
+            both = self._together([parts[i] for i in mine], sizes[mine])
+            if both is not None:
+                for k, i in enumerate(mine):
+                    found[i] = (both, k)
+        # each chunk's ids as (start, size) in the made arrays
+        pools: list[list] = [[], []]
+        starts, counts = np.zeros((2, len(parts)), np.int64), np.zeros((2, len(parts)), np.int64)
+        held, seen = [0, 0], {}
+        for i, p in enumerate(parts):
+            if found[i] is None:
+                alone = self._alone(p)
+                if alone is None:
+                    continue
+                found[i] = (alone, 0)
+            both, k = found[i]
+            if id(both) not in seen:
+                seen[id(both)] = [(held[s], np.cumsum(both[s][1]) - both[s][1]) for s in (0, 1)]
+                for s in (0, 1):
+                    pools[s].append(both[s][0])
+                    held[s] += len(both[s][0])
+            for s in (0, 1):
+                base, at = seen[id(both)][s]
+                starts[s, i], counts[s, i] = base + at[k], both[s][1][k]
+        flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in pools]
+        every = np.arange(len(parts))
+        return (gather(flat[0], starts[0], counts[0], every), counts[0], gather(flat[1], starts[1], counts[1], every), counts[1])
+
+    def walk(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(groups as text, how many groups, how many links, linked pairs) of stretches that begin and
+        end together, given as the tokens of all and how many each has."""
+        a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        # every byte where a token ends is the end of a link, the overlap of the tokens that hold it
+        ends = np.union1d(end_a, end_b)
+        pairs = a[np.searchsorted(end_a, ends)] * self.width + b[np.searchsorted(end_b, ends)]
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        texts = [np.where(cuts[g] == e, text[1][t], text[0][t]) for g, e, t, text in (
+            (group_a, end_a, a, self.text_a), (group_b, end_b, b, self.text_b))]
+        whole = "".join(np.concatenate(texts)[order].tolist())
+        chars = np.concatenate([[0], np.cumsum(self.chars[np.concatenate([a, b])[order]])])
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        at = chars[to_a + to_b]
+        last = np.concatenate([[0], end_a])[to_a]
+        out = [whole[x:y - 1] if y > x else "" for x, y in zip([0, *at[:-1].tolist()], at.tolist())]
+        return out, *(np.diff(np.searchsorted(x, last, side="right"), prepend=0) for x in (cuts, ends)), pairs
 
     def _close(self, into: Fragment, a: Tokens, b: Tokens) -> None:
-        groups, links = self.walk(a, b)
-        if groups:
-            into.groups.append(";".join(groups))
-        into.n_groups += len(groups)
+        if not len(a):
+            return
+        text, groups, _, pairs = self.walk(a, b, [len(a)], [len(b)])
+        into.groups += text
+        into.n_groups += int(groups[0])
         into.n_b += len(b)
-        for p in links:
-            into.pairs[p] = into.pairs.get(p, 0) + 1
+        for p, n in zip(*(x.tolist() for x in np.unique(pairs, return_counts=True))):
+            into.pairs[p] = into.pairs.get(p, 0) + n
 
     def fragment(self, a: Tokens, b: Tokens, ends_a: np.ndarray, ends_b: np.ndarray) -> Fragment:
         """Of the tokens that end in a byte range, with the bytes where they end."""
@@ -185,7 +241,7 @@ def load(path_a: str, path_b: str) -> Vocabularies:
 
 
 class Remembered:
-    """Chunks with their tokens, groups and numbered pairs."""
+    """Chunks with their groups and numbered pairs."""
 
     def __init__(self, vocabularies: Vocabularies):
         self.v = vocabularies
@@ -193,7 +249,6 @@ class Remembered:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.tokens: list = []
         self.groups: list[str] = []
         self.number: dict[int, int] = {}
         self.pairs = np.zeros(0, np.int64)
@@ -207,18 +262,16 @@ class Remembered:
         new = list(dict.fromkeys(c for p in parts for c in p if c not in self.place))
         if not new:
             return
-        sizes, pool = [], []
-        for a in range(0, len(new), 4096):
-            for chunk, tokens in zip(new[a:a + 4096], self.v.encode(new[a:a + 4096])):
-                self.place[chunk] = len(self.groups)
-                groups, links = self.v.walk(*tokens) if tokens else ([], [])
-                self.tokens.append(tokens)
-                self.groups.append(";".join(groups))
-                pool += [self.number.setdefault(p, len(self.number)) for p in links]
-                sizes.append((len(tokens[0]), len(tokens[1]), len(groups), len(links)) if tokens else (0, 0, 0, -1))
+        a, n_a, b, n_b = self.v.encode(new)
+        groups, n_groups, n_links, pairs = self.v.walk(a, b, n_a, n_b)
+        self.place.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+        self.groups += groups
+        distinct, which = np.unique(pairs, return_inverse=True)
+        numbers = np.array([self.number.setdefault(p, len(self.number)) for p in distinct.tolist()], np.int64)
         self.pairs = np.fromiter(self.number, np.int64, len(self.number))
-        self.pool = np.concatenate([self.pool, np.array(pool, np.int64)])
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
+        self.pool = np.concatenate([self.pool, numbers[which]])
+        sizes = np.stack([n_a, n_b, n_groups, np.where(n_a > 0, n_links, -1)], axis=1)
+        self.sizes = np.concatenate([self.sizes, sizes])
 
 
 def _row(key, groups: str | None, n, pairs: list, times: list, keep: bool) -> tuple:
@@ -272,20 +325,18 @@ def pieces(text: str, size: int) -> Iterator[str]:
         a = b
 
 
-def fragments(known: Remembered, piece: str, start: int) -> Iterator[tuple[int, Fragment | None]]:
+def fragments(vocabularies: Vocabularies, piece: str, start: int) -> Iterator[tuple[int, Fragment | None]]:
     """(range, fragment) of a piece that begins at byte ``start``; one of None if its bytes differ."""
-    parts = chunks(piece)
-    known.learn([parts])
-    tokens = [known.tokens[known.place[c]] for c in parts]
-    if any(t is None for t in tokens):
+    a, n_a, b, n_b = vocabularies.encode(chunks(piece))
+    if not n_a.all():
         yield start // RANGE, None
         return
-    a, b = ([i for t in tokens for i in t[side]] for side in (0, 1))
-    ends = [start + np.cumsum(np.array(n)[x]) for n, x in ((known.v.len_a, a), (known.v.len_b, b))]
+    ends = [start + np.cumsum(vocabularies.len_a[a]), start + np.cumsum(vocabularies.len_b[b])]
+    a, b = a.tolist(), b.tolist()
     edges = np.arange(start // RANGE, (int(ends[0][-1]) - 1) // RANGE + 2) * RANGE
     of_a, of_b = (np.searchsorted(e, edges, side="right") for e in ends)
     for k, (i, j, m, n) in enumerate(zip(of_a, of_a[1:], of_b, of_b[1:])):
-        yield int(edges[k]) // RANGE, known.v.fragment(a[i:j], b[m:n], ends[0][i:j], ends[1][m:n])
+        yield int(edges[k]) // RANGE, vocabularies.fragment(a[i:j], b[m:n], ends[0][i:j], ends[1][m:n])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -344,10 +395,10 @@ def _aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: s
                 yield _batch(out[a:b], both)
 
     def second(batches):
-        known = Remembered(load(path_a, path_b))
+        both = load(path_a, path_b)
         for row, key, start, piece in grouped(batches, 3, 1 << 20):
             for r, k, s, p in zip(*(x.to_pylist() for x in (row, key, start, piece))):
-                yield _batch([_pack(r, k, place, s, f) for place, f in fragments(known, p, s)], _FRAGMENT)
+                yield _batch([_pack(r, k, place, s, f) for place, f in fragments(both, p, s)], _FRAGMENT)
 
     def together(table: pa.Table) -> pa.Table:
         found = sorted(table.to_pylist(), key=lambda r: (r["place"], r["start"]))
