@@ -2,6 +2,8 @@
 store that already holds E's existing part.  The stored row wins and replays add
 nothing, so the final store equals the batch first-wins merge (same oracle)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge_first_wins, tag
@@ -12,6 +14,7 @@ from tidemark.plans.surrogates import EXISTING_BEFORE, NEW_FROM, PART_ROWS
 from tidemark.plans.surrogates import events_existing, events_new, write_event_dumps
 from tidemark.registry import KINDS_BY_NAME, KLINE_COLUMNS
 from tidemark.session import shared_dir
+from tidemark.sinks.store import append_cells, compact_series, create_store, merge_bucketed, scan_cells, write_bucketed
 from tidemark.sinks.tables import write_series
 from tidemark.sources.dumps import scan_dump
 from tidemark.sources.series import scan_series
@@ -20,9 +23,8 @@ from tidemark.streaming.ingest import SERIES, compact_index_log, read_index_log,
 KLINES = KINDS_BY_NAME["klines"]
 
 
-def prepare(spark, sf_dir):
-    """A store holding E existing (first row per key) and a landing folder of E new."""
-    store = shared_dir(spark, "stream_store")
+def existing_rows(spark, sf_dir):
+    """E existing, first row per key, with the columns of the store."""
     ex = events_existing(spark, sf_dir)
     rows = ex.select(F.lit("klines").alias("kind"), F.lit("1h").alias("interval"), "symbol", "open_time",
                      *[(F.col("event_id").cast("string") if c == "open" else
@@ -30,8 +32,17 @@ def prepare(spark, sf_dir):
                         F.lit(None).cast("timestamp_ntz") if c == "close_time" else
                         F.lit(None).cast("string")).alias(c) for c in KLINE_COLUMNS if c != "open_time"],
                      "event_id")
-    rows = merge_first_wins(None, tag(rows, 0, row=F.col("event_id")), SERIES, "open_time").drop("event_id")
-    write_series(rows, store, SERIES, "open_time")
+    return merge_first_wins(None, tag(rows, 0, row=F.col("event_id")), SERIES, "open_time").drop("event_id")
+
+
+def prepare(spark, sf_dir, cells=False):
+    """A store holding E existing (first row per key) and a landing folder of E new."""
+    store = shared_dir(spark, "stream_store")
+    if cells:
+        create_store(spark, store, SERIES)
+        append_cells(existing_rows(spark, sf_dir), store, SERIES, "open_time")
+    else:
+        write_series(existing_rows(spark, sf_dir), store, SERIES, "open_time")
     landing = write_event_dumps(spark, sf_dir, part=events_new(spark, sf_dir), part_name="new")
     return store, landing
 
@@ -62,6 +73,30 @@ def q_bounded_catch_up(spark, sf_dir):
     return _store_rows(spark, store)
 
 
+@query("compact_series", MERGED_TEXT_SQL)
+def q_compact_series(spark, sf_dir):
+    """A store of cells, filled by small batches, after its files were merged."""
+    store, landing = prepare(spark, sf_dir, cells=True)
+    stream_ingest(spark, landing, store, shared_dir(spark, "stream_index"), shared_dir(spark, "stream_ckpt"), KLINES, max_files_per_trigger=40)
+    schema = store_schema(KLINES)
+    compact_series(spark, store, schema, SERIES, "open_time")
+    return scan_cells(spark, store, schema, SERIES).select("symbol", "open_time", "open", "high")
+
+
+@query("merge_bucketed", MERGED_TEXT_SQL)
+def q_merge_bucketed(spark, sf_dir):
+    """E existing as a bucketed table, and E new merged into it without a shuffle of stored rows."""
+    name = f"tidemark_bucketed_{uuid.uuid4().hex}"
+    rows = existing_rows(spark, sf_dir).select("symbol", "open_time", "open", "high")
+    write_bucketed(rows, name, shared_dir(spark, "bucketed"), ["symbol"], "open_time", partitions_of(spark))
+    new = scan_dump(spark, write_event_dumps(spark, sf_dir, part=events_new(spark, sf_dir), part_name="new"), KLINES).drop("_file")
+    return merge_bucketed(spark, name, new, ["symbol"], "open_time").select("symbol", "open_time", "open", "high")
+
+
+def partitions_of(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("idempotent_rerun", MERGED_TEXT_SQL)
 def q_idempotent_rerun(spark, sf_dir):
     store, _ = run(spark, sf_dir, runs=2)

@@ -1,28 +1,31 @@
 """Continuous landing of dumps into series: STR-1..4 (and the UDF-1 source hook).
 
 A stream of the files landed for one kind (CSV or zipped CSV dumps, see ``admission``) feeds
-``foreachBatch``; each micro-batch opens its files in tasks, is de-duplicated, anti-joined against the store (JOIN-9:
-the stored row wins, so only unseen keys are appended), appended, and then the index is moved
-to the latest time now stored of every series in the batch (data first, index second).
+``foreachBatch``; each micro-batch opens its files in tasks, is de-duplicated, anti-joined against
+the store (JOIN-9: the stored row wins, so only unseen keys are appended), appended, and then the
+index is moved to the latest time now stored of every series in the batch (data first, index second).
 Replaying a batch after a failure appends nothing, because the anti join sees the rows that
 already landed, but writes its index entries again.  No watermark is used: late rows with
 unseen keys are inserted however old they are.
 
-Only the partitions of the batch's series are read from the store, and for the anti join only
-times from the batch's earliest on.
+Only the partitions of the batch's series are read from the store, and of these only times from the
+batch's first to its last, which in a store of cells (``sinks.store``) are the months between.  The
+latest stored times come from the index log; the store is asked only about series new to it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import series_path
 from tidemark.operators.index import latest_time
-from tidemark.operators.merge import drop_null_time, new_rows_only
+from tidemark.operators.merge import drop_null_time, join_null_safe, new_rows_only
 from tidemark.registry import FUTURES_KINDS, Kind, series_schema
 from tidemark.session import checkpoint_root
+from tidemark.sinks.store import MONTH, append_cells, live_version, scan_cells
 from tidemark.sinks.tables import append_series
 from tidemark.sources.dumps import dump_lines, failed_files, parse_lines
 from tidemark.sources.series import scan_series
@@ -47,8 +50,14 @@ def series_key_path() -> F.Column:
 
 
 def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> DataFrame:
-    """The stored rows of the series that ``rows`` touch, other partitions unread."""
-    existing = scan_series(spark, store, store_schema(k))
+    """The stored rows of the series that ``rows`` touch, other partitions unread.  In a store of
+    cells these are the rows of the months between the first and the last time of ``rows``."""
+    version = live_version(spark, store)
+    if version is None:
+        existing = scan_series(spark, store, store_schema(k))
+    else:
+        span = rows.agg(F.min(k.time_col), F.max(k.time_col)).first()
+        existing = scan_cells(spark, store, store_schema(k), SERIES, version, None if span[0] is None else tuple(span)).drop(MONTH)
     touched = rows.select(*SERIES).distinct()
     few = touched.limit(LITERAL_SERIES + 1).collect()
     if len(few) > LITERAL_SERIES:
@@ -62,21 +71,48 @@ def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> Da
     return existing
 
 
-def upsert(spark: SparkSession, rows: DataFrame, store: str, k: Kind) -> tuple[DataFrame, DataFrame]:
+def stored_maxima(spark: SparkSession, store: str, touched: DataFrame, k: Kind, index_root: str | None = None) -> DataFrame:
+    """(path, last_ts): latest stored time of the series in ``touched``.
+
+    The index log knows them already; only series that aren't in it are looked up in the store."""
+    known = None
+    if index_root is not None:
+        try:
+            known = read_index_log(spark, index_root).join(touched.select(series_key_path().alias("path")), "path", "left_semi")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    if known is not None:
+        known = known.checkpoint(eager=True)
+        touched = touched.withColumn("_path", series_key_path()).join(known.select(F.col("path").alias("_path")), "_path", "left_anti").drop("_path")
+    if not touched.limit(1).count():
+        return known
+    version = live_version(spark, store)
+    schema = store_schema(k)
+    stored = scan_series(spark, store, schema) if version is None else scan_cells(spark, store, schema, SERIES, version)
+    found = latest_time(join_null_safe(stored, touched.select(*SERIES), SERIES, "left_semi"), SERIES, k.time_col)
+    found = found.select(series_key_path().alias("path"), "last_ts")
+    return found if known is None else known.unionByName(found)
+
+
+def upsert(spark: SparkSession, rows: DataFrame, store: str, k: Kind, index_root: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Append the unseen keys of tagged ``rows``; returns (appended rows, latest stored time by
     series path of every series in ``rows``)."""
     stored = stored_part(spark, store, rows, k)
-    least = rows.agg(F.min(k.time_col)).first()[0]
-    recent = stored if least is None else stored.where(F.col(k.time_col) >= F.lit(least).cast(T.TimestampNTZType()))
+    span = rows.agg(F.min(k.time_col), F.max(k.time_col)).first()
+    near = stored
+    if span[0] is not None:
+        near = stored.where(F.col(k.time_col).between(*[F.lit(t).cast(T.TimestampNTZType()) for t in span]))
     # written out: the rows that were new then, not those new to a store that has them by now
-    fresh = new_rows_only(recent, rows, SERIES, k.time_col).checkpoint(eager=True)
-    before = latest_time(stored.join(rows.select("symbol").distinct(), "symbol", "left_semi"), SERIES, k.time_col)
+    fresh = new_rows_only(near, rows, SERIES, k.time_col).checkpoint(eager=True)
     seen = latest_time(drop_null_time(rows, k.time_col), SERIES, k.time_col)
-    touched = seen.select(series_key_path().alias("path"), "last_ts").unionByName(
-        before.select(series_key_path().alias("path"), "last_ts"))
-    latest = touched.join(seen.select(series_key_path().alias("path")), "path", "left_semi").groupBy("path").agg(
-        F.max("last_ts").alias("last_ts")).checkpoint(eager=True)
-    append_series(fresh, store, SERIES, k.time_col)
+    before = stored_maxima(spark, store, seen.select(*SERIES), k, index_root)
+    touched = seen.select(series_key_path().alias("path"), "last_ts").unionByName(before)
+    latest = touched.groupBy("path").agg(F.max("last_ts").alias("last_ts")).checkpoint(eager=True)
+    if live_version(spark, store) is None:
+        append_series(fresh, store, SERIES, k.time_col)
+    else:
+        append_cells(fresh, store, SERIES, k.time_col)
     return fresh, latest
 
 
@@ -94,7 +130,7 @@ def ingest_batch(files: DataFrame, store: str, index_root: str, k: Kind, batch_i
         elif (worst := bad.limit(1).collect()):
             raise ValueError(f"{worst[0].path}: {worst[0].error}")
         rows = parse_lines(lines.join(bad.select("path"), "path", "left_anti"), k).drop("_file")
-        _, latest = upsert(spark, rows, store, k)
+        _, latest = upsert(spark, rows, store, k, index_root)
         # the index is a log of stored maxima: appending never rewrites earlier entries
         latest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
     finally:
