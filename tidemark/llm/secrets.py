@@ -5,8 +5,9 @@ candidate strings (runs of token characters holding a letter and a digit), slide
 16 characters over each and finds the Shannon entropy of every window from counts that are
 changed by the character that enters and the one that leaves.  A candidate's class (hex or
 mixed) gives the entropy that a window must reach; the span runs from the first such window to
-the end of the last.  Candidates of the allow-list (such as UUIDs) are left out.  Positions are
-code points, ends exclusive.
+the end of the last.  What matches the allow-list (such as a UUID) is cut out of its run first: what
+stands before and after it are candidates of their own.  A run is scanned a block at a time, so the
+work is linear in its length.  Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -26,17 +27,18 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 16
-ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
 #: Least bits a character of a window, by class of the candidate.
 THRESHOLDS = {"hex": 2.93, "mixed": 3.37}
-#: Candidates that match any of these are no secrets.
+#: Stretches of a run that match any of these are no secrets.
 ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"(?i)example|placeholder|dummy|changeme",
+    r"(?i:example|placeholder|dummy|changeme)",
     r"0123456789|(?i:abcdefghij)",
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",  # a date
 )
+#: Window positions of a block of a run.
+BLOCK = 256
 #: n log2 n in millionths: sums of these stay exact when counts change.
 _NLOGN = [round(n * math.log2(n) * 1e6) if n else 0 for n in range(WINDOW + 1)]
 
@@ -82,43 +84,59 @@ def located(text: Column, pattern: str, value: Column | None = None) -> Column:
 
 def _windows(v: Column, least: Column) -> Column:
     """(first, last) positions within ``v`` of the windows that reach ``least`` bits, or nulls."""
-    symbols = F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.instr(F.lit(ALPHABET), v.substr(i, F.lit(1))))
+    bound = F.round(F.lit(1e6 * WINDOW) * (math.log2(WINDOW) - least)).cast("long")
+    return let(bound, lambda limit: _scan(v, limit))
+
+
+def _scan(v: Column, limit: Column) -> Column:
     cost = F.array(*[F.lit(x).cast("long") for x in _NLOGN])
-    limit = F.round(F.lit(1e6 * WINDOW) * (math.log2(WINDOW) - least)).cast("long")
 
-    def scan(sym: Column) -> Column:
-        start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("n"), F.lit(0).cast("long").alias("c"),
-                         F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"))
+    def count(part: Column, symbol: Column) -> Column:
+        return F.length(part) - F.length(F.replace(part, symbol, F.lit("")))
 
+    def block(text: Column) -> Column:
+        """First and last position in a short string where a window that reaches the limit begins."""
         def step(st: Column, i: Column) -> Column:
-            enter = F.get(sym, i)
-            leave = F.when(i >= WINDOW, F.get(sym, i - WINDOW)).otherwise(-1)
+            begin = F.greatest(i - (WINDOW - 1), F.lit(1))
+            n = count(F.substring(text, begin, i - begin), F.substring(text, i, F.lit(1)))
+            m = count(F.substring(text, i - WINDOW, F.lit(WINDOW)), F.substring(text, i - WINDOW, F.lit(1)))
+            enters = F.get(cost, n + 1) - F.get(cost, n)
+            leaves = F.when(i > WINDOW, F.get(cost, m) - F.get(cost, m - 1)).otherwise(0)
+            return let(st["c"] + enters - leaves, lambda c: F.struct(
+                c.alias("c"), F.coalesce(st["a"], F.when((i >= WINDOW) & (c <= limit), i - WINDOW)).alias("a"),
+                F.when((i >= WINDOW) & (c <= limit), i - WINDOW).otherwise(st["b"]).alias("b")))
+
+        start = F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda st: F.struct(st["a"].alias("a"), st["b"].alias("b")))
+
+    def scan(parts: Column) -> Column:
+        # a block goes on into the next one as far as its last window
+        found = F.transform(parts, lambda x, k: let(
+            let(F.concat(x, F.coalesce(F.left(F.get(parts, k + 1), F.lit(WINDOW - 1)), F.lit(""))), block),
+            lambda w: F.struct((w["a"] + k * BLOCK).alias("a"), (w["b"] + k * BLOCK).alias("b"))))
+        # each used more than once, so found once
+        return let(found, lambda f: F.struct(F.array_min(F.transform(f, lambda x: x["a"])).alias("a"),
+                                             (F.array_max(F.transform(f, lambda x: x["b"])) + (WINDOW - 1)).alias("b")))
+
+    return let(F.regexp_extract_all(v, F.lit(f".{{1,{BLOCK}}}"), F.lit(0)), scan)
 
-            def change(n: Column, by: int) -> Column:
-                return F.get(cost, n + by) - F.get(cost, n)
 
-            up = change(F.get(st["n"], enter), 1)
-            down = F.when(leave >= 0, change(F.get(st["n"], leave), -1)).otherwise(0)
-            c = st["c"] + F.when(enter == leave, 0).otherwise(up + down)
-            n = F.transform(st["n"], lambda x, k: x + (k == enter).cast("int") - (k == leave).cast("int"))
-            return let(F.struct(n.alias("n"), c.alias("c")), lambda x: F.struct(
-                x["n"].alias("n"), x["c"].alias("c"),
-                F.coalesce(st["a"], F.when((i >= WINDOW - 1) & (x["c"] <= limit), i - (WINDOW - 1))).alias("a"),
-                F.when((i >= WINDOW - 1) & (x["c"] <= limit), i).otherwise(st["b"]).alias("b")))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), start, step,
-                           lambda st: F.struct(st["a"].alias("a"), st["b"].alias("b")))
+def entropy_spans(text: Column, allow: tuple[str, ...] = ALLOW, thresholds: dict[str, float] = THRESHOLDS) -> Column:
+    """(start, end) of the high-entropy parts of candidate strings."""
+    allowed = "|".join(f"(?:{p})" for p in allow)
 
-    return let(symbols, scan)
+    def rest(x: Column) -> Column:
+        """A run without its allowed stretches: what stands between them."""
+        def between(hits: Column) -> Column:
+            gaps = F.split(x["v"], allowed, -1)
+            return F.transform(gaps, lambda g, i: F.struct(
+                (x["s"] + F.when(i > 0, F.get(hits, i - 1)["e"]).otherwise(0)).alias("s"),
+                (x["s"] + F.when(i > 0, F.get(hits, i - 1)["e"]).otherwise(0) + F.length(g)).alias("e"), g.alias("v")))
 
+        return F.when(x["v"].rlike(allowed), let(located(x["v"], allowed), between)).otherwise(F.array(x)) if allow else F.array(x)
 
-def entropy_spans(text: Column, allow: tuple[str, ...] = ALLOW, thresholds: dict[str, float] = THRESHOLDS) -> Column:
-    """(start, end) of the high-entropy parts of candidate strings."""
     def wanted(x: Column) -> Column:
-        keep = x["v"].rlike("[0-9]") & x["v"].rlike("[A-Za-z]")
-        for pattern in allow:
-            keep = keep & ~x["v"].rlike(pattern)
-        return keep
+        return (F.length(x["v"]) >= WINDOW) & x["v"].rlike("[0-9]") & x["v"].rlike("[A-Za-z]")
 
     def found(x: Column) -> Column:
         hexadecimal = x["v"].rlike("^([0-9a-f]+|[0-9A-F]+)$")
@@ -128,7 +146,8 @@ def entropy_spans(text: Column, allow: tuple[str, ...] = ALLOW, thresholds: dict
 
     # a run starts where no token character stands before it: fewer positions to try
     runs = located(text, rf"(?<![A-Za-z0-9+/_-]){CANDIDATE}")
-    return F.filter(F.transform(F.filter(runs, wanted), found), lambda x: x["s"].isNotNull())
+    pieces = F.flatten(F.transform(F.filter(runs, wanted), rest))
+    return F.filter(F.transform(F.filter(pieces, wanted), found), lambda x: x["s"].isNotNull())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,7 +178,7 @@ def text_of(spans: Column) -> Column:
 def sql(table: str = "documents") -> str:
     """DuckDB: the same spans; every window's entropy is found anew."""
     q = lambda s: s.replace("'", "''")
-    allow = " AND ".join(f"NOT regexp_matches(v, '{q(p)}')" for p in ALLOW)
+    allow = q("|".join(f"(?:{p})" for p in ALLOW))
     kinds = [("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), ("run", CANDIDATE, 0)]
     found = " UNION ALL ".join(
         f"SELECT doc_id, {k} AS k, regexp_extract_all(t, '{q(p)}', 0) AS f, regexp_extract_all(t, '{q(p)}', {g}) AS v, "
@@ -171,8 +190,12 @@ i AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM m),
 e AS (SELECT doc_id, k, v[i] AS v, length(f[i]) AS n,
         list_sum(list_transform(gap[1:i], lambda x: length(x)))
         + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS s FROM i),
-w AS (SELECT doc_id, s, v, unnest(range(1, n - {WINDOW} + 2)) AS j FROM e
-      WHERE k = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND {allow}),
+r AS (SELECT doc_id, s, string_split_regex(v, '{allow}') AS gap, regexp_extract_all(v, '{allow}', 0) AS hit FROM e WHERE k = 3),
+u AS (SELECT *, unnest(range(1, len(gap) + 1)) AS i FROM r),
+c AS (SELECT doc_id, gap[i] AS v, length(gap[i]) AS n, s + coalesce(list_sum(list_transform(gap[1:i - 1], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(hit[1:i - 1], lambda x: length(x))), 0) AS s FROM u),
+w AS (SELECT doc_id, s, v, unnest(range(1, n - {WINDOW} + 2)) AS j FROM c
+      WHERE n >= {WINDOW} AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')),
 h AS (SELECT doc_id, s, min(j) AS a, max(j) AS b FROM w
       WHERE list_entropy(string_split(substr(v, j, {WINDOW}), ''))
             >= CASE WHEN regexp_matches(v, '^([0-9a-f]+|[0-9A-F]+)$') THEN {THRESHOLDS['hex']} ELSE {THRESHOLDS['mixed']} END
