@@ -29,7 +29,7 @@ def brute(rows):
         x = norm(line)
         if not x:
             continue
-        near = any(first[y] < first[x] and max(len(x), len(y)) >= line_dedup.LEAST and distance_at_most_one(x, y) for y in first if y != x)
+        near = any(first[y] < first[x] and distance_at_most_one(x, y) for y in first if y != x)
         if near or first[x] != at:
             drop.add(at)
     return {(d, t): None if t is None else "\n".join(
@@ -52,7 +52,7 @@ def vary(rng, line):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_edits(spark, seed):
     rng = random.Random(seed)
-    lines = ["".join(rng.choice("ab cdé") for _ in range(rng.choice([5, 14, 15, 16, 17, 18, 40, 120]))) or "x" for _ in range(25)]
+    lines = ["".join(rng.choice("ab cdé") for _ in range(rng.choice([1, 2, 5, 9, 14, 15, 16, 17, 18, 40, 120]))) or "x" for _ in range(25)]
     rows = []
     for d in range(40):
         mine = [rng.choice(lines) for _ in range(rng.randint(1, 6))]
@@ -73,15 +73,25 @@ def test_edges(spark):
                   (10, "z" * 5000), (11, "z" * 4999)])
 
 
+def test_short_lines_and_the_edit_bound(spark):
+    check(spark, [(d, "\n".join(x)) for d, x in enumerate([
+        ["a", "b"], ["ab", "abc", "xyz"], ["abcdefghijklmno", "abcdefghijklmnop"], ["abcdefghijklmnox", "bcdefghijklmno"], ["zz", "ab c"], ["qrstuvwxyzabcd", "qrstuvwxyzabcde"]])])
+    docs = spark.createDataFrame([(1, "alpha\nalphas"), (2, "alpha\nbeta")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup(docs, edits=0).collect()}
+    assert got == {1: "alpha\nalphas", 2: "beta"}
+    with pytest.raises(ValueError):
+        line_dedup.dedup(docs, edits=2)
+
+
 def test_repeated_rows_and_clashing_columns(spark):
-    docs = spark.createDataFrame([(1, "a line\nb line", 7, 8)] * 2, "doc_id long, text string, _lines int, n_lines int")
+    docs = spark.createDataFrame([(1, "a line\nother words", 7, 8)] * 2, "doc_id long, text string, _lines int, n_lines int")
     got = line_dedup.dedup(docs).collect()
-    assert [(r.text, r._lines, r.n_lines, r.n_lines_, r.n_dropped) for r in got] == [("a line\nb line", 7, 8, 2, 0)] * 2
+    assert [(r.text, r._lines, r.n_lines, r.n_lines_, r.n_dropped) for r in got] == [("a line\nother words", 7, 8, 2, 0)] * 2
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
 def test_joined_by_a_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", -1)
     rng = random.Random(9)
     base = "the quick brown fox jumps over the lazy dog"
     check(spark, [(d, "\n".join(vary(rng, base) for _ in range(3))) for d in range(12)])
