@@ -10,7 +10,7 @@ from tidemark.operators.universe import build_jobs, enabled_kinds
 from tidemark.plans.catalog import query
 from tidemark.plans.sqlgen import job_values, kind_values
 from tidemark.plans.surrogates import END, lineitem_series, lit_date, orders_manifest, table
-from tidemark.registry import FUTURES_KINDS, KINDS_BY_NAME, kinds_df, time_column_of
+from tidemark.registry import KINDS_BY_NAME, kinds_df, time_column_of
 
 SUP = "CAST(l_suppkey AS VARCHAR)"
 
@@ -148,25 +148,24 @@ def q_gap_plan(spark, sf_dir):
     return gap_plan(jobs, manifest, lit_date(END))
 
 
-def _nation_symbols(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("symbol"))
+def _customer_symbols(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("symbol"))
 
 
 @query("build_jobs", f"""
-SELECT n_name AS symbol, kind, interval, n_name || '/' || n_name || tail || '.parquet' AS path
-FROM nation, {job_values()}""")
+SELECT c_name AS symbol, kind, interval, c_name || '/' || c_name || tail || '.parquet' AS path
+FROM customer, {job_values()}""")
 def q_build_jobs(spark, sf_dir):
-    return build_jobs(_nation_symbols(spark, sf_dir))
+    return build_jobs(_customer_symbols(spark, sf_dir))
 
 
 @query("enabled_kinds", f"""
-SELECT n_name AS symbol, kind, interval, n_name || '/' || n_name || tail || '.parquet' AS path
-FROM nation, {job_values(skip=('metrics', 'premiumIndex'))}""")
+SELECT c_name AS symbol, kind, interval, c_name || '/' || c_name || tail || '.parquet' AS path
+FROM customer, {job_values(skip=('metrics', 'premiumIndex'))}""")
 def q_enabled_kinds(spark, sf_dir):
     toggles = {"metrics": False, "premiumIndex": False}
-    on = [r.kind for r in enabled_kinds(kinds_df(spark), toggles).select("kind").collect()]  # six-row registry
-    kinds = [k for k in FUTURES_KINDS if k.name in on]
-    return build_jobs(_nation_symbols(spark, sf_dir), kinds=kinds)
+    on = enabled_kinds(kinds_df(spark), toggles).select("kind")
+    return build_jobs(_customer_symbols(spark, sf_dir)).join(F.broadcast(on), "kind", "left_semi")  # a registry of six rows
 
 
 @query("series_path", f"""
@@ -191,8 +190,8 @@ def q_parse_series_path(spark, sf_dir):
 
 
 @query("time_column", f"""
-SELECT n_name AS symbol, j.kind, j.interval, k.time_col
-FROM nation, {job_values()} JOIN {kind_values()} ON j.kind = k.kind""")
+SELECT c_name AS symbol, j.kind, j.interval, k.time_col
+FROM customer, {job_values()} JOIN {kind_values()} ON j.kind = k.kind""")
 def q_time_column(spark, sf_dir):
-    jobs = build_jobs(_nation_symbols(spark, sf_dir))
+    jobs = build_jobs(_customer_symbols(spark, sf_dir))
     return jobs.select("symbol", "kind", "interval", time_column_of(F.col("kind")).alias("time_col"))

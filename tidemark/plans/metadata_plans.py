@@ -60,7 +60,7 @@ def _kv(m: dict) -> F.Column:
 
 
 @query("overlay_info", P_SQL + """,
-l5 AS (SELECT * FROM p WHERE nk >= 5 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY pos DESC) = 1),
+l5 AS (SELECT * FROM p WHERE nk >= 5 OR pos % 2 = 1 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY pos DESC) = 1),
 o AS (SELECT symbol, v.key, v.value FROM (SELECT symbol, seg FROM p WHERE pos % 2 = 0 AND nk < 15) e,
       LATERAL (VALUES ('symbol', e.symbol), ('sector', e.seg), ('oldOnly', 'true'), ('tickSize', '0.10')) AS v(key, value)),
 n AS (""" + flat_rows("l5") + """)
@@ -74,34 +74,35 @@ def q_overlay_info(spark, sf_dir):
                 .select(sym.alias("symbol"), _kv({"symbol": sym, "sector": F.col("c_mktsegment"),
                                                   "oldOnly": "true", "tickSize": "0.10"}).alias("info")))
     live = customer_objects(spark, sf_dir).join(
-        c.where(F.col("c_nationkey") >= 5).select(F.col("c_custkey").alias("pos")), "pos", "left_semi")
+        c.where((F.col("c_nationkey") >= 5) | (F.col("c_custkey") % 2 == 1)).select(F.col("c_custkey").alias("pos")), "pos", "left_semi")
     raw = live.select("symbol", "pos", F.from_json("json", MAP_SS).alias("raw"))
     return explode_info(overlay_info(existing, keep_last(raw, "symbol")))
 
 
-@query("migrate_info", P_SQL + """,
-f AS (SELECT symbol, v.key, v.value FROM (SELECT symbol, seg FROM p WHERE pos % 2 = 0 AND nk < 12 AND seg <> 'HOUSEHOLD') x,
+@query("migrate_info", """
+WITH c AS (SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS symbol, c_mktsegment AS seg, c_nationkey AS nk FROM customer),
+f AS (SELECT symbol, v.key, v.value FROM (SELECT * FROM c WHERE nk < 17 AND seg <> 'HOUSEHOLD') x,
       LATERAL (VALUES ('legacy', 'yes'), ('sector', x.seg)) AS v(key, value)),
-n AS (SELECT symbol, v.key, v.value FROM (SELECT symbol, seg, nk FROM p WHERE pos % 2 = 1 AND nk >= 8) x,
-      LATERAL (VALUES ('sector', x.seg), ('tier', CAST(x.nk AS VARCHAR))) AS v(key, value))
+n AS (SELECT symbol, v.key, v.value FROM (SELECT * FROM c WHERE nk >= 8) x,
+      LATERAL (VALUES ('sector', lower(x.seg)), ('tier', CAST(x.nk AS VARCHAR))) AS v(key, value))
 SELECT coalesce(n.symbol, f.symbol) AS symbol, coalesce(n.key, f.key) AS key,
        CASE WHEN n.key IS NOT NULL THEN n.value ELSE f.value END AS value,
        coalesce(n.symbol, f.symbol) IN (SELECT symbol FROM f) AS moved
 FROM f FULL OUTER JOIN n ON f.symbol = n.symbol AND f.key = n.key""")
 def q_migrate_info(spark, sf_dir):
+    """Every customer has a flat file, a nested one or both; flat ones of households aren't wanted."""
     c = table(spark, sf_dir, "customer")
-    sym = F.concat(F.lit("C"), F.lpad((F.col("c_custkey") / 2).cast("long").cast("string"), 7, "0"))
-    even, odd = F.col("c_custkey") % 2 == 0, F.col("c_custkey") % 2 == 1
+    sym, nk = F.concat(F.lit("C"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")), F.col("c_nationkey")
     root = shared_dir(spark, "info")
-    flat = c.where(even & (F.col("c_nationkey") < 12)).select(
+    flat = c.where(nk < 17).select(
         F.concat(sym, F.lit("_info.json")).alias("path"),
         F.to_json(_kv({"legacy": "yes", "sector": F.col("c_mktsegment")})).alias("content"))
-    nested = c.where(odd & (F.col("c_nationkey") >= 8)).select(
+    nested = c.where(nk >= 8).select(
         F.concat(sym, F.lit("/"), sym, F.lit("_info.json")).alias("path"),
-        F.to_json(_kv({"sector": F.col("c_mktsegment"), "tier": F.col("c_nationkey").cast("string")})).alias("content"))
+        F.to_json(_kv({"sector": F.lower("c_mktsegment"), "tier": nk.cast("string")})).alias("content"))
     write_files(flat, root)
     write_files(nested, root)
-    wanted = c.where(even & (F.col("c_mktsegment") != "HOUSEHOLD")).select(sym.alias("symbol"))
+    wanted = c.where(F.col("c_mktsegment") != "HOUSEHOLD").select(sym.alias("symbol"))
     out = migrate_info(scan_symbol_info(spark, root, "flat"), scan_symbol_info(spark, root, "nested"), wanted)
     return out.select("symbol", F.explode("info").alias("key", "value"), "moved")
 

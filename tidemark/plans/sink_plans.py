@@ -93,18 +93,19 @@ def q_write_run_symbols(spark, sf_dir):
 
 
 META_SQL = """
-SELECT n_name AS symbol, 'listing_date' AS key, CASE WHEN n_regionkey = 0 THEN NULL ELSE '20' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '-01' END AS value
-FROM nation UNION ALL SELECT n_name, 'note', '"' || n_name || '"' FROM nation"""
+SELECT c_name AS symbol, 'listing_date' AS key,
+       CASE WHEN c_nationkey % 5 <> 0 THEN '20' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-01' END AS value
+FROM customer UNION ALL SELECT c_name, 'note', '"' || c_mktsegment || '"' FROM customer"""
 
 
 @query("write_meta", META_SQL)
 def q_write_meta(spark, sf_dir):
     """SNK-3 / SRC-10: listing metadata written as sorted JSON and read back."""
-    n = table(spark, sf_dir, "nation")
-    date = F.when(F.col("n_regionkey") != 0, F.concat(F.lit("20"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit("-01")))
-    info = F.create_map(F.lit("listing_date"), date, F.lit("note"), F.concat(F.lit('"'), "n_name", F.lit('"')))
+    c = table(spark, sf_dir, "customer")
+    date = F.when(F.col("c_nationkey") % 5 != 0, F.concat(F.lit("20"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-01")))
+    info = F.create_map(F.lit("listing_date"), date, F.lit("note"), F.concat(F.lit('"'), "c_mktsegment", F.lit('"')))
     root = shared_dir(spark, "meta")
-    write_meta(n.select(F.col("n_name").alias("symbol"), info.alias("info")), root)
+    write_meta(c.select(F.col("c_name").alias("symbol"), info.alias("info")), root)
     return explode_info(scan_meta(spark, root))
 
 

@@ -156,6 +156,22 @@ def opened(root: str, path: str) -> Counted:
     return Counted(system.open_input_file(base))
 
 
+def small_files(files: DataFrame, root: str) -> DataFrame:
+    """(path, value): whole documents of ``files`` (path relative to ``root``), read by tasks a few at
+    a time."""
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                paths = batch.column(0).slice(a, 256)
+                texts = []
+                for path in paths.to_pylist():
+                    with opened(root, path) as file:
+                        texts.append(file.read().decode("utf-8", errors="replace"))
+                yield pa.RecordBatch.from_arrays([paths, pa.array(texts, pa.string())], names=["path", "value"])
+
+    return spread(files).select("path").mapInArrow(run, "path string, value string")
+
+
 def glob_of(names: list[str]) -> str:
     """A file pattern that matches just these names."""
     quoted = ["".join("\\" + c if c in "\\{}[]*?,^" else c for c in n) for n in names]

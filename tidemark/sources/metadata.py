@@ -8,13 +8,13 @@ formats that are one object per file; line layouts are split like any text file.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import index_time, micros_to_time
 from tidemark.operators.metadata import symbol_from_flat_name
+from tidemark.sources.files import list_files, small_files
 
 MAP_SS = T.MapType(T.StringType(), T.StringType())
 
@@ -46,16 +46,11 @@ def scan_exchange_info(spark: SparkSession, path: str, layout: str = "document")
 def scan_symbol_info(spark: SparkSession, root: str, layout: str = "nested") -> DataFrame:
     """SRC-7: per-symbol JSON objects -> ``(symbol, info)``; unreadable or non-object
     content gives an empty record.  ``nested``: ``root/SYM/SYM_info.json``;
-    ``flat``: legacy ``root/SYM_info.json``."""
-    glob = f"{root.rstrip('/')}/*/*_info.json" if layout == "nested" else f"{root.rstrip('/')}/*_info.json"
-    try:
-        docs = spark.read.text(glob, wholetext=True)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # no file matches the glob
-            raise
-        return spark.createDataFrame([], T.StructType([T.StructField("symbol", T.StringType()),
-                                                        T.StructField("info", MAP_SS)]))
-    name = F.regexp_extract(_path(), r"([^/]+)$", 1)
+    ``flat``: legacy ``root/SYM_info.json``.  Tasks list the folders and read the files."""
+    files = list_files(spark, root, ("_info.json",))
+    depth = F.size(F.split("path", "/"))
+    docs = small_files(files.where(depth == (2 if layout == "nested" else 1)), root)
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
     info = F.coalesce(F.from_json("value", MAP_SS), F.create_map().cast(MAP_SS))
     return docs.select(symbol_from_flat_name(name).alias("symbol"), info.alias("info"))
 
