@@ -62,3 +62,14 @@ def test_nulls_repeats_and_other_columns(spark):
     assert clash.columns == ["doc_id", "text", "source", "copy", "_rate", "copy_"] and clash.count() > 0
     assert mixing.mix(d.limit(0)).count() == 0
     assert Counter(r.source for r in mixing.mix(d.drop("_rate"), {"s": 1.0}, total=300).collect()).keys() <= {"s"}
+
+
+def test_rows_without_an_id_spread(spark):
+    """Copies of rows that have no id lie in all tasks, not in the few of one hash."""
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
+                                    F.lit("s").alias("source"), F.create_map(F.lit("k"), "id").alias("m"))
+    got = mixing.mix(docs, total=8000)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    # one draw for all that have the same (no) id
+    assert got.groupBy("text").count().select("count").distinct().count() <= 1

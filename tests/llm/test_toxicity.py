@@ -80,3 +80,15 @@ def test_edges(spark):
     scores = [r.score for r in toxicity.score(docs, some).collect()]
     assert len(scores) == 4 and all(0 < s < 1 for s in scores) and scores[0] == scores[1]
     assert toxicity.score(docs.limit(0), some).count() == 0
+
+
+def test_scores_are_the_plain_sum_over_pairs():
+    """bias + sum of weights + sum over all pairs of terms of the inner product of their factors."""
+    rng = np.random.RandomState(3)
+    m = toxicity.Machine(np.arange(30), 0.2, rng.normal(size=30), rng.normal(size=(30, toxicity.FACTORS)))
+    docs = [np.sort(rng.choice(30, size, replace=False)) for size in (0, 1, 2, 7, 20)]
+    doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    got = m._sigmoid(doc, np.concatenate(docs).astype(int), len(docs))
+    for d, score in zip(docs, got):
+        z = 0.2 + sum(m.weights[i] for i in d) + sum(float(m.factors[i] @ m.factors[j]) for i in d for j in d if i < j)
+        assert abs(score - 1 / (1 + np.exp(-np.clip(z, -35, 35)))) < 1e-12

@@ -118,7 +118,8 @@ def _from_six(raw: bytes) -> np.ndarray:
 
 
 def _requests(held: DataFrame, parts: int) -> DataFrame:
-    """One row per block and part: the distinct words and bigrams of that part, with counts."""
+    """One row per block and part that it has anything of: the distinct words and bigrams of that part,
+    with counts."""
     edges = _edges(parts)
     schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("uk", pa.binary()), ("uc", pa.binary()),
                         ("bk", pa.binary()), ("bc", pa.binary())])
@@ -135,7 +136,8 @@ def _requests(held: DataFrame, parts: int) -> DataFrame:
                 u = np.concatenate([[0], np.searchsorted(uk, edges), [len(uk)]])
                 b = np.concatenate([[0], np.searchsorted(bk, edges), [len(bk)]])
                 rows = [(p, r["block"], r["kind"], uk[u[p]:u[p + 1]].tobytes(), uc[u[p]:u[p + 1]].tobytes(),
-                         _six(bk[b[p]:b[p + 1]]), bc[b[p]:b[p + 1]].tobytes()) for p in range(parts)]
+                         _six(bk[b[p]:b[p + 1]]), bc[b[p]:b[p + 1]].tobytes())
+                        for p in np.flatnonzero((u[1:] > u[:-1]) | (b[1:] > b[:-1])).tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return held.select("block", "kind", "words", "tokens").mapInArrow(

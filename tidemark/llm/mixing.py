@@ -71,7 +71,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
     few = table.count() <= BROADCAST_SOURCES
     # the row in one column, so that no column of the table meets one of these names
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[source_col].alias("_source"), docs[id_col].alias("_id"))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(1 if few else SALTS)))
+    # rows without an id are told apart by what they hold (maps can't be hashed)
+    own = [F.col("_row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = rows.withColumn("_own", F.when(F.col("_id").isNull(), F.xxhash64(*own) if own else F.lit(0)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_id", "_own"), F.lit(1 if few else SALTS)))
     if few:
         table = F.broadcast(table.withColumn("_z", F.lit(0)))
     else:  # a hot source is spread over the salts, each with a copy of its one row of the table
@@ -87,8 +90,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
                        lambda n, k: n + drawn(F.col("_cdf"), k))
     count = drawn(F.col("_rest"), F.lit(0)) + F.when(F.col("_full") > 0, full).otherwise(0)
     counted = joined.withColumn("_count", count).where("_count > 0")
-    copies = counted.select("_row", "_id", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("_copy"))
-    order = F.xxhash64(F.lit(seed), key, F.col("_copy"))
+    copies = counted.select("_row", "_id", "_own", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("_copy"))
+    order = F.xxhash64(F.lit(seed), key, F.col("_own"), F.col("_copy"))
     dealt = copies.withColumn("_order", order).repartition(partitions(spark), "_order")
     return dealt.sortWithinPartitions("_order").select("_row.*", F.col("_copy").alias(free(copy_col, docs.columns)))
 
