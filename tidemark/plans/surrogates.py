@@ -222,8 +222,6 @@ def _zip_rows(batches):
 
 def write_dump_files(files: DataFrame, root: str, zipped: bool) -> None:
     """(path, content, part) -> files under ``root``, a dump's parts with times in their order."""
-    # few files to a batch, as in zip_files
-    files.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     if zipped:
         files = files.mapInPandas(_zip_rows, "path string, content binary, part long")
     write_files(files, root, order_col="part")
