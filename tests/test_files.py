@@ -127,3 +127,25 @@ def test_a_legacy_store_is_read_a_row_group_at_a_time(spark, root):
     open(os.path.join(root, "bad.parquet"), "wb").write(b"none")
     with pytest.raises(Exception, match="unreadable series file bad.parquet"):
         scan_series(spark, root, schema, legacy=True).count()
+
+
+def test_a_failed_task_leaves_no_file(spark, tmp_path):
+    """A task writes some of its files and fails: none is there, nor anything half-written."""
+    from pyspark.sql import functions as F
+
+    from tidemark.sinks.tables import write_files
+
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"D/f{i}.txt", f"text {i}", i) for i in range(30)], "path string, content string, n int").coalesce(1)
+    bad = rows.withColumn("content", F.when(F.col("n") == 29, F.raise_error(F.lit("broken row")).cast("string")).otherwise(F.col("content")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        with pytest.raises(Exception, match="broken row"):
+            write_files(bad, root)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    left = [f for _, _, names in os.walk(root) for f in names]
+    assert left == []
+    write_files(rows, "file://" + root)
+    assert sorted(os.listdir(root + "/D")) == sorted(f"f{i}.txt" for i in range(30))
+    assert open(root + "/D/f7.txt").read() == "text 7"

@@ -8,11 +8,16 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
+from dataclasses import dataclass
 
-import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from tidemark.sources.files import file_system
 
 
 def _clustered(df: DataFrame, series_cols: list[str], time_col: str) -> DataFrame:
@@ -100,38 +105,81 @@ def write_snapshot(symbols: DataFrame, root: str, snapshot_id: str, fetched_at:
      .write.mode("append").partitionBy("snapshot_id").parquet(root))
 
 
-def _local(path: str) -> str:
-    if "://" in path and not path.startswith("file://"):
-        raise ValueError(f"{path}: single files are written to a mounted folder only")
-    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+@dataclass
+class Written(WriterCommitMessage):
+    """What a task of ``write_files`` has put in place."""
+
+    files: int
+
+
+class _FilesWriter(DataSourceArrowWriter):
+    def __init__(self, options):
+        self.root, self.ordered, self.start = options["path"], options["ordered"] == "true", int(options["start"])
+
+    def write(self, iterator) -> Written:
+        """Write all of a task's files under other names, then put them in place; a task that fails
+        before has left none, one that is repeated replaces its own."""
+        system, base = file_system(self.root)
+        mark = f".{uuid.uuid4().hex}.tmp"
+        made: list[tuple[str, int | None]] = []
+        try:
+            for batch in iterator:
+                order = batch.column(2).to_pylist() if self.ordered else [None] * batch.num_rows
+                for i in range(batch.num_rows):
+                    target = f"{base}/{batch.column(0)[i].as_py()}"
+                    folder, _, name = target.rpartition("/")
+                    system.create_dir(folder, recursive=True)
+                    made.append((target, order[i]))
+                    with system.open_output_stream(f"{folder}/.{name}{mark}") as f:
+                        f.write(batch.column(1)[i].as_buffer())
+        except BaseException:
+            for target, _ in made:
+                folder, _, name = target.rpartition("/")
+                if system.get_file_info(f"{folder}/.{name}{mark}").is_file:
+                    system.delete_file(f"{folder}/.{name}{mark}")
+            raise
+        for target, place in made:
+            folder, _, name = target.rpartition("/")
+            if place is not None and isinstance(system, pafs.LocalFileSystem):
+                os.utime(f"{folder}/.{name}{mark}", ns=(self.start + int(place) * 1_000_000,) * 2)
+            system.move(f"{folder}/.{name}{mark}", target)
+        return Written(len(made))
+
+    def commit(self, messages) -> None:
+        """Every task has put its own files in place."""
+
+    def abort(self, messages) -> None:
+        """A failed task has removed its files; those of tasks that ended stay, as whole files."""
+
+
+class _Files(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "tidemark_files"
+
+    def schema(self) -> str:
+        return "path string, content binary, place long"
+
+    def writer(self, schema, overwrite) -> _FilesWriter:
+        return _FilesWriter(self.options)
 
 
 def write_files(df: DataFrame, root: str, path_col: str = "path", content_col: str = "content",
-                order_col: str | None = None) -> int:
+                order_col: str | None = None) -> None:
     """Write each row's ``content`` (text or bytes) to ``root/<path>`` from the executors.
 
     For the per-file layouts of the source dataset (``SYM/SYM_info.json``, zip dumps,
-    a legacy ``_index.json``).  ``root`` must be a folder every executor mounts (the
-    shared checkpoint folder is one).  A file of larger ``order_col`` (a number from 0) gets a
-    later modification time, whenever its task runs: streams take files in that order.
-    Returns the number of files written.
+    a legacy ``_index.json``).  ``root`` is a folder every executor mounts (the shared checkpoint
+    folder is one) or a URI that pyarrow's file systems know.  A task's files appear when all of them
+    are written.  In a mounted folder a file of larger ``order_col`` (a number from 0) gets a later
+    modification time, whenever its task runs.
     """
-    base, start = _local(root).rstrip("/"), time.time_ns()
-
-    def _write(batches):
-        for pdf in batches:
-            n = 0
-            for rel, content, order in zip(pdf[path_col], pdf[content_col], pdf[order_col] if order_col else [None] * len(pdf)):
-                target = os.path.join(base, rel)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                data = content.encode("utf-8") if isinstance(content, str) else bytes(content)
-                tmp = target + ".tmp"
-                with open(tmp, "wb") as f:
-                    f.write(data)
-                if order is not None:
-                    os.utime(tmp, ns=(start + int(order) * 1_000_000,) * 2)
-                os.replace(tmp, target)  # a retried task overwrites, never half-writes
-                n += 1
-            yield pd.DataFrame({"n": [n]})
-
-    return int(df.select(path_col, content_col, *([order_col] if order_col else [])).mapInPandas(_write, "n long").agg(F.sum("n")).first()[0] or 0)
+    try:
+        file_system(root)
+    except (ValueError, OSError) as e:
+        raise ValueError(f"{root}: neither a mounted folder nor a file system that pyarrow knows: {e}") from e
+    df.sparkSession.dataSource.register(_Files)
+    place = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
+    rows = df.select(F.col(path_col).alias("path"), F.col(content_col).cast("binary").alias("content"), place.alias("place"))
+    (rows.write.format("tidemark_files").mode("append").option("path", root).option("ordered", "true" if order_col else "false")
+     .option("start", str(time.time_ns())).save())

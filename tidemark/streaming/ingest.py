@@ -58,12 +58,15 @@ def stored_part(spark: SparkSession, store: str, rows: DataFrame, k: Kind) -> Da
     else:
         span = rows.agg(F.min(k.time_col), F.max(k.time_col)).first()
         existing = scan_cells(spark, store, store_schema(k), SERIES, version, None if span[0] is None else tuple(span)).drop(MONTH)
-    touched = rows.select(*SERIES).distinct()
+    return of_series(existing, rows.select(*SERIES).distinct())
+
+
+def of_series(existing: DataFrame, touched: DataFrame) -> DataFrame:
+    """The rows of ``existing`` of the distinct series ``touched``: by literal partition filters, or by a
+    join that prunes while the query runs where there are many."""
     few = touched.limit(LITERAL_SERIES + 1).collect()
     if len(few) > LITERAL_SERIES:
-        same = [existing[c].eqNullSafe(F.col(f"_{c}")) for c in SERIES]
-        return existing.join(F.broadcast(touched.toDF(*[f"_{c}" for c in SERIES])) if touched.count() <= 100_000 else
-                             touched.toDF(*[f"_{c}" for c in SERIES]), same[0] & same[1] & same[2], "left_semi")
+        return join_null_safe(existing, touched, SERIES, "left_semi")
     for c in SERIES:
         values = {r[c] for r in few}
         keep = F.col(c).isin([v for v in values if v is not None])
@@ -90,7 +93,8 @@ def stored_maxima(spark: SparkSession, store: str, touched: DataFrame, k: Kind,
     version = live_version(spark, store)
     schema = store_schema(k)
     stored = scan_series(spark, store, schema) if version is None else scan_cells(spark, store, schema, SERIES, version)
-    found = latest_time(join_null_safe(stored, touched.select(*SERIES), SERIES, "left_semi"), SERIES, k.time_col)
+    mine = of_series(stored.select(*SERIES, k.time_col), touched.select(*SERIES))
+    found = latest_time(join_null_safe(mine, touched.select(*SERIES), SERIES, "left_semi"), SERIES, k.time_col)
     found = found.select(series_key_path().alias("path"), "last_ts")
     return found if known is None else known.unionByName(found)
 
