@@ -50,18 +50,17 @@ def _unit(n: Column) -> Column:
     return (F.floor(m / step) * step).cast("int")
 
 
-def _three_pieces(line: Column) -> Column:
+def _three_pieces(line: Column, u: Column, shorter: Column) -> Column:
     """Hashes of all but one piece, for each of the four pieces.
 
-    Where a line one shorter has another length of piece, the four for that length follow; at place
-    8 stands the key that all lines varied whole share.
+    ``u`` is the length of piece of the line, ``shorter`` that of a line one shorter: where they differ
+    the four for that length follow.  At place 8 stands the key that all lines varied whole share.
     """
     n = F.length(line)
 
     def four(u: Column) -> Column:
         return F.array(*[F.xxhash64(F.lit(i), u, F.left(line, u * i), F.right(line, u * (3 - i))) for i in range(4)])
 
-    u, shorter = _unit(n), _unit(n - 1)
     none = F.array().cast("array<bigint>")
     long = F.when(u == shorter, four(u)).otherwise(F.concat(four(u), four(shorter)))
     whole = F.array(*[F.lit(None).cast("bigint")] * 8, F.lit(0).cast("bigint"))  # place 8: varied whole
@@ -130,8 +129,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError("lines are compared with an edit bound of 0 or 1")
     every = _lines(docs, id_col, text_col).select("d", "t", "i", *_key(F.col("line")), "line")
     place = F.min(F.struct("d", "i", "t")).alias("at")
-    three = [F.any_value(_three_pieces(F.col("line"))).alias("three")] if edits else []
-    distinct = saved(every.groupBy("h", "g").agg(place, F.count(F.lit(1)).alias("n"), *three), "lines_distinct")
+    three = [F.any_value(_three_pieces(F.col("line"), F.col("u"), F.col("s"))).alias("three")] if edits else []
+    # in columns, so that each is found once a line
+    cut = every.withColumns({"u": _unit(F.length("line")), "s": _unit(F.length("line") - 1)})
+    distinct = saved(cut.groupBy("h", "g").agg(place, F.count(F.lit(1)).alias("n"), *three), "lines_distinct")
     none = distinct.select("h", "g").limit(0)
     near = (near_dropped(docs, distinct.select("h", "g", "at", "three"), id_col, text_col) if edits else none).withColumn("near", F.lit(True))
     # distinct lines that aren't kept everywhere: repeated ones and those with an earlier neighbour
