@@ -18,6 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.chunks import ChunkEncoder, by_bytes
+from tidemark.llm.common import batch_limits, saved
 
 _U = np.uint64
 NONE = np.int32(2**31 - 1)
@@ -249,7 +250,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
     schema = f"{kinds}n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return rows.mapInArrow(run, schema).toDF(*names, *made)
+    with batch_limits(docs.sparkSession):
+        return saved(rows.mapInArrow(run, schema), "encoded").toDF(*names, *made)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:

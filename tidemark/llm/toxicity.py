@@ -171,4 +171,5 @@ def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None, t
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*inner, "s"])
 
     fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{fields}s double").toDF(*names, free("score", names))
+    with batch_limits(docs.sparkSession):
+        return saved(rows.mapInArrow(run, f"{fields}s double"), "toxicity_scores").toDF(*names, free("score", names))
