@@ -41,7 +41,7 @@ def test_parts_are_bounded_ranges_of_ids(spark, ids):
 @pytest.mark.parametrize("ext", ["csv", "zip"])
 def test_first_line_wins_across_files(spark, ext):
     root = shared_dir(spark, "t_parts")
-    write_dump_files(dump_files(lines(spark), ext, 4), root, ext == "zip")
+    write_dump_files(dump_files(lines(spark), ext, 7), root, ext == "zip")
     found = glob.glob(root.replace("file:", "", 1) + f"/daily/klines/A/1h/A-1h-2024-01-30*.{ext}")
     assert len(found) >= 9 and sum(".part" not in f for f in found) == 1
     in_order = sorted(found, key=lambda f: int(f.split(".part")[1].split(".")[0]) if ".part" in f else 0)
