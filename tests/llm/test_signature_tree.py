@@ -152,3 +152,60 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got.get(x, x) == find(x) for x in parent)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_exact_step_at_all_ratios_of_sizes(spark, monkeypatch):
+    """Parts of one text, of sizes around the threshold's ratio, in pieces of four and without meetings."""
+    monkeypatch.setattr(signature_tree, "_meet", lambda rows, group: rows.sparkSession.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(signature_tree, "GROUP", 4)
+    monkeypatch.setattr(signature_tree, "BLOCK_TEXTS", 5)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(20, 90))]
+        passage = [f"p{i}" for i in range(30)]
+        for _ in range(8):
+            a, b = rng.randint(0, len(words) // 6), len(words) - rng.randint(0, len(words) // 6)
+            texts.append(" ".join(words[a:b] + (passage if rng.random() < 0.3 else [])))
+    rng.shuffle(texts)
+    check(spark, list(enumerate(texts)))
+
+
+def test_a_passage_of_many_texts_makes_no_group(spark, monkeypatch):
+    """Texts of one passage and a tail that one other text holds: the tail's tokens are rarer and come
+    first, and no smaller set of a pair needs the passage's."""
+    monkeypatch.setattr(signature_tree, "_meet", lambda rows, group: rows.sparkSession.createDataFrame([], "a long, b long"))
+    passage = [f"p{i}" for i in range(44)]
+    texts = []
+    for i in range(60):
+        tail = [f"t{i}_{k}" for k in range(10)]
+        texts += [" ".join(passage + tail), " ".join([f"o{i}_{k}" for k in range(30)] + tail)]
+    seen = []
+    tree = signature_tree.saved
+
+    def noted(df, name):
+        out = tree(df, name)
+        if name == "groups":
+            seen.append(out.agg({"size": "max"}).first()[0] if "size" in out.columns else None)
+        return out
+
+    monkeypatch.setattr(signature_tree, "saved", noted)
+    check(spark, list(enumerate(texts)))
+    assert seen and all(size is None or size <= 2 for size in seen)
+
+
+def test_grades_are_of_all_blocks(spark):
+    """A token's grade counts its texts in every block, also where a block knew it as shared itself."""
+    seen = {}
+    h = np.array([1, 2, 3], np.uint64) << np.uint64(20)
+    blocks = [signature_tree._block(b, [0, 1], [np.array([2, 1])], [np.array([h[0], h[1], h[0]])], 1) for b in range(3)]
+    blocks.append(signature_tree._block(3, [0], [np.array([2])], [np.array([h[0], h[2]])], 1))
+    df = spark.createDataFrame([r for b in blocks for r in map(tuple, (d.values() for d in b.to_pylist()))], signature_tree._ROW_SQL)
+    rows = [r.asDict() for r in signature_tree._shared(df).collect()]
+    for b in range(4):
+        head = next(r for r in rows if r["head"] and r["block"] == b)
+        at, tokens, grades = signature_tree._answered(head, [r for r in rows if not r["head"] and r["block"] == b])
+        seen[b] = sorted(zip(at.tolist(), tokens.tolist(), grades.tolist()))
+    a, b, _ = (int(x) for x in signature_tree.token_ids(h, 1))
+    assert all(seen[i] == [(0, a, 3), (0, b, 2), (1, a, 3)] for i in range(3))
+    assert seen[3] == [(0, a, 3)]

@@ -14,10 +14,12 @@ Which texts meet in a tree:
    than 75 % shared tokens has no partner.  Equal sets become one class.
 2. Classes with an equal least hash of their tokens meet in a tree over whole sets: this connects
    most of each group of copies.  Then one class of each component, for three more hashes.
-3. Exactly: two linked sets must share one of the first |A| - ceil(0.75 |A|) + 1 tokens of either in
-   any fixed order.  Classes of different components that share such a token meet in a tree over
-   signatures; the pairs left are verified on the sets.  Nothing is skipped but pairs that are in one
-   component already.
+3. Exactly: two linked sets must share one of the first |A| - ceil(0.75 |A|) + 1 tokens of the larger
+   and the first |B| - ceil(6/7 |B|) + 1 of the smaller, in any fixed order (6/7 is what two sets of
+   one size must share).  The order is by document frequency, in powers of two, rarest first, so a
+   passage of very many texts comes last, where as a rule no smaller set asks for it.  Classes of
+   different components that share such a token meet in a tree over signatures; the pairs left are
+   verified on the sets.  Nothing is skipped but pairs that are in one component already.
 """
 
 from __future__ import annotations
@@ -51,8 +53,10 @@ _SEEDS = np.random.RandomState(31).randint(0, 1 << 63, HASHES).astype(np.uint64)
 _MARK = np.uint16(0xFFFF)
 
 _ROW = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("head", pa.bool_()), ("ids", pa.binary()), ("nulls", pa.binary()),
-                  ("sizes", pa.binary()), ("sums", pa.binary()), ("at", pa.binary()), ("tokens", pa.binary())])
-_ROW_SQL = "part long, block long, head boolean, ids binary, nulls binary, sizes binary, sums binary, at binary, tokens binary"
+                  ("sizes", pa.binary()), ("sums", pa.binary()), ("at", pa.binary()), ("tokens", pa.binary()),
+                  ("held", pa.binary())])
+_ROW_SQL = ("part long, block long, head boolean, ids binary, nulls binary, sizes binary, sums binary, at binary, tokens binary,"
+            " held binary")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -64,6 +68,16 @@ def least_needed(n: np.ndarray) -> np.ndarray:
     return (3 * n + 3) // 4
 
 
+def least_of_smaller(n: np.ndarray) -> np.ndarray:
+    """Tokens that a set of n must share with a partner of its size or larger: ceil(6/7 n)."""
+    return (6 * n + 6) // 7
+
+
+def grade(texts: np.ndarray) -> np.ndarray:
+    """Document frequency in powers of two."""
+    return np.frexp(texts.astype(np.float64))[1].astype(np.uint8)
+
+
 def token_ids(h: np.ndarray, parts: int) -> np.ndarray:
     """(part, low 48 bits) of a shingle hash in one number below 2**63."""
     part = ((h >> _U(48)) * _U(parts)) >> _U(16)
@@ -74,7 +88,7 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
     """Rows of one block: a head with all its texts, and for each part the tokens that it asks about.
 
     Tokens that two texts of the block hold need no asking: they go with the head, and as a mark
-    (no text) to their part, so that other blocks learn of them.
+    (no text, but how many) to their part, so that other blocks learn of them.
     """
     n = np.concatenate(counts)
     h = np.concatenate(hashes)
@@ -99,7 +113,7 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
     own = np.repeat(times, times) == 1
     key = token_ids(h, parts)
     head = (-1 - number, number, True, np.array([i or 0 for i in ids], np.int64).tobytes(), np.array([i is None for i in ids]).tobytes(),
-            sizes.tobytes(), sums.tobytes(), doc[~own].tobytes(), key[~own].tobytes())
+            sizes.tobytes(), sums.tobytes(), doc[~own].tobytes(), key[~own].tobytes(), None)
     who = np.where(times == 1, doc[at], _MARK).astype(np.uint16)
     asked = key[at]
     edges = np.searchsorted(asked, np.arange(parts + 1, dtype=np.uint64) << _U(48))
@@ -108,7 +122,8 @@ def _block(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
         a, b = edges[p], edges[p + 1]
         if b > a:
             low = np.ascontiguousarray(asked[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-            rows.append((p, number, False, None, None, None, None, who[a:b].tobytes(), low.tobytes()))
+            marked = times[a:b][times[a:b] > 1].astype(np.uint32)
+            rows.append((p, number, False, None, None, None, None, who[a:b].tobytes(), low.tobytes(), marked.tobytes()))
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROW)], schema=_ROW)
 
 
@@ -138,7 +153,8 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, parts: int, width: int)
 
 
 def _shared(blocks: DataFrame) -> DataFrame:
-    """Per part: which asked tokens are held by more than one text; heads pass through."""
+    """Per part: which asked tokens are held by more than one text, with the grade of their frequency;
+    marks whose grade is another than their block knows; heads pass through."""
     def run(table):
         rows = table.to_pylist()
         if rows[0]["head"]:
@@ -155,13 +171,15 @@ def _shared(blocks: DataFrame) -> DataFrame:
         begin = np.ones(len(k), bool)
         begin[1:] = k[1:] != k[:-1]
         run_of = np.cumsum(begin) - 1
-        common = (np.bincount(run_of) > 1) | (np.bincount(run_of, at[order] == _MARK) > 0)
-        take = np.zeros(len(k), bool)
-        take[order] = common[run_of]
-        take &= at != _MARK
+        held = np.ones(len(k), np.int64)
+        held[at == _MARK] = np.concatenate([np.frombuffer(r["held"], np.uint32) for r in rows])
+        total = np.empty(len(k), np.int64)
+        total[order] = np.bincount(run_of, held[order])[run_of].astype(np.int64)
+        grades = grade(total)
+        take = np.where(at == _MARK, grades != grade(held), total > 1)
         ends = np.searchsorted(of[take], np.arange(len(rows) + 1))
-        at, tokens = at[take], keys[take] | (part << _U(48))
-        out = [(r["part"], r["block"], False, None, None, None, None, at[a:b].tobytes(), tokens[a:b].tobytes())
+        at, tokens, grades = at[take], keys[take] | (part << _U(48)), grades[take]
+        out = [(r["part"], r["block"], False, None, None, None, None, at[a:b].tobytes(), tokens[a:b].tobytes(), grades[a:b].tobytes())
                for r, a, b in zip(rows, ends, ends[1:]) if b > a]
         return pa.table([pa.array([o[i] for o in out], f.type) for i, f in enumerate(_ROW)], schema=_ROW)
 
@@ -195,6 +213,20 @@ _SET_SQL = ("key long, id long, n long, s1 long, s2 long, " + ", ".join(f"m{j} l
             + ", held long, tokens binary, prefix binary, codes binary")
 
 
+def _answered(head: dict, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, token and grade of all shared tokens of a block: those it knew of and those it asked for."""
+    own = np.frombuffer(head["tokens"], np.uint64)
+    known, number, times = np.unique(own, return_inverse=True, return_counts=True)
+    grades = grade(times)
+    at = np.concatenate([np.zeros(0, np.uint16), *[np.frombuffer(r["at"], np.uint16) for r in answers]])
+    tokens = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["tokens"], np.uint64) for r in answers]])
+    told = np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(r["held"], np.uint8) for r in answers]])
+    mark = at == _MARK
+    grades[np.searchsorted(known, tokens[mark])] = told[mark]
+    return (np.concatenate([np.frombuffer(head["at"], np.uint16), at[~mark]]), np.concatenate([own, tokens[~mark]]),
+            np.concatenate([grades[number], told[~mark]]))
+
+
 def _sets(shared: DataFrame) -> DataFrame:
     """One row per text; tokens, codes and least hashes only where a partner is possible."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
@@ -207,10 +239,9 @@ def _sets(shared: DataFrame) -> DataFrame:
         sizes = np.frombuffer(head["sizes"], np.int64)
         sums = np.frombuffer(head["sums"], np.int64).reshape(2, -1)
         ids, nulls = np.frombuffer(head["ids"], np.int64), np.frombuffer(head["nulls"], bool)
-        at = np.concatenate([np.frombuffer(r["at"], np.uint16) for r in rows])
-        tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in rows])
+        at, tokens, grades = _answered(head, [r for r in rows if not r["head"]])
         order = np.lexsort((tokens, at))
-        tokens = tokens[order]
+        tokens, grades = tokens[order], grades[order]
         ends = np.searchsorted(at[order], np.arange(len(sizes) + 1))
         out = []
         for i, n in enumerate(sizes.tolist()):
@@ -219,7 +250,8 @@ def _sets(shared: DataFrame) -> DataFrame:
             spare = len(t) - int(least_needed(np.int64(n)))
             if n and spare >= 0:
                 row += [int((mix(t ^ s) >> _U(1)).min()) for s in _SEEDS]
-                row += [len(t), t.tobytes(), t[:spare + 1].tobytes(), packed(codes(t, n))]
+                prefix = t[np.lexsort((t, grades[ends[i]:ends[i + 1]]))[:spare + 1]]
+                row += [len(t), t.tobytes(), prefix.tobytes(), packed(codes(t, n))]
             else:
                 row += [None] * (HASHES + 4)
             out.append(row)
@@ -244,11 +276,15 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 class Tree:
-    """Signature tree over texts: OR of bitmaps, sizes and crowding (tokens less bits) by node."""
+    """Signature tree over texts: OR of bitmaps, sizes and crowding (tokens less bits) by node.
 
-    def __init__(self, n: np.ndarray, bits: list[np.ndarray], crowded: np.ndarray, component: np.ndarray, order: np.ndarray):
+    The smaller text of a pair has to be one of ``small``.
+    """
+
+    def __init__(self, n: np.ndarray, bits: list[np.ndarray], crowded: np.ndarray, component: np.ndarray, order: np.ndarray,
+                 small: np.ndarray):
         width = min(len(b) for b in bits)
-        self.order, self.n = order, n
+        self.order, self.n, self.small = order, n, small
         self.maps = np.stack([fold(b, width) for b in bits]).view(np.uint64)
         # folding lets more tokens fall on one bit
         total = crowded + np.array([int(np.bitwise_count(b).sum()) for b in bits])
@@ -264,10 +300,12 @@ class Tree:
         rows = self.order[a:b]
         if kids:
             x, y = (self.nodes[k] for k in kids)
-            node = (a, b, kids, x[3] | y[3], min(x[4], y[4]), max(x[5], y[5]), max(x[6], y[6]), max(x[7], y[7]))
+            node = (a, b, kids, x[3] | y[3], min(x[4], y[4]), max(x[5], y[5]), max(x[6], y[6]), max(x[7], y[7]),
+                    min(x[8], y[8]))
         else:
             node = (a, b, kids, np.bitwise_or.reduce(self.maps[rows], axis=0), int(self.n[rows].min()), int(self.n[rows].max()),
-                    int(self.crowded[rows].max()), int(self.total[rows].max()))
+                    int(self.crowded[rows].max()), int(self.total[rows].max()),
+                    int(self.n[rows][self.small[rows]].min(initial=1 << 62)))
         self.nodes.append(node)
         self.same.append(False)
         return len(self.nodes) - 1
@@ -292,7 +330,7 @@ class Tree:
 
     def possible(self, x: tuple, y: tuple) -> bool:
         """Whether two nodes may hold a linked pair, by sizes and by the largest overlap."""
-        if 4 * x[5] < 3 * y[4] or 4 * y[5] < 3 * x[4]:
+        if 4 * x[5] < 3 * y[4] or 4 * y[5] < 3 * x[4] or (x[8] > y[5] and y[8] > x[5]):
             return False
         most = int(np.bitwise_count(x[3] & y[3]).sum()) + min(x[6], y[6])
         # 100 o >= 75 (na + nb - o)
@@ -306,7 +344,7 @@ class Tree:
             x, y = self.nodes[p], self.nodes[q]
             if self.connected(p) and self.connected(q) and self.find(self.order[x[0]]) == self.find(self.order[y[0]]):
                 continue
-            if p != q and not self.possible(x, y):
+            if x[8] > x[5] if p == q else not self.possible(x, y):
                 continue
             if not x[2] and not y[2]:
                 for i, j in self._pairs(self.order[x[0]:x[1]], self.order[y[0]:y[1]], p == q):
@@ -326,6 +364,8 @@ class Tree:
         most = np.bitwise_count(self.maps[i][:, None, :] & self.maps[j][None, :, :]).sum(axis=2, dtype=np.int64)
         most = np.minimum(most + both(np.minimum, self.crowded), both(np.minimum, self.total))
         ok = (4 * both(np.minimum, self.n) >= 3 * both(np.maximum, self.n)) & (7 * most >= 3 * both(np.add, self.n))
+        smaller = np.less_equal.outer(self.n[i], self.n[j])
+        ok &= (smaller & self.small[i][:, None]) | (np.greater_equal.outer(self.n[i], self.n[j]) & self.small[j][None, :])
         a, b = np.nonzero(np.triu(ok, 1) if same else ok)
         return list(zip(i[a].tolist(), j[b].tolist()))
 
@@ -345,15 +385,16 @@ def _groups(batches, keys: list[str]):
         yield rows
 
 
-def _tree(rows: list[dict], by: list[np.ndarray], short: list[np.ndarray]) -> Tree:
+def _tree(rows: list[dict], by: list[np.ndarray], short: list[np.ndarray], small: np.ndarray | None = None) -> Tree:
     """Tree over texts given as rows (n, held, component) with the codes of each."""
+    small = np.ones(len(rows), bool) if small is None else small
     n = np.array([r["n"] for r in rows])
     bits = [bitmap(c, r["n"]) for c, r in zip(short, rows)]
     crowded = np.array([r["held"] for r in rows]) - np.array([int(np.bitwise_count(b).sum()) for b in bits])
     component = np.array([r["component"] for r in rows])
     _, first, number = np.unique(component, return_index=True, return_inverse=True)
-    order = np.lexsort(tuple(by) + (n, component))
-    return Tree(n, bits, crowded, first[number], order)
+    order = np.lexsort(tuple(by) + (n, component, small))
+    return Tree(n, bits, crowded, first[number], order, small)
 
 
 def _meet(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -401,25 +442,30 @@ def _with_component(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, Da
 def _candidates(reps: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a prefix token and pass the signature trees."""
     spark = reps.sparkSession
-    thin = reps.select("key", "component", "n", "prefix")
+    thin = reps.select("key", "component", "n", "held", "prefix")
 
     def spread(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                t = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
-                one = lambda x: pa.array(np.full(len(t), x.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array(t), *[one(batch.column(c)[i]) for c in range(3)]],
-                                                 names=["token", "key", "component", "n"])
-
-    postings = thin.mapInArrow(spread, "token long, key long, component long, n long")
+            key, component, n, held = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            raw = batch.column(4).to_pylist()
+            size = np.array([len(x) // 8 for x in raw], np.int64)
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            small = place <= np.repeat(held - least_of_smaller(n), size)
+            wide = [np.repeat(c, size) for c in (key, component, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.frombuffer(b"".join(raw), np.int64), *wide, small)],
+                                             names=["token", "key", "component", "n", "small"])
+
+    # small: among the first tokens that the smaller set of a pair needs
+    postings = thin.mapInArrow(spread, "token long, key long, component long, n long, small boolean")
 
     def several(rows: DataFrame, *by: str) -> DataFrame:
-        """Groups that texts of two components share; groups of the same texts make one."""
+        """Groups that texts of two components share, one of them with ``small``; groups of the same texts
+        make one."""
         groups = rows.groupBy(*by).agg(
             F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.bit_xor(F.xxhash64("key")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("x2"),
-            F.collect_set("class").alias("classes"))
-        groups = groups.where("lo <> hi").groupBy("size", "x1", "x2").agg(
+            F.bit_xor(F.xxhash64("key", "small")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "key", "small")).alias("x2"),
+            F.bool_or("small").alias("small"), F.collect_set("class").alias("classes"))
+        groups = groups.where("lo <> hi AND small").groupBy("size", "x1", "x2").agg(
             F.min(F.struct(*by)).alias("by"), F.any_value("classes").alias("classes"))
         return saved(groups.select("by.*", "size", "classes"), "groups")
 
@@ -436,7 +482,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
     pieces = F.ceil(F.col("size") / GROUP).cast("int")
     mine = F.pmod(F.xxhash64("key"), pieces).cast("int")
     cells = F.transform(F.sequence(F.lit(0), pieces - 1), lambda o: F.struct(F.least(o, mine).alias("x"), F.greatest(o, mine).alias("y")))
-    rows = rows.withColumn("cell", F.explode(cells)).select("token", "level", "cell.x", "cell.y", "key", "component")
+    rows = rows.withColumn("cell", F.explode(cells)).select("token", "level", "cell.x", "cell.y", "key", "component", "small")
     rows = rows.join(reps.select("key", "n", "held", "codes"), "key")
 
     group = ["token", "level", "x", "y"]
@@ -444,9 +490,9 @@ def _candidates(reps: DataFrame) -> DataFrame:
     def run(batches):
         found = set()
         for own in _groups(batches, group):
-            if len({r["component"] for r in own}) > 1:
+            if len({r["component"] for r in own}) > 1 and any(r["small"] for r in own):
                 short = [unpacked(r["codes"], r["n"]) for r in own]
-                tree = _tree(own, [np.array([r["key"] for r in own])], short)
+                tree = _tree(own, [np.array([r["key"] for r in own])], short, np.array([r["small"] for r in own]))
 
                 def test(i: int, j: int) -> bool:
                     a, b, x, y = own[i], own[j], short[i], short[j]
@@ -468,7 +514,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     dealt = rows.repartition(partitions(spark), *group).sortWithinPartitions(*group, "key")
-    return dealt.select(*group, "key", "component", "n", "held", "codes").mapInArrow(run, "a long, b long").distinct()
+    return dealt.select(*group, "key", "component", "small", "n", "held", "codes").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
