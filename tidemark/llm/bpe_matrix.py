@@ -26,6 +26,8 @@ NONE = np.int32(2**31 - 1)
 MAX_CELLS = 1 << 20
 #: Pieces above this length are merged with a heap: the same merges, without a row of that width.
 LONG = 512
+#: Chunks and pieces that one worker remembers; a worker outlives a stage, and so does what it holds.
+REMEMBERED = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,7 +93,7 @@ class BPE:
         self.pairs = PairTable(ranks)
         self.pattern = regex.compile(pattern)
         self.pieces: dict[str, bytes] = {}
-        self.encoder = ChunkEncoder(self._chunks)
+        self.encoder = ChunkEncoder(self._chunks, REMEMBERED)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """ids of each text as little-endian unsigned 32-bit integers."""
@@ -118,7 +120,7 @@ class BPE:
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         cut = [self._split(c) for c in chunks]
-        if len(self.pieces) > 300_000:
+        if len(self.pieces) > REMEMBERED:
             self.pieces = {}
         known = self.pieces
         new = list({p for parts in cut for p in parts if p not in known})

@@ -43,12 +43,13 @@ class ChunkEncoder:
     ``encode_new`` maps a list of distinct chunks to their encoded ids.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], remembered: int = MAX_REMEMBERED):
         self.encode_new = encode_new
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > MAX_REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known = {}
         known = self.known
         cut = [chunks(t or "") for t in texts]

@@ -41,8 +41,10 @@ from tidemark.llm.words import mix, shingle_hashes, utf8_buffers, word_hashes
 
 _U = np.uint64
 #: Distinct tokens and texts of a block.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 BLOCK_TEXTS = 50_000
+#: Bytes of one Arrow batch, either way; a larger row is a batch of its own.
+BATCH = 4 << 20
 #: Texts of one tree; larger groups are cut.
 GROUP = 2048
 LEAF = 8
@@ -78,6 +80,13 @@ def grade(texts: np.ndarray) -> np.ndarray:
     return np.frexp(texts.astype(np.float64))[1].astype(np.uint8)
 
 
+def _cut_batches(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """The batch in slices of about ``BATCH`` bytes."""
+    wide = [batch.column(i) for i, f in enumerate(batch.schema) if pa.types.is_binary(f.type)]
+    sizes = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in wide) + 64
+    return [batch.slice(a, b - a) for a, b in spans(sizes.tolist(), BATCH)]
+
+
 def token_ids(h: np.ndarray, parts: int) -> np.ndarray:
     """(part, low 48 bits) of a shingle hash in one number below 2**63."""
     part = ((h >> _U(48)) * _U(parts)) >> _U(16)
@@ -143,11 +152,11 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, parts: int, width: int)
                 hashes.append(h)
                 held += len(h)
                 if held >= BLOCK_TOKENS or len(ids) >= BLOCK_TEXTS:
-                    yield _block(number, ids, counts, hashes, parts)
+                    yield from _cut_batches(_block(number, ids, counts, hashes, parts))
                     number += 1
                     ids, counts, hashes, held = [], [], [], 0
         if ids:
-            yield _block(number, ids, counts, hashes, parts)
+            yield from _cut_batches(_block(number, ids, counts, hashes, parts))
 
     return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(run, _ROW_SQL)
 
@@ -181,7 +190,8 @@ def _shared(blocks: DataFrame) -> DataFrame:
         at, tokens, grades = at[take], keys[take] | (part << _U(48)), grades[take]
         out = [(r["part"], r["block"], False, None, None, None, None, at[a:b].tobytes(), tokens[a:b].tobytes(), grades[a:b].tobytes())
                for r, a, b in zip(rows, ends, ends[1:]) if b > a]
-        return pa.table([pa.array([o[i] for o in out], f.type) for i, f in enumerate(_ROW)], schema=_ROW)
+        made = pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(_ROW)], schema=_ROW)
+        return pa.Table.from_batches(_cut_batches(made), _ROW)
 
     return blocks.groupBy("part").applyInArrow(run, _ROW_SQL)
 
@@ -255,7 +265,8 @@ def _sets(shared: DataFrame) -> DataFrame:
             else:
                 row += [None] * (HASHES + 4)
             out.append(row)
-        return pa.table([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
+        made = pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
+        return pa.Table.from_batches(_cut_batches(made), schema)
 
     return shared.groupBy("block").applyInArrow(run, _SET_SQL)
 
@@ -538,7 +549,7 @@ def join(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     and no links; a null text counts as empty.  Repeated rows are linked with each other; a row
     with a null id has the smallest id of its component, null if there is none.
     """
-    with batch_limits(docs.sparkSession):
+    with batch_limits(docs.sparkSession, size=BATCH):
         return _join(docs, width, id_col, text_col)
 
 
