@@ -89,17 +89,22 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str], time_col
     caller's part (``streaming.ingest.stored_part``).  Keys are compared null-safely: kinds
     without intervals have a NULL interval.
     """
-    batch = dedupe_new(new, keys, time_col)
     # de-duplication never changes a series' earliest time, so the bound is taken from
     # the raw batch: no second window over the same rows
-    lo = (drop_null_time(harmonize(new).select(*keys, time_col), time_col)
-          .groupBy(*keys).agg(F.min(time_col).alias("_lo")))
+    out = unseen_rows(existing, dedupe_new(new, keys, time_col), keys, time_col,
+                      drop_null_time(harmonize(new).select(*keys, time_col), time_col))
+    return out if keep_tags else out.drop(*TAGS)
+
+
+def unseen_rows(existing: DataFrame, batch: DataFrame, keys: list[str], time_col: str, times: DataFrame | None = None) -> DataFrame:
+    """The rows of a de-duplicated ``batch`` whose keys ``existing`` doesn't hold, with their tags;
+    ``times`` has the series and times of the batch, for where that is less work."""
+    lo = (times if times is not None else batch).groupBy(*keys).agg(F.min(time_col).alias("_lo"))
     stored = harmonize(existing).select(*keys, time_col).toDF(*[f"_stored_{c}" for c in (*keys, time_col)])
     lo = lo.toDF(*[f"_lo_{c}" for c in keys], "_lo")
     stored = stored.join(lo, _same(stored, "_stored_", lo, "_lo_", keys)).where(F.col(f"_stored_{time_col}") >= F.col("_lo"))
     stored = stored.select(*[f"_stored_{c}" for c in (*keys, time_col)])
-    out = batch.join(stored, _same(batch, "", stored, "_stored_", [*keys, time_col]), "left_anti")
-    return out if keep_tags else out.drop(*TAGS)
+    return batch.join(stored, _same(batch, "", stored, "_stored_", [*keys, time_col]), "left_anti")
 
 
 def _same(a: DataFrame, a_prefix: str, b: DataFrame, b_prefix: str, keys: list[str]) -> Column:

@@ -20,7 +20,7 @@ from tidemark.operators.calendar import gap_plan
 from tidemark.operators.index import latest_time, pending
 from tidemark.operators.universe import coins_subset, shard
 from tidemark.registry import FUTURES_KINDS, Kind
-from tidemark.sources.dumps import dump_lines, failed_files, landed_files, parse_lines, whole_dump
+from tidemark.sources.dumps import dump_lines, failed_files, landed_files, lines_without, parse_lines, whole_dump
 from tidemark.sources.series import scan_series
 from tidemark.streaming.ingest import SERIES, series_key_path, store_schema, upsert
 
@@ -41,11 +41,11 @@ def landed_source(spark: SparkSession, landing: str, k: Kind, ext: str = "csv")
         # the paths are joined first: a file that isn't planned is never opened
         planned = files.join(wanted, here == F.col("_loc"), "left_semi")
         lines = dump_lines(planned).checkpoint()
-        failures = failed_files(lines, k).select(whole_dump(F.regexp_extract("path", _LOCATION, 1)).alias("location"), "error")
+        failures = failed_files(lines, k).select(whole_dump(F.regexp_extract("path", _LOCATION, 1)).alias("location"), "error").checkpoint()
         # a dump with a broken part is not read in part: its first lines might be the missing ones
         mine = whole_dump(F.regexp_extract("path", _LOCATION, 1))
         bad = failures.select("location").distinct()
-        rows = parse_lines(lines.join(bad, mine == F.col("location"), "left_anti"), k).drop("_file")
+        rows = parse_lines(lines_without(lines, bad, mine), k).drop("_file")
         return rows, failures.withColumn("location", F.regexp_replace("location", rf"\.{ext}$", ".zip"))
     return source
 

@@ -40,18 +40,29 @@ def whole_dump(path: Column) -> Column:
 
 def parse_dump_location(path: Column) -> dict[str, Column]:
     """Inverse of PRJ-3: freq, kind, symbol, interval, period and part number of a dump path."""
+    return _located(location_cells(path))
+
+
+def location_cells(path: Column) -> Column:
+    """The parts of a dump path in an array, found by one match; of another path, the path alone."""
+    groups = "\u0001".join(f"${i}" for i in range(1, 7))
+    return F.split(F.regexp_replace(path, r"(?s)^.*?" + _LOCATION, groups), "\u0001")
+
+
+def _located(cells: Column) -> dict[str, Column]:
+    """``parse_dump_location`` from ``location_cells``."""
     seg_to_kind = F.create_map(*[x for k in FUTURES_KINDS for x in (F.lit(k.segment), F.lit(k.name))])
-    freq = F.regexp_extract(path, _LOCATION, 1)
-    stamp = F.regexp_extract(path, _LOCATION, 5)
-    itv = F.regexp_extract(path, _LOCATION, 4)
+    found = F.size(cells) == 6
+    part = lambda i: F.when(found, cells[i - 1]).otherwise(F.lit(""))
+    freq, stamp, itv = part(1), part(5), part(4)
     return {
         "freq": F.when(freq != "", freq),
-        "kind": seg_to_kind[F.regexp_extract(path, _LOCATION, 2)],
-        "symbol": F.when(freq != "", F.regexp_extract(path, _LOCATION, 3)),
+        "kind": seg_to_kind[part(2)],
+        "symbol": F.when(freq != "", part(3)),
         "interval": F.when(itv != "", itv),
         "period": F.when(F.length(stamp) == 7, F.to_date(F.concat(stamp, F.lit("-01"))))
                    .when(F.length(stamp) == 10, F.to_date(stamp)),
-        "part": F.coalesce(F.regexp_extract(path, _LOCATION, 6).try_cast("long"), F.lit(0).cast("long")),
+        "part": F.coalesce(part(6).try_cast("long"), F.lit(0).cast("long")),
     }
 
 
@@ -78,7 +89,7 @@ def _finish(df: DataFrame, k: Kind, loc: dict[str, Column], row: Column, normali
 def cells_of(line: Column) -> Column:
     """How many cells a CSV line has; commas inside quotes separate none."""
     bare = F.when(F.instr(line, F.lit('"')) > 0, F.regexp_replace(line, r'"(?:[^"\\]++|\\.|"")*+"', "")).otherwise(line)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.size(F.split(bare, ",", -1))
 
 
 def _problem(line: Column, first: Column, k: Kind) -> tuple[Column, Column]:
@@ -91,8 +102,8 @@ def _problem(line: Column, first: Column, k: Kind) -> tuple[Column, Column]:
 def _parsed(lines: DataFrame, line: str, k: Kind) -> DataFrame:
     ddl = ", ".join(f"`{c}` STRING" for c in k.columns)
     rest = [c for c in lines.columns if c != line]
-    parsed = lines.select(*rest, F.from_csv(line, ddl).alias("_r"))
-    return parsed.select(*rest, *[F.col("_r")[c].alias(c) for c in k.columns])
+    # a generator: filters on the cells stay above it, so that a line is parsed once
+    return lines.select(*rest, F.inline(F.array(F.from_csv(line, ddl))).alias(*k.columns))
 
 
 def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True, on_bad: str = "fail") -> DataFrame:
@@ -111,13 +122,15 @@ def scan_dump(spark: SparkSession, path: str, k: Kind, normalize: bool = True, o
         raw = raw.where(F.when(long, F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
     else:
         raw = raw.where(~long)
-    loc = parse_dump_location(F.col("_file"))
-    return _finish(_parsed(raw, "value", k), k, loc, F.col("_rowid"), normalize).drop("_rowid")
+    raw = raw.withColumn("_loc", location_cells(F.col("_file")))
+    return _finish(_parsed(raw, "value", k), k, _located(F.col("_loc")), F.col("_rowid"), normalize).drop("_rowid", "_loc")
 
 
 LINES = "path string, line_no long, line string, error string"
 #: Lines and characters of a file handed on at a time.
 _CHUNK_LINES, _CHUNK_SIZE = 20_000, 8 << 20
+#: Failed files up to this number become a literal filter on the lines.
+LITERAL_FILES = 512
 
 
 def landed_files(spark: SparkSession, path: str, ext: str, k: Kind | None = None) -> DataFrame:
@@ -223,11 +236,21 @@ def failed_files(lines: DataFrame, k: Kind) -> DataFrame:
     return bad_archives(lines).unionByName(lines_of)
 
 
+def lines_without(lines: DataFrame, bad: DataFrame, name: Column) -> DataFrame:
+    """The ``lines`` whose ``name`` isn't in ``bad`` (one column): few become a literal filter, and the
+    lines stay where they are; more are joined."""
+    few = bad.limit(LITERAL_FILES + 1).collect()
+    if len(few) > LITERAL_FILES:
+        return lines.join(bad.toDF("_bad"), name == F.col("_bad"), "left_anti")
+    return lines.where(~name.isin([r[0] for r in few])) if few else lines
+
+
 def parse_lines(lines: DataFrame, k: Kind, normalize: bool = True) -> DataFrame:
     """Rows of one kind from file lines; lines of too many cells are left out (see ``malformed``)."""
-    kept = lines.where(F.col("error").isNull() & (cells_of(F.col("line")) <= len(k.columns))).select("path", "line_no", "line")
-    loc = parse_dump_location(F.col("path"))
-    return _finish(_parsed(kept, "line", k), k, loc, F.col("line_no"), normalize).withColumnRenamed("path", "_file").drop("line_no")
+    kept = lines.where(F.col("error").isNull() & (cells_of(F.col("line")) <= len(k.columns))).select(
+        "path", "line_no", "line", location_cells(F.col("path")).alias("_loc"))
+    rows = _finish(_parsed(kept, "line", k), k, _located(F.col("_loc")), F.col("line_no"), normalize)
+    return rows.withColumnRenamed("path", "_file").drop("line_no", "_loc")
 
 
 def land_zip_dumps(spark: SparkSession, path: str, k: Kind, normalize: bool = True, on_bad: str = "fail") -> DataFrame:

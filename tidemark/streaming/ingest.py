@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.paths import series_path
 from tidemark.operators.index import latest_time
-from tidemark.operators.merge import drop_null_time, join_null_safe, new_rows_only
+from tidemark.operators.merge import TAGS, dedupe_new, join_null_safe, unseen_rows
 from tidemark.registry import FUTURES_KINDS, Kind, series_schema
 from tidemark.session import checkpoint_root
 from tidemark.sinks.store import MONTH, append_cells, live_version, scan_cells
 from tidemark.sinks.tables import append_series
-from tidemark.sources.dumps import dump_lines, failed_files, parse_lines
+from tidemark.sources.dumps import dump_lines, failed_files, lines_without, parse_lines
 from tidemark.sources.series import scan_series
 from tidemark.streaming.admission import admitted_files
 
@@ -102,14 +102,16 @@ def stored_maxima(spark: SparkSession, store: str, touched: DataFrame, k: Kind,
 def upsert(spark: SparkSession, rows: DataFrame, store: str, k: Kind, index_root: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Append the unseen keys of tagged ``rows``; returns (appended rows, latest stored time by
     series path of every series in ``rows``)."""
-    stored = stored_part(spark, store, rows, k)
-    span = rows.agg(F.min(k.time_col), F.max(k.time_col)).first()
+    # written out: everything below asks only for the first row of each key, so lines are parsed once
+    batch = dedupe_new(rows, SERIES, k.time_col).checkpoint(eager=True)
+    stored = stored_part(spark, store, batch, k)
+    span = batch.agg(F.min(k.time_col), F.max(k.time_col)).first()
     near = stored
     if span[0] is not None:
         near = stored.where(F.col(k.time_col).between(*[F.lit(t).cast(T.TimestampNTZType()) for t in span]))
     # written out: the rows that were new then, not those new to a store that has them by now
-    fresh = new_rows_only(near, rows, SERIES, k.time_col).checkpoint(eager=True)
-    seen = latest_time(drop_null_time(rows, k.time_col), SERIES, k.time_col)
+    fresh = unseen_rows(near, batch, SERIES, k.time_col).drop(*TAGS).checkpoint(eager=True)
+    seen = latest_time(batch, SERIES, k.time_col)
     before = stored_maxima(spark, store, seen.select(*SERIES), k, index_root)
     touched = seen.select(series_key_path().alias("path"), "last_ts").unionByName(before)
     latest = touched.groupBy("path").agg(F.max("last_ts").alias("last_ts")).checkpoint(eager=True)
@@ -128,12 +130,12 @@ def ingest_batch(files: DataFrame, store: str, index_root: str, k: Kind, batch_i
     spark = files.sparkSession
     lines = dump_lines(files).persist()
     try:
-        bad = failed_files(lines, k)
+        bad = failed_files(lines, k).checkpoint(eager=True)
         if errors_root:
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(errors_root)
         elif (worst := bad.limit(1).collect()):
             raise ValueError(f"{worst[0].path}: {worst[0].error}")
-        rows = parse_lines(lines.join(bad.select("path"), "path", "left_anti"), k).drop("_file")
+        rows = parse_lines(lines_without(lines, bad.select("path"), F.col("path")), k).drop("_file")
         _, latest = upsert(spark, rows, store, k, index_root)
         # the index is a log of stored maxima: appending never rewrites earlier entries
         latest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(index_root)
