@@ -100,8 +100,10 @@ def q_migrate_info(spark, sf_dir):
     nested = c.where(nk >= 8).select(
         F.concat(sym, F.lit("/"), sym, F.lit("_info.json")).alias("path"),
         F.to_json(_kv({"sector": F.lower("c_mktsegment"), "tier": nk.cast("string")})).alias("content"))
-    write_files(flat, root)
-    write_files(nested, root)
+    # a file costs its task the same whatever its bytes: rows are dealt over all tasks
+    p = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    write_files(flat.repartition(p, "path"), root)
+    write_files(nested.repartition(p, "path"), root)
     wanted = c.where(F.col("c_mktsegment") != "HOUSEHOLD").select(sym.alias("symbol"))
     out = migrate_info(scan_symbol_info(spark, root, "flat"), scan_symbol_info(spark, root, "nested"), wanted)
     return out.select("symbol", F.explode("info").alias("key", "value"), "moved")

@@ -256,20 +256,23 @@ def _tree_name(kind_col: str = "kind") -> F.Column:
         F.concat(F.col("symbol"), F.lit("_"), k))
 
 
-def _parquet_file(key, group):
-    """All rows of one series as one Parquet file; metrics files store their times as text."""
+def _parquet_files(batches):
+    """(path, kind, rows) of series -> each as one Parquet file; metrics files store their times as text."""
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
 
-    path, kind = (k.as_py() for k in key)
-    col = KINDS_BY_NAME[kind].time_col
-    ts = group.column("ts")
-    if kind == "metrics":
-        ts = pc.strftime(ts, "%Y-%m-%d %H:%M:%S")  # with the fraction
-    buf = io.BytesIO()
-    pq.write_table(pa.table({col: ts, "event_id": group.column("event_id").cast(pa.string())}), buf)
-    return pa.table({"path": pa.array([path]), "content": pa.array([buf.getvalue()], pa.binary())})
+    for batch in batches:
+        paths, kinds, rows = batch.column("path"), batch.column("kind").to_pylist(), batch.column("rows")
+        contents = []
+        for i, kind in enumerate(kinds):
+            ts, event = rows[i].values.flatten()
+            if kind == "metrics":
+                ts = pc.strftime(ts, "%Y-%m-%d %H:%M:%S")  # with the fraction
+            buf = io.BytesIO()
+            pq.write_table(pa.table({KINDS_BY_NAME[kind].time_col: ts, "event_id": event.cast(pa.string())}), buf)
+            contents.append(buf.getvalue())
+        yield pa.RecordBatch.from_arrays([paths, pa.array(contents, pa.binary())], names=["path", "content"])
 
 
 def write_event_tree(spark, sf_dir) -> str:
@@ -284,12 +287,13 @@ def _write_event_tree(spark, sf_dir) -> str:
     rows = tree_rows(spark, sf_dir)
     nested = (rows.where(F.col("event_type") != "error")
               .withColumn("path", F.concat(F.col("symbol"), F.lit("/"), _tree_name(), F.lit(".parquet"))))
-    files = nested.select("path", "kind", "ts", "event_id").groupBy("path", "kind").applyInArrow(
-        _parquet_file, "path string, content binary")
-    write_files(files, root)
+    # a file costs its task the same whatever its bytes: series are dealt over all tasks
+    p = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    files = nested.repartition(p, "path").groupBy("path", "kind").agg(F.collect_list(F.struct("ts", "event_id")).alias("rows"))
+    write_files(files.mapInArrow(_parquet_files, "path string, content binary"), root)
     flat = rows.where(F.col("event_type").isin("error", "purchase"))
     tcol = F.when(F.col("kind") == "klines", "open_time").when(F.col("kind") == "metrics", "create_time").otherwise("calc_time")
-    csv_files = (flat.groupBy("symbol", "kind").agg(
+    csv_files = (flat.repartition(p, "symbol", "kind").groupBy("symbol", "kind").agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id"))).alias("r"), F.first(tcol).alias("tcol"))
         .select(F.concat(_tree_name(), F.lit(".csv")).alias("path"),
                 F.concat(F.col("tcol"), F.lit(",event_id\n"),

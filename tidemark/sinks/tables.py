@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from tidemark.session import batch_limits
 from tidemark.sources.files import file_system
 
 
@@ -105,6 +106,10 @@ def write_snapshot(symbols: DataFrame, root: str, snapshot_id: str, fetched_at:
      .write.mode("append").partitionBy("snapshot_id").parquet(root))
 
 
+#: Files handed to a writing task at a time, where they are small.
+FILE_ROWS = 4096
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """What a task of ``write_files`` has put in place."""
@@ -181,5 +186,7 @@ def write_files(df: DataFrame, root: str, path_col: str = "path", content_col: s
     df.sparkSession.dataSource.register(_Files)
     place = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
     rows = df.select(F.col(path_col).alias("path"), F.col(content_col).cast("binary").alias("content"), place.alias("place"))
-    (rows.write.format("tidemark_files").mode("append").option("path", root).option("ordered", "true" if order_col else "false")
-     .option("start", str(time.time_ns())).save())
+    # whole files are cells: a batch is bounded by their bytes, here and in what makes them
+    with batch_limits(df.sparkSession, FILE_ROWS):
+        (rows.write.format("tidemark_files").mode("append").option("path", root).option("ordered", "true" if order_col else "false")
+         .option("start", str(time.time_ns())).save())

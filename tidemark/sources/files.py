@@ -9,6 +9,8 @@ held whole.  Both work on what pyarrow's file systems reach: mounted folders, HD
 from __future__ import annotations
 
 import io
+import itertools
+import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,51 +38,74 @@ def _shown(name: str) -> bool:
     return not name.startswith(".") and (not name.startswith("_") or "=" in name)
 
 
-def _entries(root: str, folder: str, recursive: bool) -> Iterator[pafs.FileInfo]:
+def _entries(root: str, folder: str, recursive: bool, suffixes: tuple[str, ...], folders: bool = False) -> Iterator[tuple[str, int | None]]:
+    """(relative path, length) of a folder's files with one of the suffixes; with ``folders`` (path, None)
+    of the folders right in it instead.  A mounted folder is read entry by entry."""
     system, base = file_system(root)
-    where = f"{base}/{folder}" if folder else base
-    for info in system.get_file_info(pafs.FileSelector(where, recursive=recursive, allow_not_found=True)):
-        relative = info.path[len(base):].lstrip("/")
-        if all(map(_shown, relative.split("/"))):
-            yield relative, info
-
-
-def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...], folders: DataFrame | None = None) -> DataFrame:
+    if not isinstance(system, pafs.LocalFileSystem):
+        where = f"{base}/{folder}" if folder else base
+        for info in system.get_file_info(pafs.FileSelector(where, recursive=recursive and not folders, allow_not_found=True)):
+            relative = info.path[len(base):].lstrip("/")
+            if all(map(_shown, relative.split("/"))):
+                if folders and info.type == pafs.FileType.Directory:
+                    yield relative, None
+                elif not folders and info.type == pafs.FileType.File and relative.endswith(suffixes):
+                    yield relative, info.size
+        return
+    todo = [folder]
+    while todo:
+        folder = todo.pop()
+        try:
+            found = os.scandir(f"{base}/{folder}" if folder else base)
+        except FileNotFoundError:
+            continue
+        with found:
+            for e in found:
+                if not _shown(e.name):
+                    continue
+                relative = f"{folder}/{e.name}" if folder else e.name
+                if e.is_dir():
+                    if folders:
+                        yield relative, None
+                    elif recursive:
+                        todo.append(relative)
+                elif not folders and e.name.endswith(suffixes) and e.is_file():
+                    yield relative, e.stat().st_size
+
+
+def _in_batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while held := list(itertools.islice(rows, _ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), (pa.string(), pa.int64()))], names=["path", "length"])
+
+
+def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...], folders: DataFrame | None = None,
+               depth: int | None = None) -> DataFrame:
     """(path, length) of the files under ``root`` with one of the suffixes, paths relative to it.
 
     ``folders`` (rows of one column) names the folders right under the root that are listed; files
-    right under the root are listed always.  A root that doesn't exist has no files.
+    right under the root are listed always.  ``depth`` 1 lists only these, 2 only the files right in a
+    folder of the root.  A root that doesn't exist has no files.
     """
-    def batches(rows: Iterable[tuple], names: list[str]):
-        held = []
-        for r in rows:
-            held.append(r)
-            if len(held) == _ROWS:
-                yield _columns(held, names)
-                held = []
-        if held:
-            yield _columns(held, names)
-
-    def _columns(rows, names):
-        kinds = (pa.string(), pa.int64(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
-    def top(_):
-        yield from batches(((path, info.size, info.type == pafs.FileType.Directory) for path, info in _entries(root, "", False)
-                            if info.type == pafs.FileType.Directory or path.endswith(suffixes)), ["path", "length", "folder"])
+    def own(_):
+        yield from _in_batches(_entries(root, "", False, suffixes))
 
-    def below(given):
-        for batch in given:
-            for folder in batch.column(0).to_pylist():
-                yield from batches(((path, info.size) for path, info in _entries(root, folder, True)
-                                    if info.type == pafs.FileType.File and path.endswith(suffixes)), ["path", "length"])
+    def inside(_):
+        yield from _in_batches(_entries(root, "", False, suffixes, folders=True))
 
-    first = spark.range(0, 1, 1, 1).mapInArrow(top, FILES + ", folder boolean")
-    inside = first.where("folder").select("path")
+    def below(given):
+        yield from _in_batches(row for batch in given for folder in batch.column(0).to_pylist()
+                               for row in _entries(root, folder, depth is None, suffixes))
+
+    one = spark.range(0, 1, 1, 1)
+    first = one.mapInArrow(own, FILES)
+    if depth == 1:
+        return first
+    top = one.mapInArrow(inside, FILES).select("path")
     if folders is not None:
-        inside = inside.join(folders.toDF("path"), "path", "left_semi")
-    deeper = inside.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(below, FILES)
-    return first.where("NOT folder").select("path", "length").unionByName(deeper)
+        top = top.join(folders.toDF("path"), "path", "left_semi")
+    deeper = top.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(below, FILES)
+    return deeper if depth == 2 else first.unionByName(deeper)
 
 
 def spread(files: DataFrame) -> DataFrame:

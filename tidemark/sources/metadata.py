@@ -47,9 +47,7 @@ def scan_symbol_info(spark: SparkSession, root: str, layout: str = "nested") ->
     """SRC-7: per-symbol JSON objects -> ``(symbol, info)``; unreadable or non-object
     content gives an empty record.  ``nested``: ``root/SYM/SYM_info.json``;
     ``flat``: legacy ``root/SYM_info.json``.  Tasks list the folders and read the files."""
-    files = list_files(spark, root, ("_info.json",))
-    depth = F.size(F.split("path", "/"))
-    docs = small_files(files.where(depth == (2 if layout == "nested" else 1)), root)
+    docs = small_files(list_files(spark, root, ("_info.json",), depth=2 if layout == "nested" else 1), root)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     info = F.coalesce(F.from_json("value", MAP_SS), F.create_map().cast(MAP_SS))
     return docs.select(symbol_from_flat_name(name).alias("symbol"), info.alias("info"))

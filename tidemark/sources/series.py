@@ -8,6 +8,9 @@ partition pruning.  ``scan_tree`` reads the per-file layout of the source datase
 
 from __future__ import annotations
 
+import io
+import itertools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.functions.paths import parse_series_path
 from tidemark.functions.times import harmonize, text_to_time
 from tidemark.registry import TIME_COLUMNS, time_column_of
-from tidemark.sources.files import glob_of, list_files, opened, relative, spread
+from tidemark.sources.files import list_files, opened, spread
 
 
 def _empty(spark: SparkSession, schema: T.StructType, columns=None) -> DataFrame:
@@ -143,18 +146,49 @@ def _latest(file, column: str):
     return max((x for x in best if x is not None), default=None)
 
 
+def _first_cells(root: str, path: str):
+    """Lists of the lines of a CSV file after its header, as Spark's reader splits them; of a line that
+    doesn't begin with a quote only the first cell."""
+    blank = "".join(map(chr, range(33)))
+    with opened(root, path) as file:
+        lines = (x for x in io.TextIOWrapper(io.BufferedReader(file.raw(), 1 << 16), "utf-8", errors="replace") if x.strip(blank))
+        next(lines, None)
+        while part := list(itertools.islice(lines, _TEXTS)):
+            yield [x.removesuffix("\n") if x[0] == '"' else x.removesuffix("\n").partition(",")[0] for x in part]
+
+
 def _file_times(root: str):
     """For each Parquet file one row with the latest value of its typed time columns, or why it can't
-    be read, and the bytes read; and a row for each of its text times."""
+    be read, and the bytes read; and a row for each of its text times.  Of a CSV file a row for each line."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.parquet as pq
 
         schema = pa.schema([pa.field("path", pa.string()), *[pa.field(c, pa.timestamp("us")) for c in TIME_COLUMNS],
                             *[pa.field(f"{c}_text", pa.string()) for c in TIME_COLUMNS], pa.field("error", pa.string()),
-                            pa.field("bytes", pa.int64())])
+                            pa.field("bytes", pa.int64()), pa.field("line", pa.string())])
+
+        def texts(column, held):
+            n = sum(len(x) for _, x in held)
+            paths = pa.concat_arrays([pa.repeat(pa.scalar(p, pa.string()), len(x)) for p, x in held])
+            values = pa.concat_arrays([x for _, x in held])
+            return pa.RecordBatch.from_arrays([paths if f.name == "path" else values if f.name == column else pa.nulls(n, f.type)
+                                               for f in schema], schema=schema)
+
+        # rows of many files go on together: a batch for each would cost more than its file
+        ones, held = [], {}
+
+        def add(column, path, values):
+            held.setdefault(column, []).append((path, values))
+            if sum(len(x) for _, x in held[column]) >= _TEXTS or len(held[column]) >= _TEXTS:
+                yield texts(column, held.pop(column))
+
         for batch in batches:
             for path in batch.column(0).to_pylist():
+                if path.endswith(".csv"):
+                    for lines in _first_cells(root, path):
+                        yield from add("line", path, pa.array(lines, pa.string()))
+                    continue
                 one = {"path": path}
                 try:
                     with opened(root, path) as raw:
@@ -164,17 +198,21 @@ def _file_times(root: str):
                                 kind = file.schema_arrow.field(c).type
                                 if pa.types.is_string(kind) or pa.types.is_large_string(kind):
                                     for part in file.iter_batches(batch_size=_TEXTS, columns=[c]):
-                                        n = part.num_rows
-                                        yield pa.RecordBatch.from_arrays(
-                                            [pa.array([path] * n) if f.name == "path" else part.column(0).cast(pa.string())
-                                             if f.name == f"{c}_text" else pa.nulls(n, f.type) for f in schema], schema=schema)
+                                        yield from add(f"{c}_text", path, part.column(0).cast(pa.string()))
                                 elif pa.types.is_temporal(kind):
                                     one[c] = _latest(file, c)
                         finally:
                             one["bytes"] = raw.bytes
                 except (pa.ArrowException, OSError) as e:
                     one["error"] = f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_pylist([one], schema=schema)
+                ones.append(one)
+                if len(ones) == _TEXTS:
+                    yield pa.RecordBatch.from_pylist(ones, schema=schema)
+                    ones = []
+        if ones:
+            yield pa.RecordBatch.from_pylist(ones, schema=schema)
+        for column, rest in held.items():
+            yield texts(column, rest)
     return run
 
 
@@ -188,36 +226,22 @@ def scan_tree(spark: SparkSession, root: str, symbols: list[str] | None = None)
     never a missing row.  CSV files are the legacy text series: header, time in the first column.
     ``symbols`` (a short list) opens only these symbols' folders and flat files.
     """
-    times = [F.max(c).alias(c) for c in TIME_COLUMNS]
     folders = None if symbols is None else spark.createDataFrame([(s,) for s in symbols], "path string")
-    files = list_files(spark, root, (".parquet",), folders).where("length > 0")
+    files = list_files(spark, root, (".parquet", ".csv"), folders).where("length > 0")
     if symbols is not None:
         files = parse_series_path(files, "path").where(F.col("symbol").isin(symbols)).select("path", "length")
     schema = "path string, " + ", ".join(f"{c} timestamp_ntz" for c in TIME_COLUMNS) + ", " + ", ".join(
-        f"{c}_text string" for c in TIME_COLUMNS) + ", error string, bytes long"
+        f"{c}_text string" for c in TIME_COLUMNS) + ", error string, bytes long, line string"
     p = spread(files).mapInArrow(_file_times(root), schema)
-    p = p.withColumns({c: F.coalesce(F.col(c), text_to_time(f"{c}_text")) for c in TIME_COLUMNS})
-    out = p.groupBy("path").agg(*times, F.max("error").alias("error"), F.max("bytes").alias("bytes")).withColumn("format", F.lit("parquet"))
-    cs = spark.read.option("header", "true").option("enforceSchema", "true").schema("_first string")
-    if symbols is None:
-        where = [root]
-        cs = cs.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    else:
-        where = [f"{root.rstrip('/')}/{glob_of(symbols)}{tail}" for tail in ("_*.csv", "/*.csv")]
-    for path in where:
-        try:
-            c = cs.csv(path).select(text_to_time("_first").alias("_t"), relative(root, F.url_decode(F.col("_metadata.file_path"))).alias("path"))
-        except AnalysisException as e:
-            if not _missing(e):
-                raise
-            continue
-        c = parse_series_path(c.groupBy("path").agg(F.max("_t").alias("_t")), "path")
-        if symbols is not None:
-            c = c.where(F.col("symbol").isin(symbols))
-        tcol = time_column_of(F.col("kind"))
-        c = c.select("path", *[F.when(tcol == F.lit(n), F.col("_t")).alias(n) for n in TIME_COLUMNS])
-        out = out.unionByName(c.withColumns({"error": F.lit(None).cast("string"), "bytes": F.lit(None).cast("long"), "format": F.lit("csv")}))
-    return out
+    p = p.withColumn("_first", F.when(F.startswith("line", F.lit('"')), F.from_csv("line", "_first string")["_first"]).otherwise(F.col("line")))
+    p = p.withColumns({**{c: F.coalesce(F.col(c), text_to_time(f"{c}_text")) for c in TIME_COLUMNS}, "_t": text_to_time("_first")})
+    p = p.groupBy("path").agg(*[F.max(c).alias(c) for c in (*TIME_COLUMNS, "error", "bytes", "_t")])
+    # a CSV file's one time is that of its kind
+    csv = F.endswith("path", F.lit(".csv"))
+    tcol = time_column_of(F.col("kind"))
+    return parse_series_path(p, "path").select(
+        "path", *[F.when(csv, F.when(tcol == F.lit(c), F.col("_t"))).otherwise(F.col(c)).alias(c) for c in TIME_COLUMNS],
+        "error", "bytes", F.when(csv, "csv").otherwise("parquet").alias("format"))
 
 
 def scan_series_any(spark: SparkSession, parquet_root: str, csv_root: str, keys: list[str],
