@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tidemark.operators.calendar import PLAN, gap_plan
 from tidemark.operators.merge import dedupe_new
 from tidemark.registry import KINDS_BY_NAME
 from tidemark.session import shared_dir
@@ -66,3 +67,39 @@ def test_contents_are_made_a_few_at_a_time(spark):
     write_files(rows.mapInPandas(named, "path string, content string"), root)
     sizes = [int(f.split("-")[1]) for f in os.listdir(root)]
     assert len(sizes) == 48 and max(sizes) < 24  # 16 MB a batch; all 48 before
+
+
+JOB, MANIFEST = "symbol string, kind string, interval string, last_ts timestamp_ntz", "symbol string, kind string, interval string, freq string, period date, rows long"
+
+
+def test_the_keys_of_a_gap_plan_are_dealt_over_all_partitions(spark):
+    jobs = [(f"S{i}", "klines", "1d", dt.datetime(2024, 1, 9)) for i in range(300)]
+    manifest = [(s, k, i, "monthly", dt.date(2024, 1, 1), 1) for s, k, i, _ in jobs[:200]]
+    jobs, manifest = (spark.createDataFrame(*x).coalesce(1) for x in ((jobs, JOB), (manifest, MANIFEST)))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        end = F.lit(dt.date(2024, 2, 3))
+        plan = gap_plan(jobs, manifest, end)
+        got = {f: plan.where(F.col("freq") == f).groupBy(F.spark_partition_id().alias("task")).count().collect() for f in ("monthly", "daily")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert {f: sum(r["count"] for r in rows) for f, rows in got.items()} == {"monthly": 200, "daily": 300 * 3 + 100 * 31}
+    assert {f: len(rows) for f, rows in got.items()} == {"monthly": 4, "daily": 4}  # one task for each before
+
+
+def test_gap_plan_of_repeated_and_null_keys(spark):
+    day = dt.date
+    months = lambda *m: [day(2024, x, 1) for x in m]
+    jobs = [("A", "klines", "1h", dt.datetime(2024, 1, 15))] * 2 + [
+        ("F", "fundingRate", None, dt.datetime(2024, 1, 1)), ("F", "fundingRate", "", dt.datetime(2024, 2, 1)), (None, "klines", "1h", dt.datetime(2024, 2, 20))]
+    manifest = [("A", "klines", "1h", "monthly", months(1)[0], 5)] * 3 + [
+        ("A", "klines", "1h", "monthly", months(2)[0], 0), ("A", "klines", "1h", "daily", months(2)[0], 9), ("A", "klines", "2h", "monthly", months(2)[0], 9),
+        ("F", "fundingRate", "", "monthly", months(2)[0], 1), (None, "klines", "1h", "monthly", months(2)[0], 3), ("Z", "klines", "1h", "monthly", months(2)[0], 3),
+        ("A", "klines", "1h", "monthly", None, 3)]
+    jobs, manifest = spark.createDataFrame(jobs, JOB), spark.createDataFrame(manifest, MANIFEST)
+    end = F.lit(day(2024, 3, 10))
+    days = [day(2024, 2, d) for d in range(1, 30)] + [day(2024, 3, d) for d in range(1, 11)]
+    want = [("A", "klines", "1h", "monthly", months(1)[0])] * 2 + [("F", "fundingRate", i, "monthly", months(2)[0]) for i in (None, "")]
+    want += [(s, "klines", "1h", "daily", d) for s in ("A", None) for d in days]
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in gap_plan(jobs, manifest, end).select(*PLAN).collect())

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import days_in_month, enumerate_periods, months_before
 from tidemark.functions.paths import dump_location
 from tidemark.registry import FALLBACK_MONTHS, FUTURES_KINDS, kinds_df
+from tidemark.session import shuffle_partitions
 
 SERIES = ["symbol", "kind", "interval"]
 PLAN = [*SERIES, "freq", "period"]
@@ -23,7 +24,15 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("_ik", F.coalesce(F.col("interval"), F.lit("")))
 
 
-_JOIN = ["symbol", "kind", "_ik", "freq", "period"]
+_MONTH = ["symbol", "kind", "_ik", "period"]
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt by symbol and period into the session's number of shuffle partitions.
+
+    Runtime coalescing would size the partitions by compressed bytes, of which a key takes so few
+    that one task gets millions of them."""
+    return df.repartition(shuffle_partitions(df.sparkSession), "symbol", "period")
 
 
 def _kinds(spark, kinds):
@@ -41,8 +50,26 @@ def plan_periods(jobs: DataFrame, end: Column, kinds=FUTURES_KINDS) -> DataFrame
     )
 
 
-def _available(manifest: DataFrame) -> DataFrame:
-    return _keyed(manifest.where(F.col("rows") > 0).select(*PLAN)).drop("interval")
+def _landed_months(plan: DataFrame, manifest: DataFrame, deal: bool) -> DataFrame:
+    """Every planned month and whether it is in the manifest with rows (``landed``).
+
+    Planned and landed months are counted per key in one pass, which neither sorts nor joins the
+    manifest.  A key with a NULL symbol, kind or period is never landed.  ``deal`` is for whole
+    manifests; a few months of one make small partitions anyway."""
+    monthly = F.col("freq") == "monthly"
+    none = F.lit(0).cast("long")
+    planned = _keyed(plan.where(monthly)).select(
+        *_MONTH, F.lit(1).cast("long").alias("n"), F.isnull("interval").cast("long").alias("n_null"), F.lit(False).alias("landed"))
+    landed = _keyed(manifest.where(monthly & (F.col("rows") > 0))).dropna(subset=_MONTH).select(
+        *_MONTH, none.alias("n"), none.alias("n_null"), F.lit(True).alias("landed"))
+    keys = planned.unionByName(landed)
+    keys = (_dealt(keys) if deal else keys).groupBy(*_MONTH).agg(
+        F.sum("n").alias("n"), F.sum("n_null").alias("n_null"), F.max("landed").alias("landed"))
+    # a month planned several times stays so, each time with its own spelling of no interval
+    no_interval = F.array_repeat(F.lit(None).cast("string"), F.col("n_null").cast("int"))
+    intervals = F.concat(no_interval, F.array_repeat("_ik", (F.col("n") - F.col("n_null")).cast("int")))
+    return keys.where(F.col("n") > 0).select(
+        "symbol", "kind", F.explode(intervals).alias("interval"), F.lit("monthly").alias("freq"), "period", "landed")
 
 
 def daily_fallback(plan: DataFrame, manifest: DataFrame, end: Column, kinds=FUTURES_KINDS) -> DataFrame:
@@ -54,8 +81,8 @@ def daily_fallback(plan: DataFrame, manifest: DataFrame, end: Column, kinds=FUTU
     The result is those days together with the planned days, without repeats.
     """
     k = _kinds(plan.sparkSession, kinds)
-    months = _keyed(plan.where(F.col("freq") == "monthly"))
-    missing = months.join(_available(manifest), _JOIN, "left_anti")
+    # the recent months alone: the filter below moves before the count
+    missing = _landed_months(plan, manifest, deal=False).where(~F.col("landed"))
     distance = months_before(F.col("period"), end)
     recent = (
         missing.join(k.select("kind", "daily"), "kind")
@@ -64,7 +91,7 @@ def daily_fallback(plan: DataFrame, manifest: DataFrame, end: Column, kinds=FUTU
     fallback = recent.select(*SERIES, F.lit("daily").alias("freq"),
                              F.explode(days_in_month(F.col("period"), end)).alias("period"))
     days = plan.where(F.col("freq") == "daily").select(*PLAN)
-    return days.unionByName(fallback).distinct()
+    return _dealt(days.unionByName(fallback)).distinct()
 
 
 def gap_plan(jobs: DataFrame, manifest: DataFrame, end: Column, kinds=FUTURES_KINDS) -> DataFrame:
@@ -74,11 +101,7 @@ def gap_plan(jobs: DataFrame, manifest: DataFrame, end: Column, kinds=FUTURES_KI
     requested by day.
     """
     plan = plan_periods(jobs, end, kinds)
-    months = (
-        _keyed(plan.where(F.col("freq") == "monthly"))
-        .join(_available(manifest), _JOIN, "left_semi")
-        .select(*PLAN)
-    )
+    months = _landed_months(plan, manifest, deal=True).where("landed").select(*PLAN)
     days = daily_fallback(plan, manifest, end, kinds)
     k = _kinds(plan.sparkSession, kinds)
     return (
