@@ -178,6 +178,8 @@ def _checked(path: str) -> str | None:
         with opened("", path) as file, zipfile.ZipFile(file) as z, z.open(_member(z)) as f:
             while f.read(1 << 20):
                 pass
+    except pa.ArrowInvalid as e:  # a place that the file doesn't have was sought
+        return f"not a zip archive: {e}"
     except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, ValueError) as e:
         return str(e) if type(e) is ValueError else f"{type(e).__name__}: {e}"
     return None
