@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
