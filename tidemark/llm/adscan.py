@@ -9,7 +9,11 @@ by ``epsilon``, the hypothesis that its distance is below the query's k-th so fa
 after the last block is scored exactly, in double precision on the vectors given.
 
 Centroids and the number of lists to look into come from a bounded sample (``sample`` rows in the
-order of a hash of the id); every row is indexed.
+order of a hash of the id), fitted in a task; every row is indexed.
+
+The index is a table of packs, runs of rows in the order of their lists.  Parts of the queries meet
+every pack as both are read, so that no vector is sent once for each list that is looked into; the
+driver holds the centroids and the lists' sizes alone.
 """
 
 from __future__ import annotations
@@ -20,13 +24,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import batch_limits, partitions, saved
-from tidemark.llm.vectors import FEW, Top, answers, blocks, candidates, query_classes, valid
+from tidemark.llm.vectors import FEW, Top, answers, few_copies, query_classes, valid
 
 #: Column block of the scan.
 STEP = 8
+#: Of whole squared distances of unit vectors in single precision; what is within is scored exactly.
+SLACK = 1e-4
 MAX_LISTS = 4096
+#: Bytes of one pack's vectors, as doubles.
+PACK_BYTES = 4 << 20
+#: Blocks of queries in a part.
+PART_BLOCKS = 8
+#: Bytes of one matrix of similarities while centroids are fitted.
+FIT_BYTES = 8 << 20
 
 
 def rotation(dims: int, seed: int) -> np.ndarray:
@@ -46,12 +59,21 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
+def in_pieces(x: np.ndarray, width: int) -> list[np.ndarray]:
+    """Runs of rows whose products with ``width`` vectors are of bounded size."""
+    return np.array_split(x, max(1, math.ceil(len(x) * width * 8 / FIT_BYTES)))
+
+
+def nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.concatenate([(p @ centroids.T).argmax(axis=1) for p in in_pieces(x, len(centroids))])
+
+
 def fit_centroids(x: np.ndarray, lists: int, seed: int, rounds: int = 10) -> np.ndarray:
     """Spherical k-means of unit vectors."""
     rng = np.random.RandomState(seed)
     c = x[rng.choice(len(x), min(lists, len(x)), replace=False)]
     for _ in range(rounds):
-        near = np.concatenate([(p @ c.T).argmax(axis=1) for p in np.array_split(x, max(1, len(x) // 4096))])
+        near = nearest(x, c)
         sums = np.zeros_like(c)
         np.add.at(sums, near, x)
         size = np.sqrt((sums ** 2).sum(axis=1, keepdims=True))
@@ -63,14 +85,15 @@ def lists_needed(x: np.ndarray, centroids: np.ndarray, k: int, recall: float, qu
     """How many nearest lists hold that share of the k nearest sample rows of sample queries."""
     if len(x) <= k + 1:
         return len(centroids)
-    q = x[:queries]
-    s = q @ x.T
-    s[np.arange(len(q)), np.arange(len(q))] = -np.inf
-    near = np.argpartition(-s, k, axis=1)[:, :k]
-    home = np.concatenate([(p @ centroids.T).argmax(axis=1) for p in np.array_split(x, max(1, len(x) // 4096))])
-    place = np.argsort(np.argsort(-(q @ centroids.T), axis=1), axis=1)
-    ranks = np.take_along_axis(place, home[near], axis=1).ravel()
-    return int(min(len(centroids), np.quantile(ranks, recall) + 1))
+    home, ranks, first = nearest(x, centroids), [], 0
+    for q in in_pieces(x[:queries], len(x)):
+        s = q @ x.T
+        s[np.arange(len(q)), first + np.arange(len(q))] = -np.inf
+        first += len(q)
+        near = np.argpartition(-s, k, axis=1)[:, :k]
+        place = np.argsort(np.argsort(-(q @ centroids.T), axis=1), axis=1)
+        ranks.append(np.take_along_axis(place, home[near], axis=1).ravel())
+    return int(min(len(centroids), np.quantile(np.concatenate(ranks), recall) + 1))
 
 
 def scan_block(q: np.ndarray, q_given: np.ndarray, x: np.ndarray, x_given: np.ndarray, ids: np.ndarray, top: Top,
@@ -80,19 +103,27 @@ def scan_block(q: np.ndarray, q_given: np.ndarray, x: np.ndarray, x_given: np.nd
     ``q`` and ``x`` are rotated unit vectors, ``*_given`` the vectors as given.
     """
     dims = q.shape[1]
-    # pairs that are still in the race, as (query, row) positions
-    row = np.broadcast_to(np.arange(len(x)), (len(q), len(x)))
-    alive = np.ones(row.shape, bool)
-    partial = np.zeros(row.shape)
+    # distances in single precision and limits with room for that; scores in double
+    q, x = np.asarray(q, np.float32), np.asarray(x, np.float32)
+    # pairs that are still in the race
+    alive = np.ones((len(q), len(x)), bool)
+    partial = np.zeros(alive.shape, np.float32)
+    step, within = np.empty_like(partial), np.empty_like(alive)
     read = 0
     least = top.least()
     # squared distance of the k-th; nothing is given up before there is one
     worst = np.where(least > -np.inf, 2.0 - 2.0 * np.maximum(least, -1.0), np.inf)
     for d in range(0, dims, STEP):
         seen = min(d + STEP, dims)
-        if alive.mean() > 0.25:  # most are there: whole column blocks
+        left = np.count_nonzero(alive)
+        if not left:
+            return read
+        if left > 0.25 * alive.size:  # most are there: whole column blocks, |a|^2 - 2 ab + |b|^2 as one product
             a, b = q[:, d:seen], x[:, d:seen]
-            partial += (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+            one = np.ones((max(alive.shape), 1), np.float32)
+            np.matmul(np.hstack([-2 * a, (a * a).sum(1, keepdims=True), one[:len(a)]]),
+                      np.hstack([b, one[:len(b)], (b * b).sum(1, keepdims=True)]).T, out=step)
+            np.add(partial, step, out=partial)
             read += alive.size * (seen - d)
         else:
             i, j = np.nonzero(alive)
@@ -101,18 +132,34 @@ def scan_block(q: np.ndarray, q_given: np.ndarray, x: np.ndarray, x_given: np.nd
         if seen < dims:
             limit = worst * (seen / dims) * (1.0 + epsilon / math.sqrt(seen)) ** 2
         else:
-            limit = worst + 1e-6
-        alive &= partial <= limit[:, None]
-        if not alive.any():
-            return read
+            limit = worst + SLACK
+        np.less_equal(partial, limit[:, None].astype(np.float32), out=within)
+        alive &= within
+    if not alive.any():
+        return read
+    keep = top.score.shape[1]
+    if np.count_nonzero(alive) > 2 * keep * len(q):
+        # all distances are whole: rows beyond the block's own k-th can't be among the best
+        least = np.partition(np.where(alive, partial, np.inf), keep - 1, axis=1)[:, keep - 1]
+        alive &= partial <= least[:, None] + np.float32(SLACK)
     i, j = np.nonzero(alive)
-    score = np.full(alive.shape, -np.inf)
-    score[i, j] = cosine(q_given[i], x_given[j])
-    who = np.flatnonzero(alive.any(axis=1))
-    top.add(who, score[who], np.broadcast_to(ids, (len(who), len(ids))))
+    offer(top, i, cosine(q_given[i], x_given[j]), ids[j])
     return read
 
 
+def offer(top: Top, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+    """Candidates one by one, as (query, score, id)."""
+    keep = top.score.shape[1]
+    order = np.lexsort((ids, -score, row))
+    row, score, ids = row[order], score[order], ids[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    row, score, ids, place = (a[place < keep] for a in (row, score, ids, place))
+    who, at = np.unique(row, return_inverse=True)
+    best, best_ids = np.full((len(who), keep), top.none), np.full((len(who), keep), np.iinfo(np.int64).max)
+    best[at, place], best_ids[at, place] = score, ids
+    top.add(who, best, best_ids)
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in double precision; no square under- or overflows."""
     if not len(a):
@@ -128,27 +175,152 @@ def enough_lists(s: np.ndarray, n: int, sizes: np.ndarray, least: int) -> list[n
     return [o[:max(n, m + 1)] for o, m in zip(order, short)]
 
 
-def _assign(rows: DataFrame, key: str, centroids: np.ndarray, turn: np.ndarray, n: int, sizes: np.ndarray | None = None,
-            least: int = 0) -> DataFrame:
-    """(key, v, r, list): each row, its rotated unit vector and its ``n`` nearest lists; given the
-    lists' ``sizes``, as many as hold ``least`` rows."""
+def _vectors(column: pa.Array) -> np.ndarray:
+    """A column of lists of one length, in double precision."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+
+
+def _fit(cand: DataFrame, n: int, k: int, recall: float, sample: int, seed: int):
+    """Of a task that reads the sample: its centroids, the share of its rows in each list, and how many
+    lists to look into; None if there are no rows."""
+
+    def run(batches):
+        x = [_vectors(batch.column(0)) for batch in batches if batch.num_rows]
+        if not x:
+            return
+        x = unit(np.concatenate(x))
+        centroids = fit_centroids(x, max(1, min(MAX_LISTS, math.isqrt(n), len(x) // 8)), seed)
+        shares = np.bincount(nearest(x, centroids), minlength=len(centroids)) / len(x)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([y]) for y in (len(x), x.shape[1], centroids.tobytes(), shares.tobytes(), lists_needed(x, centroids, k, recall))],
+            names=["rows", "dims", "centroids", "shares", "n_probe"])
+
+    spread = F.xxhash64(F.lit(seed), "id")
+
+    def fitted(rows):
+        picked = rows.orderBy(spread, "id").limit(sample).select("v")
+        with batch_limits(cand.sparkSession):
+            return next(iter(picked.mapInArrow(run, "rows long, dims long, centroids binary, shares binary, n_probe long").collect()), None)
+
+    # twice the share of hashes that the sample takes; more only if that didn't hold enough rows
+    found = None
+    if 2 * sample < n:
+        found = fitted(cand.where(spread < F.lit((2 * sample << 64) // n - (1 << 63))))
+    if found is None or found.rows < min(sample, n):
+        found = fitted(cand)
+    return found and (np.frombuffer(found.centroids).reshape(-1, found.dims), np.frombuffer(found.shares), found.n_probe)
+
+
+def _index(cand: DataFrame, centroids: np.ndarray, turn: np.ndarray, cuts: np.ndarray) -> DataFrame:
+    """Packs of rows in the order of their lists: (lists, counts, id, v, r), r being the rotated unit vectors.
+
+    The rows of a list go to as many places as ``cuts`` says."""
+    kind = cand.schema["v"].dataType.elementType.simpleString()
+    most = max(1, PACK_BYTES // (8 * turn.shape[0]))
+
+    def assign(batches):
+        for batch in batches:
+            if batch.num_rows:
+                near = nearest(unit(_vectors(batch.column(1))), centroids)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near), pa.array(cuts[near])], names=["id", "v", "list", "cut"])
+
+    def pack(rows):
+        table = pa.Table.from_batches(rows).combine_chunks()
+        held = table.column("list").to_numpy()
+        first = np.flatnonzero(np.diff(held, prepend=-1))
+        v = pa.concat_arrays(table.column("v").chunks).flatten().to_numpy(zero_copy_only=False)
+        turned = unit(v.reshape(len(held), -1).astype(np.float64)) @ turn
+        return pa.RecordBatch.from_arrays(
+            [pa.array([held[first]]), pa.array([np.diff(first, append=len(held))]), pa.array([table.column("id").to_numpy().tobytes()]),
+             pa.array([v.tobytes()]), pa.array([turned.astype(np.float32).tobytes()])], names=["lists", "counts", "id", "v", "r"])
+
+    def packs(batches):
+        held = []
+        for batch in batches:
+            while batch.num_rows:
+                room = most - sum(b.num_rows for b in held)
+                held.append(batch.slice(0, room))
+                batch = batch.slice(room)
+                if sum(b.num_rows for b in held) == most:
+                    yield pack(held)
+                    held = []
+        if held:
+            yield pack(held)
+
+    spark = cand.sparkSession
+    dealt = cand.select("id", "v").mapInArrow(assign, f"id long, v array<{kind}>, list long, cut long")
+    dealt = dealt.select("id", "v", "list", F.pmod(F.xxhash64("id"), "cut").alias("piece"))
+    dealt = dealt.repartition(partitions(spark), "list", "piece").sortWithinPartitions("list", "piece").select("id", "v", "list")
+    with batch_limits(spark):
+        return saved(dealt.mapInArrow(packs, "lists array<long>, counts array<long>, id binary, v binary, r binary"), "index")
+
+
+def _parts(asked: DataFrame, centroids: np.ndarray, n_probe: int, sizes: np.ndarray, least: int, most: int) -> DataFrame:
+    """Parts of at most ``most`` queries: (part, class, v, looks), looks being a line of bits for each
+    list, one for each query that looks into it."""
+
+    def part(rows):
+        v = np.concatenate([_vectors(b.column(1)) for b in rows])
+        looks = np.zeros((len(v), len(centroids)), bool)
+        done = 0
+        for x in in_pieces(unit(v), 4 * len(centroids)):
+            for i, lists in enumerate(enough_lists(x @ centroids.T, n_probe, sizes, least), done):
+                looks[i, lists] = True
+            done += len(x)
+        classes = np.concatenate([b.column(0).to_numpy() for b in rows])
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (classes, v, np.packbits(looks.T, axis=1))],
+                                          names=["class", "v", "looks"])
 
     def run(batches):
+        held = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit(np.stack([v.values.to_numpy() for v in batch.column(1)]))
-            s = x @ centroids.T
-            if sizes is not None:
-                near = enough_lists(s, n, sizes, least)
-            else:
-                near = np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(centroids) else np.broadcast_to(np.arange(n), s.shape)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(x @ turn), pa.list_(pa.float64())),
-                                              pa.array([x.astype(np.int64) for x in near], pa.list_(pa.int64()))],
-                                             names=["key", "v", "r", "lists"])
-
-    out = rows.select(F.col(key).alias("key"), "v").mapInArrow(run, "key long, v array<double>, r array<double>, lists array<long>")
-    return out.select(F.col("key").alias(key), "v", "r", F.explode("lists").alias("list"))
+            while batch.num_rows:
+                room = most - sum(b.num_rows for b in held)
+                held.append(batch.slice(0, room))
+                batch = batch.slice(room)
+                if sum(b.num_rows for b in held) == most:
+                    yield part(held)
+                    held = []
+        if held:
+            yield part(held)
+
+    spark = asked.sparkSession
+    out = asked.select("class", "v").mapInArrow(run, "class binary, v binary, looks binary")
+    with batch_limits(spark):
+        return saved(out.withColumn("part", F.monotonically_increasing_id()), "parts")
+
+
+class Asked:
+    """A part of the queries in a task that reads packs, with the best rows that they have met."""
+
+    def __init__(self, classes: np.ndarray, v: np.ndarray, looks: np.ndarray, turn: np.ndarray, k: int):
+        self.classes, self.v = classes, v.reshape(len(classes), -1)
+        self.turned = (unit(self.v) @ turn).astype(np.float32)
+        self.looks = looks.reshape(-1, math.ceil(len(classes) / 8))
+        self.top = Top(len(classes), k)
+
+    def meet(self, lists: np.ndarray, counts: np.ndarray, ids: np.ndarray, v: np.ndarray, r: np.ndarray, list_block: int,
+             query_block: int, epsilon: float) -> None:
+        start = 0
+        for at, rows in zip(lists.tolist(), counts.tolist()):
+            end = start + rows
+            who = np.flatnonzero(np.unpackbits(self.looks[at], count=len(self.classes)))
+            for a in range(start, end, list_block) if len(who) else ():
+                b = min(a + list_block, end)
+                given = v[a:b].astype(np.float64)
+                for w in range(0, len(who), query_block):
+                    q = who[w:w + query_block]
+                    top = Top(len(q), self.top.score.shape[1])
+                    top.score, top.id = self.top.score[q], self.top.id[q]
+                    scan_block(self.turned[q], self.v[q], r[a:b], given, ids[a:b], top, epsilon)
+                    self.top.score[q], self.top.id[q] = top.score, top.id
+            start = end
+
+    def found(self) -> pa.RecordBatch:
+        hit = self.top.found()
+        who = np.broadcast_to(self.classes[:, None], hit.shape)[hit]
+        return pa.RecordBatch.from_arrays([pa.array(who), pa.array(self.top.id[hit]), pa.array(self.top.score[hit])],
+                                          names=["class", "vec_id", "score"])
 
 
 def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0.97, epsilon: float = 2.1,
@@ -162,69 +334,47 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
     """
     spark = embeddings.sparkSession
     rows = valid(embeddings, F.col("v"), id_col, vec_col).where(F.exists("v", lambda x: x != 0))
-    cand = candidates(rows, k)
+    given = embeddings.schema[vec_col].dataType.elementType
+    if given == T.FloatType():  # the same numbers in half of the bytes
+        rows = rows.withColumn("v", F.col("v").cast("array<float>"))
+    cand, n = few_copies(rows, k)
     asked, members = query_classes(rows, every)
-    n = cand.count()
-    picked = cand.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(sample).select("v").toArrow().column("v").combine_chunks()
-    x = unit(picked.flatten().to_numpy().reshape(len(picked), -1)) if len(picked) else np.zeros((0, 1))
-    dims = x.shape[1]
-    lists = max(1, min(MAX_LISTS, math.isqrt(n), len(x) // 8))
-    centroids = fit_centroids(x, lists, seed) if len(x) else np.zeros((1, 1))
-    n_probe = lists_needed(x, centroids, k, recall)
-    turn = rotation(dims, seed)
-
-    with batch_limits(spark):
-        indexed = saved(_assign(cand, "id", centroids, turn, 1), "lists")
-    # long lists are cut into blocks by a hash of the id; there are at most MAX_LISTS counts
-    counts = {r.list: r["count"] for r in indexed.groupBy("list").count().collect()}
-    pieces = {i: math.ceil(c / list_block) for i, c in counts.items()}
-    sizes = np.array([counts.get(i, 0) for i in range(len(centroids))])
-    cut = F.element_at(F.create_map(*[F.lit(int(y)) for kv in (pieces or {0: 1}).items() for y in kv]).cast("map<long,long>"), F.col("list"))
-    held = blocks(indexed.withColumn("piece", F.pmod(F.xxhash64("id"), cut)), ["list", "piece"],
-                  {"id": "int64", "v": "float64", "r": "float64"})
+    centroids, shares, n_probe = _fit(cand, n, k, recall, sample, seed) or (np.zeros((1, 1)), np.ones(1), 1)
+    turn = rotation(centroids.shape[1], seed)
+
+    # lists longer than a block, or than a task's share, are cut, as far as the sample knows them
+    long = min(list_block, max(1, n // partitions(spark)))
+    index = _index(cand, centroids, turn, np.maximum(1, np.ceil(shares * n / long)).astype(np.int64))
+    each = index.select(F.explode(F.arrays_zip("lists", "counts")).alias("x")).groupBy("x.lists").agg(F.sum("x.counts").alias("rows"))
+    sizes = np.zeros(len(centroids), np.int64)  # at most MAX_LISTS
+    for r in each.collect():
+        sizes[r.lists] = r.rows
     # a query may find itself in its lists
-    looked = _assign(asked, "class", centroids, turn, n_probe, sizes, k + 1)
-    groups = max(1, math.ceil(asked.count() / query_block))
-    looking = blocks(looked.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(groups)).cast("long")), ["list", "part"],
-                     {"class": "int64", "v": "float64", "r": "float64"}).select("list", "part", "class", F.col("v").alias("q"),
-                                                                                F.col("r").alias("q_turned"))
-    # the queries that look into a list meet its blocks; the parts stay together so that a task
-    # knows the k-th distances of the queries it has met
-    p = partitions(spark)
-    lanes = max(1, p // groups)
-    pairs = held.join(looking, "list").withColumn("lane", F.pmod(F.xxhash64("list", "piece"), F.lit(lanes)))
-    pairs = pairs.repartition(p, "part", "lane").sortWithinPartitions("part", "lane", "list", "piece")
+    parts = _parts(asked, centroids, n_probe, sizes, k + 1, PART_BLOCKS * query_block)
+    # a part meets all packs of a lane in one task, which knows the k-th distances of its queries; both
+    # are read again for each other, as sending every pack to every part would fill the disks
+    n_parts = max(1, parts.count())
+    lanes = max(1, partitions(spark) // n_parts)
+    pairs = index.coalesce(lanes).crossJoin(
+        parts.repartition(n_parts).withColumnRenamed("v", "q").hint("shuffle_replicate_nl"))
+    kind = np.float32 if given == T.FloatType() else np.float64
 
     def run(batches):
-        current, best_of = None, {}
-
-        def out():
-            found = [(c, i, s) for c, t in best_of.items() for i, s in zip(t.id[0].tolist(), t.score[0].tolist()) if s > -np.inf]
-            return pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], kind) for j, kind in enumerate(
-                (pa.int64(), pa.int64(), pa.float64()))], names=["class", "vec_id", "score"])
-
+        asking: dict[int, Asked] = {}
         for batch in batches:
-            for r in batch.to_pylist():
-                if (r["part"], r["lane"]) != current:
-                    if best_of:
-                        yield out()
-                    current, best_of = (r["part"], r["lane"]), {}
-                classes = np.frombuffer(r["class"], np.int64)
-                q = np.frombuffer(r["q"]).reshape(len(classes), dims)
-                ids = np.frombuffer(r["id"], np.int64)
-                v = np.frombuffer(r["v"]).reshape(len(ids), dims)
-                top = Top(len(classes), k + 1)
-                for i, c in enumerate(classes.tolist()):
-                    if c in best_of:
-                        top.score[i], top.id[i] = best_of[c].score[0], best_of[c].id[0]
-                scan_block(np.frombuffer(r["q_turned"]).reshape(q.shape), q, np.frombuffer(r["r"]).reshape(v.shape), v, ids, top, epsilon)
-                for i, c in enumerate(classes.tolist()):
-                    mine = best_of.setdefault(c, Top(1, k + 1))
-                    mine.score[0], mine.id[0] = top.score[i], top.id[i]
-        if best_of:
-            yield out()
-
-    found = pairs.select("part", "lane", "class", "q", "q_turned", "id", "v", "r").mapInArrow(run, "class long, vec_id long, score double")
+            for i in range(batch.num_rows):
+                part, counts = batch.column(0)[i].as_py(), batch.column(5)[i].values.to_numpy()
+                classes, q, looks, ids, v, r = (batch.column(j)[i].as_buffer() for j in (1, 2, 3, 6, 7, 8))
+                if part not in asking:
+                    asking[part] = Asked(np.frombuffer(classes, np.int64), np.frombuffer(q), np.frombuffer(looks, np.uint8).copy(), turn, k + 1)
+                ids = np.frombuffer(ids, np.int64)
+                asking[part].meet(batch.column(4)[i].values.to_numpy(), counts, ids, np.frombuffer(v, kind).reshape(len(ids), -1),
+                                  np.frombuffer(r, np.float32).reshape(len(ids), -1), list_block, query_block, epsilon)
+        for a in asking.values():
+            yield a.found()
+
+    found = pairs.select("part", "class", "q", "looks", "lists", "counts", "id", "v", "r").mapInArrow(
+        run, "class long, vec_id long, score double")
     with batch_limits(spark, FEW):
         found = saved(found, "nearest")
     return answers(found, members, k)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import saved
 
 SALTS = 16
+#: Hashes of a broadcast table.
+SHARED = 100_000
 
 
 def valid(df: DataFrame, value: Column, id_col: str, vec_col: str) -> DataFrame:
@@ -44,6 +46,23 @@ def candidates(rows: DataFrame, k: int) -> DataFrame:
     return saved(_least_ids(rows, k + 1), "vectors")
 
 
+def few_copies(rows: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """The rows of ``candidates``, and how many they are; vectors whose hash is theirs alone are neither
+    sent nor written, as they have no copies."""
+    groups = rows.groupBy(F.xxhash64("v").alias("h")).count()
+    n, shared = groups.agg(F.sum("count"), F.count_if(F.col("count") > 1)).first()
+    if not shared:
+        return rows, n or 0
+    if shared > SHARED:
+        cand = candidates(rows, k)
+    else:
+        doubtful = F.broadcast(saved(groups.where(F.col("count") > 1).select("h"), "copies"))
+        marked = rows.withColumn("h", F.xxhash64("v"))
+        alone, alike = (marked.join(doubtful, "h", how).select("id", "v") for how in ("left_anti", "left_semi"))
+        cand = saved(alone.unionByName(_least_ids(alike, k + 1)), "vectors")
+    return cand, cand.count()
+
+
 def query_classes(rows: DataFrame, every: int) -> tuple[DataFrame, DataFrame]:
     """(class, v) of the distinct query vectors and (class, query_id) of their members."""
     asked = rows.where(F.pmod(F.col("id"), F.lit(every)) == 0).distinct()
