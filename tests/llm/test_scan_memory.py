@@ -5,9 +5,11 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyarrow import parquet
+from pyspark.sql import functions as F
 from tests.llm.test_vectors import cloud, frame, results
 
-from tidemark.llm import adscan, vectors
+from tidemark.llm import adscan, common, vectors
 from tidemark.llm.vectors import Top
 
 
@@ -111,3 +113,14 @@ def test_packs_and_parts_hold_every_row(spark, monkeypatch):
     assert got.keys() == want.keys() and {len(v) for v in got.values()} == {5}
     same = sum(got[q] == want[q] for q in want)
     assert same >= 0.98 * len(want)  # what is given up depends on what came before
+
+
+def test_large_rows_are_read_a_few_at_a_time(spark):
+    rng = np.random.RandomState(8)
+    rows = spark.createDataFrame([(i, bytearray(rng.bytes(1 << 20))) for i in range(24)], "id long, v binary").coalesce(1)
+    written = common.saved(rows, "large", common.LARGE_ROWS)
+    assert written.agg(F.sum(F.length("v"))).first()[0] == 24 << 20
+    (path,) = written.inputFiles()
+    held = parquet.ParquetFile(path.removeprefix("file:")).metadata
+    sizes = [held.row_group(i).num_rows for i in range(held.num_row_groups)]
+    assert sum(sizes) == 24 and max(sizes) <= 10

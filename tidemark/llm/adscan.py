@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import batch_limits, partitions, saved
-from tidemark.llm.vectors import FEW, Top, answers, few_copies, query_classes, valid
+from tidemark.llm.common import LARGE_ROWS, batch_limits, partitions, saved
+from tidemark.llm.vectors import Top, answers, few_copies, query_classes, valid
 
 #: Column block of the scan.
 STEP = 8
@@ -35,7 +35,7 @@ STEP = 8
 SLACK = 1e-4
 MAX_LISTS = 4096
 #: Bytes of one pack's vectors, as doubles.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
 #: Blocks of queries in a part.
 PART_BLOCKS = 8
 #: Bytes of one matrix of similarities while centroids are fitted.
@@ -252,7 +252,7 @@ def _index(cand: DataFrame, centroids: np.ndarray, turn: np.ndarray, cuts: np.nd
     dealt = dealt.select("id", "v", "list", F.pmod(F.xxhash64("id"), "cut").alias("piece"))
     dealt = dealt.repartition(partitions(spark), "list", "piece").sortWithinPartitions("list", "piece").select("id", "v", "list")
     with batch_limits(spark):
-        return saved(dealt.mapInArrow(packs, "lists array<long>, counts array<long>, id binary, v binary, r binary"), "index")
+        return saved(dealt.mapInArrow(packs, "lists array<long>, counts array<long>, id binary, v binary, r binary"), "index", LARGE_ROWS)
 
 
 def _parts(asked: DataFrame, centroids: np.ndarray, n_probe: int, sizes: np.ndarray, least: int, most: int) -> DataFrame:
@@ -260,7 +260,8 @@ def _parts(asked: DataFrame, centroids: np.ndarray, n_probe: int, sizes: np.ndar
     list, one for each query that looks into it."""
 
     def part(rows):
-        v = np.concatenate([_vectors(b.column(1)) for b in rows])
+        given = np.concatenate([b.column(1).flatten().to_numpy(zero_copy_only=False) for b in rows])
+        v = given.reshape(-1, centroids.shape[1]).astype(np.float64)
         looks = np.zeros((len(v), len(centroids)), bool)
         done = 0
         for x in in_pieces(unit(v), 4 * len(centroids)):
@@ -268,7 +269,7 @@ def _parts(asked: DataFrame, centroids: np.ndarray, n_probe: int, sizes: np.ndar
                 looks[i, lists] = True
             done += len(x)
         classes = np.concatenate([b.column(0).to_numpy() for b in rows])
-        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (classes, v, np.packbits(looks.T, axis=1))],
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (classes, given, np.packbits(looks.T, axis=1))],
                                           names=["class", "v", "looks"])
 
     def run(batches):
@@ -287,7 +288,7 @@ def _parts(asked: DataFrame, centroids: np.ndarray, n_probe: int, sizes: np.ndar
     spark = asked.sparkSession
     out = asked.select("class", "v").mapInArrow(run, "class binary, v binary, looks binary")
     with batch_limits(spark):
-        return saved(out.withColumn("part", F.monotonically_increasing_id()), "parts")
+        return saved(out.withColumn("part", F.monotonically_increasing_id()), "parts", LARGE_ROWS)
 
 
 class Asked:
@@ -366,7 +367,8 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
                 part, counts = batch.column(0)[i].as_py(), batch.column(5)[i].values.to_numpy()
                 classes, q, looks, ids, v, r = (batch.column(j)[i].as_buffer() for j in (1, 2, 3, 6, 7, 8))
                 if part not in asking:
-                    asking[part] = Asked(np.frombuffer(classes, np.int64), np.frombuffer(q), np.frombuffer(looks, np.uint8).copy(), turn, k + 1)
+                    asking[part] = Asked(np.frombuffer(classes, np.int64), np.frombuffer(q, kind).astype(np.float64),
+                                         np.frombuffer(looks, np.uint8).copy(), turn, k + 1)
                 ids = np.frombuffer(ids, np.int64)
                 asking[part].meet(batch.column(4)[i].values.to_numpy(), counts, ids, np.frombuffer(v, kind).reshape(len(ids), -1),
                                   np.frombuffer(r, np.float32).reshape(len(ids), -1), list_block, query_block, epsilon)
@@ -375,6 +377,6 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float = 0
 
     found = pairs.select("part", "class", "q", "looks", "lists", "counts", "id", "v", "r").mapInArrow(
         run, "class long, vec_id long, score double")
-    with batch_limits(spark, FEW):
+    with batch_limits(spark, 1):  # a row is a pack and a part
         found = saved(found, "nearest")
     return answers(found, members, k)
